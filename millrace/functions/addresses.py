@@ -13,7 +13,7 @@ def token_count(text: Column) -> Column:
 
 def token_prefix(text: Column, tokens: Column) -> Column:
     """The first ``tokens`` space-separated pieces, joined again."""
-    return F.substring_index(text, " ", tokens)
+    return F.call_function("substring_index", text, F.lit(" "), tokens)
 
 
 def _first_group(text: Column, pattern: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.addresses import building_dong, building_ho, token_count, token_prefix
 from millrace.operators.numbering import range_row_number
 from millrace.operators.skew import hot_hashes, join_unique
+from millrace.schemas import ADDRESS_MASTER
 from millrace.session import land
 
 
@@ -129,38 +130,41 @@ def resolve_new_addresses(
     dictionary: DataFrame,
     register_dt,
     skip_blank: bool = True,
-    retry_markers: bool = False,
 ) -> DataFrame:
     """New rows for the address table from all owner tables at once, hits and negative markers.
 
     ``dictionary`` has keyword, total_count, road_address and address. New rows are numbered on from the
-    highest ``seq``. With ``retry_markers`` addresses stored without a hit are looked up again and keep
-    their number.
+    highest ``seq``.
     """
     texts = None
     for owner, column in owners:
         part = owner.select(F.col(column).alias("legacy_address"))
         texts = part if texts is None else texts.unionByName(part)
-    known = address_master
-    if retry_markers:
-        known = known.where(F.col("accuracy").isNotNull())
-    new = land(unresolved_keys(texts, "legacy_address", known, "legacy_address", skip_blank), "addresses")
-    numbered = range_row_number(new, ["legacy_address"], out="seq")
+    new = unresolved_keys(texts, "legacy_address", address_master, "legacy_address", skip_blank)
+    numbered = range_row_number(land(new, "addresses"), ["legacy_address"], out="seq")
     top = address_master.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("top")).scalar()
-    numbered = numbered.withColumn("seq", F.col("seq") + top)
-    if retry_markers:
-        markers_before = address_master.where(F.col("accuracy").isNull())
-        old = markers_before.select("legacy_address", F.col("seq").alias("__seq"))
-        numbered = numbered.join(old, "legacy_address", "left").select(
-            "legacy_address", F.coalesce("__seq", "seq").alias("seq")
-        )
-    found = longest_prefix(
-        land(numbered, "numbered"), "legacy_address", dictionary.where("total_count > 0"), "keyword"
-    )
+    numbered = land(numbered.withColumn("seq", F.col("seq") + top), "numbered")
+    found = longest_prefix(numbered, "legacy_address", dictionary.where("total_count > 0"), "keyword")
     hits = resolve_address(found.where(F.col("keyword").isNotNull()), keep=["seq"])
     markers = negative_markers(found, "legacy_address", "keyword", keep=["seq"])
     rows = hits.unionByName(markers, allowMissingColumns=True)
-    return rows.withColumn("register_dt", F.lit(register_dt).cast("timestamp_ntz")).select(*address_master.columns)
+    return rows.withColumn("register_dt", F.lit(register_dt).cast("timestamp_ntz")).select(
+        *ADDRESS_MASTER.fieldNames()
+    )
+
+
+def retry_markers(address_master: DataFrame, dictionary: DataFrame, register_dt) -> DataFrame:
+    """Rows of the address table that had no hit before and have one now, with their old number.
+
+    Columns of ``address_master`` beyond the fixed ones are kept.
+    """
+    extra = [c for c in address_master.columns if c not in ADDRESS_MASTER.fieldNames()]
+    markers = address_master.where(F.col("accuracy").isNull()).select("legacy_address", "seq", *extra)
+    found = longest_prefix(markers, "legacy_address", dictionary.where("total_count > 0"), "keyword")
+    hits = resolve_address(found.where(F.col("keyword").isNotNull()), keep=["seq", *extra])
+    return hits.withColumn("register_dt", F.lit(register_dt).cast("timestamp_ntz")).select(
+        *address_master.columns
+    )
 
 
 def mark_surrogate(

@@ -1,8 +1,7 @@
 """Table writers.
 
-Plain parquet has no MERGE. Two ways keep tables current: ``write_run`` gives every business date its own
-complete copy (reading only earlier ones, so a rerun is safe), and ``merge_partitions`` rewrites the
-partitions that an update touches.
+Plain parquet has no MERGE. Two ways keep tables current: ``write_run`` puts every new state of a table into
+a directory of its own, and ``merge_partitions`` rewrites the partitions that an update touches.
 """
 
 from __future__ import annotations
@@ -87,18 +86,33 @@ def merge_partitions(
     )
 
 
+def _complete_runs(spark: SparkSession, path: str) -> list[str]:
+    return [r for r in partition_values(spark, path, "run") if path_exists(spark, f"{path}/run={r}/_SUCCESS")]
+
+
 def write_run(df: DataFrame, path: str, run_date: date) -> None:
-    """Write the complete table of one business date; other dates stay."""
-    df.write.mode("overwrite").parquet(f"{path}/run_date={run_date.isoformat()}")
-
-
-def read_run(
-    spark: SparkSession, path: str, on: date | None = None, before: date | None = None
-) -> DataFrame | None:
-    """The table as of the last run up to ``on`` or before ``before``; None where there is none."""
-    runs = partition_values(spark, path, "run_date")
-    if on is not None:
-        runs = [r for r in runs if r <= on.isoformat()]
-    if before is not None:
-        runs = [r for r in runs if r < before.isoformat()]
-    return spark.read.parquet(f"{path}/run_date={runs[-1]}") if runs else None
+    """Write the complete table of a business date as a new directory; nothing is overwritten.
+
+    A second write on one date gets the next number, and a reader takes the last finished one.
+    """
+    day = run_date.isoformat()
+    same_day = [int(r[len(day) + 1:]) for r in partition_values(df.sparkSession, path, "run") if r.startswith(day)]
+    number = max(same_day, default=0) + 1
+    df.write.parquet(f"{path}/run={day}.{number:04d}")
+
+
+def read_run(spark: SparkSession, path: str, on: date) -> DataFrame | None:
+    """The table as of the last finished run up to ``on``; None where there is none."""
+    runs = [r for r in _complete_runs(spark, path) if r[:10] <= on.isoformat()]
+    return spark.read.parquet(f"{path}/run={runs[-1]}") if runs else None
+
+
+def drop_runs(spark: SparkSession, path: str, keep: int) -> list[str]:
+    """Drop all but the last ``keep`` finished runs of a table; returns what went."""
+    if keep < 1:
+        raise ValueError("at least one run has to stay")
+    old = _complete_runs(spark, path)[:-keep]
+    for run in old:
+        fs, target = file_system(spark, f"{path}/run={run}")
+        fs.delete(target, True)
+    return old
