@@ -119,7 +119,7 @@ WHERE legacy_address IS NULL AND legacy_addr <> ''
 _PART_DICT = """
 addr AS (SELECT p_partkey, concat(p_name, ' ', p_type, ' ', p_brand) AS legacy_address FROM part),
 dict AS (SELECT keyword, count(*) AS total_count FROM (
-    SELECT concat(p_name, ' ', p_type) AS keyword FROM part WHERE p_retailprice >= 1000
+    SELECT concat(p_name, ' ', p_type) AS keyword FROM part WHERE p_retailprice >= 950
     UNION ALL SELECT split_part(p_name, ' ', 1) FROM part WHERE p_size <= 3) k GROUP BY keyword),
 pre AS (SELECT a.p_partkey, t.n, array_to_string(list_slice(string_split(a.legacy_address, ' '), 1, t.n), ' ') AS keyword
   FROM addr a, LATERAL (SELECT unnest(range(1, len(string_split(a.legacy_address, ' ')) + 1)) AS n) t),

@@ -146,9 +146,10 @@ def _event_pages(spark, sf_dir) -> DataFrame:
 
 
 def _with_end_page(pages: DataFrame, payload: Column, end: Column) -> DataFrame:
-    """Payload pages and the closing page of the feed."""
-    last = pages.agg((F.coalesce(F.max("page_no"), F.lit(0)) + 1).alias("page_no"))
-    return pages.select("page_no", payload.alias("payload")).unionByName(last.select("page_no", end.alias("payload")))
+    """The landed payload pages and the closing page of a feed."""
+    landed = land(pages.select("page_no", payload.alias("payload")), "payloads")
+    last = landed.agg((F.coalesce(F.max("page_no"), F.lit(0)) + 1).alias("page_no"))
+    return landed.unionByName(last.select("page_no", end.alias("payload")))
 
 
 EVENT_RECORD = T.StructType(
@@ -318,7 +319,7 @@ def _part_addresses(spark, sf_dir) -> DataFrame:
 def _part_dictionary(spark, sf_dir) -> DataFrame:
     """Whole names, names with type, and first words; one row per keyword."""
     part = _table(spark, sf_dir, "part")
-    named = part.where("p_retailprice >= 1000").select(F.concat_ws(" ", "p_name", "p_type").alias("keyword"))
+    named = part.where("p_retailprice >= 950").select(F.concat_ws(" ", "p_name", "p_type").alias("keyword"))
     first = part.where("p_size <= 3").select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("keyword"))
     return named.unionByName(first).groupBy("keyword").agg(F.count("*").alias("total_count"))
 

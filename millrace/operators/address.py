@@ -39,23 +39,22 @@ def longest_prefix(keys: DataFrame, column: str, dictionary: DataFrame, keyword_
     # one small number per token count
     lengths = sorted(
         r.n for r in entries.select(token_count(F.col(keyword_column)).alias("n")).distinct().collect()
-    )
+    ) or [0]
     if payload:
         entries = entries.groupBy(keyword_column).agg(F.max(F.struct(*payload)).alias("__entry"))
     else:
         entries = entries.select(keyword_column).distinct().withColumn("__entry", F.struct(F.lit(True)))
 
     def candidates(texts: DataFrame) -> DataFrame:
-        fitting = F.filter(F.lit(lengths).cast("array<bigint>"), lambda n: n <= token_count(F.col(column)))
-        spread = texts.select(column, F.explode(fitting).alias("n_tokens"))
-        return spread.withColumn(keyword_column, token_prefix(F.col(column), F.col("n_tokens").cast("int")))
+        sized = texts.select(column, token_count(F.col(column)).alias("__size"))
+        spread = sized.select("*", F.explode(F.lit(lengths)).alias("n_tokens"))
+        return spread.where(F.col("n_tokens") <= F.col("__size")).select(
+            column, "n_tokens", token_prefix(F.col(column), F.col("n_tokens")).alias(keyword_column)
+        )
 
     present = keys.select(column).where(F.col(column).isNotNull())
-    if lengths:
-        # a short prefix may begin a third of all texts
-        hot = hot_hashes(candidates(present).select(keyword_column), [keyword_column])
-    else:
-        hot = []
+    # a short prefix may begin a third of all texts
+    hot = hot_hashes(present, [keyword_column], expand=candidates)
     hits = join_unique(candidates(present.distinct()), entries, keyword_column, "inner", hot)
     best = hits.groupBy(column).agg(
         F.max_by(F.struct(keyword_column, "n_tokens", "__entry"), "n_tokens").alias("__best")
@@ -64,7 +63,7 @@ def longest_prefix(keys: DataFrame, column: str, dictionary: DataFrame, keyword_
     return matched.select(
         *keys.columns,
         F.col(f"__best.{keyword_column}").alias(keyword_column),
-        F.col("__best.n_tokens").alias("n_tokens"),
+        F.col("__best.n_tokens").cast("bigint").alias("n_tokens"),
         *[F.col(f"__best.__entry.{c}").alias(c) for c in payload],
     )
 

@@ -15,38 +15,45 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 50_000
+MAX_RANGES = 10_000
 _SAMPLES_PER_RANGE = 10
 
 
-def _key_struct(order_cols: Sequence[str]) -> Column:
+def _sort_key(order_cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order_cols])
 
 
-def _range_bounds(df: DataFrame, order_cols: Sequence[str], total: int, ranges: int) -> Column:
-    """A constant, sorted array of the lower bounds of the ranges 1, 2, ..."""
+def _range_bounds(df: DataFrame, order_cols: Sequence[str], total: int, ranges: int) -> tuple[Column, int]:
+    """A constant, sorted array of the lower bounds of the ranges 1, 2, ... and its size."""
     fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / total)
-    keys = df.select(_key_struct(order_cols).alias("k"))
-    sample = keys.sample(fraction, seed=7) if fraction < 1.0 else keys
+    sample = df.select(*order_cols)
+    if fraction < 1.0:
+        sample = sample.sample(fraction, seed=7)
+    sample = sample.select(_sort_key(order_cols).alias("k"))
     step = max(1, round(total * fraction / ranges))
-    bounds = sample.agg(F.sort_array(F.collect_list("k")).alias("ks")).select(
-        F.to_json(F.filter("ks", lambda k, i: i % step == step - 1)).alias("bounds")
+    found = (
+        sample.agg(F.sort_array(F.collect_list("k")).alias("ks"))
+        .select(F.array_distinct(F.filter("ks", lambda k, i: i % step == step - 1)).alias("ks"))
+        .select(F.to_json("ks").alias("bounds"), F.size("ks").alias("n"))
+        .first()
     )
-    array_type = keys.select(F.array("k").alias("ks")).schema["ks"].dataType
-    parsed = F.from_json(F.lit(bounds.first().bounds), array_type)
-    return F.array_distinct(F.sort_array(parsed))
+    array_type = sample.select(F.array("k").alias("ks")).schema["ks"].dataType
+    # what JSON rounds off does not matter, as long as the bounds are sorted
+    return F.sort_array(F.from_json(F.lit(found.bounds), array_type)), found.n
 
 
-def _range_of(key: Column, bounds: Column, ranges: int) -> Column:
-    """Number of bounds that are not above the key, by halving steps."""
-    steps = [1 << i for i in range((2 * ranges).bit_length() - 1, -1, -1)]
+def _with_range(df: DataFrame, order_cols: Sequence[str], bounds: Column, size: int) -> DataFrame:
+    """Add __range, the number of bounds that are not above the keys, by halving steps.
 
-    def step(position: Column, size: Column) -> Column:
-        ahead = position + size
-        fits = (ahead <= F.size(bounds)) & (F.try_element_at(bounds, ahead) <= key)
-        return F.when(fits, ahead).otherwise(position)
-
-    return F.aggregate(F.lit(steps), F.lit(0), step)
+    One projection per step: Spark keeps them apart, since each uses the last one twice, and compiles all of
+    them into one stage.
+    """
+    placed = df.withColumn("__key", _sort_key(order_cols)).withColumn("__range", F.lit(0))
+    for power in range(size.bit_length() - 1, -1, -1):
+        ahead = F.col("__range") + F.lit(1 << power)
+        fits = (ahead <= size) & (F.get(bounds, ahead - 1) <= F.col("__key"))
+        placed = placed.withColumn("__range", F.when(fits, ahead).otherwise(F.col("__range")))
+    return placed.drop("__key")
 
 
 def range_row_number(
@@ -71,24 +78,23 @@ def range_row_number(
         numbered = df.withColumn(out, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
         return numbered if between is None else numbered.where(F.col(out).between(*between))
 
-    bounds = _range_bounds(df, order_cols, total, ranges)
-    placed = df.withColumn("__range", _range_of(_key_struct(order_cols), bounds, ranges))
+    bounds, size = _range_bounds(df, order_cols, total, ranges)
+    placed = _with_range(df, order_cols, bounds, size)
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("__range")
         .agg(F.count("*").alias("__rows"))
         .withColumn("__before", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
     )
-    if between is not None:
-        first, last = between
-        offsets = offsets.where(
-            (F.col("__before") + F.col("__rows") >= first) & (F.col("__before") < last)
-        )
-    # one row per range, MAX_RANGES at most
-    placed = placed.join(F.broadcast(offsets.select("__range", "__before")), "__range")
     in_range = Window.partitionBy("__range").orderBy(*order_cols)
+    number = F.row_number().over(in_range).cast("bigint")
+    # the offsets hold one row per range, MAX_RANGES at most
     if between is None:
-        placed = placed.repartitionById(2 * ranges, "__range")
-    numbered = placed.withColumn(out, F.row_number().over(in_range) + F.col("__before"))
-    numbered = numbered.drop("__range", "__before")
+        numbered = placed.repartitionById(size + 1, "__range").withColumn(out, number)
+        numbered = numbered.join(F.broadcast(offsets.select("__range", "__before")), "__range")
+    else:
+        first, last = between
+        touched = offsets.where((F.col("__before") + F.col("__rows") >= first) & (F.col("__before") < last))
+        numbered = placed.join(F.broadcast(touched.select("__range", "__before")), "__range").withColumn(out, number)
+    numbered = numbered.withColumn(out, F.col(out) + F.col("__before")).drop("__range", "__before")
     return numbered if between is None else numbered.where(F.col(out).between(*between))

@@ -9,7 +9,7 @@ misses takes the normal join, so the result does not depend on it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,23 +36,29 @@ def _key_hash(df: DataFrame, keys: Sequence[str]) -> Column | None:
     return F.xxhash64(*[F.col(k).cast(kind) for k, kind in zip(keys, kinds)])
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> list[int]:
-    """Hashes of the keys that hold at least ``HOT_SHARE`` of the rows of ``df``.
+def hot_hashes(
+    df: DataFrame,
+    keys: Sequence[str],
+    expand: Callable[[DataFrame], DataFrame] | None = None,
+    min_rows: int = MIN_ROWS,
+) -> list[int]:
+    """Hashes of the keys that occur in at least ``HOT_SHARE`` of the rows of ``df``.
 
-    Runs two small jobs over the key columns: a count and a count per key of about ``SAMPLE_ROWS`` rows.
+    Runs two small jobs: a row count, and a count per key of about ``SAMPLE_ROWS`` sampled rows. ``expand``
+    turns rows into the rows that carry the keys, where a row has several.
     """
-    hashed = _key_hash(df, keys)
-    if hashed is None:
-        return []
     total = df.count()
     if total < min_rows:
         return []
     fraction = min(1.0, SAMPLE_ROWS / total)
-    rows = df.select(hashed.alias("h"))
-    if fraction < 1.0:
-        rows = rows.sample(fraction, seed=11)
-    found = rows.groupBy("h").count().where(F.col("count") >= HOT_SHARE * total * fraction).collect()
-    return [r.h for r in found]
+    rows = df.sample(fraction, seed=11) if fraction < 1.0 else df
+    if expand is not None:
+        rows = expand(rows)
+    hashed = _key_hash(rows, keys)
+    if hashed is None:
+        return []
+    counts = rows.groupBy(hashed.alias("h")).count()
+    return [r.h for r in counts.where(F.col("count") >= HOT_SHARE * total * fraction).collect()]
 
 
 def join_unique(
