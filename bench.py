@@ -11,6 +11,7 @@ import os
 import sys
 import time
 
+import checks.chains  # noqa: F401  registers the chain queries
 from checks.queries import QUERIES
 from millrace.session import build_session
 

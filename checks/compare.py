@@ -55,6 +55,7 @@ def compare(con, df, sql: str) -> str | None:
 
 def main(sf_dir: str, names: list[str]) -> int:
     from checks.oracles import ORACLES
+    import checks.chains  # noqa: F401  registers the chain queries
     from checks.queries import QUERIES
     from millrace.session import build_session
 

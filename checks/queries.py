@@ -49,9 +49,12 @@ QUERIES: dict[str, Query] = {}
 SMALL_RANGE = 1000
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 def _path(sf_dir: str, table: str) -> str:
@@ -65,7 +68,7 @@ def _table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 # sources and sinks
 
 
-@query
+@query("full_scan")
 def full_scan_replace(spark, sf_dir):
     path = scratch_path(spark, "orders")
     orders = _table(spark, sf_dir, "orders")
@@ -73,12 +76,12 @@ def full_scan_replace(spark, sf_dir):
     return full_scan(spark, path, orders.schema)
 
 
-@query
+@query("column_scan")
 def column_scan_orders(spark, sf_dir):
     return column_scan(spark, _path(sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderdate"])
 
 
-@query
+@query("read_table")
 def read_table_condition(spark, sf_dir):
     return read_table(
         spark,
@@ -88,7 +91,7 @@ def read_table_condition(spark, sf_dir):
     )
 
 
-@query
+@query("row_count")
 def row_count_lineitem(spark, sf_dir):
     return row_count(_table(spark, sf_dir, "lineitem"))
 
@@ -96,30 +99,30 @@ def row_count_lineitem(spark, sf_dir):
 ORDER_KEYS = ["o_orderdate", "o_orderkey"]
 
 
-@query
+@query("paged_scan")
 def paged_scan_orders(spark, sf_dir):
     return paged_scan(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000, 3, SMALL_RANGE)
 
 
-@query
+@query("page_assignment")
 def page_assignment_orders(spark, sf_dir):
     pages = page_assignment(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000, SMALL_RANGE)
     return pages.select("o_orderkey", "row_num", "page_no")
 
 
-@query
+@query("range_row_number")
 def range_row_number_lineitem(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     numbered = range_row_number(_table(spark, sf_dir, "lineitem"), keys, rows_per_range=10 * SMALL_RANGE)
     return numbered.select(*keys, "row_num")
 
 
-@query
+@query("page_plan")
 def page_plan_orders(spark, sf_dir):
     return page_plan(_table(spark, sf_dir, "orders"), 1000)
 
 
-@query
+@query("append_pages")
 def append_pages_events(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     path = scratch_path(spark, "events")
@@ -162,7 +165,7 @@ EVENT_RECORD = T.StructType(
 )
 
 
-@query
+@query("json_pages")
 def json_pages_events(spark, sf_dir):
     payload = F.to_json(F.struct(F.col("records").alias("data")))
     payloads = _with_end_page(_event_pages(spark, sf_dir), payload, F.lit('{"data":[]}'))
@@ -180,19 +183,19 @@ STATUS_END = '{"response":{"header":{"resultCode":"03"}}}'
 STATUS_ARGS = ("response.body.items", "response.header.resultCode")
 
 
-@query
+@query("json_pages_status")
 def json_pages_status(spark, sf_dir):
     payloads = _with_end_page(_event_pages(spark, sf_dir), _status_payload(F.lit("00")), F.lit(STATUS_END))
     return json_pages(payloads, EVENT_RECORD, *STATUS_ARGS, keep=["page_no"])
 
 
-@query
+@query("strict_columns")
 def strict_json_pages_events(spark, sf_dir):
     payloads = _with_end_page(_event_pages(spark, sf_dir), _status_payload(F.lit("00")), F.lit(STATUS_END))
     return strict_json_pages(payloads, ["event_id", "event_type"], *STATUS_ARGS)
 
 
-@query
+@query("rejected_pages")
 def rejected_pages_events(spark, sf_dir):
     # a page that holds an error event at its first place came back broken
     first_type = F.col("records")[0]["event_type"]
@@ -208,7 +211,7 @@ def _event_pages_sorted(spark, sf_dir) -> DataFrame:
     return pages.withColumn("records", F.sort_array("records"))
 
 
-@query
+@query("xml_pages")
 def xml_pages_part(spark, sf_dir):
     part = _table(spark, sf_dir, "part").withColumn("p_type", F.when(F.col("p_size") > 40, "").otherwise(F.col("p_type")))
     pages = _pages(part, ["p_partkey"], 500, F.struct("p_partkey", "p_name", "p_brand", "p_type"))
@@ -218,14 +221,14 @@ def xml_pages_part(spark, sf_dir):
     return xml_pages(_with_end_page(pages, payload, end), ["p_partkey", "p_name", "p_brand", "p_type", "p_extra"])
 
 
-@query
+@query("category_union")
 def category_union_events(spark, sf_dir):
     events = _table(spark, sf_dir, "events").select("event_id", "event_type")
     frames = {c: events.where(F.col("event_type") == c) for c in ("click", "view")}
     return category_union(frames, "category")
 
 
-@query
+@query("category_scan")
 def category_scan_events(spark, sf_dir):
     events = _table(spark, sf_dir, "events").select("event_id", "event_type")
     return category_scan(events, "event_type", ["click", "view", "signup"])
@@ -234,19 +237,19 @@ def category_scan_events(spark, sf_dir):
 # cleaning
 
 
-@query
+@query("strip_nul")
 def strip_nul_customer(spark, sf_dir):
     dirty = F.concat(F.lit("\x00"), "c_name", F.lit("\x00"), "c_mktsegment", F.lit("\x00"))
     return strip_nul(_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", dirty.alias("label")))
 
 
-@query
+@query("blank_to_null")
 def blank_to_null_part(spark, sf_dir):
     brand = F.when(F.col("p_size") % 3 == 0, "").otherwise(F.col("p_brand"))
     return blank_to_null(_table(spark, sf_dir, "part").select("p_partkey", brand.alias("p_brand")))
 
 
-@query
+@query("fixed_columns")
 def fixed_columns_events(spark, sf_dir):
     return fixed_columns(_table(spark, sf_dir, "events"), ["event_id", "event_type", "no_such_key"])
 
@@ -258,7 +261,7 @@ def _cipher(column: str) -> Column:
     return F.base64(F.aes_encrypt(F.col(column), F.lit(bytearray(CIPHER_KEY))))
 
 
-@query
+@query("decrypt_columns")
 def decrypt_columns_customer(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer").select(
         "c_custkey", _cipher("c_name").alias("tel"), _cipher("c_mktsegment").alias("hand")
@@ -266,14 +269,14 @@ def decrypt_columns_customer(spark, sf_dir):
     return decrypt_columns(customer, {"tel": "dec_tel", "hand": "dec_hand"}, CIPHER_KEY).drop("tel", "hand")
 
 
-@query
+@query("decrypt_columns_try")
 def decrypt_columns_lenient(spark, sf_dir):
     broken = F.when(F.col("c_acctbal") < 0, F.concat(F.lit("AAAA"), _cipher("c_name"))).otherwise(_cipher("c_name"))
     customer = _table(spark, sf_dir, "customer").select("c_custkey", broken.alias("tel"))
     return decrypt_columns(customer, {"tel": "dec_tel"}, CIPHER_KEY, strict=False).drop("tel")
 
 
-@query
+@query("kst_date")
 def kst_date_events(spark, sf_dir):
     return _table(spark, sf_dir, "events").select(
         "event_id", kst_date("ts").alias("kst_date"), zone_time("ts").alias("kst_time")
@@ -283,7 +286,7 @@ def kst_date_events(spark, sf_dir):
 # addresses
 
 
-@query
+@query("unit_extract")
 def unit_extract_part(spark, sf_dir):
     with_unit = F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), F.lit("동 "), F.col("p_partkey").cast("string"), F.lit("호"))
     part = _table(spark, sf_dir, "part").select(
@@ -294,13 +297,13 @@ def unit_extract_part(spark, sf_dir):
     return unit_extract(part, "addr", "building_name").select("p_partkey", "building_dong", "building_ho")
 
 
-@query
+@query("unresolved_keys")
 def unresolved_keys_customer(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_totalprice > 300000")
     return unresolved_keys(_table(spark, sf_dir, "customer"), "c_custkey", orders, "o_custkey")
 
 
-@query
+@query("unresolved_keys_text")
 def unresolved_keys_lineitem(spark, sf_dir):
     known = _table(spark, sf_dir, "part").where("p_size > 10").withColumnRenamed("p_name", "known_name")
     named = _table(spark, sf_dir, "lineitem").join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -324,14 +327,14 @@ def _part_dictionary(spark, sf_dir) -> DataFrame:
     return named.unionByName(first).groupBy("keyword").agg(F.count("*").alias("total_count"))
 
 
-@query
+@query("longest_prefix")
 def longest_prefix_part(spark, sf_dir):
     return longest_prefix(
         _part_addresses(spark, sf_dir), "legacy_address", _part_dictionary(spark, sf_dir), "keyword"
     )
 
 
-@query
+@query("longest_prefix_repeated")
 def longest_prefix_lineitem(spark, sf_dir):
     """Every line with the address of its part: most addresses are repeated many times."""
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
@@ -339,7 +342,7 @@ def longest_prefix_lineitem(spark, sf_dir):
     return longest_prefix(owner, "legacy_address", _part_dictionary(spark, sf_dir), "keyword")
 
 
-@query
+@query("negative_markers")
 def negative_markers_part(spark, sf_dir):
     part = _table(spark, sf_dir, "part").where("p_size > 30")
     dictionary = part.select(F.concat_ws(" ", "p_name", "p_type").alias("keyword")).distinct()
@@ -405,20 +408,20 @@ def _known_addresses(spark, sf_dir) -> DataFrame:
     )
 
 
-@query
+@query("resolve_address")
 def resolve_addresses_part(spark, sf_dir):
     owner = _unit_addresses(spark, sf_dir)
     known = _known_addresses(spark, sf_dir)
     return resolve_new_addresses([(owner, "legacy_address")], known, _geocoder(spark, sf_dir), REGISTERED)
 
 
-@query
+@query("retry_markers")
 def retry_markers_part(spark, sf_dir):
     found = retry_markers(_known_addresses(spark, sf_dir), _geocoder(spark, sf_dir), REGISTERED)
     return found.select("seq", "legacy_address", "accuracy", "road_address_tf", "address_name")
 
 
-@query
+@query("mark_surrogate")
 def mark_surrogate_orders(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -429,7 +432,7 @@ def mark_surrogate_orders(spark, sf_dir):
 # merges
 
 
-@query
+@query("upsert_by_key")
 def address_upsert_customer(spark, sf_dir):
     target = _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("state"), F.col("c_acctbal").alias("amount")
@@ -459,14 +462,14 @@ def _refresh_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, T.StructType]:
     return raw, views, schema
 
 
-@query
+@query("daily_refresh")
 def daily_refresh_events(spark, sf_dir):
     raw, views, schema = _refresh_inputs(spark, sf_dir)
     current = daily_refresh(views, None, schema, ["user_id"], ["ts", "event_id"])
     return daily_refresh(raw, current, schema, ["user_id"], ["ts", "event_id"])
 
 
-@query
+@query("reverse_sync")
 def reverse_sync_orders(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     current = orders.where("o_orderstatus <> 'P'")
@@ -492,18 +495,18 @@ def _orders_delta(spark, sf_dir) -> DataFrame:
     return publish_delta(source, _published_orders(spark, sf_dir), ["o_orderkey"], ["o_orderstatus"])
 
 
-@query
+@query("publish_delta")
 def publish_delta_orders(spark, sf_dir):
     return _orders_delta(spark, sf_dir).select("o_orderkey", "action")
 
 
-@query
+@query("publish_apply")
 def publish_apply_orders(spark, sf_dir):
     changes = changed_rows(_orders_delta(spark, sf_dir))
     return upsert_by_key(_published_orders(spark, sf_dir), changes, ["o_orderkey"])
 
 
-@query
+@query("publish_children")
 def publish_children_orders(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer").where("c_acctbal > 0")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -514,13 +517,13 @@ def _finished_orders(spark, sf_dir) -> DataFrame:
     return _table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
 
 
-@query
+@query("delete_unmatched")
 def delete_unmatched_lineitem(spark, sf_dir):
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return delete_unmatched(lines, _finished_orders(spark, sf_dir), {"l_orderkey": "o_orderkey"})
 
 
-@query
+@query("unmatched_rows")
 def unmatched_rows_lineitem(spark, sf_dir):
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return unmatched_rows(lines, _finished_orders(spark, sf_dir), {"l_orderkey": "o_orderkey"})
@@ -529,7 +532,7 @@ def unmatched_rows_lineitem(spark, sf_dir):
 # conforming
 
 
-@query
+@query("code_master")
 def code_master_supplier(spark, sf_dir):
     nation = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("major_cd"), F.col("n_name").alias("major_nm"))
     supplier = _table(spark, sf_dir, "supplier").select(
@@ -538,7 +541,7 @@ def code_master_supplier(spark, sf_dir):
     return code_master(nation, supplier, "major_cd")
 
 
-@query
+@query("extend_contract")
 def extend_contract_orders(spark, sf_dir):
     extension = (
         _table(spark, sf_dir, "lineitem")
@@ -550,7 +553,7 @@ def extend_contract_orders(spark, sf_dir):
     return extend_contract(orders, extension, "o_orderkey")
 
 
-@query
+@query("extend_contract_newest")
 def extend_contract_newest(spark, sf_dir):
     """Customers with their newest order: the extension has many rows per key."""
     orders = _table(spark, sf_dir, "orders").select(
@@ -560,7 +563,7 @@ def extend_contract_newest(spark, sf_dir):
     return extend_contract(customer, orders, "c_custkey", ["o_orderdate", "o_orderkey"])
 
 
-@query
+@query("conform_union")
 def conform_union_parties(spark, sf_dir):
     customer = (
         _table(spark, sf_dir, "customer"),
@@ -585,7 +588,7 @@ def _ledger(spark, sf_dir) -> DataFrame:
     )
 
 
-@query
+@query("ledger_upsert")
 def ledger_upsert_events(spark, sf_dir):
     path = scratch_path(spark, "ledger")
     events = _ledger(spark, sf_dir)
@@ -595,7 +598,7 @@ def ledger_upsert_events(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(path)
 
 
-@query
+@query("readiness")
 def readiness_events(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     edges = events.where(F.col("user_id") % 20 == F.length("event_type")).select(
@@ -609,7 +612,7 @@ def readiness_events(spark, sf_dir):
 # dated partitions
 
 
-@query
+@query("snapshot")
 def snapshot_customer(spark, sf_dir):
     path = scratch_path(spark, "snapshots")
     customer = _table(spark, sf_dir, "customer")
@@ -620,7 +623,7 @@ def snapshot_customer(spark, sf_dir):
     return read_snapshots(spark, path)
 
 
-@query
+@query("partition_plan")
 def partition_plan_part(spark, sf_dir):
     managed = _table(spark, sf_dir, "part").select(
         F.lit("lv1").alias("schema_nm"),
@@ -637,12 +640,12 @@ def _order_days(spark, sf_dir) -> DataFrame:
     ).distinct()
 
 
-@query
+@query("expired_partitions")
 def expired_partitions_orders(spark, sf_dir):
     return expired_partitions(_order_days(spark, sf_dir), "part_name", date(2000, 1, 11), 10)
 
 
-@query
+@query("expired_of_managed")
 def expired_of_managed_lineitem(spark, sf_dir):
     lines = _table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate")
     table = F.concat(F.lit("lines_"), "l_returnflag")
@@ -659,14 +662,14 @@ def _dated_events(spark, sf_dir) -> str:
     return path
 
 
-@query
+@query("drop_expired")
 def drop_expired_events(spark, sf_dir):
     path = _dated_events(spark, sf_dir)
     drop_expired(spark, path, date(2024, 1, 20), 10)
     return read_snapshots(spark, path).select("event_id", "logging_dt")
 
 
-@query
+@query("list_partitions")
 def list_partitions_events(spark, sf_dir):
     days = list_partitions(spark, _dated_events(spark, sf_dir))
     return spark.createDataFrame([(d,) for d in days], "logging_date date")
