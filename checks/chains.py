@@ -85,16 +85,16 @@ def _customer_run(spark: SparkSession, sf_dir: str) -> Hub:
 
 @query("customer_chain")
 def customer_chain_account(spark, sf_dir):
+    """Published accounts, what their address was found to be, and their remaining orders."""
     hub = _customer_run(spark, sf_dir)
     found = hub.addresses().select(F.col("seq").alias("addr_seq"), "address_name")
+    orders = hub.table("hc", "opportunity").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"))
     accounts = hub.table("hc", "account")
-    # the address table is unique by number
-    return accounts.join(found, "addr_seq", "left").select("c_custkey", "c_name", "c_acctbal", "address_name", "addr_seq")
-
-
-@query("customer_chain_children")
-def customer_chain_opportunity(spark, sf_dir):
-    return _customer_run(spark, sf_dir).table("hc", "opportunity")
+    return (
+        accounts.join(found, "addr_seq", "left")
+        .join(orders, "c_custkey", "left")
+        .select("c_custkey", "c_name", "c_acctbal", "address_name", "addr_seq", "n_orders")
+    )
 
 
 @query("snapshot_chain")

@@ -332,15 +332,14 @@ late AS (SELECT legacy_addr, row_number() OVER (ORDER BY legacy_addr) + (SELECT
 master AS (SELECT * FROM early UNION ALL SELECT * FROM late)
 """
 
+# the orders of customers without credit went on the first date and nothing brings them back
 ORACLES["customer_chain"] = f"""
-WITH {_CUSTOMERS}
-SELECT c.c_custkey, c.c_name, c.c_acctbal, p.place AS address_name, m.seq AS addr_seq
+WITH {_CUSTOMERS},
+opportunity AS (SELECT o_custkey, count(*) AS n_orders FROM orders
+  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey)
+SELECT c.c_custkey, c.c_name, c.c_acctbal, p.place AS address_name, m.seq AS addr_seq, o.n_orders
 FROM cust c JOIN master m ON m.legacy_addr = c.legacy_addr LEFT JOIN places p ON p.place = c.place
-"""
-
-# the orders of customers without credit went on the first date and nothing brings them back
-ORACLES["customer_chain_children"] = """
-SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+LEFT JOIN opportunity o ON o.o_custkey = c.c_custkey
 """
 
 ORACLES["snapshot_chain"] = f"""

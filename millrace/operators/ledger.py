@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -25,12 +26,16 @@ def record_completion(ledger: DataFrame, step: str, on: date, at: datetime) -> D
 
 
 def readiness(
-    dependencies: DataFrame, ledger: DataFrame, on: date, targets: DataFrame | None = None
+    dependencies: DataFrame,
+    ledger: DataFrame,
+    on: date,
+    targets: DataFrame | None = None,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """For every target step: number of edges, number of finished edges, and whether it may start.
 
     A double edge counts twice on both sides. ``targets`` (column tobe_dag) adds steps without any edge;
-    they are not ready.
+    they are not ready. ``hot`` goes to ``join_unique``; give an empty list for a few edges.
     """
     done = (
         ledger.where(F.col("completion_date") == F.lit(on))
@@ -39,7 +44,7 @@ def readiness(
         .withColumn("__done", F.lit(1))
     )
     counts = (
-        join_unique(dependencies.select("asis_dag", "tobe_dag"), done, "asis_dag", "left")
+        join_unique(dependencies.select("asis_dag", "tobe_dag"), done, "asis_dag", "left", hot)
         .groupBy("tobe_dag")
         .agg(F.count("*").alias("target_cnt"), F.count("__done").alias("check_cnt"))
     )

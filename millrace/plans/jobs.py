@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from millrace.functions.cleaning import decrypt_columns, strip_nul
 from millrace.operators.address import mark_surrogate, resolve_new_addresses, retry_markers
 from millrace.operators.conform import conform_union
-from millrace.operators.ledger import LEDGER_KEYS, readiness
+from millrace.operators.ledger import readiness
 from millrace.operators.merge import (
     changed_rows,
     daily_refresh,
@@ -94,14 +94,16 @@ class Hub:
         return self.spark.read.schema(DAG_LOG).parquet(path)
 
     def complete(self, step: str) -> None:
-        row = self.spark.createDataFrame([(step, self.run_date, self.at)], DAG_LOG)
-        merge_partitions(self.spark, self.path("control", "dag_log"), row, LEDGER_KEYS, "completion_date")
+        """Record a finished step. Its key is its directory, so writing it again replaces the row."""
+        row = self.spark.range(1).select(F.lit(self.at).cast("timestamp_ntz").alias("completion_datetime"))
+        key = f"completion_date={self.run_date.isoformat()}/dag_id={step}"
+        replace_table(row.coalesce(1), f"{self.path('control', 'dag_log')}/{key}")
 
     def require(self, step: str) -> None:
         """Fail unless all predecessors of ``step`` have finished on the business date."""
         path = self.path("control", "dependency_manager")
         edges = self.spark.read.schema(DEPENDENCY_MANAGER).parquet(path).where(F.col("tobe_dag") == step)
-        answer = readiness(edges, self.ledger(), self.run_date).first()
+        answer = readiness(edges, self.ledger(), self.run_date, hot=[]).first()
         if answer is None or not answer.ready:
             raise NotReady(step)
 

@@ -1,0 +1,161 @@
+import json
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.plans.catalog import (
+    ADDRESS,
+    FEEDS,
+    INSTITUTION_MAPPINGS,
+    LOAD,
+    PUBLISH,
+    REFRESH,
+    SNAPSHOT_STEP,
+    SOURCE_TABLES,
+    TABLES,
+    step_name,
+)
+from millrace.plans.jobs import Hub, NotReady, customer_chain, institution_chain, load_raw, publish, retry_addresses, sync_back
+from millrace.schemas import ADDRESS_DICTIONARY, DEPENDENCY_MANAGER, PAYLOADS
+from millrace.sinks.tables import replace_table
+
+CUSTOMER = TABLES["V_CUSTOMER"]
+
+
+def hub_on(spark, tmp_path, day):
+    return Hub(spark, f"{tmp_path}/hub", day, datetime(day.year, day.month, day.day, 3))
+
+
+def edges(hub, *pairs):
+    replace_table(hub.spark.createDataFrame(pairs, DEPENDENCY_MANAGER), hub.path("control", "dependency_manager"))
+
+
+def test_catalogue():
+    assert len(SOURCE_TABLES) == 31 and len(FEEDS) == 5
+    assert sum(t.page_key is not None for t in SOURCE_TABLES) == 11
+    assert sum(t.strip_nul for t in SOURCE_TABLES) == 10
+    assert sum(len(t.published) for t in SOURCE_TABLES) == 15
+    assert len(FEEDS["hospital"].columns) == 58 and len(TABLES["R_EXPERIENCE_RESERVATION"].columns) == 31
+    crm = TABLES["R_CRM_INFO"]
+    assert [d for d in range(1, 32) if crm.runs_on(d)] == [1, 8, 15, 22, 29]
+    assert CUSTOMER.step(ADDRESS) == "lv1ex_dag_RENTAL.V_CUSTOMER"
+    assert set(INSTITUTION_MAPPINGS) == set(FEEDS)
+    assert all(set(m.values()) <= set(FEEDS[f].columns) for f, m in INSTITUTION_MAPPINGS.items())
+
+
+def test_load_follows_the_catalogue(spark, tmp_path, rows):
+    hub = hub_on(spark, tmp_path, date(2024, 1, 5))
+    receipt = TABLES["R_SERVICE_RECEIPT"]
+    key = b"k" * 16
+    df = spark.createDataFrame([("010\x00", "02")], "TEL_NO string, HAND_TEL_NO string").select(
+        *[F.base64(F.aes_encrypt(c, F.lit(bytearray(key)))).alias(c) for c in ("TEL_NO", "HAND_TEL_NO")]
+    )
+    load_raw(hub, receipt, df, key)
+    assert rows(hub.raw("r_service_receipt"), "DEC_TEL_NO", "DEC_HAND_TEL_NO") == [("010", "02")]
+    with pytest.raises(ValueError):
+        load_raw(hub, receipt, df)
+    load_raw(hub, TABLES["R_GOODS"], spark.createDataFrame([("a\x00",)], "g string"))
+    assert hub.raw("r_goods").first().g == "a\x00"
+    assert rows(hub.ledger(), "dag_id") == [("legacy_to_lv0_RENTAL.R_GOODS",), ("legacy_to_lv0_RENTAL.R_SERVICE_RECEIPT",)]
+
+
+def test_gate(spark, tmp_path):
+    hub = hub_on(spark, tmp_path, date(2024, 1, 5))
+    edges(hub, ("a", "x"), ("b", "x"))
+    hub.complete("a")
+    with pytest.raises(NotReady):
+        hub.require("x")
+    hub_on(spark, tmp_path, date(2024, 1, 4)).complete("b")
+    with pytest.raises(NotReady):
+        hub.require("x")
+    hub.complete("b")
+    hub.complete("b")
+    hub.require("x")
+    with pytest.raises(NotReady):
+        hub.require("no edges")
+    assert hub.ledger().count() == 3
+
+
+LOT = dict(address_name="L", region_1depth_name="1", region_2depth_name="2", region_3depth_name="3", region_3depth_h_name="h", x="1", y="2")
+
+
+def run_customers(hub, customers, dictionary):
+    return customer_chain(
+        hub, CUSTOMER, customers, customers.schema, ["id"], ["at"], "legacy_addr", dictionary,
+        {"opportunity": {"cust": "id"}}, ["name", "legacy_addr"], keep_days=1,
+    )
+
+
+def test_customer_chain_twice(spark, tmp_path, rows):
+    day = date(2024, 1, 5)
+    hub = hub_on(spark, tmp_path, day)
+    steps = [CUSTOMER.step(s) for s in (LOAD, REFRESH, ADDRESS, PUBLISH)]
+    edges(hub, *zip(steps, steps[1:]), (steps[2], SNAPSHOT_STEP))
+    hub.write("hc", "opportunity", spark.createDataFrame([(1, 1), (2, 8)], "order_no int, cust int"))
+    customers = spark.createDataFrame(
+        [(1, "a", "seoul 1", 1), (1, "a2", "seoul 2", 2), (2, "b", "nowhere", 1), (3, "c", None, 1)],
+        "id int, name string, legacy_addr string, at int",
+    )
+    dictionary = spark.createDataFrame([("seoul", 1, None, LOT)], ADDRESS_DICTIONARY)
+    expected = [(1, "a2", 2), (2, "b", 1), (3, "c", None)]
+    for _ in range(2):  # a rerun changes nothing
+        account = run_customers(hub, customers, dictionary)
+        assert rows(account, "id", "name", "addr_seq") == expected
+        assert rows(hub.addresses(), "seq", "legacy_address", "accuracy") == [(1, "nowhere", None), (2, "seoul 2", 1)]
+        assert rows(hub.table("hc", "opportunity")) == [(1, 1)]
+        log = spark.read.parquet(hub.path("lv1", "address_master_log"))
+        assert rows(log, "logging_dt", "seq") == [(20240104, 1), (20240104, 2)]
+
+    later = hub_on(spark, tmp_path, day + timedelta(days=3))
+    more = spark.createDataFrame([(2, "b", "busan 1", 5), (4, "d", "seoul 2", 1)], customers.schema)
+    account = run_customers(later, more, dictionary)
+    assert rows(account, "id", "addr_seq") == [(1, 2), (2, 3), (3, None), (4, 2)]
+    assert rows(hub.table("hc", "account"), "id", "addr_seq") == [(1, 2), (2, 1), (3, None)]
+    log = spark.read.parquet(hub.path("lv1", "address_master_log"))
+    assert rows(log.groupBy("logging_dt").count()) == [(20240107, 3)]
+
+    wider = dictionary.unionByName(spark.createDataFrame([("busan", 1, None, LOT)], ADDRESS_DICTIONARY))
+    assert rows(retry_addresses(later, wider), "seq", "legacy_address", "accuracy") == [
+        (1, "nowhere", None), (2, "seoul 2", 1), (3, "busan 1", 1),
+    ]
+
+
+def test_institution_chain(spark, tmp_path, rows):
+    hub = hub_on(spark, tmp_path, date(2024, 1, 5))
+    names = {s: step_name(s, "DATAAPI", "PUBLIC_INSTITUTION") for s in (REFRESH, ADDRESS, PUBLISH)}
+    edges(hub, *[(f.step, names[REFRESH]) for f in FEEDS.values()], (names[REFRESH], names[ADDRESS]), (names[ADDRESS], names[PUBLISH]))
+    hall = {c: "-" for c in FEEDS["town_hall"].columns} | {"flctNm": "hall", "lctnRoadNmAddr": "seoul 3"}
+    pages = [
+        ("care_center", None, 1, json.dumps({"data": [{"산후조리원": "care", "주소": "seoul 1"}] * 2}, ensure_ascii=False)),
+        ("welfare_center", None, 1, json.dumps({"data": [{"기관명": "fare"}]}, ensure_ascii=False)),
+        ("school", "elem_list", 1, json.dumps({"dataSearch": {"content": [{"schoolName": "s", "adres": "seoul 1"}]}})),
+        ("school", "elem_list", 2, json.dumps({"dataSearch": {"content": []}})),
+        ("town_hall", None, 0, json.dumps({"response": {"header": {"resultCode": "00"}, "body": {"items": [hall]}}})),
+        ("town_hall", None, 1, json.dumps({"response": {"header": {"resultCode": "03"}}})),
+        ("hospital", None, 1, "<response><body><items><item><dutyName>h</dutyName></item></items></body></response>"),
+        ("hospital", None, 2, "<response><body><items/></body></response>"),
+    ]
+    dictionary = spark.createDataFrame([("seoul", 1, None, LOT)], ADDRESS_DICTIONARY)
+    published = institution_chain(hub, spark.createDataFrame(pages, PAYLOADS), dictionary)
+    assert rows(published, "kind", "name", "addr_seq") == [
+        ("care_center", "care", 1), ("hospital", "h", None), ("school", "s", 1), ("town_hall", "hall", 2), ("welfare_center", "fare", None),
+    ]
+
+
+def test_publish_needs_parents(spark, tmp_path, rows):
+    hub = hub_on(spark, tmp_path, date(2024, 1, 5))
+    parent = hub.write("hc", "lead_parent", spark.createDataFrame([(1,)], "id int"))
+    children = spark.createDataFrame([(10, 1, "a"), (11, 2, "b")], "k int, parent int, v string")
+    assert rows(publish(hub, "lead", children, ["k"], ["v"], [(parent, {"parent": "id"})]), "k") == [(10,)]
+    changed = children.withColumn("v", F.lit("z"))
+    assert rows(publish(hub, "lead", changed, ["k"], ["v"]), "k", "v") == [(10, "z"), (11, "z")]
+
+
+def test_sync_back(spark, tmp_path, rows):
+    hub = hub_on(spark, tmp_path, date(2024, 1, 5))
+    hub.write("hc", "product", spark.createDataFrame([(1, "new", 2), (2, "x", 1)], "id int, v string, at int"))
+    assert sync_back(hub, "product", "product", "product", ["id"], ["at"]).count() == 2
+    hub.write("lv1", "product", spark.createDataFrame([(1, "old", 1), (2, "y", 9)], "id int, v string, at int"))
+    assert rows(sync_back(hub, "product", "product", "product", ["id"], ["at"]), "id", "v") == [(1, "new"), (2, "y")]
+    assert rows(hub.ledger(), "dag_id") == [("single_dag.PRODUCT",)]
