@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import byte_count
+from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix
 from millrace.llm.packing import pack_documents
+from millrace.llm.pii import replace_personal_data
 from millrace.llm.sharding import shard
 from millrace.llm.tokens import count_tokens
 
@@ -93,3 +95,44 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op10_surrogates")
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masked = replace_personal_data(_table(spark, sf_dir, "documents"), key="op10")
+    return masked.select("doc_id", "text", "n_entities")
+
+
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+ORACLES["op5_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) >= 4 THEN array_to_string(ws[i:i + 3], ' ')
+                               ELSE 'short ' || array_to_string(ws, ' ') END AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)
+), u AS (
+  SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+), r AS (
+  SELECT doc_id AS node, doc_id AS top FROM w
+  UNION
+  SELECT u.b, r.top FROM r JOIN u ON u.a = r.node WHERE r.top < u.b
+), c AS (
+  SELECT node, min(top) AS component_id FROM r GROUP BY node
+)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN c ON c.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""
