@@ -15,6 +15,7 @@ from millrace.llm.packing import pack_documents
 from millrace.llm.pii import replace_personal_data
 from millrace.llm.sharding import shard
 from millrace.llm.tokens import count_tokens
+from millrace.llm.toxicity import score_toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +137,10 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w JOIN c ON c.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
 """
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
