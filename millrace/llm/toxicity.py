@@ -26,7 +26,9 @@ from millrace.llm.common import landed, ship_package
 # the most labelled rows of either label that become examples, and the most terms; the index is broadcast,
 # and these bound it at 2 * EXAMPLES * TERMS weights
 EXAMPLES = 4096
-TERMS = 1024
+TERMS = 256
+# a term that has nothing to do with the label reaches this once in a thousand times
+LEAST_CHI = 10.83
 BLOCK = 64
 NEIGHBOURS = 15
 # the vote that the share of the label among all labelled rows has
@@ -48,31 +50,50 @@ def term_counts(text: str | None) -> Counter:
 
 
 class TermCounter:
-    """Counts of the chosen terms in texts; what a word holds of them is remembered for frequent words."""
+    """Counts of the chosen terms in texts; what each frequent word holds of them is remembered."""
 
-    MEMO = 300_000
+    MEMO = 400_000
 
     def __init__(self, numbers: dict[str, int]):
         self.numbers = numbers
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.without: set[str] = set()
+        self.holding: dict[str, tuple[int, ...]] = {}
 
     def _of_word(self, word: str) -> tuple[int, ...]:
-        return tuple(self.numbers[t] for t, n in term_counts(word).items() if t in self.numbers for _ in range(n))
+        parts = [p for w in _WORD.findall(word) for p in (w, *[f"{w[:n]}-" for n in STEMS if len(w) > n])]
+        return tuple([self.numbers[p] for p in parts if p in self.numbers])
 
     def __call__(self, text: str | None) -> dict[int, int]:
-        found: dict[int, int] = {}
-        memo = self.memo
-        for word, n in Counter((text or "").lower().split()).items():
-            terms = memo.get(word)
-            if terms is None:
+        words = Counter((text or "").lower().split())
+        for word in words.keys() - self.without:
+            if word not in self.holding:
                 terms = self._of_word(word)
-                if len(memo) < self.MEMO:
-                    memo[word] = terms
-            for t in terms:
-                found[t] = found.get(t, 0) + n
+                if terms:
+                    self.holding[word] = terms
+                else:
+                    self.without.add(word)
+        found: dict[int, int] = {}
+        for word in words.keys() & self.holding.keys():
+            for t in self.holding[word]:
+                found[t] = found.get(t, 0) + words[word]
+        if len(self.without) > self.MEMO or len(self.holding) > self.MEMO:
+            self.without.clear()
+            self.holding.clear()
         return found
 
 
+_COUNTERS: dict[int, TermCounter] = {}
+
+
+def _counter(numbers: dict[str, int]) -> TermCounter:
+    """The worker's counter for a list of terms, which outlives tasks."""
+    key = hash(tuple(numbers.items()))
+    if key not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = TermCounter(numbers)
+    return _COUNTERS[key]
+
+
 def _digest(text: str | None) -> bytes:
     return hashlib.blake2b((text or "").encode("utf-8", "replace"), digest_size=16).digest()
 
@@ -192,7 +213,7 @@ def _reduced(numbers: dict[str, int]):
     """Texts to the counts of the chosen terms."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = TermCounter(numbers)
+        counter = _counter(numbers)
         for batch in batches:
             found = [counter(x) for x in batch["__text"]]
             batch["digest"] = [_digest(x) for x in batch["__text"]]
@@ -249,7 +270,7 @@ def fit(
     odds = F.col("a") * (n1 - F.col("b")) - F.col("b") * (n0 - F.col("a"))
     without = n0 + n1 - F.col("a") - F.col("b")
     chi = odds * odds / ((F.col("a") + F.col("b")) * without)
-    best = both.where((F.col("a") + F.col("b") >= 5) & (without > 0)).orderBy(F.desc(chi), "term").limit(TERMS)
+    best = both.where((F.col("a") + F.col("b") >= 5) & (without > 0) & (chi >= LEAST_CHI)).orderBy(F.desc(chi), "term").limit(TERMS)
     terms = sorted(r.term for r in best.collect())
 
     numbers = {t: k for k, t in enumerate(terms)}
