@@ -7,17 +7,43 @@ documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.common import landed
+from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix, mixed_rows
 from millrace.llm.packing import pack_documents
+from millrace.llm.pii import replace_personal_data
 from millrace.llm.queries import TOKENIZER
+from millrace.llm.toxicity import without_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't predicted toxic."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more.
+
+    Documents with a null id take part in no group and stay.
+    """
+    found = near_duplicates(docs, words=5, percent=80)
+    gone = landed(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets replaced by surrogates."""
+    masked = replace_personal_data(docs, key="pipeline").drop("n_entities")
+    return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares: documents repeat, stay once, end early or go."""
     others = [c for c in docs.columns if c != "doc_id"]
-    return mixed_rows(mix(docs, keep=others)).select(*docs.columns)
+    mixed = mixed_rows(mix(docs, keep=others))
+    return mixed.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +52,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-STAGES = [("mixing", mixing), ("packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("deduplication", deduplication),
+    ("personal_data", personal_data),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from millrace.llm.common import byte_count
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix
+from millrace.llm.neighbours import near_duplicate_vectors
 from millrace.llm.packing import pack_documents
 from millrace.llm.pii import replace_personal_data
+from millrace.llm.search import search
 from millrace.llm.sharding import shard
+from millrace.llm.suffixes import remove_repeats
 from millrace.llm.tokens import count_tokens
 from millrace.llm.toxicity import score_toxicity
 
@@ -144,3 +147,99 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
+
+
+@query("op1_near_vectors")
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+ORACLES["op1_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND list_aggregate(list_transform(embedding, lambda e: abs(e)), 'max') > 0
+), u AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.95
+), r AS (
+  SELECT vec_id AS node, vec_id AS top FROM embeddings
+  UNION
+  SELECT u.b, r.top FROM r JOIN u ON u.a = r.node WHERE r.top < u.b
+), c AS (
+  SELECT node, min(top) AS component_id FROM r GROUP BY node
+)
+SELECT vec_id, (SELECT count(*) FROM u WHERE u.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.node = vec_id
+"""
+
+
+@query("op8_search")
+def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return search(docs, docs.where(F.col("doc_id") % 50 == 0), k=10)
+
+
+ORACLES["op8_search"] = r"""
+WITH w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term
+  FROM documents
+), p AS (
+  SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2
+), l AS (
+  SELECT doc_id, count(w.term) AS dl FROM documents LEFT JOIN w USING (doc_id) GROUP BY 1
+), s AS (
+  SELECT count(*) AS n, avg(dl) AS mean FROM l
+), f AS (
+  SELECT term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM p, s GROUP BY term, n
+), m AS (
+  SELECT q.doc_id AS query_id, d.doc_id,
+         round(sum(q.tf * idf * d.tf * 2.2 / (d.tf + 1.2 * (1 - 0.75 + 0.75 * dl / mean))), 6) AS score
+  FROM p q JOIN f USING (term) JOIN p d USING (term) JOIN l ON l.doc_id = d.doc_id, s
+  WHERE q.doc_id % 50 = 0 GROUP BY 1, 2
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM m
+)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+
+@query("op9_remove_repeats")
+def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+ORACLES["op9_remove_repeats"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i AS p, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS i FROM d)
+), m AS (
+  SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS least FROM w) WHERE least < doc_id
+), r AS (  -- runs of removed strings, then of overlapping or touching ones
+  SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM m GROUP BY doc_id, run
+), g AS (
+  SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 THEN 0 ELSE 1 END AS new FROM r
+), n AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY a) AS k FROM g
+), x AS (
+  SELECT doc_id, k, min(a) AS a, max(b) AS b FROM n GROUP BY doc_id, k
+), y AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_,
+         lead(a) OVER (PARTITION BY doc_id ORDER BY a) IS NULL AS last_ FROM x
+), z AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)) || CASE WHEN last_ THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS rest
+  FROM y JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN z USING (doc_id)
+"""
