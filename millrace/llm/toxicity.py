@@ -27,8 +27,10 @@ from millrace.llm.common import landed, ship_package
 # and these bound it at 2 * EXAMPLES * TERMS weights
 EXAMPLES = 4096
 TERMS = 256
-# a term that has nothing to do with the label reaches this once in a thousand times
+# a term counts if chance hardly explains its link with the label, and if the label is this many times as
+# frequent with it as without, or as rare
 LEAST_CHI = 10.83
+LEAST_LIFT = 3.0
 BLOCK = 64
 NEIGHBOURS = 15
 # the vote that the share of the label among all labelled rows has
@@ -224,6 +226,19 @@ def _reduced(numbers: dict[str, int]):
     return run
 
 
+def _counted(size: int):
+    """How many texts of a task hold each term."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for terms in batch["terms"]:
+                total[terms] += 1
+        yield pd.DataFrame({"t": np.flatnonzero(total), "n": total[total > 0]})
+
+    return run
+
+
 def _scored(held):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = held.value
@@ -270,14 +285,17 @@ def fit(
     odds = F.col("a") * (n1 - F.col("b")) - F.col("b") * (n0 - F.col("a"))
     without = n0 + n1 - F.col("a") - F.col("b")
     chi = odds * odds / ((F.col("a") + F.col("b")) * without)
-    best = both.where((F.col("a") + F.col("b") >= 5) & (without > 0) & (chi >= LEAST_CHI)).orderBy(F.desc(chi), "term").limit(TERMS)
+    more, less = F.col("b") * n0, F.col("a") * n1
+    strong = (more >= LEAST_LIFT * less) | (less >= LEAST_LIFT * more)
+    best = both.where((F.col("a") + F.col("b") >= 5) & (without > 0) & strong & (chi >= LEAST_CHI)).orderBy(F.desc(chi), "term").limit(TERMS)
     terms = sorted(r.term for r in best.collect())
 
     numbers = {t: k for k, t in enumerate(terms)}
     texts = texts.select(F.col("id").alias("__id"), F.col("text").alias("__text"))
     vectors = landed(_vectors(texts, numbers), "vectors")
     rows = vectors.count()
-    counts = {r.t: r.n for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
+    counted = vectors.select("terms").mapInPandas(_counted(len(terms)), "t int, n bigint")
+    counts = {r.t: r.n for r in counted.groupBy("t").agg(F.sum("n").alias("n")).collect()}
     idf = np.array([math.log((1 + rows) / (1 + counts.get(k, 0))) + 1 for k in range(len(terms))])
 
     held = _vectors(examples.select("id", "toxic", F.col("text").alias("__text")), numbers)
