@@ -6,8 +6,8 @@ agreement is estimated by bit counts. Candidates whose estimate is not far below
 on their full sets, and only confirmed links count.
 
 Groups need components, not pairs. So members of a bucket are first compared with one of them, the hub; what
-is then one component needs no further comparison. A few rounds with other hubs leave the buckets that hold
-texts of several components, and there all pairs across components are tried, in blocks.
+is then one component needs no further comparison. The buckets that still hold several components are
+gathered into clusters, and there all pairs across components are tried, block against block.
 """
 
 from __future__ import annotations
@@ -26,10 +26,9 @@ from millrace.llm.hashing import combined, set_digest, shingle_sets
 from millrace.llm.tokens import slices
 
 HASHES, BANDS, BITS = 128, 32, 4
-# below the threshold by five standard deviations of the estimate and more
-MARGIN = 0.2
-HUB_ROUNDS = 4
-BLOCK = 512
+# how far an estimate may be below the threshold: almost five of its standard deviations
+MARGIN = 0.18
+BLOCK = 128
 
 _SEED = np.random.default_rng(7)
 _FACTOR = (_SEED.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -120,21 +119,35 @@ def _confirmed(words: int, percent: int):
     return run
 
 
-def _across(least: float):
-    """Pairs of one unit of a bucket, between its two blocks (or within its one), of different components."""
+def _merging(words: int, percent: int, least: float):
+    """Links that join components in one unit: between two blocks of a cluster, or within one block.
+
+    Pairs of one component are passed over, also where the unit itself has just joined it.
+    """
 
     def run(unit: pd.DataFrame) -> pd.DataFrame:
-        ids, labels = unit["id"].to_numpy(np.int64), unit["component"].to_numpy(np.int64)
+        unpack = zstandard.ZstdDecompressor()
+        ids, labels = unit["id"].to_numpy(np.int64), unit["component"].to_numpy(np.int64).copy()
         signs = np.frombuffer(b"".join(unit["sign"]), np.uint8).reshape(len(unit), -1)
-        rows, cols = np.flatnonzero(unit["side"] == unit["low"]), np.flatnonzero(unit["side"] == unit["high"])
-        found: list[np.ndarray] = []
+        sets = shingle_sets([unpack.decompress(x) for x in unit["body"]], words)
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        rows = np.flatnonzero(unit["side"] == unit["low"])
+        cols = np.flatnonzero(unit["side"] == unit["high"])
+        links = []
         for k in rows:
-            to = cols[(labels[cols] != labels[k])]
-            if len(to):
-                to = to[estimates(signs[k][None, :], signs[to]) >= least]
-                found.append(np.stack([np.minimum(ids[k], ids[to]), np.maximum(ids[k], ids[to])], axis=1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame(np.unique(pairs, axis=0), columns=["a", "b"])
+            to = cols[labels[cols] != labels[k]]
+            to = to[100 * np.minimum(sizes[k], sizes[to]) >= percent * np.maximum(sizes[k], sizes[to])]
+            to = to[estimates(signs[k][None, :], signs[to]) >= least] if len(to) else to
+            if not len(to):
+                continue
+            every = np.concatenate([sets[t] for t in to])
+            place = np.minimum(np.searchsorted(sets[k], every), sizes[k] - 1)
+            shared = np.add.reduceat(sets[k][place] == every, np.cumsum(sizes[to]) - sizes[to], dtype=np.int64)
+            for t in to[100 * shared >= percent * (sizes[k] + sizes[to] - shared)]:
+                if labels[t] != labels[k]:
+                    links.append((ids[k], ids[t]))
+                    labels[labels == labels[t]] = labels[k]
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
     return run
 
@@ -157,7 +170,10 @@ class _Links:
         likely = likely.mapInPandas(_estimated(self.percent / 100 - MARGIN), "a bigint, b bigint")
         likely = landed(likely, "likely")
         full = self._beside(likely, self.bodies, "body")
-        links = landed(full.mapInPandas(_confirmed(self.words, self.percent), "a bigint, b bigint"), "links")
+        self.add(full.mapInPandas(_confirmed(self.words, self.percent), "a bigint, b bigint"))
+
+    def add(self, links: DataFrame) -> None:
+        links = landed(links, "links")
         self.links = links if self.links is None else self.links.unionByName(links)
 
     def labels(self, members: DataFrame) -> DataFrame:
@@ -208,18 +224,8 @@ def near_duplicates(
     first = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links.confirm(first)
     members = members.drop("hub")
-    tested = 1
     open_ = _open_buckets(members, links.labels(members))
-    while tested < HUB_ROUNDS and not open_.isEmpty():
-        order = F.xxhash64("id", F.lit(tested))
-        hubs = landed(open_.groupBy("bucket").agg(F.min_by(F.struct("id", "component"), order).alias("hub")), "hubs")
-        pairs = open_.join(hubs, "bucket").where(F.col("component") != F.col("hub.component"))
-        pairs = pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-        links.confirm(landed(pairs, "pairs"))
-        open_ = _open_buckets(open_.select("bucket", "id"), links.labels(open_))
-        tested += 1
-    if not open_.isEmpty():
-        links.confirm(landed(_all_across(open_, links.signs, percent), "pairs"))
+    links.add(_joining_links(open_, links, words, percent))
 
     labels = landed(links.labels(candidates), "components")
     keyed = texts.select("set_key", "id").join(labels, "id", "left")
@@ -234,15 +240,22 @@ def near_duplicates(
     return result.select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-def _all_across(open_: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """All likely pairs across components of the open buckets, in units of two blocks of a bucket."""
-    sizes = landed(open_.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
-    dealt = open_.join(signs, "id").join(sizes, "bucket")
-    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", other)
+def _joining_links(open_: DataFrame, links: _Links, words: int, percent: int) -> DataFrame:
+    """The links that join components which share a bucket.
+
+    Buckets that share texts make a cluster, in which every text stands once. Its texts are dealt into blocks
+    and each pair of blocks is one unit of work, so a large cluster is many small tasks.
+    """
+    hubs = open_.groupBy("bucket").agg(F.min("id").alias("hub"))
+    star = open_.join(landed(hubs, "hubs"), "bucket").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    clusters = connected_components(landed(star.distinct(), "stars")).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    clusters = landed(clusters.join(open_.select("id", "component").distinct(), "id"), "clusters")
+    sizes = landed(clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
+    dealt = clusters.join(links.signs, "id").join(links.bodies, "id")
+    dealt = dealt.join(sizes, "cluster").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "bucket", "id", "component", "sign", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
+        "cluster", "id", "component", "sign", "body", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
     )
-    pairs = dealt.groupBy("bucket", "low", "high").applyInPandas(_across(percent / 100 - MARGIN), "a bigint, b bigint")
-    return pairs.distinct()
+    merging = _merging(words, percent, percent / 100 - MARGIN)
+    return dealt.groupBy("cluster", "low", "high").applyInPandas(merging, "a bigint, b bigint")
