@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,11 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     return ranked.where(F.col("__rank") == 1).drop("__rank")
 
 
+def _same_key(keys: Sequence[str], prefix: str) -> Column:
+    """Equal keys, where null is a key value like any other: the rule of all merges."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 def upsert_by_key(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None
 ) -> DataFrame:
@@ -33,7 +38,8 @@ def upsert_by_key(
     of small measured size are broadcast by the optimizer, and the target is then not shuffled.
     """
     newest = newest_per_key(updates, keys, order_cols) if order_cols else updates
-    kept = target.join(newest.select(*keys), list(keys), "left_anti")
+    known = newest.select(*[F.col(k).alias(f"__new_{k}") for k in keys])
+    kept = target.join(known, _same_key(keys, "__new_"), "left_anti")
     incoming = newest.select(
         *[
             F.col(f.name).cast(f.dataType) if f.name in newest.columns else F.lit(None).cast(f.dataType).alias(f.name)
@@ -96,7 +102,8 @@ def publish_delta(
         .when(unchanged, F.lit("same"))
         .otherwise(F.lit("update"))
     )
-    joined = source.join(old, list(keys), "left").withColumn("action", action)
+    old = old.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    joined = source.join(old, _same_key(keys, "__key_"), "left").withColumn("action", action)
     return joined.select(*source.columns, "action")
 
 

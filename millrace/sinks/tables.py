@@ -72,7 +72,10 @@ def merge_partitions(
     if partition_values(spark, path, partition_column):
         # one value per touched partition
         touched = [r[0] for r in updates.select(partition_column).distinct().collect()]
-        current = spark.read.schema(updates.schema).parquet(path).where(F.col(partition_column).isin(touched))
+        in_touched = F.col(partition_column).isin([t for t in touched if t is not None])
+        if None in touched:
+            in_touched = F.coalesce(in_touched, F.lit(False)) | F.col(partition_column).isNull()
+        current = spark.read.schema(updates.schema).parquet(path).where(in_touched)
         merged = land(upsert_by_key(current, updates, keys, order_cols), "merge")
     else:
         empty = updates.limit(0)

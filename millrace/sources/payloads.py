@@ -1,15 +1,17 @@
 """Landed JSON and XML pages of public feeds.
 
 A payload table has one row per fetched page: feed, category, page_no, payload. The rows of a page come out
-with a fixed list of columns. A page without rows is the end of a feed and gives none. A page that cannot be
-read counts as an error; from ``max_bad`` errors in one feed on, the job fails.
+with a fixed list of columns. A page without rows is the end of a feed and gives none. A page may have been asked
+for several times: an unreadable answer counts as an error, and the rows come from the newest good answer
+(by ``attempt``, where payloads have that column). No page is lost: a page without a good answer fails the
+job, and so do ``max_bad`` errors in one feed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,20 +65,25 @@ def _parsed_xml(payloads: DataFrame, record_schema: T.StructType) -> DataFrame:
     return body.select(
         *payloads.columns,
         F.col("__body.body.items.item").alias(_ITEMS),
-        F.col("__body.body").isNull().alias(_BAD),
+        # the end of a feed has an empty element of items; an error answer has none
+        (F.col("__body.body").isNull() | (F.col("__body.body.items").isNull() & ~F.col("payload").rlike(r"<items\s*/?>"))).alias(_BAD),
     )
 
 
 def _guarded(parsed: DataFrame, feed_columns: Sequence[str], max_bad: int) -> DataFrame:
-    """Fail when one feed has too many unreadable pages."""
-    worst = (
-        parsed.groupBy(*feed_columns)
-        .agg(F.count_if(_BAD).alias("n"))
-        .agg(F.max("n").alias("n"))
-        .scalar()
-    )
-    message = F.format_string("%d unreadable pages in one feed", worst)
-    return parsed.where(F.when(worst >= max_bad, F.raise_error(message).cast("boolean")).otherwise(~F.col(_BAD)))
+    """The newest good answer of every page; fail where a page has none, or a feed has too many errors."""
+    page = [*feed_columns, *[c for c in ("page_no",) if c in parsed.columns]]
+    pages = parsed.groupBy(*page).agg(F.count_if(_BAD).alias("bad"), F.count_if(~F.col(_BAD)).alias("good"))
+    lost = F.when(F.col("good") == 0, 1).otherwise(0)
+    feeds = pages.groupBy(*feed_columns).agg(F.sum("bad").alias("bad"), F.sum(lost).alias("lost"))
+    worst, lost = feeds.agg(F.max("bad")).scalar(), feeds.agg(F.sum("lost")).scalar()
+    many = F.raise_error(F.format_string("%d unreadable pages in one feed", worst)).cast("boolean")
+    holes = F.raise_error(F.format_string("%d pages without a good answer", lost)).cast("boolean")
+    good = parsed.where(F.when(worst >= max_bad, many).when(lost > 0, holes).otherwise(~F.col(_BAD)))
+    if "attempt" not in parsed.columns or "page_no" not in parsed.columns:
+        return good
+    newest = F.rank().over(Window.partitionBy(*page).orderBy(F.desc("attempt")))
+    return good.withColumn("__newest", newest).where("__newest = 1").drop("__newest")
 
 
 def _carried(payloads: DataFrame, keep: Sequence[str]) -> list[Column]:
@@ -152,7 +159,7 @@ def rejected_json_pages(
     payloads: DataFrame, path: str, status_path: str | None = None, ok: str = "00", end: str = "03"
 ) -> DataFrame:
     """The payload rows that ``json_pages`` counts as errors."""
-    parsed = _parsed_json(payloads, T.ArrayType(T.StringType()), path, status_path, ok, end)
+    parsed = _parsed_json(payloads, T.ArrayType(T.StructType([])), path, status_path, ok, end)
     return parsed.where(F.col(_BAD)).select(*payloads.columns)
 
 

@@ -101,3 +101,13 @@ def test_reverse_sync_takes_the_newest(spark, rows):
     current = frame(spark, [(1, "old", 1), (2, "newer", 9)])
     published = frame(spark, [(1, "new", 2), (2, "older", 3), (3, "only", 1)])
     assert rows(reverse_sync(published, current, ["k"], ["n"]), "k", "v") == [(1, "new"), (2, "newer"), (3, "only")]
+
+
+def test_null_keys_are_one_key(spark):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    raw = spark.createDataFrame([(None, 1), ("a", 2)], schema)
+    current = None
+    for _ in range(3):
+        current = daily_refresh(raw, current, schema, ["k"], ["v"])
+    assert current.count() == 2
+    assert {r.action for r in publish_delta(raw, raw, ["k"], ["v"]).collect()} == {"same"}

@@ -53,29 +53,48 @@ def test_korean_keys(spark, rows):
     assert got.first()["주소"] == "서울 중구" and got.first()["번호"] == "1"
 
 
-def test_unreadable_pages_fail_from_three_on(spark, rows):
-    good = {"data": [{"a": "1"}]}
-    two = pages(spark, good, "{broken", {"other": 1}, {"data": []})
-    assert rows(json_pages(two, ["a"], "data")) == [("1",)]
-    assert rows(rejected_json_pages(two, "data"), "page_no") == [(1,), (2,)]
-    three = pages(spark, good, "{broken", {"other": 1}, "")
+def attempts(spark, *answers, feed="f"):
+    """Payloads of (page_no, attempt, payload)."""
+    rows = [(feed, None, n, k, p if isinstance(p, str) else json.dumps(p)) for n, k, p in answers]
+    return spark.createDataFrame(rows, "feed string, category string, page_no int, attempt int, payload string")
+
+
+def test_no_unreadable_page_is_dropped(spark, rows):
+    one = pages(spark, {"data": [{"a": "1"}]}, "{broken", {"data": []})
+    assert rows(rejected_json_pages(one, "data"), "page_no") == [(1,)]
+    with pytest.raises(Exception, match="1 pages without a good answer"):
+        json_pages(one, ["a"], "data").collect()
+    three = pages(spark, {"data": [{"a": "1"}]}, "{broken", {"other": 1}, "")
     with pytest.raises(Exception, match="3 unreadable pages"):
         json_pages(three, ["a"], "data").collect()
 
 
+def test_a_good_answer_stands_for_its_page(spark, rows):
+    df = attempts(
+        spark, (1, 1, "{broken"), (1, 2, {"data": [{"a": "1"}]}), (2, 1, {"data": [{"a": "old"}]}), (2, 2, "{"), (2, 3, {"data": [{"a": "2"}]})
+    )
+    assert rows(json_pages(df, ["a"], "data")) == [("1",), ("2",)]
+
+
+def test_wrong_shaped_records_are_rejected(spark, rows):
+    df = pages(spark, {"data": ["x", "y"]})
+    assert rows(rejected_json_pages(df, "data"), "page_no") == [(0,)]
+
+
 def test_errors_count_per_feed(spark, rows):
-    a = pages(spark, {"data": [{"a": "1"}]}, "x", "y", feed="one")
-    b = pages(spark, {"data": [{"a": "2"}]}, "x", feed="two")
+    a = attempts(spark, (1, 1, "x"), (1, 2, "y"), (1, 3, {"data": [{"a": "1"}]}), feed="one")
+    b = attempts(spark, (1, 1, "x"), (1, 2, {"data": [{"a": "2"}]}), feed="two")
     assert rows(json_pages(a.unionByName(b), ["a"], "data")) == [("1",), ("2",)]
 
 
 def test_status_codes(spark, rows):
     ok = status_page("00", [{"a": "1"}])
-    df = pages(spark, ok, status_page("22"), status_page("99", [{"a": "no"}]), status_page("03"))
+    df = attempts(spark, (1, 1, status_page("22")), (1, 2, ok), (2, 1, status_page("03")))
     assert rows(json_pages(df, ["a"], *STATUS)) == [("1",)]
-    assert rows(rejected_json_pages(df, *STATUS), "page_no") == [(1,), (2,)]
-    with pytest.raises(Exception, match="3 unreadable pages"):
-        json_pages(df.unionByName(pages(spark, status_page("00"))), ["a"], *STATUS).collect()
+    bad = pages(spark, ok, status_page("22"), status_page("99", [{"a": "no"}]), status_page("03"))
+    assert rows(rejected_json_pages(bad, *STATUS), "page_no") == [(1,), (2,)]
+    with pytest.raises(Exception, match="2 pages without a good answer"):
+        json_pages(bad, ["a"], *STATUS).collect()
 
 
 def test_strict_keys(spark, rows):
@@ -97,11 +116,13 @@ def test_xml_one_item_or_many(spark, rows):
 
 
 def test_xml_rejects(spark):
-    df = pages(spark, "<oops", "<response><x/></response>", "<response><body><items/></body></response>")
-    assert sorted(r.page_no for r in rejected_xml_pages(df).collect()) == [0, 1]
-    assert xml_pages(df, ["a"]).count() == 0
+    end = "<response><body><items/></body></response>"
+    error = "<response><header><resultCode>99</resultCode></header><body/></response>"
+    df = pages(spark, "<oops", "<response><x/></response>", error, end)
+    assert sorted(r.page_no for r in rejected_xml_pages(df).collect()) == [0, 1, 2]
+    assert xml_pages(pages(spark, end), ["a"]).count() == 0
     with pytest.raises(Exception, match="3 unreadable pages"):
-        xml_pages(df.unionByName(pages(spark, "")), ["a"]).collect()
+        xml_pages(df, ["a"]).collect()
 
 
 def test_school_categories(spark, rows):
