@@ -318,7 +318,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """Rows (id, score, predicted, evidence), one per row of ``docs``.
 
     Null and empty texts, and texts without any term, get the share of toxic examples among examples without
-    terms. ``evidence`` are the ids of the examples that voted, nearest first. Repeated rows get equal
+    terms, or among all where none is without. ``evidence`` are the ids of the examples that voted, nearest first. Repeated rows get equal
     results, a null id stays null, an empty table gives an empty result. Without labelled rows every score
     is 0. Columns other than id, text and label are not read.
     """
