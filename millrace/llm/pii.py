@@ -30,10 +30,19 @@ PATTERNS = {
     "card": r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=(?:password|passwd|token|secret|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1})[A-Za-z0-9+/_-]{12,}+",
-    "name": rf"(?<=(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE)})\.?[ ])\p{{Lu}}[\p{{L}}]++(?:[ ]\p{{Lu}}[\p{{L}}]++){{0,2}}",
+    # what costs little is asked first: long look-behinds only where a value or a name can start
+    "secret": r"(?<=[=: \t\"'])(?=[A-Za-z0-9+/_-]{12})(?<=(?:password|passwd|token|secret|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1})[A-Za-z0-9+/_-]{12,}+",
+    "name": rf"(?<=[ ])(?=\p{{Lu}})(?<=(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE)})\.?[ ])\p{{Lu}}[\p{{L}}]++(?:[ ]\p{{Lu}}[\p{{L}}]++){{0,2}}",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# what an entity can start with decides which kinds are tried; none starts within a word
+STARTS = {
+    r"[0-9(+]": ["email", "ip", "phone", "ssn", "card", "secret"],
+    r"[A-Za-z\p{Lu}]": ["email", "iban", "key", "secret", "name"],
+    r"[._%/-]": ["email", "secret"],
+}
+ANY = "(?<![A-Za-z0-9])(?:{})".format(
+    "|".join(f"(?={start})(?:{'|'.join(f'(?:{PATTERNS[k]})' for k in kinds)})" for start, kinds in STARTS.items())
+)
 # fixed values: syllables of made-up names by script; the last of each row is for female first names
 SYLLABLES = {
     "latin": (["ba", "ro", "mi", "tel", "van", "sor", "lin", "dra", "ke", "no", "fa", "gri"], "ek", "ia"),
