@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.queries import SMALL_RANGE, _pages, _table, query
+from checks.queries import _pages, _table, query
 from millrace.plans.catalog import (
     ADDRESS,
     FEEDS,

@@ -306,10 +306,12 @@ WHERE right(part_name, 8) < '19991231'
 """
 
 ORACLES["expired_of_managed"] = """
-SELECT table_nm, part_name, right(part_name, 8) AS suffix FROM (
-  SELECT DISTINCT concat('lines_', l_returnflag) AS table_nm, CAST(l_shipdate AS DATE) AS d,
+SELECT schema_nm, table_nm, part_name, right(part_name, 8) AS suffix FROM (
+  SELECT DISTINCT CASE WHEN l_linenumber % 2 = 0 THEN 'lv2' ELSE 'lv1' END AS schema_nm,
+    concat('lines_', l_returnflag) AS table_nm, CAST(l_shipdate AS DATE) AS d,
     concat('lines_', l_returnflag, '_', strftime(l_shipdate, '%Y%m%d')) AS part_name,
-    CASE l_returnflag WHEN 'A' THEN 100 WHEN 'N' THEN 1000 ELSE 2000 END AS keep
+    CASE l_returnflag WHEN 'A' THEN 100 WHEN 'N' THEN 1000 ELSE 2000 END
+      + CASE WHEN l_linenumber % 2 = 0 THEN 500 ELSE 0 END AS keep
   FROM lineitem) t
 WHERE d < DATE '2000-01-11' - (keep + 1)
 """

@@ -45,10 +45,6 @@ from millrace.sources.tables import category_scan, category_union, column_scan,
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# small ranges, so that the ranged numbering is used on the small test tables as well
-SMALL_RANGE = 1000
-
-
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -101,19 +97,19 @@ ORDER_KEYS = ["o_orderdate", "o_orderkey"]
 
 @query("paged_scan")
 def paged_scan_orders(spark, sf_dir):
-    return paged_scan(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000, 3, SMALL_RANGE)
+    return paged_scan(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000, 3)
 
 
 @query("page_assignment")
 def page_assignment_orders(spark, sf_dir):
-    pages = page_assignment(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000, SMALL_RANGE)
+    pages = page_assignment(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000)
     return pages.select("o_orderkey", "row_num", "page_no")
 
 
 @query("range_row_number")
 def range_row_number_lineitem(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    numbered = range_row_number(_table(spark, sf_dir, "lineitem"), keys, rows_per_range=10 * SMALL_RANGE)
+    numbered = range_row_number(_table(spark, sf_dir, "lineitem"), keys)
     return numbered.select(*keys, "row_num")
 
 
@@ -128,14 +124,14 @@ def append_pages_events(spark, sf_dir):
     path = scratch_path(spark, "events")
     days = [date(2024, 1, 11), date(2024, 1, 21)]
     day = F.to_date("ts")
-    batches = [day < days[0], (day >= days[0]) & (day < days[1]), day >= days[1]]
+    batches = [day < days[0], (day >= days[0]) & (day < days[1]), (day >= days[1]) | day.isNull()]
     append_pages((events.where(batch) for batch in batches), path)
     return full_scan(spark, path, events.schema)
 
 
 def _pages(df: DataFrame, order_cols: Sequence[str], page_size: int, record: Column) -> DataFrame:
     """Pack rows into pages of ``page_size`` records: columns page_no, records."""
-    numbered = range_row_number(df, order_cols, rows_per_range=SMALL_RANGE)
+    numbered = range_row_number(df, order_cols)
     return (
         numbered.select(page_of("row_num", page_size).cast("int").alias("page_no"), record.alias("record"))
         .groupBy("page_no")
@@ -647,11 +643,17 @@ def expired_partitions_orders(spark, sf_dir):
 
 @query("expired_of_managed")
 def expired_of_managed_lineitem(spark, sf_dir):
-    lines = _table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate")
+    # every table name stands in two schemas of different retention
+    schema = F.when(F.col("l_linenumber") % 2 == 0, "lv2").otherwise("lv1").alias("schema_nm")
+    lines = _table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate", schema)
     table = F.concat(F.lit("lines_"), "l_returnflag")
-    names = lines.select(F.concat_ws("_", table, F.date_format("l_shipdate", "yyyyMMdd")).alias("part_name")).distinct()
+    name = F.concat_ws("_", table, F.date_format("l_shipdate", "yyyyMMdd")).alias("part_name")
+    names = lines.select("schema_nm", name).distinct()
     keep = F.when(F.col("l_returnflag") == "A", 100).when(F.col("l_returnflag") == "N", 1000).otherwise(2000)
-    managed = lines.select(table.alias("table_nm"), keep.alias("store_d_num"), F.lit(True).alias("partition_tf")).distinct()
+    keep = F.when(F.col("schema_nm") == "lv2", keep + 500).otherwise(keep)
+    managed = lines.select(
+        "schema_nm", table.alias("table_nm"), keep.alias("store_d_num"), F.lit(True).alias("partition_tf")
+    ).distinct()
     return expired_of_managed(names, "part_name", managed, date(2000, 1, 11))
 
 

@@ -52,14 +52,14 @@ def longest_prefix(keys: DataFrame, column: str, dictionary: DataFrame, keyword_
             column, "n_tokens", token_prefix(F.col(column), F.col("n_tokens")).alias(keyword_column)
         )
 
-    present = keys.select(column).where(F.col(column).isNotNull())
+    present = land(keys.select(column).where(F.col(column).isNotNull()).distinct(), "texts")
     # a short prefix may begin a third of all texts
     hot = hot_hashes(present, [keyword_column], expand=candidates)
-    hits = join_unique(candidates(present.distinct()), entries, keyword_column, "inner", hot)
+    hits = join_unique(candidates(present), entries, keyword_column, "inner", hot, unique=True)
     best = hits.groupBy(column).agg(
         F.max_by(F.struct(keyword_column, "n_tokens", "__entry"), "n_tokens").alias("__best")
     )
-    matched = join_unique(keys, best, column, "left")
+    matched = join_unique(keys, best, column, "left", unique=True)
     return matched.select(
         *keys.columns,
         F.col(f"__best.{keyword_column}").alias(keyword_column),
@@ -129,20 +129,30 @@ def resolve_new_addresses(
     dictionary: DataFrame,
     register_dt,
     skip_blank: bool = True,
+    given: DataFrame | None = None,
 ) -> DataFrame:
     """New rows for the address table from all owner tables at once, hits and negative markers.
 
     ``dictionary`` has keyword, total_count, road_address and address. New rows are numbered on from the
-    highest ``seq``.
+    highest ``seq``. ``given`` (legacy_address, seq) are numbers that an earlier run of the same step gave:
+    its addresses keep them.
     """
     texts = None
     for owner, column in owners:
         part = owner.select(F.col(column).alias("legacy_address"))
         texts = part if texts is None else texts.unionByName(part)
     new = unresolved_keys(texts, "legacy_address", address_master, "legacy_address", skip_blank)
-    numbered = range_row_number(land(new, "addresses"), ["legacy_address"], out="seq")
-    top = address_master.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("top")).scalar()
-    numbered = land(numbered.withColumn("seq", F.col("seq") + top), "numbered")
+    taken = address_master.select("seq")
+    if given is None:
+        fresh, kept = land(new, "addresses"), None
+    else:
+        taken = taken.unionByName(given.select("seq"))
+        numbers = given.groupBy("legacy_address").agg(F.min("seq").alias("seq"))
+        both = land(new.join(numbers, "legacy_address", "left"), "addresses")
+        fresh, kept = both.where("seq IS NULL").drop("seq"), both.where("seq IS NOT NULL")
+    top = taken.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("top")).first().top
+    numbered = range_row_number(fresh, ["legacy_address"], out="seq").withColumn("seq", F.col("seq") + top)
+    numbered = land(numbered if kept is None else numbered.unionByName(kept), "numbered")
     found = longest_prefix(numbered, "legacy_address", dictionary.where("total_count > 0"), "keyword")
     hits = resolve_address(found.where(F.col("keyword").isNotNull()), keep=["seq"])
     markers = negative_markers(found, "legacy_address", "keyword", keep=["seq"])
@@ -171,4 +181,4 @@ def mark_surrogate(
 ) -> DataFrame:
     """Put the reference row's number on every row by its key; null where there is none."""
     numbers = reference.groupBy(F.col(reference_on).alias(on)).agg(F.max(seq_column).alias(out))
-    return join_unique(df, numbers, on, "left").select(*df.columns, out)
+    return join_unique(df, numbers, on, "left", unique=True).select(*df.columns, out)

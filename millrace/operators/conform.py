@@ -12,7 +12,7 @@ from millrace.operators.skew import join_unique
 
 
 def code_master(major: DataFrame, minor: DataFrame, on: str) -> DataFrame:
-    """Flat code list: every minor code with its major code. ``major`` is unique by ``on``."""
+    """Flat code list: every minor code with its major code; of several major rows the greatest counts."""
     return join_unique(minor, major, on, "inner")
 
 
@@ -21,11 +21,11 @@ def extend_contract(
 ) -> DataFrame:
     """Main rows with the columns of their extension, nulls where there is none.
 
-    The extension must be unique by key; with ``order_cols`` its newest row per key is taken.
+    Of several extension rows of a key the newest by ``order_cols`` is taken, without these the greatest.
     """
     if order_cols:
         extension = newest_per_key(extension, [on], order_cols)
-    return join_unique(main, extension, on, "left")
+    return join_unique(main, extension, on, "left", unique=bool(order_cols))
 
 
 def conform_union(parts: Sequence[tuple[DataFrame, Mapping[str, str | Column]]]) -> DataFrame:

@@ -44,7 +44,7 @@ def readiness(
         .withColumn("__done", F.lit(1))
     )
     counts = (
-        join_unique(dependencies.select("asis_dag", "tobe_dag"), done, "asis_dag", "left", hot)
+        join_unique(dependencies.select("asis_dag", "tobe_dag"), done, "asis_dag", "left", hot, unique=True)
         .groupBy("tobe_dag")
         .agg(F.count("*").alias("target_cnt"), F.count("__done").alias("check_cnt"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleaning import blank_to_null, strip_nul
-from millrace.operators.skew import join_unique
+from millrace.operators.skew import hot_hashes_each, join_unique
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -118,18 +118,35 @@ def _parent_keys(parent: DataFrame, on: str | Mapping[str, str]) -> tuple[DataFr
     return keys, list(pairs)
 
 
-def publish_children(child: DataFrame, parent: DataFrame, on: str | Mapping[str, str]) -> DataFrame:
-    """Children whose parent is there. ``on`` is a shared column or a map child column -> parent column."""
+def publish_children(
+    child: DataFrame, parent: DataFrame, on: str | Mapping[str, str], hot: Sequence[int] | None = None
+) -> DataFrame:
+    """Children whose parent is there. ``on`` is a shared column or a map child column -> parent column.
+
+    ``hot`` goes to ``join_unique``; who checks several parents finds the hot keys of all in one go.
+    """
     keys, columns = _parent_keys(parent, on)
-    return join_unique(child, keys, columns, "left_semi").select(*child.columns)
+    return join_unique(child, keys, columns, "left_semi", hot, unique=True).select(*child.columns)
 
 
-def delete_unmatched(child: DataFrame, parent: DataFrame, on: str | Mapping[str, str]) -> DataFrame:
+def delete_unmatched(
+    child: DataFrame, parent: DataFrame, on: str | Mapping[str, str], hot: Sequence[int] | None = None
+) -> DataFrame:
     """The published table without the rows whose parent is gone."""
-    return publish_children(child, parent, on)
+    return publish_children(child, parent, on, hot)
 
 
-def unmatched_rows(child: DataFrame, parent: DataFrame, on: str | Mapping[str, str]) -> DataFrame:
+def unmatched_rows(
+    child: DataFrame, parent: DataFrame, on: str | Mapping[str, str], hot: Sequence[int] | None = None
+) -> DataFrame:
     """The rows ``delete_unmatched`` leaves out."""
     keys, columns = _parent_keys(parent, on)
-    return join_unique(child, keys, columns, "left_anti").select(*child.columns)
+    return join_unique(child, keys, columns, "left_anti", hot, unique=True).select(*child.columns)
+
+
+def with_parents(child: DataFrame, parents: Sequence[tuple[DataFrame, str | Mapping[str, str]]]) -> DataFrame:
+    """Children that have all their parents. The hot keys for all of them are found in one pass over ``child``."""
+    hot = hot_hashes_each(child, [[on] if isinstance(on, str) else list(on) for _, on in parents])
+    for (parent, on), found in zip(parents, hot):
+        child = publish_children(child, parent, on, found)
+    return child

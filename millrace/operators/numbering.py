@@ -25,7 +25,7 @@ def _sort_key(order_cols: Sequence[str]) -> Column:
 
 def _range_bounds(df: DataFrame, order_cols: Sequence[str], total: int, ranges: int) -> tuple[Column, int]:
     """A constant, sorted array of the lower bounds of the ranges 1, 2, ... and its size."""
-    fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / total)
+    fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / max(total, 1))
     sample = df.select(*order_cols)
     if fraction < 1.0:
         sample = sample.sample(fraction, seed=7)
@@ -68,16 +68,11 @@ def range_row_number(
 
     ``order_cols`` must end in a unique key, or the order among equal keys is open. With ``between`` only
     the rows numbered first..last are returned, and rows of ranges outside it are dropped before the
-    shuffle. The input must be landed data: it is read more than once.
+    shuffle. Tables of all sizes take the same plan. The input must be landed data: it is read more than once.
     """
     order_cols = list(order_cols)
     total = df.count() if total is None else total
-    ranges = min(MAX_RANGES, math.ceil(total / rows_per_range))
-    if ranges <= 1:
-        # proven small: at most rows_per_range rows
-        numbered = df.withColumn(out, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
-        return numbered if between is None else numbered.where(F.col(out).between(*between))
-
+    ranges = max(1, min(MAX_RANGES, math.ceil(total / rows_per_range)))
     bounds, size = _range_bounds(df, order_cols, total, ranges)
     placed = _with_range(df, order_cols, bounds, size)
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

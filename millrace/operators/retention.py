@@ -42,13 +42,14 @@ def expired_partitions(names: DataFrame, column: str, today: date, keep_days: in
 def expired_of_managed(names: DataFrame, column: str, managed: DataFrame, today: date) -> DataFrame:
     """Like ``expired_partitions``, with the retention of the managed table each name belongs to.
 
-    The part before the suffix must equal table_nm, so a table whose name merely begins alike is safe.
+    ``names`` has schema_nm too, and a managed table is known by schema and name. The part before the suffix
+    must equal table_nm, so a table whose name merely begins alike is safe.
     """
-    kept = managed.where("partition_tf").select("table_nm", "store_d_num")
+    kept = managed.where("partition_tf").select("schema_nm", "table_nm", "store_d_num")
     dated = names.withColumn("table_nm", F.regexp_extract(column, "^(.*)_[0-9]{8}$", 1))
     limit = F.date_sub(F.lit(today), F.col("store_d_num") + 1)
     return (
-        dated.join(kept, "table_nm")
+        dated.join(kept, ["schema_nm", "table_nm"])
         .where(name_suffix_date(column) < limit)
-        .select("table_nm", column, F.right(F.col(column), F.lit(8)).alias("suffix"))
+        .select("schema_nm", "table_nm", column, F.right(F.col(column), F.lit(8)).alias("suffix"))
     )

@@ -22,11 +22,11 @@ from millrace.operators.ledger import readiness
 from millrace.operators.merge import (
     changed_rows,
     daily_refresh,
-    delete_unmatched,
-    publish_children,
     publish_delta,
     reverse_sync,
+    unmatched_rows,
     upsert_by_key,
+    with_parents,
 )
 from millrace.plans.catalog import (
     FEEDS,
@@ -40,7 +40,7 @@ from millrace.plans.catalog import (
 from millrace.schemas import ADDRESS_MASTER, DAG_LOG, DEPENDENCY_MANAGER, PUBLIC_INSTITUTION
 from millrace.session import land
 from millrace.sinks.snapshots import drop_expired, write_snapshot
-from millrace.sinks.tables import merge_partitions, path_exists, read_run, replace_table, write_run
+from millrace.sinks.tables import drop_runs, merge_partitions, path_exists, read_run, replace_table, write_run
 from millrace.sources.payloads import json_pages, strict_json_pages, xml_pages
 
 
@@ -56,6 +56,7 @@ class Hub:
     root: str
     run_date: date
     at: datetime
+    keep_runs: int = 30
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -72,7 +73,9 @@ class Hub:
         return read_run(self.spark, self.path(layer, table), on=self.run_date)
 
     def write(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        write_run(df, self.path(layer, table), self.run_date)
+        path = self.path(layer, table)
+        write_run(df, path, self.run_date)
+        drop_runs(self.spark, path, self.keep_runs)
         return self.table(layer, table)
 
     # address table: every run of an owner adds its new rows as one partition
@@ -93,6 +96,14 @@ class Hub:
             return self.spark.createDataFrame([], DAG_LOG)
         return self.spark.read.schema(DAG_LOG).parquet(path)
 
+    def finished(self) -> DataFrame:
+        """The ledger's rows of the business date; no other date is listed."""
+        path = self.path("control", "dag_log")
+        day = f"{path}/completion_date={self.run_date.isoformat()}"
+        if not path_exists(self.spark, day):
+            return self.spark.createDataFrame([], DAG_LOG)
+        return self.spark.read.schema(DAG_LOG).option("basePath", path).parquet(day)
+
     def complete(self, step: str) -> None:
         """Record a finished step. Its key is its directory, so writing it again replaces the row."""
         row = self.spark.range(1).select(F.lit(self.at).cast("timestamp_ntz").alias("completion_datetime"))
@@ -103,7 +114,7 @@ class Hub:
         """Fail unless all predecessors of ``step`` have finished on the business date."""
         path = self.path("control", "dependency_manager")
         edges = self.spark.read.schema(DEPENDENCY_MANAGER).parquet(path).where(F.col("tobe_dag") == step)
-        answer = readiness(edges, self.ledger(), self.run_date, hot=[]).first()
+        answer = readiness(edges, self.finished(), self.run_date, hot=[]).first()
         if answer is None or not answer.ready:
             raise NotReady(step)
 
@@ -178,7 +189,11 @@ def resolve_addresses(
         hub.require(step)
     added = f"{hub.run_date.isoformat()}.{steps[0]}"
     known = hub.addresses(except_added=added).drop("added")
-    new = resolve_new_addresses(owners, known, dictionary, hub.at)
+    # published rows refer to the numbers, so a rerun keeps what it has once given
+    given = land(hub.addresses().where(F.col("added") == added).drop("added"), "given")
+    new = resolve_new_addresses(owners, known, dictionary, hub.at, given=given)
+    left_over = given.join(land(new, "new-addresses").select("legacy_address"), "legacy_address", "left_anti")
+    new = new.unionByName(left_over.select(*new.columns))
     replace_table(new, f"{hub.path('lv1', 'address_master')}/added={added}")
     for step in steps:
         hub.complete(step)
@@ -200,26 +215,31 @@ def publish(
     compare_cols: Sequence[str],
     parents: Sequence[tuple[DataFrame, str | Mapping[str, str]]] = (),
 ) -> DataFrame:
-    """Bring a published table up to date: rows with published parents, changed rows only."""
-    for parent, on in parents:
-        source = publish_children(source, parent, on)
+    """Bring a published table up to date: rows with published parents, changed rows only.
+
+    Without a change nothing is written.
+    """
+    if parents:
+        source = with_parents(land(source, "source"), parents)
     published = hub.table("hc", name)
     if published is None:
         return hub.write("hc", name, source)
-    changes = changed_rows(publish_delta(source, published, keys, compare_cols))
+    changes = land(changed_rows(publish_delta(source, published, keys, compare_cols)), "changes")
+    if changes.isEmpty():
+        return published
     return hub.write("hc", name, upsert_by_key(published, changes, keys))
 
 
 def delete_orphans(
     hub: Hub, name: str, parents: Sequence[tuple[DataFrame, str | Mapping[str, str]]]
 ) -> DataFrame | None:
-    """Drop published rows whose parents are gone, one parent after the other."""
+    """Drop published rows whose parents are gone. Without such rows nothing is written."""
     table = hub.table("hc", name)
     if table is None:
         return None
-    for parent, on in parents:
-        table = delete_unmatched(table, parent, on)
-    return hub.write("hc", name, table)
+    if all(unmatched_rows(table, parent, on, hot=[]).isEmpty() for parent, on in parents):
+        return table
+    return hub.write("hc", name, with_parents(table, parents))
 
 
 def snapshot_addresses(hub: Hub, keep_days: int) -> None:

@@ -37,14 +37,16 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary folder is made and set as the
-    checkpoint folder.
+    Only where the session names none and runs on one machine (tests) a temporary folder is made and set as
+    the checkpoint folder; on a cluster the folder must be named.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

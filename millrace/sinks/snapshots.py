@@ -16,6 +16,13 @@ def _compact(day: date) -> str:
     return day.strftime("%Y%m%d")
 
 
+def _day(value: str) -> date | None:
+    try:
+        return datetime.strptime(value, "%Y%m%d").date()
+    except ValueError:
+        return None
+
+
 def write_snapshot(df: DataFrame, path: str, day: date) -> None:
     """Replace the partition of ``day`` with a copy of the whole table; other days stay.
 
@@ -45,8 +52,9 @@ def write_dated(df: DataFrame, path: str) -> None:
 
 
 def list_partitions(spark: SparkSession, path: str) -> list[date]:
-    """Days that have a partition, from the directory names."""
-    return [datetime.strptime(v, "%Y%m%d").date() for v in partition_values(spark, path, LOGGING_DT)]
+    """Days that have a partition, from the directory names; names that are no day are left out."""
+    days = [_day(v) for v in partition_values(spark, path, LOGGING_DT)]
+    return [d for d in days if d is not None]
 
 
 def drop_expired(spark: SparkSession, path: str, today: date, keep_days: int) -> list[date]:

@@ -67,10 +67,9 @@ def test_hot_prefix_and_hot_text(spark, monkeypatch):
     seen = []
 
     def small(df, keys, expand=None):
-        seen.append(skew.hot_hashes(df, keys, expand, min_rows=0))
+        seen.append(skew.hot_hashes(df, keys, expand, tasks=40))
         return seen[-1]
 
-    monkeypatch.setattr(skew, "HOT_SHARE", 0.05)
     monkeypatch.setattr(address_module, "hot_hashes", small)
     many = ["a b c"] * 40 + [f"a {i} z" for i in range(60)] + [f"q {i}" for i in range(20)] + [None] * 9
     words = ["a", "a b", *[f"a {i}" for i in range(0, 60, 7)], "q 3"]

@@ -16,9 +16,20 @@ from millrace.plans.catalog import (
     TABLES,
     step_name,
 )
-from millrace.plans.jobs import Hub, NotReady, customer_chain, institution_chain, load_raw, publish, retry_addresses, sync_back
+from millrace.plans.jobs import (
+    Hub,
+    NotReady,
+    customer_chain,
+    delete_orphans,
+    institution_chain,
+    load_raw,
+    publish,
+    resolve_addresses,
+    retry_addresses,
+    sync_back,
+)
 from millrace.schemas import ADDRESS_DICTIONARY, DEPENDENCY_MANAGER, PAYLOADS
-from millrace.sinks.tables import replace_table
+from millrace.sinks.tables import partition_values, replace_table
 
 CUSTOMER = TABLES["V_CUSTOMER"]
 
@@ -121,6 +132,48 @@ def test_customer_chain_twice(spark, tmp_path, rows):
     ]
 
 
+def test_address_rerun_keeps_numbers(spark, tmp_path, rows):
+    first, second = (hub_on(spark, tmp_path, date(2024, 1, d)) for d in (5, 6))
+    edges(first, ("a", "x"))
+    dictionary = spark.createDataFrame([("seoul", 1, None, LOT)], ADDRESS_DICTIONARY)
+
+    def run(hub, *texts):
+        hub.complete("a")
+        owner = spark.createDataFrame([(t,) for t in texts], "addr string")
+        return rows(resolve_addresses(hub, ["x"], [(owner, "addr")], dictionary), "seq", "legacy_address")
+
+    assert run(first, "seoul 1", "seoul 2") == [(1, "seoul 1"), (2, "seoul 2")]
+    after = [(1, "seoul 1"), (2, "seoul 2"), (3, "busan")]
+    assert run(second, "seoul 1", "busan") == after
+    assert run(first, "seoul 1", "seoul 2") == after
+    # a later answer of the source: new texts get new numbers, and no number that was given goes
+    assert run(first, "daegu", "seoul 2") == [*after, (4, "daegu")]
+
+
+def test_publish_writes_changes_only(spark, tmp_path, rows):
+    hub = hub_on(spark, tmp_path, date(2024, 1, 5))
+    table = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    publish(hub, "goods", table, ["k"], ["v"])
+    publish(hub, "goods", table, ["k"], ["v"])
+    parent = spark.createDataFrame([(1,), (2,)], "id int")
+    delete_orphans(hub, "goods", [(parent, {"k": "id"})])
+    assert partition_values(spark, hub.path("hc", "goods"), "run") == ["2024-01-05.0001"]
+    assert rows(delete_orphans(hub, "goods", [(parent.where("id = 1"), {"k": "id"})])) == [(1, "a")]
+    assert partition_values(spark, hub.path("hc", "goods"), "run") == ["2024-01-05.0001", "2024-01-05.0002"]
+    few = Hub(spark, hub.root, hub.run_date, hub.at, keep_runs=1)
+    publish(few, "goods", table, ["k"], ["v"])
+    assert partition_values(spark, hub.path("hc", "goods"), "run") == ["2024-01-05.0003"]
+
+
+def test_gate_reads_one_date(spark, tmp_path):
+    for day in (4, 5, 6):
+        hub_on(spark, tmp_path, date(2024, 1, day)).complete("a")
+    finished = hub_on(spark, tmp_path, date(2024, 1, 5)).finished()
+    assert len(finished.inputFiles()) == 1 and "completion_date=2024-01-05" in finished.inputFiles()[0]
+    assert [(r.dag_id, r.completion_date) for r in finished.collect()] == [("a", date(2024, 1, 5))]
+    assert hub_on(spark, tmp_path, date(2024, 1, 7)).finished().count() == 0
+
+
 def test_institution_chain(spark, tmp_path, rows):
     hub = hub_on(spark, tmp_path, date(2024, 1, 5))
     names = {s: step_name(s, "DATAAPI", "PUBLIC_INSTITUTION") for s in (REFRESH, ADDRESS, PUBLISH)}

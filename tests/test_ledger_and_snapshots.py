@@ -58,7 +58,9 @@ def test_expired(spark, rows):
     names = spark.createDataFrame([(n,) for n in ("t_20231231", "t_20231230", "t_20240101", "t_x", "t_99999999", "tt_20000101")], "n string")
     assert rows(expired_partitions(names, "n", date(2024, 1, 11), 10)) == [("t_20231230", "20231230"), ("tt_20000101", "20000101")]
     tables = managed(spark, ("t", 10, True), ("tt", 5, False))
-    assert rows(expired_of_managed(names, "n", tables, date(2024, 1, 11))) == [("t", "t_20231230", "20231230")]
+    tables = tables.unionByName(spark.createDataFrame([("lv2", "t", 1000, True)], PARTITION_MANAGER))
+    both = names.crossJoin(spark.createDataFrame([("lv1",), ("lv2",), ("lv3",)], "schema_nm string"))
+    assert rows(expired_of_managed(both, "n", tables, date(2024, 1, 11))) == [("lv1", "t", "t_20231230", "20231230")]
 
 
 def test_snapshots(spark, rows, tmp_path):
@@ -72,6 +74,8 @@ def test_snapshots(spark, rows, tmp_path):
     assert drop_expired(spark, path, date(2024, 1, 4), 1) == [date(2024, 1, 1)]
     assert list_partitions(spark, path) == [date(2024, 1, 2), date(2024, 1, 3)]
     assert drop_expired(spark, path, date(2024, 1, 4), 1) == []
+    spark.range(1).write.parquet(f"{path}/logging_dt=__HIVE_DEFAULT_PARTITION__")
+    assert list_partitions(spark, path) == [date(2024, 1, 2), date(2024, 1, 3)]
 
 
 def test_conforming(spark, rows):

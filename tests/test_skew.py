@@ -2,14 +2,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import skew
-from millrace.operators.skew import hot_hashes, join_unique
+from millrace.operators.skew import hot_hashes, hot_hashes_each, join_unique
 
 
 @pytest.fixture()
-def small(monkeypatch):
-    """Look for hot keys in small tables too."""
-    monkeypatch.setattr(skew, "HOT_SHARE", 0.05)
-    return lambda df, on: hot_hashes(df, on, min_rows=0)
+def small():
+    """Hot keys with so many tasks that a twentieth of the rows is hot."""
+    return lambda df, on: hot_hashes(df, on, tasks=40)
 
 
 def left_frame(spark, n=900):
@@ -65,11 +64,35 @@ def test_even_keys_take_the_plain_join(spark, small):
 def test_types_that_cannot_be_hashed_alike(spark, rows):
     left = spark.range(100).select((F.col("id") % 5).cast("double").alias("k"))
     right = spark.range(5).select(F.col("id").cast("double").alias("k"), "id")
-    assert hot_hashes(left, ["k"], min_rows=0) == []
+    assert hot_hashes(left, ["k"]) == []
     assert rows(join_unique(left, right, "k", "left")) == rows(left.join(right, "k", "left"))
 
 
 def test_expand_counts_rows_not_keys(spark, small):
     df = spark.createDataFrame([(f"a {i}",) for i in range(100)], "t string")
     split = lambda d: d.select(F.explode(F.split("t", " ")).alias("t"))
-    assert len(hot_hashes(df, ["t"], expand=split, min_rows=0)) == 1
+    assert len(hot_hashes(df, ["t"], expand=split, tasks=40)) == 1
+
+
+def test_several_key_sets_in_one_pass(spark):
+    left = left_frame(spark)
+    each = hot_hashes_each(left, [["k"], ["s"], ["id"]], tasks=40)
+    assert [set(h) for h in each] == [set(hot_hashes(left, [k], tasks=40)) for k in ("k", "s", "id")]
+    assert each[0] and each[1] and not each[2]
+
+
+def test_sampling_makes_no_even_key_hot(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_SAMPLES", 100)
+    df = spark.range(200_000).select((F.col("id") % 1000).alias("k"))
+    assert hot_hashes(df, ["k"], tasks=200) == []
+    third = df.withColumn("k", F.when(F.rand(3) < 0.33, 5).otherwise(F.col("k")))
+    assert len(hot_hashes(third, ["k"], tasks=200)) == 1
+
+
+def test_right_side_is_made_unique(spark, rows):
+    left = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    right = spark.createDataFrame([(1, "a", 1), (1, "b", 0), (3, "c", 0)], "k int, v string, n int")
+    assert rows(join_unique(left, right, "k", "left")) == rows(
+        spark.createDataFrame([(1, "b", 0), (1, "b", 0), (2, None, None)], "k int, v string, n int")
+    )
+    assert join_unique(left, right, "k", "left_semi").count() == 2
