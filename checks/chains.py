@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.queries import _pages, _table, query
+from checks.queries import STATUS_END, _pages, _table, query
 from millrace.plans.catalog import (
     ADDRESS,
     FEEDS,
@@ -106,11 +106,24 @@ def customer_chain_snapshots(spark, sf_dir):
     )
 
 
-def _json_feed(name: str, pages: DataFrame, payload, category=None) -> DataFrame:
-    category = F.lit(None).cast("string") if category is None else category
-    return pages.select(
-        F.lit(name).alias("feed"), category.alias("category"), "page_no", payload.alias("payload")
-    )
+def _feed(name: str, pages: DataFrame, payload: Column, end: str) -> DataFrame:
+    """The pages of a feed, numbered from its first page on, and the page without rows that ends each category.
+
+    All rows are in the first category; the others end at once.
+    """
+    feed = FEEDS[name]
+    first, *others = feed.categories or (None,)
+    number = (F.col("page_no") - 1 + feed.first_page).cast("int").alias("page_no")
+
+    def closed(frame: DataFrame, category: str | None) -> DataFrame:
+        last = F.coalesce(F.max("page_no") + 1, F.lit(feed.first_page)).alias("page_no")
+        return frame.agg(last).select(F.lit(category).cast("string").alias("category"), "page_no", F.lit(end).alias("payload"))
+
+    filled = land(pages.select(F.lit(first).cast("string").alias("category"), number, payload.alias("payload")), name)
+    answers = filled.unionByName(closed(filled, first))
+    for category in others:
+        answers = answers.unionByName(closed(filled.limit(0), category))
+    return answers.select(F.lit(name).alias("feed"), "category", "page_no", "payload")
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,11 +158,11 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.struct(F.struct(F.col("records").alias("item")).alias("items")).alias("body")), {"rowTag": "response"}
     )
     feeds = [
-        _json_feed("care_center", _pages(supplier, ["s_suppkey"], 50, care), data),
-        _json_feed("welfare_center", _pages(supplier, ["s_suppkey"], 50, welfare), data),
-        _json_feed("school", _pages(customer, ["c_custkey"], 500, school), F.to_json(content), F.lit("elem_list")),
-        _json_feed("town_hall", _pages(orders, ["o_orderkey"], 1000, hall), F.to_json(response)),
-        _json_feed("hospital", _pages(part, ["p_partkey"], 500, hospital), xml),
+        _feed("care_center", _pages(supplier, ["s_suppkey"], 50, care), data, '{"data":[]}'),
+        _feed("welfare_center", _pages(supplier, ["s_suppkey"], 50, welfare), data, '{"data":[]}'),
+        _feed("school", _pages(customer, ["c_custkey"], 500, school), F.to_json(content), '{"dataSearch":{"content":[]}}'),
+        _feed("town_hall", _pages(orders, ["o_orderkey"], 1000, hall), F.to_json(response), STATUS_END),
+        _feed("hospital", _pages(part, ["p_partkey"], 500, hospital), xml, "<response><body><items/></body></response>"),
     ]
     landed = feeds[0]
     for feed in feeds[1:]:

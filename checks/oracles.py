@@ -42,6 +42,8 @@ ORACLES["json_pages"] = """
 SELECT event_id, user_id, event_type, CAST(NULL AS VARCHAR) AS missing_key FROM events
 """
 
+ORACLES["feed_retries"] = ORACLES["json_pages"]
+
 ORACLES["json_pages_status"] = """
 SELECT CAST((row_number() OVER (ORDER BY event_id) - 1) // 500 AS INTEGER) + 1 AS page_no, event_id, user_id,
   event_type, CAST(NULL AS VARCHAR) AS missing_key
@@ -185,18 +187,18 @@ LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') c ON
 """
 
 ORACLES["upsert_by_key"] = """
-WITH u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-  FROM orders WHERE o_totalprice > 400000) t WHERE rn = 1)
-SELECT coalesce(c.c_custkey, u.o_custkey) AS custkey,
+WITH u AS (SELECT *, o_custkey + 100 AS custkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) t WHERE rn = 1)
+SELECT coalesce(c.c_custkey, u.custkey) AS custkey,
   CASE WHEN u.o_custkey IS NOT NULL THEN u.o_orderstatus ELSE c.c_mktsegment END AS state,
   CASE WHEN u.o_custkey IS NOT NULL THEN u.o_totalprice ELSE c.c_acctbal END AS amount
-FROM customer c FULL JOIN u ON u.o_custkey = c.c_custkey
+FROM customer c FULL JOIN u ON u.custkey = c.c_custkey
 """
 
 ORACLES["daily_refresh"] = """
 WITH newest AS (
-  SELECT *, CASE WHEN event_type = 'view' THEN 0 ELSE 1 END AS incoming FROM events
-  WHERE event_type = 'view' OR value > 50),
+  SELECT *, CASE WHEN event_type = 'view' THEN 0 ELSE 1 END AS incoming FROM events),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY incoming DESC, ts DESC, event_id DESC) AS rn
   FROM newest)
 SELECT user_id, ts, event_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS event_type, value
@@ -254,7 +256,7 @@ FROM nation JOIN supplier ON s_nationkey = n_nationkey
 ORACLES["extend_contract"] = """
 SELECT o.o_orderkey, o.o_custkey, a.n_lines, a.max_qty FROM orders o
 LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, max(l_quantity) AS max_qty FROM lineitem
-  WHERE l_returnflag = 'R' GROUP BY l_orderkey) a ON a.l_orderkey = o.o_orderkey
+  GROUP BY l_orderkey) a ON a.l_orderkey = o.o_orderkey
 """
 
 ORACLES["extend_contract_newest"] = """

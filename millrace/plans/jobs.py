@@ -134,14 +134,15 @@ def load_raw(hub: Hub, source: SourceTable, frame: DataFrame, key: Column | byte
 
 
 def parse_feed(feed: Feed, payloads: DataFrame) -> DataFrame:
-    """The rows of one feed."""
+    """The rows of one feed, which must hold every page up to its end page, in all its categories."""
     payloads = payloads.where(F.col("feed") == feed.name)
     if feed.categories:
         payloads = payloads.where(F.col("category").isin(list(feed.categories)))
     if feed.path is None:
-        return xml_pages(payloads, feed.columns)
+        return xml_pages(payloads, feed.columns, first_page=feed.first_page)
     parse = strict_json_pages if feed.strict else json_pages
-    return parse(payloads, feed.columns, feed.path, feed.status_path)
+    parts = max(1, len(feed.categories))
+    return parse(payloads, feed.columns, feed.path, feed.status_path, first_page=feed.first_page, parts=parts)
 
 
 def load_feed(hub: Hub, feed: Feed, payloads: DataFrame) -> None:

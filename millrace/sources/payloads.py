@@ -4,7 +4,9 @@ A payload table has one row per fetched page: feed, category, page_no, payload.
 with a fixed list of columns. A page without rows is the end of a feed and gives none. A page may have been asked
 for several times: an unreadable answer counts as an error, and the rows come from the newest good answer
 (by ``attempt``, where payloads have that column). No page is lost: a page without a good answer fails the
-job, and so do ``max_bad`` errors in one feed.
+job, and so do ``max_bad`` errors in one feed. Given ``first_page``, so does a feed without every page from there
+to its end page. Pages are parsed once, into the shared folder. A payload may be binary; what isn't UTF-8 is
+unreadable.
 """
 
 from __future__ import annotations
@@ -16,8 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleaning import blank_to_null
+from millrace.session import land
 
 MAX_BAD = 3
+
+
+class UnreadablePages(Exception):
+    """A page without a good answer, or too many errors in one feed."""
+
+
+class MissingPages(Exception):
+    """A feed that doesn't hold every page from its first to its end page."""
+
+
 _BAD = "__bad"
 _ITEMS = "__items"
 
@@ -39,6 +52,13 @@ def _string_record(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def _text(payloads: DataFrame) -> Column:
+    payload = F.col("payload")
+    if isinstance(payloads.schema["payload"].dataType, T.BinaryType):
+        return F.try_validate_utf8(payload.cast("string"))
+    return payload
+
+
 def _parsed_json(
     payloads: DataFrame, items_type: T.DataType, path: str, status_path: str | None, ok: str, end: str
 ) -> DataFrame:
@@ -46,7 +66,7 @@ def _parsed_json(
     _nest(tree, path, items_type)
     if status_path is not None:
         _nest(tree, status_path, T.StringType())
-    body = payloads.withColumn("__body", F.from_json("payload", _struct(tree)))
+    body = payloads.withColumn("__body", F.from_json(_text(payloads), _struct(tree)))
     items = F.col(f"__body.{path}")
     if status_path is None:
         bad, rows = items.isNull(), items
@@ -61,33 +81,70 @@ def _parsed_json(
 def _parsed_xml(payloads: DataFrame, record_schema: T.StructType) -> DataFrame:
     item = T.StructType([T.StructField("item", T.ArrayType(record_schema))])
     schema = T.StructType([T.StructField("body", T.StructType([T.StructField("items", item)]))])
-    body = payloads.withColumn("__body", F.from_xml("payload", schema.simpleString()))
+    body = payloads.withColumn("__body", F.from_xml(_text(payloads), schema.simpleString()))
     return body.select(
         *payloads.columns,
         F.col("__body.body.items.item").alias(_ITEMS),
         # the end of a feed has an empty element of items; an error answer has none
-        (F.col("__body.body").isNull() | (F.col("__body.body.items").isNull() & ~F.col("payload").rlike(r"<items\s*/?>"))).alias(_BAD),
+        (F.col("__body.body").isNull() | (F.col("__body.body.items").isNull() & ~_text(payloads).rlike(r"<items\s*/?>"))).alias(_BAD),
     )
 
 
-def _guarded(parsed: DataFrame, feed_columns: Sequence[str], max_bad: int) -> DataFrame:
-    """The newest good answer of every page; fail where a page has none, or a feed has too many errors."""
-    page = [*feed_columns, *[c for c in ("page_no",) if c in parsed.columns]]
-    pages = parsed.groupBy(*page).agg(F.count_if(_BAD).alias("bad"), F.count_if(~F.col(_BAD)).alias("good"))
-    lost = F.when(F.col("good") == 0, 1).otherwise(0)
-    feeds = pages.groupBy(*feed_columns).agg(F.sum("bad").alias("bad"), F.sum(lost).alias("lost"))
-    worst, lost = feeds.agg(F.max("bad")).scalar(), feeds.agg(F.sum("lost")).scalar()
-    many = F.raise_error(F.format_string("%d unreadable pages in one feed", worst)).cast("boolean")
-    holes = F.raise_error(F.format_string("%d pages without a good answer", lost)).cast("boolean")
-    good = parsed.where(F.when(worst >= max_bad, many).when(lost > 0, holes).otherwise(~F.col(_BAD)))
-    if "attempt" not in parsed.columns or "page_no" not in parsed.columns:
+def _guarded(
+    parsed: DataFrame, max_bad: int, keep: Sequence[str], first_page: int | None = None, parts: int = 1
+) -> DataFrame:
+    """The newest good answer of every page; fail where a page has none, or a feed has too many errors or gaps.
+
+    What reaches the driver is one row of counts.
+    """
+    feed = _feed_columns(parsed)
+    page = [*feed, *[c for c in ("page_no",) if c in parsed.columns]]
+    if first_page is not None and "page_no" not in page:
+        raise ValueError("first_page needs payloads with page_no")
+    attempt = [c for c in ("attempt",) if c in parsed.columns and "page_no" in page]
+    parsed = land(parsed.select(*dict.fromkeys([*page, *attempt, *_kept(parsed, keep)]), _ITEMS, _BAD), "pages")
+
+    order = F.col("attempt") if attempt else F.lit(0)
+    has_rows = F.coalesce(F.size(_ITEMS) > 0, F.lit(False))
+    pages = parsed.groupBy(*page).agg(
+        F.count_if(_BAD).alias("bad"),
+        F.count_if(~F.col(_BAD)).alias("good"),
+        F.max_by(has_rows, F.when(~F.col(_BAD), F.coalesce(order, F.lit(-1)))).alias("has_rows"),
+    )
+    number = F.col("page_no") if "page_no" in page else F.lit(0)
+    end = F.min(F.when(~F.col("has_rows"), number))
+    whole = (F.min(number) == F.lit(first_page)) & (F.max(number) - F.min(number) + 1 == F.count("*"))
+    whole = whole & (F.coalesce(F.max(F.when(F.col("has_rows"), number)) < end, end.isNotNull()))
+    feeds = pages.groupBy(*feed).agg(
+        F.sum("bad").alias("bad"),
+        F.count_if(F.col("good") == 0).alias("lost"),
+        F.coalesce(whole, F.lit(False)).alias("whole"),
+    )
+    counts = feeds.agg(
+        F.coalesce(F.max("bad"), F.lit(0)).alias("bad"),
+        F.coalesce(F.sum("lost"), F.lit(0)).alias("lost"),
+        F.count_if("whole").alias("whole"),
+        F.count("*").alias("feeds"),
+    ).first()
+    if counts.bad >= max_bad:
+        raise UnreadablePages(f"{counts.bad} unreadable pages in one feed")
+    if counts.lost:
+        raise UnreadablePages(f"{counts.lost} pages without a good answer")
+    if first_page is not None and counts.whole < max(counts.feeds, parts):
+        raise MissingPages(f"{max(counts.feeds, parts) - counts.whole} feeds without every page up to an end page")
+    good = parsed.where(~F.col(_BAD))
+    if not attempt:
         return good
     newest = F.rank().over(Window.partitionBy(*page).orderBy(F.desc("attempt")))
     return good.withColumn("__newest", newest).where("__newest = 1").drop("__newest")
 
 
+def _kept(payloads: DataFrame, keep: Sequence[str]) -> list[str]:
+    return [c for c in keep if c in payloads.columns]
+
+
 def _carried(payloads: DataFrame, keep: Sequence[str]) -> list[Column]:
-    return [F.col(c) for c in keep if c in payloads.columns]
+    return [F.col(c) for c in _kept(payloads, keep)]
 
 
 def _feed_columns(payloads: DataFrame) -> list[str]:
@@ -103,16 +160,19 @@ def json_pages(
     end: str = "03",
     max_bad: int = MAX_BAD,
     keep: Sequence[str] = (),
+    first_page: int | None = None,
+    parts: int = 1,
 ) -> DataFrame:
     """Rows of the array at ``path`` of every page, as received (text, unless a schema is given).
 
     A missing key becomes null and an extra key is dropped. With ``status_path`` a page counts only when its
     code is ``ok``; ``end`` marks the last page and any other code is an error. ``keep`` names payload
-    columns (feed, category, page_no) to carry along.
+    columns (feed, category, page_no) to carry along. With ``first_page`` every feed and category must hold
+    all pages from there to one without rows, and there must be ``parts`` of them at least.
     """
     record = columns if isinstance(columns, T.StructType) else _string_record(columns)
     parsed = _parsed_json(payloads, T.ArrayType(record), path, status_path, ok, end)
-    parsed = _guarded(parsed, _feed_columns(payloads), max_bad)
+    parsed = _guarded(parsed, max_bad, keep, first_page, parts)
     return parsed.select(*_carried(payloads, keep), F.inline(_ITEMS))
 
 
@@ -125,10 +185,13 @@ def strict_json_pages(
     end: str = "03",
     max_bad: int = MAX_BAD,
     keep: Sequence[str] = (),
+    first_page: int | None = None,
+    parts: int = 1,
 ) -> DataFrame:
     """Like ``json_pages``, but a record without one of the ``required`` keys fails the job."""
     items = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
-    parsed = _guarded(_parsed_json(payloads, items, path, status_path, ok, end), _feed_columns(payloads), max_bad)
+    parsed = _parsed_json(payloads, items, path, status_path, ok, end)
+    parsed = _guarded(parsed, max_bad, keep, first_page, parts)
     records = parsed.select(*_carried(payloads, keep), F.explode(_ITEMS).alias("__record"))
     return strict_columns(records, "__record", required)
 
@@ -147,10 +210,12 @@ def xml_pages(
     columns: Sequence[str] | T.StructType,
     max_bad: int = MAX_BAD,
     keep: Sequence[str] = (),
+    first_page: int | None = None,
+    parts: int = 1,
 ) -> DataFrame:
     """Rows of response/body/items/item of every page; one item or many, empty elements are null."""
     record = columns if isinstance(columns, T.StructType) else _string_record(columns)
-    parsed = _guarded(_parsed_xml(payloads, record), _feed_columns(payloads), max_bad)
+    parsed = _guarded(_parsed_xml(payloads, record), max_bad, keep, first_page, parts)
     rows = parsed.select(*_carried(payloads, keep), F.inline(_ITEMS))
     return blank_to_null(rows, record.fieldNames())
 

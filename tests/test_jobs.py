@@ -181,7 +181,10 @@ def test_institution_chain(spark, tmp_path, rows):
     hall = {c: "-" for c in FEEDS["town_hall"].columns} | {"flctNm": "hall", "lctnRoadNmAddr": "seoul 3"}
     pages = [
         ("care_center", None, 1, json.dumps({"data": [{"산후조리원": "care", "주소": "seoul 1"}] * 2}, ensure_ascii=False)),
+        ("care_center", None, 2, json.dumps({"data": []})),
         ("welfare_center", None, 1, json.dumps({"data": [{"기관명": "fare"}]}, ensure_ascii=False)),
+        ("welfare_center", None, 2, json.dumps({"data": []})),
+        *[("school", c, 1, json.dumps({"dataSearch": {"content": []}})) for c in FEEDS["school"].categories[1:]],
         ("school", "elem_list", 1, json.dumps({"dataSearch": {"content": [{"schoolName": "s", "adres": "seoul 1"}]}})),
         ("school", "elem_list", 2, json.dumps({"dataSearch": {"content": []}})),
         ("town_hall", None, 0, json.dumps({"response": {"header": {"resultCode": "00"}, "body": {"items": [hall]}}})),

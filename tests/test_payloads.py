@@ -1,11 +1,13 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.plans.catalog import FEEDS
 from millrace.plans.jobs import parse_feed
 from millrace.schemas import PAYLOADS
 from millrace.sources.payloads import (
+    MissingPages,
     json_pages,
     rejected_json_pages,
     rejected_xml_pages,
@@ -48,6 +50,7 @@ def test_rows_of_all_pages(spark, rows):
 def test_korean_keys(spark, rows):
     feed = FEEDS["care_center"]
     df = pages(spark, {"data": [{"번호": 1, "주소": "서울 중구"}]}, {"data": []}, feed="care_center")
+    df = df.withColumn("page_no", F.col("page_no") + feed.first_page)
     got = parse_feed(feed, df)
     assert got.columns == list(feed.columns)
     assert got.first()["주소"] == "서울 중구" and got.first()["번호"] == "1"
@@ -127,9 +130,57 @@ def test_xml_rejects(spark):
 
 def test_school_categories(spark, rows):
     feed = FEEDS["school"]
-    page = json.dumps({"dataSearch": {"content": [{"seq": "1"}]}})
-    df = spark.createDataFrame([("school", c, 1, page) for c in (*feed.categories, "other")], PAYLOADS)
-    assert parse_feed(feed, df).count() == 5
+    page, end = (json.dumps({"dataSearch": {"content": x}}) for x in ([{"seq": "1"}], []))
+    answers = [("school", c, n, p) for c in (*feed.categories, "other") for n, p in ((1, page), (2, end))]
+    assert parse_feed(feed, spark.createDataFrame(answers, PAYLOADS)).count() == 5
+    with pytest.raises(MissingPages, match="1 feeds"):
+        parse_feed(feed, spark.createDataFrame(answers[2:], PAYLOADS))
+
+
+@pytest.mark.parametrize(
+    "numbers, sizes, whole",
+    [
+        ((1, 2, 3), (2, 1, 0), True),
+        ((1,), (0,), True),
+        ((1, 2, 3, 4), (2, 1, 0, 0), True),
+        ((1, 2), (2, 1), False),  # no end page
+        ((1, 3), (2, 0), False),  # a hole
+        ((2, 3), (2, 0), False),  # the first page is missing
+        ((1, 2, 3), (2, 0, 1), False),  # rows after the end page
+        ((1, 2, None), (2, 0, 1), False),
+        ((), (), False),
+    ],
+)
+def test_every_page_up_to_the_end(spark, numbers, sizes, whole):
+    answers = [("f", None, n, json.dumps({"data": [{"a": "1"}] * k})) for n, k in zip(numbers, sizes)]
+    df = spark.createDataFrame(answers, PAYLOADS)
+    if whole:
+        assert json_pages(df, ["a"], "data", first_page=1).count() == sum(sizes)
+    else:
+        with pytest.raises(MissingPages):
+            json_pages(df, ["a"], "data", first_page=1)
+
+
+def test_the_newest_answer_ends_a_feed(spark):
+    df = attempts(spark, (1, 1, {"data": []}), (1, 2, {"data": [{"a": "1"}]}))
+    with pytest.raises(MissingPages):
+        json_pages(df, ["a"], "data", first_page=1)
+    df = attempts(spark, (1, 1, {"data": [{"a": "1"}]}), (1, 2, {"data": []}))
+    assert json_pages(df, ["a"], "data", first_page=1).count() == 0
+
+
+def test_xml_end_page(spark):
+    page, end = (f"<response><body><items>{x}</items></body></response>" for x in ("<item><a>1</a></item>", ""))
+    assert xml_pages(pages(spark, page, end), ["a"], first_page=0).count() == 1
+    with pytest.raises(MissingPages):
+        xml_pages(pages(spark, page), ["a"], first_page=0)
+
+
+def test_binary_payloads(spark, rows):
+    answers = [("f", 1, bytearray('{"data":[{"a":"서울"}]}'.encode())), ("f", 2, bytearray(b'{"data":[{"a":"\xff"}]}'))]
+    df = spark.createDataFrame(answers, "feed string, page_no int, payload binary")
+    assert rows(json_pages(df.where("page_no = 1"), ["a"], "data")) == [("서울",)]
+    assert rows(rejected_json_pages(df, "data"), "page_no") == [(2,)]
 
 
 def test_no_payloads(spark):
