@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.queries import STATUS_END, _pages, _table, query
+from millrace.operators.conform import extend_contract
 from millrace.plans.catalog import (
     ADDRESS,
     FEEDS,
@@ -18,7 +19,7 @@ from millrace.plans.catalog import (
     TABLES,
     step_name,
 )
-from millrace.plans.jobs import Hub, customer_chain, institution_chain
+from millrace.plans.jobs import Hub, Publication, customer_chain, institution_chain, table_chain
 from millrace.schemas import DEPENDENCY_MANAGER
 from millrace.session import land, scratch_path
 from millrace.sinks.tables import replace_table
@@ -181,3 +182,53 @@ def institution_chain_published(spark, sf_dir):
     )
     dictionary = _places(_customers(spark, sf_dir))
     return institution_chain(hub, _payloads(spark, sf_dir), dictionary).drop("institution_id")
+
+
+def _days(spark: SparkSession) -> tuple[Hub, Hub]:
+    root = scratch_path(spark, "hub")
+    return tuple(Hub(spark, root, date(2024, 1, d), datetime(2024, 1, d, 3, 0)) for d in (4, 5))
+
+
+@query("contract_chain")
+def contract_chain_opportunity(spark, sf_dir):
+    """Orders with a summary of their lines. On the first day the older ones only, all of them still open."""
+    first, second = _days(spark)
+    contract, extension = TABLES["R_ORDER_CONTRACT"], TABLES["R_ORDER_CONTRACT_ADD"]
+    load, refresh = contract.step(LOAD), contract.step(REFRESH)
+    _edges(first, [(load, refresh), (extension.step(LOAD), refresh), (refresh, contract.step(PUBLISH))])
+    lines = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    lines = lines.agg(F.count("*").alias("n_lines"), F.max("l_quantity").alias("max_qty"))
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    older = orders.where("o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00'").withColumn("o_orderstatus", F.lit("X"))
+    compared = [c for c in (*orders.columns, "n_lines", "max_qty") if c != "o_orderkey"]
+    schema = orders.join(lines, "o_orderkey", "left").schema
+    published = {}
+    for hub, rows in ((first, older), (second, orders)):
+        table_chain(hub, extension, lines)
+        published = table_chain(
+            hub, contract, rows, schema, ["o_orderkey"], ["o_orderdate"],
+            {"opportunity": Publication(["o_orderkey"], compared)},
+            derive=lambda raw, hub=hub: extend_contract(raw, hub.raw(extension.raw_name), "o_orderkey"),
+        )
+    return published["opportunity"]
+
+
+@query("lounge_chain")
+def lounge_chain_map(spark, sf_dir):
+    """Customers as lounges, which need their nation as organisation and a region as group."""
+    first, second = _days(spark)
+    lounge, org, group = TABLES["V_SALES_LOUNGE"], TABLES["B_SALE_ORG"], TABLES["B_SALES_GRP"]
+    edges = [(t.step(LOAD), t.step(REFRESH)) for t in (lounge, org, group)]
+    _edges(first, [*edges, *[(t.step(REFRESH), lounge.step(PUBLISH)) for t in (lounge, org, group)]])
+    nation = _table(spark, sf_dir, "nation").where("n_regionkey <> 0").select(F.col("n_nationkey").alias("org"), "n_name")
+    region = _table(spark, sf_dir, "region").where("r_regionkey <> 4").select(F.col("r_regionkey").alias("grp"), "r_name")
+    lounges = _table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.col("c_nationkey").alias("org"), (F.col("c_nationkey") % 5).alias("grp")
+    )
+    made = Publication(["c_custkey"], ["c_name", "org", "grp"], {"b_sales_org": "org", "b_sales_grp": "grp"})
+    published = {}
+    for hub, rows in ((first, lounges.where("grp < 2").withColumn("c_name", F.lit("old"))), (second, lounges)):
+        table_chain(hub, org, nation, keys=["org"], order_cols=["n_name"])
+        table_chain(hub, group, region, keys=["grp"], order_cols=["r_name"])
+        published = table_chain(hub, lounge, rows, lounges.schema, ["c_custkey"], ["c_name"], {"bbs_map": made})
+    return published["bbs_map"]

@@ -369,3 +369,15 @@ SELECT DISTINCT i.kind, i.name, i.addr, i.tel, CASE WHEN i.kind = 'town_hall' TH
   CASE WHEN i.kind = 'town_hall' THEN '-' END AS lon, m.seq AS addr_seq
 FROM inst i LEFT JOIN master m ON m.addr = i.addr
 """
+
+ORACLES["contract_chain"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_totalprice, n_lines, max_qty FROM orders
+LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, max(l_quantity) AS max_qty FROM lineitem GROUP BY l_orderkey) a
+  ON l_orderkey = o_orderkey
+"""
+
+ORACLES["lounge_chain"] = """
+SELECT c_custkey, c_name, c_nationkey AS org, c_nationkey % 5 AS grp FROM customer
+WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)
+  AND c_nationkey % 5 IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 4)
+"""

@@ -7,8 +7,8 @@ readiness answer of one step, partition names and the bounded samples of the ope
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +31,10 @@ from millrace.operators.merge import (
 from millrace.plans.catalog import (
     FEEDS,
     INSTITUTION_MAPPINGS,
+    LOAD,
     PARTITION_STEP,
+    PUBLISH,
+    REFRESH,
     REVERSE_STEPS,
     SNAPSHOT_STEP,
     Feed,
@@ -130,7 +133,7 @@ def load_raw(hub: Hub, source: SourceTable, frame: DataFrame, key: Column | byte
     if source.strip_nul:
         frame = strip_nul(frame)
     replace_table(frame, hub.path("lv0", source.raw_name))
-    hub.complete(source.step("legacy_to_lv0"))
+    hub.complete(source.step(LOAD))
 
 
 def parse_feed(feed: Feed, payloads: DataFrame) -> DataFrame:
@@ -161,7 +164,7 @@ def refresh(
 ) -> DataFrame:
     """Raw to clean layer. ``raw`` replaces the raw table where another operator comes first
     (``code_master``, ``extend_contract``)."""
-    step = source.step("lv0_dag")
+    step = source.step(REFRESH)
     hub.require(step)
     rows = hub.raw(source.raw_name) if raw is None else raw
     clean = daily_refresh(rows, hub.table("lv1", source.clean_name), schema, keys, order_cols)
@@ -264,6 +267,70 @@ def sync_back(
     return table
 
 
+@dataclass(frozen=True)
+class Publication:
+    """How a published table comes from its clean table; ``parents`` maps parent tables to join columns."""
+
+    keys: Sequence[str]
+    compare_cols: Sequence[str]
+    parents: Mapping[str, str | Mapping[str, str]] = field(default_factory=dict)
+    rows: Callable[[DataFrame], DataFrame] = lambda clean: clean
+
+
+def _parent(hub: Hub, name: str) -> DataFrame:
+    """A parent table: as published, or the clean one where none is published."""
+    for layer in ("hc", "lv1"):
+        table = hub.table(layer, name)
+        if table is not None:
+            return table
+    raise NotReady(name)
+
+
+def table_chain(
+    hub: Hub,
+    source: SourceTable,
+    frame: DataFrame,
+    schema: T.StructType | None = None,
+    keys: Sequence[str] = (),
+    order_cols: Sequence[str] = (),
+    publications: Mapping[str, Publication] | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+    key: Column | bytes | None = None,
+) -> dict[str, DataFrame]:
+    """One business table from its source to the tables the catalogue says are published from it; returns these.
+
+    On a day of the month without a run nothing is done. ``frame`` is read whole and in parallel, so the
+    catalogue's page keys aren't needed here. A table without a clean one ends in the raw layer. ``derive``
+    makes the rows to refresh from the raw ones (``code_master``, ``extend_contract``). Published tables are
+    written in the catalogue's order, and a row of one needs its row in every parent that the catalogue
+    names, so ``publications`` must say how to find these.
+    """
+    if not source.runs_on(hub.run_date.day):
+        return {}
+    publications = dict(publications or {})
+    if set(publications) != set(source.published):
+        raise ValueError(f"{source.name} publishes {', '.join(source.published) or 'nothing'}")
+    for name, made in publications.items():
+        if set(made.parents) != set(source.parents) - {name}:
+            raise ValueError(f"{name} needs the parents {', '.join(p for p in source.parents if p != name) or 'none'}")
+    load_raw(hub, source, frame, key)
+    if source.clean_name is None:
+        return {}
+    raw = hub.raw(source.raw_name)
+    clean = refresh(hub, source, schema or raw.schema, keys, order_cols, raw if derive is None else derive(raw))
+    if not source.published:
+        return {}
+    step = source.step(PUBLISH)
+    hub.require(step)
+    tables = {}
+    for name in source.published:
+        made = publications[name]
+        parents = [(_parent(hub, p), on) for p, on in made.parents.items()]
+        tables[name] = publish(hub, name, made.rows(clean), made.keys, made.compare_cols, parents)
+    hub.complete(step)
+    return tables
+
+
 def institution_chain(hub: Hub, payloads: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Landed feed pages to the published institution table."""
     for feed in FEEDS.values():

@@ -19,6 +19,7 @@ from millrace.plans.catalog import (
 from millrace.plans.jobs import (
     Hub,
     NotReady,
+    Publication,
     customer_chain,
     delete_orphans,
     institution_chain,
@@ -27,6 +28,7 @@ from millrace.plans.jobs import (
     resolve_addresses,
     retry_addresses,
     sync_back,
+    table_chain,
 )
 from millrace.schemas import ADDRESS_DICTIONARY, DEPENDENCY_MANAGER, PAYLOADS
 from millrace.sinks.tables import partition_values, replace_table
@@ -215,3 +217,32 @@ def test_sync_back(spark, tmp_path, rows):
     hub.write("lv1", "product", spark.createDataFrame([(1, "old", 1), (2, "y", 9)], "id int, v string, at int"))
     assert rows(sync_back(hub, "product", "product", "product", ["id"], ["at"]), "id", "v") == [(1, "new"), (2, "y")]
     assert rows(hub.ledger(), "dag_id") == [("single_dag.PRODUCT",)]
+
+
+def test_table_chain_publishes_parents_first(spark, tmp_path, rows):
+    visit = TABLES["R_EXHIBITION_VISIT_HISTORY"]
+    hub = hub_on(spark, tmp_path, date(2024, 1, 5))
+    edges(hub, (visit.step(LOAD), visit.step(REFRESH)), (visit.step(REFRESH), visit.step(PUBLISH)))
+    frame = spark.createDataFrame([(1, "kim", 1), (2, "lee", 1), (3, None, 1), (1, "kim", 2)], "no int, cust string, at int")
+    made = {
+        "exhibition_visit_customer": Publication(["cust"], [], rows=lambda c: c.where("cust IS NOT NULL").select("cust").distinct()),
+        "exhibition_visit_history": Publication(["no"], ["at"], {"exhibition_visit_customer": "cust"}),
+    }
+    for _ in range(2):
+        tables = table_chain(hub, visit, frame, frame.schema, ["no"], ["at"], made)
+        assert list(tables) == list(visit.published)
+        assert rows(tables["exhibition_visit_customer"]) == [("kim",), ("lee",)]
+        assert rows(tables["exhibition_visit_history"], "no", "at") == [(1, 2), (2, 1)]
+    assert partition_values(spark, hub.path("hc", "exhibition_visit_history"), "run") == ["2024-01-05.0001"]
+    with pytest.raises(ValueError, match="publishes"):
+        table_chain(hub, visit, frame, frame.schema, ["no"], ["at"])
+    with pytest.raises(ValueError, match="needs the parents"):
+        lone = made | {"exhibition_visit_history": Publication(["no"], ["at"])}
+        table_chain(hub, visit, frame, frame.schema, ["no"], ["at"], lone)
+
+
+def test_table_chain_keeps_to_its_days(spark, tmp_path):
+    crm, frame = TABLES["R_CRM_INFO"], spark.createDataFrame([(1,)], "a int")
+    other, day = (hub_on(spark, tmp_path, date(2024, 1, d)) for d in (7, 8))
+    assert table_chain(other, crm, frame) == {} and other.ledger().count() == 0
+    assert table_chain(day, crm, frame) == {} and day.raw("r_crm_info").count() == 1
