@@ -19,9 +19,10 @@ from millrace.plans.catalog import (
     TABLES,
     step_name,
 )
-from millrace.plans.jobs import Hub, Publication, customer_chain, institution_chain, table_chain
-from millrace.schemas import DEPENDENCY_MANAGER
+from millrace.plans.jobs import Hub, Publication, customer_chain, institution_chain, maintain_partitions, table_chain
+from millrace.schemas import DEPENDENCY_MANAGER, PARTITION_MANAGER
 from millrace.session import land, scratch_path
+from millrace.sinks.snapshots import read_snapshots, write_dated
 from millrace.sinks.tables import replace_table
 
 CUSTOMER = TABLES["V_CUSTOMER"]
@@ -232,3 +233,18 @@ def lounge_chain_map(spark, sf_dir):
         table_chain(hub, group, region, keys=["grp"], order_cols=["r_name"])
         published = table_chain(hub, lounge, rows, lounges.schema, ["c_custkey"], ["c_name"], {"bbs_map": made})
     return published["bbs_map"]
+
+
+@query("maintain_partitions")
+def maintain_partitions_events(spark, sf_dir):
+    """The days left of one table name in three schemas: kept 5 days, kept 15 days and not managed."""
+    hub = Hub(spark, scratch_path(spark, "hub"), date(2024, 1, 25), datetime(2024, 1, 25, 3, 0))
+    day = F.date_format("ts", "yyyyMMdd").cast("int").alias("logging_dt")
+    events = _table(spark, sf_dir, "events").select("event_id", day)
+    rules = [("lv1", "event_log", 5, True), ("lv2", "event_log", 15, True), ("hc", "event_log", 1, False), ("lv1", "none", 1, True)]
+    replace_table(spark.createDataFrame(rules, PARTITION_MANAGER), hub.path("control", "partition_manager"))
+    for schema in ("lv1", "lv2", "hc"):
+        write_dated(events, hub.path(schema, "event_log"))
+    maintain_partitions(hub)
+    left = [read_snapshots(spark, hub.path(s, "event_log")).withColumn("schema_nm", F.lit(s)) for s in ("lv1", "lv2", "hc")]
+    return left[0].unionByName(left[1]).unionByName(left[2])

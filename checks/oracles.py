@@ -381,3 +381,9 @@ SELECT c_custkey, c_name, c_nationkey AS org, c_nationkey % 5 AS grp FROM custom
 WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)
   AND c_nationkey % 5 IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 4)
 """
+
+ORACLES["maintain_partitions"] = """
+SELECT schema_nm, event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS logging_dt
+FROM events, (VALUES ('lv1', DATE '2024-01-19'), ('lv2', DATE '2024-01-09'), ('hc', DATE '2000-01-01')) r (schema_nm, first_day)
+WHERE CAST(ts AS DATE) >= first_day
+"""

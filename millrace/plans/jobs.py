@@ -40,7 +40,7 @@ from millrace.plans.catalog import (
     Feed,
     SourceTable,
 )
-from millrace.schemas import ADDRESS_MASTER, DAG_LOG, DEPENDENCY_MANAGER, PUBLIC_INSTITUTION
+from millrace.schemas import ADDRESS_MASTER, DAG_LOG, DEPENDENCY_MANAGER, PARTITION_MANAGER, PUBLIC_INSTITUTION
 from millrace.session import land
 from millrace.sinks.snapshots import drop_expired, write_snapshot
 from millrace.sinks.tables import drop_runs, merge_partitions, path_exists, read_run, replace_table, write_run
@@ -256,6 +256,23 @@ def snapshot_addresses(hub: Hub, keep_days: int) -> None:
     hub.complete(PARTITION_STEP)
 
 
+def maintain_partitions(hub: Hub) -> dict[tuple[str, str], list[date]]:
+    """Drop the expired days of every table in the retention table, each after its own number of days.
+
+    A table is known by schema (layer) and name; unmanaged ones and those without a directory are left alone.
+    Returns the days dropped by schema and table. The retention table has one row per table and is read whole.
+    """
+    managed = hub.spark.read.schema(PARTITION_MANAGER).parquet(hub.path("control", "partition_manager"))
+    kept = managed.where("partition_tf").groupBy("schema_nm", "table_nm").agg(F.max("store_d_num").alias("days"))
+    dropped = {}
+    for row in kept.collect():
+        path = hub.path(row.schema_nm, row.table_nm)
+        if path_exists(hub.spark, path):
+            dropped[row.schema_nm, row.table_nm] = drop_expired(hub.spark, path, hub.run_date, row.days)
+    hub.complete(PARTITION_STEP)
+    return dropped
+
+
 def sync_back(
     hub: Hub, target: str, published_name: str, clean_name: str, keys: Sequence[str], order_cols: Sequence[str]
 ) -> DataFrame:
