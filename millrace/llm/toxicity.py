@@ -1,10 +1,9 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
-A bounded sample of labelled rows gives the examples and, by their chi-square with the label, the terms;
-document frequencies of the terms are counted over all documents. The examples stand in an inverted index
-whose postings are cut into blocks of examples with the largest weight of each term in each block. A query
-adds up these maxima to bound every block, takes blocks from the highest bound down and stops when the bound
-falls below the k-th best cosine, so the neighbours are exact. They vote by similarity; the votes of the
+A bounded sample of labelled rows gives the examples, and all of their terms are the terms; document frequencies
+of the terms are counted over all documents. A query is compared with every example: the most frequent terms by a
+product of matrices, the others by their postings, so the neighbours are exact. A term that no example holds has
+no part in any product and is left out of a query's norm. The neighbours vote by similarity; the votes of the
 examples themselves, each without its own text, calibrate the score.
 """
 
@@ -23,15 +22,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import landed, ship_package
 
-# the most labelled rows of either label that become examples, and the most terms; the index is broadcast,
-# and these bound it at 2 * EXAMPLES * TERMS weights
+# the most labelled rows of either label that become examples; the index is broadcast, and this bounds it
 EXAMPLES = 4096
-TERMS = 256
-# a term counts if chance hardly explains its link with the label, and if the label is this many times as
-# frequent with it as without, or as rare
-LEAST_CHI = 10.83
-LEAST_LIFT = 3.0
-BLOCK = 64
+# terms that stand in a matrix instead of postings, and texts that are compared at a time
+DENSE = 1024
+TEXTS = 128
 NEIGHBOURS = 15
 # the vote that the share of the label among all labelled rows has
 PRIOR = 0.05
@@ -52,7 +47,7 @@ def term_counts(text: str | None) -> Counter:
 
 
 class TermCounter:
-    """Counts of the chosen terms in texts; what each frequent word holds of them is remembered."""
+    """Counts of the examples' terms in texts; what each frequent word holds of them is remembered."""
 
     MEMO = 400_000
 
@@ -88,9 +83,9 @@ _COUNTERS: dict[int, TermCounter] = {}
 
 
 def _counter(numbers: dict[str, int]) -> TermCounter:
-    """The worker's counter for a list of terms, which outlives tasks."""
-    key = hash(tuple(numbers.items()))
-    if key not in _COUNTERS:
+    """The worker's counter for a list of terms, which outlives tasks where the list does."""
+    key = id(numbers)
+    if key not in _COUNTERS or _COUNTERS[key].numbers is not numbers:
         _COUNTERS.clear()
         _COUNTERS[key] = TermCounter(numbers)
     return _COUNTERS[key]
@@ -101,66 +96,84 @@ def _digest(text: str | None) -> bytes:
 
 
 class ExampleIndex:
-    """Block-max inverted index of the examples, and the calibrated vote."""
+    """The examples' weights by term, and the calibrated vote."""
 
     def __init__(self, terms: dict[str, int], idf: np.ndarray, examples: list[tuple], shares: tuple[float, float]):
-        """``examples``: (doc_id, label, digest, {term number: count}); ``shares``: labelled rows per example of label 0, 1."""
+        """``examples``: (doc_id, label, digest, term numbers, counts); ``shares``: labelled rows per example of label 0, 1."""
         self.terms, self.idf, self.shares = terms, idf, shares
         self.ids = [e[0] for e in examples]
         self.labels = np.array([e[1] for e in examples], dtype=np.int64)
-        self.digests = [e[2] for e in examples]
-        self.blocks = max(1, -(-len(examples) // BLOCK))
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(len(terms))]
+        self.same: dict[bytes, list[int]] = {}
         for number, example in enumerate(examples):
-            for term, weight in zip(*self._vector(example[3])):
-                lists[term].append((number, weight))
-        self.at = np.zeros((len(terms), self.blocks + 1), dtype=np.int64)
-        self.top = np.zeros((len(terms), self.blocks))
-        numbers, weights, total = [], [], 0
-        for term, postings in enumerate(lists):
-            n = np.array([p[0] for p in postings], dtype=np.int64)
-            w = np.array([p[1] for p in postings])
-            self.at[term] = total + np.searchsorted(n, np.arange(self.blocks + 1) * BLOCK)
-            np.maximum.at(self.top[term], n // BLOCK, w)
-            numbers.append(n)
-            weights.append(w)
-            total += len(n)
-        self.numbers = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
-        self.weights = np.concatenate(weights) if weights else np.empty(0)
+            self.same.setdefault(example[2], []).append(number)
+        found = [np.asarray(e[3], dtype=np.int32) for e in examples]
+        every = np.concatenate(found) if found else np.empty(0, np.int32)
+        weights = [self._weights(t, e[4]) for t, e in zip(found, examples)]
+        order = np.argsort(every, kind="stable")
+        self.numbers = np.repeat(np.arange(len(examples), dtype=np.int32), [len(t) for t in found])[order]
+        self.weights = (np.concatenate(weights) if weights else np.empty(0))[order]
+        sizes = np.bincount(every, minlength=len(terms))
+        self.at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        # the place of a term in the matrix, or -1
+        self.place = np.full(len(terms), -1, dtype=np.int64)
+        frequent = np.argsort(-sizes, kind="stable")[:DENSE]
+        self.place[frequent] = np.arange(len(frequent))
+        self.matrix: np.ndarray | None = None
         self.prior = self._share(self.labels)
         self.line, self.unknown = (1.0, 0.0), self.prior
-        self._calibrate([e[3] for e in examples])
+        self._calibrate(list(zip(found, [e[4] for e in examples], [e[2] for e in examples])))
+
+    def __getstate__(self):
+        return self.__dict__ | {"matrix": None}
 
     def _share(self, labels: np.ndarray) -> float:
         weight = np.where(labels == 1, self.shares[1], self.shares[0])
         return float((weight * labels).sum() / weight.sum()) if len(labels) else 0.0
 
-    def _vector(self, counts: dict[int, int]) -> tuple[list[int], np.ndarray]:
-        terms = sorted(counts)
-        weights = np.array([(1 + math.log(counts[t])) * self.idf[t] for t in terms])
+    def _weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        weights = (1 + np.log(counts)) * self.idf[terms]
         norm = math.sqrt(float((weights * weights).sum()))
-        return terms, (weights / norm if norm else weights)
-
-    def nearest(self, counts: dict[int, int], digest: bytes) -> list[tuple[float, int]]:
-        """The NEIGHBOURS examples of highest cosine above 0, ties by number, but none of the same text."""
-        terms, weights = self._vector(counts)
-        if not terms:
-            return []
-        bounds = weights @ self.top[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == NEIGHBOURS and bounds[block] * (1 + 1e-9) < -best[-1][0]:
-                break
-            scores = np.zeros(BLOCK)
-            for term, weight in zip(terms, weights):
-                part = slice(self.at[term, block], self.at[term, block + 1])
-                scores[self.numbers[part] - block * BLOCK] += weight * self.weights[part]
-            for k in np.flatnonzero(scores):
-                number = int(block) * BLOCK + int(k)
-                if self.digests[number] != digest:
-                    best.append((-float(scores[k]), number))
-            best = sorted(best)[:NEIGHBOURS]
-        return [(-s, number) for s, number in best]
+        return weights / norm if norm else weights
+
+    def _postings(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the postings of some terms stand, and how many each has."""
+        sizes = self.at[terms + 1] - self.at[terms]
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.at[terms] - (ends - sizes), sizes), sizes
+
+    def _cosines(self, queries: list[tuple]) -> np.ndarray:
+        if self.matrix is None:
+            frequent = np.flatnonzero(self.place >= 0)
+            self.matrix = np.zeros((len(frequent), len(self.ids)))
+            where, sizes = self._postings(frequent)
+            self.matrix[np.repeat(self.place[frequent], sizes), self.numbers[where]] = self.weights[where]
+        dense, rest = np.zeros((len(queries), len(self.matrix))), []
+        for row, (terms, counts, _) in enumerate(queries):
+            weights = self._weights(terms, counts)
+            place = self.place[terms]
+            dense[row, place[place >= 0]] = weights[place >= 0]
+            rest.append((terms[place < 0], weights[place < 0]))
+        scores = dense @ self.matrix
+        for row, (terms, weights) in enumerate(rest):
+            where, sizes = self._postings(terms)
+            scores[row] += np.bincount(self.numbers[where], self.weights[where] * np.repeat(weights, sizes), len(self.ids))
+        return scores
+
+    def nearest(self, queries: list[tuple]) -> list[list[tuple[float, int]]]:
+        """For each (term numbers, counts, digest) the NEIGHBOURS examples of highest cosine above 0, ties by
+        number, but none of the same text."""
+        near: list[list[tuple[float, int]]] = []
+        for at in range(0, len(queries) if self.ids else 0, TEXTS):
+            some = queries[at : at + TEXTS]
+            # sums of equal texts may differ in their last digits
+            for scores, (_, _, digest) in zip(np.round(self._cosines(some), 12), some):
+                scores[self.same.get(digest, [])] = 0
+                most = min(NEIGHBOURS, len(scores))
+                least = np.partition(scores, len(scores) - most)[len(scores) - most]
+                best = np.flatnonzero((scores >= least) & (scores > 0))
+                best = best[np.argsort(-scores[best], kind="stable")][:NEIGHBOURS]
+                near.append(list(zip(scores[best].tolist(), best.tolist())))
+        return near or [[] for _ in queries]
 
     def _vote(self, near: list[tuple[float, int]]) -> float:
         for_, all_ = PRIOR * self.prior, PRIOR
@@ -175,9 +188,9 @@ class ExampleIndex:
         p = min(max(p, 1e-4), 1 - 1e-4)
         return math.log(p / (1 - p))
 
-    def _calibrate(self, counts: list[dict[int, int]]) -> None:
+    def _calibrate(self, examples: list[tuple]) -> None:
         """A logistic curve over the examples' votes, by Newton steps with a weak pull to the identity."""
-        near = [self.nearest(c, d) for c, d in zip(counts, self.digests)]
+        near = self.nearest(examples)
         known = np.array([bool(n) for n in near], dtype=bool)
         if (~known).any():
             self.unknown = self._share(self.labels[~known])
@@ -196,45 +209,57 @@ class ExampleIndex:
             a, b = a - step[0], b - step[1]
         self.line = (max(float(a), 0.05), float(b))
 
-    def score(self, counts: dict[int, int], digest: bytes) -> tuple[float, list[int]]:
-        """The calibrated score and the ids of the examples that voted, nearest first."""
-        near = self.nearest(counts, digest)
-        if not near:
-            return self.unknown, []
+    def score(self, queries: list[tuple]) -> list[tuple[float, list[int]]]:
+        """The calibrated scores and the ids of the examples that voted, nearest first."""
         a, b = self.line
-        return 1 / (1 + math.exp(-(a * self._logit(self._vote(near)) + b))), [self.ids[n] for _, n in near]
+        return [
+            (1 / (1 + math.exp(-(a * self._logit(self._vote(near)) + b))), [self.ids[n] for _, n in near])
+            if near
+            else (self.unknown, [])
+            for near in self.nearest(queries)
+        ]
 
 
 def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(t, y) for text, y in zip(batch["text"], batch["toxic"]) for t in term_counts(text)]
-        yield pd.DataFrame(rows, columns=["term", "toxic"])
+        yield pd.DataFrame({"term": sorted({t for text in batch["text"] for t in term_counts(text)})}, dtype=object)
+
 
+def _reduced(numbers: dict[str, int], texts) -> list[tuple]:
+    """Texts as (term numbers, counts, digest)."""
+    counter = _counter(numbers)
+    found = [counter(x) for x in texts]
+    return [
+        (np.fromiter(f.keys(), np.int32, len(f)), np.fromiter(f.values(), np.int64, len(f)), _digest(x))
+        for f, x in zip(found, texts)
+    ]
 
-def _reduced(numbers: dict[str, int]):
-    """Texts to the counts of the chosen terms."""
+
+def _vectors(held):
+    """Term numbers, counts and digest of each text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = _counter(numbers)
         for batch in batches:
-            found = [counter(x) for x in batch["__text"]]
-            batch["digest"] = [_digest(x) for x in batch["__text"]]
-            batch["terms"] = [list(f) for f in found]
-            batch["counts"] = [list(f.values()) for f in found]
-            yield batch.drop(columns="__text")
+            rows = _reduced(held.value, batch["text"])
+            batch["terms"] = [t.tobytes() for t, _, _ in rows]
+            batch["counts"] = [n.tobytes() for _, n, _ in rows]
+            batch["digest"] = [d for _, _, d in rows]
+            yield batch.drop(columns="text")
 
     return run
 
 
-def _counted(size: int):
-    """How many texts of a task hold each term."""
+def _counted(held):
+    """How many texts of a task hold each term; at -1 how many there are."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size, np.int64)
+        numbers, rows = held.value, 0
+        counter, total = _counter(numbers), np.zeros(len(numbers), np.int64)
         for batch in batches:
-            for terms in batch["terms"]:
-                total[terms] += 1
-        yield pd.DataFrame({"t": np.flatnonzero(total), "n": total[total > 0]})
+            rows += len(batch)
+            for text in batch["text"]:
+                total[list(counter(text))] += 1
+        yield pd.DataFrame({"t": [-1, *np.flatnonzero(total)], "n": [rows, *total[total > 0]]})
 
     return run
 
@@ -243,25 +268,19 @@ def _scored(held):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = held.value
         for batch in batches:
-            scores = [index.score(dict(zip(*x)), bytes(d)) for *x, d in zip(batch["terms"], batch["counts"], batch["digest"])]
+            texts = batch["__text"].tolist()
+            scores = [s for k in range(0, len(texts), TEXTS) for s in index.score(_reduced(index.terms, texts[k : k + TEXTS]))]
             batch["score"] = [s for s, _ in scores]
             batch["evidence"] = [e for _, e in scores]
-            yield batch.drop(columns=["terms", "counts", "digest"])
+            yield batch.drop(columns="__text")
 
     return run
 
 
-def _vectors(docs: DataFrame, numbers: dict[str, int]) -> DataFrame:
-    """``docs`` with ``__text`` replaced by digest, terms and counts."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop("__text").schema)
-    return docs.mapInPandas(_reduced(numbers), f"{fields}, digest binary, terms array<int>, counts array<int>")
-
-
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic"
-) -> tuple[ExampleIndex, DataFrame]:
-    """The index of a bounded, hash-ordered sample of the labelled rows outside the held-out quarter, and the
-    term counts of every row of ``docs`` (landed).
+) -> ExampleIndex:
+    """The index of a bounded, hash-ordered sample of the labelled rows outside the held-out quarter.
 
     Rows whose label isn't 0 or 1 are not used, nor is a label without a document. A document labelled twice
     counts as toxic if one label says so. ``docs`` is read whole for the document frequencies.
@@ -279,38 +298,31 @@ def fit(
     examples = landed(texts.join(F.broadcast(chosen), "id"), "examples")
 
     sizes = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-    both = examples.mapInPandas(_term_rows, "term string, toxic int").groupBy("term")
-    both = both.agg(F.sum(F.lit(1) - F.col("toxic")).cast("double").alias("a"), F.sum("toxic").cast("double").alias("b"))
-    odds = F.col("a") * (n1 - F.col("b")) - F.col("b") * (n0 - F.col("a"))
-    without = n0 + n1 - F.col("a") - F.col("b")
-    chi = odds * odds / ((F.col("a") + F.col("b")) * without)
-    more, less = F.col("b") * n0, F.col("a") * n1
-    strong = (more >= LEAST_LIFT * less) | (less >= LEAST_LIFT * more)
-    best = both.where((F.col("a") + F.col("b") >= 5) & (without > 0) & strong & (chi >= LEAST_CHI)).orderBy(F.desc(chi), "term").limit(TERMS)
-    terms = sorted(r.term for r in best.collect())
+    terms = sorted(r.term for r in examples.mapInPandas(_term_rows, "term string").distinct().collect())
 
     numbers = {t: k for k, t in enumerate(terms)}
-    texts = texts.select(F.col("id").alias("__id"), F.col("text").alias("__text"))
-    vectors = landed(_vectors(texts, numbers), "vectors")
-    rows = vectors.count()
-    counted = vectors.select("terms").mapInPandas(_counted(len(terms)), "t int, n bigint")
+    held = docs.sparkSession.sparkContext.broadcast(numbers)
+    counted = texts.select("text").mapInPandas(_counted(held), "t int, n bigint")
     counts = {r.t: r.n for r in counted.groupBy("t").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([math.log((1 + rows) / (1 + counts.get(k, 0))) + 1 for k in range(len(terms))])
-
-    held = _vectors(examples.select("id", "toxic", F.col("text").alias("__text")), numbers)
-    rows = sorted((r.id, r.toxic, bytes(r.digest), dict(zip(r.terms, r.counts))) for r in held.collect())
-    rows.sort(key=lambda r: (r[1], r[0]))
+    idf = np.array([math.log((1 + counts[-1]) / (1 + counts.get(k, 0))) + 1 for k in range(len(terms))])
+
+    found = examples.select("id", "toxic", "text").mapInPandas(
+        _vectors(held), f"id {examples.schema['id'].dataType.simpleString()}, toxic int, terms binary, counts binary, digest binary"
+    )
+    rows = [
+        (r.id, r.toxic, bytes(r.digest), np.frombuffer(r.terms, np.int32), np.frombuffer(r.counts, np.int64))
+        for r in found.collect()
+    ]
+    rows.sort(key=lambda r: (r[1], r[0], r[2]))
     shares = tuple(totals.get(y, 0) / max(sizes.get(y, 0), 1) for y in (0, 1))
-    return ExampleIndex(numbers, idf, rows, shares), vectors
+    return ExampleIndex(numbers, idf, rows, shares)
 
 
-def score_vectors(vectors: DataFrame, index: ExampleIndex) -> DataFrame:
-    """Scores of rows with terms, counts and digest: score, predicted (1 from THRESHOLD on), evidence."""
-    held = vectors.sparkSession.sparkContext.broadcast(index)
-    rest = vectors.drop("terms", "counts", "digest")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
-    scored = vectors.mapInPandas(_scored(held), f"{fields}, score double, evidence array<bigint>")
+def score_texts(rows: DataFrame, index: ExampleIndex) -> DataFrame:
+    """Scores of rows with ``__text``, which goes: score, predicted (1 from THRESHOLD on), evidence."""
+    held = rows.sparkSession.sparkContext.broadcast(index)
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.drop("__text").schema)
+    scored = rows.mapInPandas(_scored(held), f"{fields}score double, evidence array<bigint>")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -322,14 +334,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     results, a null id stays null, an empty table gives an empty result. Without labelled rows every score
     is 0. Columns other than id, text and label are not read.
     """
-    index, vectors = fit(docs, labels, id_col, text)
-    return score_vectors(vectors, index).select(F.col("__id").alias(id_col), "score", "predicted", "evidence")
+    index = fit(docs, labels, id_col, text)
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
+    return score_texts(rows, index).select(F.col("__id").alias(id_col), "score", "predicted", "evidence")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that aren't predicted toxic; scored while they are read."""
-    index, _ = fit(docs, labels, id_col, text)
+    index = fit(docs, labels, id_col, text)
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"), F.col(text).alias("__text"))
     names = [F.col("__row").getField(c).alias(f"__{k}") for k, c in enumerate(docs.columns)]
-    scored = score_vectors(_vectors(rows.select(*names, "__text"), index.terms), index).where("predicted = 0")
+    scored = score_texts(rows.select(*names, "__text"), index).where("predicted = 0")
     return scored.select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(docs.columns)])

@@ -1,6 +1,7 @@
 import math
 import os
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -19,7 +20,7 @@ from millrace.llm.search import search
 from millrace.llm.sharding import shard
 from millrace.llm.suffixes import SuffixOrder, remove_repeats
 from millrace.llm.tokens import Encoder, count_tokens, open_cache
-from millrace.llm.toxicity import score_toxicity
+from millrace.llm.toxicity import score_toxicity, term_counts
 
 SF_DIR = "/root/testdata/sf0.001"
 here = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
@@ -235,6 +236,31 @@ def test_toxicity_on_odd_rows(spark, docs):
     assert len(unknown) == 1 and 0.1 < unknown.pop() < 0.3
 
 
+def test_toxicity_neighbours_are_those_of_the_full_cosine(spark):
+    rnd = random.Random(7)
+    words = [f"{a}{b}{c}" for a in ("kal", "mor", "tib") for b in ("e", "una", "irod") for c in ("", "s", "ling", "ter")]
+    rows = [(k, " ".join(rnd.choices(words, k=rnd.randint(3, 25)) + [f"only{chr(97 + k % 26)}"])) for k in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)], "doc_id bigint, toxic int")
+    counts = {k: term_counts(t) for k, t in rows}
+    df = {}
+    for c in counts.values():
+        for t in c:
+            df[t] = df.get(t, 0) + 1
+    vectors = {}
+    for k, c in counts.items():
+        v = {t: (1 + math.log(n)) * (math.log((1 + len(rows)) / (1 + df[t])) + 1) for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        vectors[k] = {t: x / norm for t, x in v.items()}
+    examples = [k for k in range(120) if zlib.crc32(str(k).encode()) % 4 != 2]
+    for r in score_toxicity(docs, labels).collect():
+        own = vectors[r.doc_id]
+        cosine = {k: sum(x * vectors[k].get(t, 0.0) for t, x in own.items()) for k in examples if rows[k][1] != rows[r.doc_id][1]}
+        want = sorted((round(c, 9) for c in cosine.values() if c > 0), reverse=True)[:15]
+        assert len(r.evidence) == len(want)
+        assert np.allclose([cosine[k] for k in r.evidence], want, atol=1e-8)
+
+
 @here
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
