@@ -18,6 +18,8 @@ from millrace.llm.common import landed
 # fixed values: titles before names, by gender
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин", "Господин"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "госпожа", "Госпожа"]
+# what makes the value after it a secret, in any case
+LABEL = r"(?i:password|passwd|token|secret|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # kinds in the order in which the pattern tries them
 PATTERNS = {
@@ -31,13 +33,13 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     # what costs little is asked first: long look-behinds only where a value or a name can start
-    "secret": r"(?<=[=: \t\"'])(?=[A-Za-z0-9+/_-]{12})(?<=(?:password|passwd|token|secret|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1})[A-Za-z0-9+/_-]{12,}+",
+    "secret": rf"(?<=[=: \t\"'])(?=[A-Za-z0-9+/_-]{{12}})(?<={LABEL})[A-Za-z0-9+/_-]{{12,}}+",
     "name": rf"(?<=[ ])(?=\p{{Lu}})(?<=(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE)})\.?[ ])\p{{Lu}}[\p{{L}}]++(?:[ ]\p{{Lu}}[\p{{L}}]++){{0,2}}",
 }
 # what an entity can start with decides which kinds are tried; none starts within a word
 STARTS = {
-    r"[0-9(+]": ["email", "ip", "phone", "ssn", "card", "secret"],
-    r"[A-Za-z\p{Lu}]": ["email", "iban", "key", "secret", "name"],
+    r"[0-9(+]": ["email", "ip", "secret", "phone", "ssn", "card"],
+    r"[A-Za-z\p{Lu}]": ["email", "key", "secret", "iban", "name"],
     r"[._%/-]": ["email", "secret"],
 }
 ANY = "(?<![A-Za-z0-9])(?:{})".format(
@@ -53,17 +55,21 @@ MOST_ROUNDS = 40
 DRAWN_BYTES = 64
 
 
-def _kind(entity: Column) -> Column:
-    """The kind of a found string: the first pattern that could have found it, seen without its surroundings."""
+def _kind(entity: Column, labelled: Column) -> Column:
+    """The kind of a found string: the first format that it has as a whole, else a secret where it is labelled as one."""
     digits = F.regexp_replace(entity, "[^0-9]", "")
     return (
         F.when(entity.contains("@"), "email")
         .when(entity.rlike(rf"^(?:{OCTET}\.){{3}}{OCTET}$"), "ip")
         .when(entity.rlike(r"^AKIA[A-Z0-9]{16}$"), "key")
         .when(entity.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-        .when(entity.rlike(r"^[+(]|^[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}$"), "phone")
-        .when(entity.rlike(r"^[0-9](?:[ -]?[0-9]){12,18}$"), F.when(_luhn(digits) % 10 == 0, "card"))
+        .when(entity.rlike(f"^(?:{PATTERNS['phone']})$"), "phone")
+        .when(
+            entity.rlike(r"^[0-9](?:[ -]?[0-9]){12,18}$"),
+            F.when(_luhn(digits) % 10 == 0, "card").when(labelled, "secret"),
+        )
         .when(entity.rlike(r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$"), "iban")
+        .when(labelled, "secret")
         .when(entity.rlike(r"^\p{Lu}\p{L}+(?: \p{Lu}\p{L}+){0,2}$"), "name")
         .otherwise("secret")
     )
@@ -195,9 +201,12 @@ def _rendered(kind: Column, entity: Column, surrogate: Column) -> Column:
 
 def _pieces(rows: DataFrame) -> DataFrame:
     """One row per part of an entity (a name has several words): rid, at, part, kind, entity, canonical."""
-    found = rows.select("__rid", F.posexplode("__entities").alias("at", "found"), "__gaps")
-    found = found.withColumn("kind", _kind(F.col("found"))).where(F.col("kind").isNotNull())
+    found = rows.select("__rid", F.posexplode("__entities").alias("at", "found"), "__gaps", "__entities")
     before = F.element_at("__gaps", F.col("at") + 1)
+    # a label can be the end of the entity before
+    earlier = F.when(F.col("at") > 0, F.element_at("__entities", F.greatest(F.col("at"), F.lit(1)))).otherwise("")
+    labelled = F.concat(earlier, before).rlike(f"{LABEL}$")
+    found = found.withColumn("kind", _kind(F.col("found"), labelled)).where(F.col("kind").isNotNull())
     female = before.rlike(rf"(?:{'|'.join(FEMALE)})\.?[ ]$")
     words = F.when(F.col("kind") == "name", F.split("found", " ")).otherwise(F.array("found"))
     found = found.select("__rid", "at", "kind", female.alias("female"), F.size(words).alias("n"), F.posexplode(words).alias("part", "entity"))

@@ -224,6 +224,24 @@ def test_surrogates(spark):
     assert sorted(map(str, replace_personal_data(df, "key").collect())) == sorted(map(str, got.values()))
 
 
+def test_labelled_secrets(spark):
+    rows = [
+        (1, 'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B" end', "9233A8EC"),
+        (2, "Password: 1234567890123456 end", "1234567890123456"),
+        (3, "secret=1234567890123-abcdef end", "abcdef"),
+        (4, "Api_Key=+49123456789abcdef end", "abcdef"),
+        (5, "token: AB12CDEF3456GHIJ7890-klmnop end", "klmnop"),
+        (6, "1234567890123456 tokens end", None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, hidden string")
+    for r in replace_personal_data(df, "key").collect():
+        assert r.n_entities == (r.hidden is not None) and r.text.endswith(" end")
+        if r.hidden:
+            assert r.hidden not in r.text and len(r.text) == len(rows[r.doc_id - 1][1])
+        else:
+            assert r.text == rows[r.doc_id - 1][1]
+
+
 def test_toxicity_on_odd_rows(spark, docs):
     rows = [(k, ("you stupid idiot " if k % 5 == 0 else "good kind day ") + f"w{k} z{k % 7}") for k in range(400)]
     labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)], "doc_id bigint, toxic int")
