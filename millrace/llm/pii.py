@@ -45,6 +45,8 @@ STARTS = {
 ANY = "(?<![A-Za-z0-9])(?:{})".format(
     "|".join(f"(?={start})(?:{'|'.join(f'(?:{PATTERNS[k]})' for k in kinds)})" for start, kinds in STARTS.items())
 )
+# syllables of a made-up name at the first attempt; each further attempt has one more
+FEWEST = 5
 # fixed values: syllables of made-up names by script; the last of each row is for female first names
 SYLLABLES = {
     "latin": (["ba", "ro", "mi", "tel", "van", "sor", "lin", "dra", "ke", "no", "fa", "gri"], "ek", "ia"),
@@ -127,11 +129,11 @@ def _shaped(canonical: Column, drawn: Column, fixed_head: Column, fixed_tail: Co
     return F.array_join(F.transform(F.filter(F.split(canonical, ""), lambda c: c != ""), other), "")
 
 
-def _made_up_name(kind: Column, canonical: Column, drawn: Column) -> Column:
+def _made_up_name(kind: Column, canonical: Column, drawn: Column, size: int) -> Column:
     def of(script: str) -> Column:
         syllables, male, female = SYLLABLES[script]
         table = F.array(*[F.lit(s) for s in syllables])
-        parts = [F.element_at(table, _drawn(drawn, k) % len(syllables) + 1) for k in range(5)]
+        parts = [F.element_at(table, _drawn(drawn, k) % len(syllables) + 1) for k in range(size)]
         ending = F.when(kind == "female", female).when(kind == "male", male).otherwise("")
         return F.concat(*parts, ending)
 
@@ -142,9 +144,9 @@ def _made_up_name(kind: Column, canonical: Column, drawn: Column) -> Column:
     )
 
 
-def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
+def _surrogate(key: str, kind: Column, canonical: Column, attempt: int) -> Column:
     """The canonical surrogate of an entity: as long and of the same classes of characters where that is the format."""
-    seed = F.concat_ws("|", F.lit(key), kind, canonical, attempt.cast("string"))
+    seed = F.concat_ws("|", F.lit(key), kind, canonical, F.lit(str(attempt)))
     drawn = F.concat(F.sha2(F.concat(seed, F.lit("|a")), 256), F.sha2(F.concat(seed, F.lit("|b")), 256))
     none = F.lit(0)
     octets = [(_drawn(drawn, k) % 254 + 1).cast("string") for k in range(4)]
@@ -159,7 +161,7 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
         .when(kind == "phone", _shaped(canonical, drawn, F.when(canonical.startswith("+"), 2).otherwise(0), none))
         .when(kind == "iban", _shaped(canonical, drawn, F.lit(2), none))
         .when(kind == "key", _shaped(canonical, drawn, F.lit(4), none))
-        .when(kind.isin("male", "female", "last"), _made_up_name(kind, canonical, drawn))
+        .when(kind.isin("male", "female", "last"), _made_up_name(kind, canonical, drawn, FEWEST + attempt))
         .otherwise(_shaped(canonical, drawn, none, none))
     )
 
@@ -225,13 +227,13 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate), one row per distinct entity; no two share a surrogate, none is an entity.
 
     ``entities`` (kind, canonical) must be landed and distinct. A round keeps the draws that are free and
-    draws again for the others; rounds end when all are free. Where a kind has more entities than surrogates
+    draws again for the others, names with one syllable more; rounds end when all are free. Where a kind has more entities than surrogates
     of its format this raises.
     """
     settled, attempt = None, 0
     open_ = entities
     while True:
-        drawn = open_.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("canonical"), F.lit(attempt)))
+        drawn = open_.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("canonical"), attempt))
         drawn = drawn.withColumn("rank", F.lit(1))
         both = drawn if settled is None else drawn.unionByName(settled.withColumn("rank", F.lit(0)))
         first = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("rank", "canonical")) == 1

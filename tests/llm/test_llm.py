@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import compare, duck
-from millrace.llm import packing
+from millrace.llm import packing, pii
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix, mixed_rows
 from millrace.llm.neighbours import near_duplicate_vectors
@@ -242,6 +242,13 @@ def test_labelled_secrets(spark):
             assert r.text == rows[r.doc_id - 1][1]
 
 
+def test_names_never_run_out(spark, monkeypatch):
+    monkeypatch.setitem(pii.SYLLABLES, "latin", (["ba"], "ek", "ia"))
+    names = spark.createDataFrame([("last", n) for n in ("adams", "brown", "clark")], "kind string, canonical string")
+    got = pii.distinct_surrogates(names, "key").collect()
+    assert len(got) == len({r.surrogate for r in got}) == 3
+
+
 def test_toxicity_on_odd_rows(spark, docs):
     rows = [(k, ("you stupid idiot " if k % 5 == 0 else "good kind day ") + f"w{k} z{k % 7}") for k in range(400)]
     labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)], "doc_id bigint, toxic int")
