@@ -2,10 +2,13 @@
 
 Random hyperplanes put vectors into small blocks, whose members' nearest give every vector a first list of
 neighbours. NN-descent then refines the lists: vectors that name the same neighbour are compared with each
-other. A list of which every entry is a link is saturated; it may hold twice as many in the next round. The
-entries from the threshold on are the links; their components are gone through block against block, which
-gives exact link counts without pairs. Recall is audited against brute force for a bounded set of vectors,
-and rounds with new hyperplanes follow until the audit finds nothing missing.
+other. The entries from the threshold on are links, and their components are regions. A list holds a bounded
+number of links, so others may lead from region to region: new hyperplanes put vectors into buckets, in which
+each vector gets its best link to another region, until no pass joins any; as many tables are asked as a lone
+pair at the threshold needs to meet with a chance of ``RECALL``. Regions are then gone through block against
+block, which gives exact link counts without pairs. Links are audited against brute force for bounded sets of
+vectors with and without links; where some are missing, more passes follow, and below ``RECALL`` after these one
+that compares all vectors block against block.
 """
 
 from __future__ import annotations
@@ -28,8 +31,10 @@ BLOCK = 192
 CENTRES = 2048
 DESCENTS = 2
 ROUNDS = 3
-# vectors whose links are checked by brute force; they are broadcast
+# vectors with links, and as many without, whose links are checked by brute force; they are broadcast
 AUDITED = 256
+# the chance at which a lone pair of vectors at the threshold meets, and the audited share of links that is enough
+RECALL = 0.999
 LIST = "array<struct<sim: float, id: bigint>>"
 
 
@@ -122,7 +127,7 @@ def _round_centres(kind: str):
 
 
 def _merged(lists: DataFrame, threshold: float) -> DataFrame:
-    """One list per vector, best first; twice as long where all of it are links."""
+    """One list per vector, best first; up to four times as long where all of it are links."""
     every = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     every = every.select("id", F.sort_array("near", asc=False).alias("near"))
     links = F.size(F.filter("near", lambda x: x["sim"] >= threshold))
@@ -130,22 +135,37 @@ def _merged(lists: DataFrame, threshold: float) -> DataFrame:
     return every.select("id", F.slice("near", F.lit(1), keep).alias("near"))
 
 
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """Rows of groups of several ``blocks``, once for each pair (low, high) of blocks that their own (side) is part of."""
+    dealt = members.withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
+
+
 class _Graph:
     def __init__(self, vectors: DataFrame, kind: str, threshold: float):
         self.vectors, self.kind, self.threshold = vectors, kind, threshold
         self.count = vectors.count()
         self.lists: DataFrame | None = None
+        self.bridges: DataFrame | None = None
+        self.bits = max(1, math.ceil(math.log2(max(self.count, 2) / BLOCK)))
+        # one pass has TABLES tables; a pair at the threshold is on the same sides of all planes of one with chance ``meet``
+        meet = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** self.bits
+        tables = math.log(1 - RECALL) / math.log1p(-meet) if 0 < meet < 1 else 1.0
+        self.passes = max(1, math.ceil(tables / TABLES))
 
     def _add(self, found: DataFrame, name: str) -> None:
         found = landed(found, name)
         both = found if self.lists is None else self.lists.unionByName(found)
         self.lists = landed(_merged(both, self.threshold - 1e-6), "lists")
 
+    def _coded(self, vectors: DataFrame, bits: int, seed: int) -> DataFrame:
+        fields = "id bigint, body binary, tab int, code bigint, size int"
+        return vectors.mapInPandas(_coded(self.kind, bits, seed), fields)
+
     def start(self, seed: int) -> None:
         """Neighbours within blocks of vectors on the same sides of random hyperplanes."""
-        bits = max(1, math.ceil(math.log2(max(self.count, 2) / BLOCK)))
-        schema = "id bigint, body binary, tab int, code bigint, size int"
-        coded = landed(self.vectors.select("id", "body").mapInPandas(_coded(self.kind, bits, seed), schema), "coded")
+        coded = landed(self._coded(self.vectors.select("id", "body"), self.bits, seed), "coded")
         sizes = coded.groupBy("tab", "code", "size").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         sizes = landed(sizes, "block-counts")
         dealt = coded.join(sizes, ["tab", "code", "size"])
@@ -170,16 +190,36 @@ class _Graph:
     def links(self) -> DataFrame:
         edges = self.lists.select("id", F.explode("near").alias("to"))
         edges = edges.where(F.col("to.sim") >= self.threshold - 1e-6)
-        return landed(edges.select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct(), "links")
+        edges = edges.select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b"))
+        edges = edges if self.bridges is None else edges.unionByName(self.bridges)
+        return landed(edges.distinct(), "links")
+
+    def bridge(self, seed: int, whole: bool = False) -> bool:
+        """Add each vector's best link to another region within its buckets, or among all vectors; whether there was one."""
+        regions = landed(connected_components(self.links()).withColumnRenamed("node", "id"), "regions")
+        coded = self._coded(self.vectors.select("id", "body"), 0 if whole else self.bits, seed)
+        coded = coded.where("tab = 0") if whole else coded
+        coded = coded.join(regions, "id", "left").withColumn("region", F.coalesce("component", "id")).drop("component")
+        bucket = ["tab", "code", "size"]
+        coded = landed(coded, "coded")
+        sizes = coded.groupBy(*bucket).agg(
+            F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("region").alias("low"), F.max("region").alias("high")
+        )
+        sizes = landed(sizes.where("low < high").drop("low", "high"), "block-counts")
+        dealt = _block_pairs(coded.join(sizes, bucket))
+        found = dealt.groupBy(*bucket, "low", "high").applyInPandas(_across(self.kind, self.threshold), "a bigint, b bigint")
+        found = landed(found.distinct(), "bridges")
+        if found.isEmpty():
+            return False
+        self.bridges = found if self.bridges is None else landed(self.bridges.unionByName(found), "bridges")
+        return True
 
     def counted(self) -> DataFrame:
         """(id, n_links, component): links in double precision, counted within components of the lists' links."""
         labels = landed(connected_components(self.links()).withColumnRenamed("node", "id"), "regions")
         members = landed(labels.join(self.vectors, "id"), "members")
         sizes = landed(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
-        dealt = members.join(sizes, "component").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
+        dealt = _block_pairs(members.join(sizes, "component"))
         counts = dealt.groupBy("component", "low", "high").applyInPandas(
             _counts(self.kind, self.threshold), "id bigint, n bigint, least bigint"
         )
@@ -191,12 +231,34 @@ class _Graph:
 
     def audit(self, counted: DataFrame) -> tuple[int, int]:
         """Links found and true links of the audited vectors."""
-        sample = self.vectors.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(AUDITED).collect()
+        known = self.vectors.join(counted.select("id", "n"), "id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        parts = [known.where(c).orderBy(F.xxhash64("id", F.lit(5)), "id").limit(AUDITED) for c in ("n > 0", "n = 0")]
+        sample = [r for part in parts for r in part.select("id", "body", "n").collect()]
         held = self.vectors.sparkSession.sparkContext.broadcast([(r.id, bytes(r.body)) for r in sample])
         true = self.vectors.mapInPandas(_brute(held, self.kind, self.threshold), "id bigint, n bigint")
-        true = true.groupBy("id").agg(F.sum("n").alias("true"))
-        got = true.join(counted.select("id", "n"), "id", "left").agg(F.sum("n").alias("n"), F.sum("true").alias("t")).first()
-        return got.n or 0, got.t or 0
+        true = true.agg(F.sum("n").alias("t")).first().t
+        return sum(r.n for r in sample), true or 0
+
+
+def _across(kind: str, threshold: float):
+    """For the vectors of the one block of each of the other, the best link to another region."""
+
+    def run(unit: pd.DataFrame) -> pd.DataFrame:
+        ids, region = unit["id"].to_numpy(np.int64), unit["region"].to_numpy(np.int64)
+        side, low, high = unit["side"].to_numpy(), unit["low"].iloc[0], unit["high"].iloc[0]
+        out = []
+        if (region != region[0]).any():
+            x = _matrix(unit["body"], kind)
+            a, b = np.flatnonzero(side == low), np.flatnonzero(side == high)
+            for one, other in ((a, b), (b, a)) if len(a) and len(b) else ():
+                sims = np.where(region[one][:, None] != region[other][None, :], x[one] @ x[other].T, -2)
+                best = sims.argmax(axis=1)
+                linked = sims[np.arange(len(one)), best] >= threshold
+                p, q = ids[one[linked]], ids[other[best[linked]]]
+                out.append(pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q)}))
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+
+    return run
 
 
 def _counts(kind: str, threshold: float):
@@ -241,7 +303,7 @@ def near_duplicate_vectors(
     Two vectors are linked where their cosine in double precision is at least ``threshold``. Vectors that are
     null, empty, zero, or hold a null, NaN or infinity are linked with nothing, nor are vectors of different
     length with each other. Equal vectors are one vector with several ids. Rows that repeat an id count
-    once. A null id gives null component_id and kept. ``recall`` is the audited one. Other columns are not
+    once. A null id gives null component_id and kept. ``recall`` is the audited one, null without links. Other columns are not
     read. An empty table gives an empty result.
     """
     spark = table.sparkSession
@@ -255,14 +317,20 @@ def near_duplicate_vectors(
     joined = usable.join(copies, "digest")
     vectors = landed(joined.where("id = first").select("id", "body", "copies"), "vectors")
 
-    graph, found, true = _Graph(vectors, kind, threshold), 0, 0
-    for round_ in range(ROUNDS):
-        graph.start(round_)
-        for _ in range(DESCENTS):
-            graph.descend()
+    graph = _Graph(vectors, kind, threshold)
+    graph.start(0)
+    for _ in range(DESCENTS):
+        graph.descend()
+    seed = 0
+    for round_ in range(ROUNDS + 1):
+        # as many passes in a row as the tables need, none of which found a link between two regions
+        quiet = 0
+        while quiet < (1 if round_ == ROUNDS else graph.passes):
+            seed += 1
+            quiet = 0 if graph.bridge(seed, whole=round_ == ROUNDS) else quiet + 1
         counted = graph.counted()
         found, true = graph.audit(counted)
-        if found == true:
+        if found == true or round_ == ROUNDS - 1 and found >= RECALL * true:
             break
     firsts = vectors.select("id", "copies").join(counted, "id", "left").select(
         F.col("id").alias("first"),
@@ -277,5 +345,5 @@ def near_duplicate_vectors(
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
         (F.coalesce("component_id", "id") == F.col("id")).alias("kept"),
-        F.lit(found / true if true else 1.0).alias("recall"),
+        F.lit(found / true if true else None).cast("double").alias("recall"),
     )

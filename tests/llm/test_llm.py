@@ -186,6 +186,37 @@ def test_vectors_on_odd_rows(spark):
     assert all(got[k] == (0, k, True) for k in (3, 4, 5, 6, 8, 9)) and got[None] == (0, None, None)
 
 
+def test_vectors_against_brute_force(spark):
+    """Tight groups of over 48 vectors with weaker links across, and lone pairs, among many vectors."""
+    rng = np.random.default_rng(4)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def beside(x, cosine):
+        y = rng.standard_normal(x.shape)
+        y = unit(y - (y * x).sum(axis=-1, keepdims=True) * x)
+        return cosine * x + math.sqrt(1 - cosine * cosine) * y
+
+    centre = unit(rng.standard_normal((1, 32)))
+    second = beside(centre, 0.957)
+    groups = [beside(np.repeat(c, 150, axis=0), 0.9995) for c in (centre, second)]
+    alone = unit(rng.standard_normal((3000, 32)))
+    x = np.concatenate([*groups, alone, beside(alone[:400], 0.952)]).astype(np.float32)
+    rows = [(k, v) for k, v in enumerate(x.tolist())]
+    got = near_duplicate_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).collect()
+
+    y = unit(x.astype(np.float64))
+    linked = y @ y.T >= 0.95
+    np.fill_diagonal(linked, False)
+    top = np.arange(len(x))
+    for _ in range(20):
+        top = np.minimum(top, np.where(linked, top[None, :], len(x)).min(axis=1))
+    assert linked[:150, 150:300].any() and (top[:300] == 0).all()
+    wrong = sum((r.n_links, r.component_id) != (linked[r.vec_id].sum(), top[r.vec_id]) for r in got)
+    assert len(got) == len(x) and wrong == 0 and got[0].recall == 1.0
+
+
 def test_suffix_order():
     rnd = random.Random(1)
     data = bytes(rnd.choice(b"ab") for _ in range(400))
