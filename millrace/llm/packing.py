@@ -2,9 +2,11 @@
 
 Documents become token ids and pieces of at most ``limit`` tokens in one pass. The pieces, small rows
 without text, are dealt into chunks of about ``CHUNK`` and every chunk is packed in a task. Best fit
-decreasing gives the first solution; where it needs more sequences than the lower bound, a branch and bound
-search fills the sequence around the largest piece with undominated sets, pruned by the waste that an
-improvement may still have. Chunks cost at most one part-filled sequence each against a packing at once.
+decreasing gives the first solution. Where it needs more sequences than the lower bound, a second one fills each
+sequence around the largest piece left as far as a spread of the others can, for all pieces and for the shorter
+ones apart from the longer, and the best of these stands. Its wasteful
+sequences are then gone through in groups of some hundred pieces: a branch and bound search fills the sequence
+around the largest piece with undominated sets, pruned by the waste that an improvement may still have. Chunks cost at most one part-filled sequence each against a packing at once.
 """
 
 from __future__ import annotations
@@ -22,8 +24,13 @@ from millrace.llm.common import landed, ship_package
 from millrace.llm.tokens import encoder, slices
 
 CHUNK = 16_384
-# search steps for one chunk; when they are used up the best packing found so far stands
+# search steps for one chunk, shared out over its groups by their pieces; when a group has used up its own the
+# best packing found so far stands
 STEPS = 20_000
+# pieces that one sequence is filled from, and that are searched at a time
+GROUP = 256
+# the most splits into short and long pieces that are tried
+SPLITS = 12
 PIECES = "__id {id}, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 
 
@@ -138,20 +145,79 @@ class _Search:
         return None
 
 
-def bin_completion(lengths: list[int], capacity: int, steps: int = STEPS) -> list[list[int]]:
-    """Bins of indexes into ``lengths`` (each 1 to capacity), never more than best fit decreasing needs."""
-    best, least = best_fit(lengths, capacity), lower_bound(lengths, capacity)
+def least_slack(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Bins of indexes: the largest piece left, and of GROUP others spread over all lengths left the set of greatest sum."""
+    left = sorted(range(len(lengths)), key=lambda i: (lengths[i], -i))
+    bins: list[list[int]] = []
+    while left:
+        top = left.pop()
+        room = capacity - lengths[top]
+        mask, n = (1 << (room + 1)) - 1, min(GROUP, len(left))
+        places = [k * len(left) // n for k in range(n)][::-1]
+        # bit r of sums[k] is set where some of the first k pieces have the sum r
+        sums = [1]
+        for at in places:
+            sums.append((sums[-1] | sums[-1] << lengths[left[at]]) & mask)
+            if sums[-1] >> room:
+                break
+        total, taken = sums[-1].bit_length() - 1, []
+        for k in range(len(sums) - 1, 0, -1):
+            if not sums[k - 1] >> total & 1:
+                taken.append(places[k - 1])
+                total -= lengths[left[places[k - 1]]]
+        bins.append([top, *[left.pop(at) for at in sorted(taken, reverse=True)]])
+    return bins
+
+
+def split_fit(lengths: list[int], capacity: int, shorter: int) -> list[list[int]]:
+    """Bins of indexes: least slack among the shorter pieces alone, so that many go together, best fit for the others."""
+    order = sorted(range(len(lengths)), key=lambda i: (lengths[i], i))
+    bins: list[list[int]] = []
+    for part, pack in ((order[:shorter], least_slack), (order[shorter:], best_fit)):
+        bins += [[part[k] for k in one] for one in pack([lengths[i] for i in part], capacity)]
+    return bins
+
+
+def _searched(lengths: list[int], capacity: int, best: list[list[int]], steps: int) -> list[list[int]]:
+    """Bins of the same indexes, fewer where the search finds so."""
+    members = [k for one in best for k in one]
+    sizes = [lengths[k] for k in members]
+    least = lower_bound(sizes, capacity)
     while len(best) > least:
-        found = _Search(lengths, capacity, len(best), steps).run()
+        found = _Search(sizes, capacity, len(best), steps).run()
         if found is None:
             break
         by_length: dict[int, list[int]] = {}
-        for k, x in enumerate(lengths):
-            by_length.setdefault(x, []).append(k)
+        for k in members:
+            by_length.setdefault(lengths[k], []).append(k)
         best = [[by_length[x].pop() for x in one] for one in found]
     return best
 
 
+def bin_completion(lengths: list[int], capacity: int, steps: int = STEPS) -> list[list[int]]:
+    """Bins of indexes into ``lengths`` (each 1 to capacity), never more than best fit decreasing needs."""
+    best, least = best_fit(lengths, capacity), lower_bound(lengths, capacity)
+    if len(best) > least:
+        # more splits where there is more to win
+        splits = min(SPLITS, len(best) - least)
+        shorter = [len(lengths) * (SPLITS - k) // SPLITS for k in range(0, SPLITS, -(-SPLITS // splits))]
+        best = min([best, *[split_fit(lengths, capacity, n) for n in shorter]], key=len)
+    if len(best) == least or len(lengths) <= GROUP:
+        return _searched(lengths, capacity, best, steps)
+    # the most wasteful bins first; full ones stay
+    best.sort(key=lambda one: sum(lengths[k] for k in one))
+    done: list[list[int]] = []
+    while best and len(done) + len(best) > least:
+        group: list[list[int]] = []
+        while best and sum(map(len, group)) + len(best[0]) <= max(GROUP, len(best[0])):
+            group.append(best.pop(0))
+        if sum(lengths[k] for k in group[0]) == capacity:
+            best = group + best
+            break
+        done += _searched(lengths, capacity, group, max(1, steps * sum(map(len, group)) // len(lengths)))
+    return done + best
+
+
 def _cut(path: str, end_id: int, limit: int, with_ids: bool):
     end = np.asarray([end_id], dtype="<u4").tobytes()
 

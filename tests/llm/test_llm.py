@@ -118,6 +118,16 @@ def test_bin_completion_beats_best_fit():
     assert len(bin_completion(lengths, 100)) == 2
 
 
+@pytest.mark.parametrize("low, high", [(1000, 2100), (700, 1500)])
+def test_bin_completion_of_many_pieces(low, high):
+    rnd = random.Random(low)
+    lengths = [rnd.randint(low, high) for _ in range(10_000)]
+    bins = bin_completion(lengths, 4096)
+    assert sorted(k for b in bins for k in b) == list(range(10_000))
+    assert all(sum(lengths[k] for k in b) <= 4096 for b in bins)
+    assert lower_bound(lengths, 4096) <= len(bins) < 0.99 * len(best_fit(lengths, 4096))
+
+
 def test_packing_is_gapless(docs):
     got = pack_documents(docs, TOKENIZER, limit=64, with_ids=True).collect()
     ends = {}
