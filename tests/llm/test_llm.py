@@ -227,6 +227,11 @@ def test_vectors_against_brute_force(spark):
     assert len(got) == len(x) and wrong == 0 and got[0].recall == 1.0
 
 
+def test_recall_without_links(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<float>")
+    assert [r.recall for r in near_duplicate_vectors(df).collect()] == [None, None]
+
+
 def test_suffix_order():
     rnd = random.Random(1)
     data = bytes(rnd.choice(b"ab") for _ in range(400))
