@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.audit import audit_filters
 from millrace.llm.common import byte_count
+from millrace.llm.infill import fill_in_middle, restored
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix
 from millrace.llm.neighbours import near_duplicate_vectors
@@ -19,8 +21,10 @@ from millrace.llm.sharding import shard
 from millrace.llm.suffixes import remove_repeats
 from millrace.llm.tokens import count_tokens
 from millrace.llm.toxicity import score_toxicity
+from millrace.llm.windows import pack_windows
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -243,3 +247,89 @@ SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
 FROM d LEFT JOIN z USING (doc_id)
 """
+
+
+@query("op11_filter_audit")
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, good, toxic,
+         CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY x) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f GROUP BY 1, 2
+), o AS (
+  SELECT '' AS o
+  UNION ALL
+  SELECT o || letter FROM o, unnest(['A', 'B', 'C', 'D', 'E']) AS t(letter) WHERE NOT contains(o, letter)
+), s AS (
+  SELECT o AS filter_order, step, substr(o, step, 1) AS letter, substr(o, 1, step - 1) AS before
+  FROM o, range(1, 6) AS r(step) WHERE length(o) = 5
+), m AS (  -- translate leaves what a text fails besides the filters before
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN translate(fails, before || letter, '') = fails THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, before, '') = fails THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, before, '') <> fails THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, before, '') = fails THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN contains(fails, letter) AND translate(fails, before, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM m
+"""
+
+
+@query("op12_windows")
+def op12_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_windows(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+@query("op13_fill_in_middle")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(_table(spark, sf_dir, "documents"))
+    digests = [
+        F.sha2(F.col("output"), 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    ]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS x, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, x, length(x)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+), f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), o AS (
+  SELECT *, CASE form WHEN 'plain' THEN x
+                 WHEN 'psm' THEN '<P>' || x[1:a] || '<S>' || x[b + 1:] || '<M>' || x[a + 1:b]
+                 ELSE '<S>' || x[b + 1:] || '<P>' || x[1:a] || '<M>' || x[a + 1:b] END AS y FROM f
+), p AS (
+  SELECT *, instr(y, '<P>') AS p, instr(y, '<S>') AS s, instr(y, '<M>') AS m FROM o
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars, sha256(y) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN y
+                   WHEN 'psm' THEN y[p + 3:s - 1] || y[m + 3:] || y[s + 3:m - 1]
+                   ELSE y[p + 3:m - 1] || y[m + 3:] || y[s + 3:p - 1] END) AS restored_sha256
+FROM p
+"""
