@@ -102,7 +102,7 @@ def customer_chain_account(spark, sf_dir):
 @query("snapshot_chain")
 def customer_chain_snapshots(spark, sf_dir):
     hub = _customer_run(spark, sf_dir)
-    log = spark.read.parquet(hub.path("lv1", "address_master_log"))
+    log = read_snapshots(spark, hub.path("lv1", "address_master_log"))
     return log.groupBy("logging_dt").agg(
         F.count("*").alias("n_addresses"), F.count("accuracy").alias("n_found"), F.max("seq").alias("top_seq")
     )

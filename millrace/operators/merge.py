@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleaning import blank_to_null, strip_nul
-from millrace.operators.skew import hot_hashes_each, join_unique
+from millrace.operators.skew import join_unique
+from millrace.session import land
+
+# rows and key characters of missing parents that may be broadcast; more take joins that shuffle
+FEW_MISSING = 200_000
+FEW_CHARACTERS = 16 << 20
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -24,7 +29,7 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     return ranked.where(F.col("__rank") == 1).drop("__rank")
 
 
-def _same_key(keys: Sequence[str], prefix: str) -> Column:
+def same_key(keys: Sequence[str], prefix: str) -> Column:
     """Equal keys, where null is a key value like any other: the rule of all merges."""
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
@@ -39,7 +44,7 @@ def upsert_by_key(
     """
     newest = newest_per_key(updates, keys, order_cols) if order_cols else updates
     known = newest.select(*[F.col(k).alias(f"__new_{k}") for k in keys])
-    kept = target.join(known, _same_key(keys, "__new_"), "left_anti")
+    kept = target.join(known, same_key(keys, "__new_"), "left_anti")
     incoming = newest.select(
         *[
             F.col(f.name).cast(f.dataType) if f.name in newest.columns else F.lit(None).cast(f.dataType).alias(f.name)
@@ -49,6 +54,31 @@ def upsert_by_key(
     return kept.select(*target.columns).unionByName(incoming)
 
 
+class ShrunkLoad(Exception):
+    """A full copy that is far smaller than the last one, so what it lacks is no proof of deletion."""
+
+
+def check_load(rows: int, before: int | None, least_share: float = 0.5) -> None:
+    """Refuse a full copy with less than ``least_share`` of the last one's rows."""
+    if before and rows < least_share * before:
+        raise ShrunkLoad(f"{rows} rows after {before}")
+
+
+def source_deletes(previous: DataFrame, copy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Tombstones: the keys of the last full copy that the new one no longer has, once each.
+
+    Null is a key value like any other. Only key columns are read and shuffled.
+    """
+    now = copy.select(*[F.col(k).alias(f"__now_{k}") for k in keys]).distinct()
+    return previous.select(*keys).distinct().join(now, same_key(keys, "__now_"), "left_anti")
+
+
+def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key is not in ``gone``; null is a key value like any other."""
+    gone = gone.select(*[F.col(k).alias(f"__gone_{k}") for k in keys])
+    return df.join(gone, same_key(keys, "__gone_"), "left_anti").select(*df.columns)
+
+
 def to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
     """Cast to a fixed schema: missing columns become null, extra ones go.
 
@@ -71,12 +101,26 @@ def daily_refresh(
     keys: Sequence[str],
     order_cols: Sequence[str],
     strict: bool = True,
+    tombstones: DataFrame | None = None,
 ) -> DataFrame:
-    """Raw rows to the clean layer: clean text, cast, newest row per key, upsert into the current table."""
+    """Raw rows to the clean layer: clean text, cast, newest row per key, upsert into the current table.
+
+    ``tombstones`` are raw keys that the source has deleted (``source_deletes``). They are cleaned like the rows, and
+    the current table loses them, unless the raw rows have the key again.
+    """
     clean = to_schema(blank_to_null(strip_nul(raw)), schema, strict)
     if current is None:
         return newest_per_key(clean, keys, order_cols)
-    return upsert_by_key(to_schema(current, schema), clean, keys, order_cols)
+    current = to_schema(current, schema)
+    if tombstones is not None:
+        current = without_keys(current, clean_keys(tombstones, schema, keys), keys)
+    return upsert_by_key(current, clean, keys, order_cols)
+
+
+def clean_keys(raw_keys: DataFrame, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """Raw keys as the clean layer has them."""
+    fields = T.StructType([f for f in schema.fields if f.name in keys])
+    return to_schema(blank_to_null(strip_nul(raw_keys)), fields, strict=False).distinct()
 
 
 def reverse_sync(
@@ -103,7 +147,7 @@ def publish_delta(
         .otherwise(F.lit("update"))
     )
     old = old.withColumnsRenamed({k: f"__key_{k}" for k in keys})
-    joined = source.join(old, _same_key(keys, "__key_"), "left").withColumn("action", action)
+    joined = source.join(old, same_key(keys, "__key_"), "left").withColumn("action", action)
     return joined.select(*source.columns, "action")
 
 
@@ -144,9 +188,63 @@ def unmatched_rows(
     return join_unique(child, keys, columns, "left_anti", hot, unique=True).select(*child.columns)
 
 
-def with_parents(child: DataFrame, parents: Sequence[tuple[DataFrame, str | Mapping[str, str]]]) -> DataFrame:
-    """Children that have all their parents. The hot keys for all of them are found in one pass over ``child``."""
-    hot = hot_hashes_each(child, [[on] if isinstance(on, str) else list(on) for _, on in parents])
-    for (parent, on), found in zip(parents, hot):
-        child = publish_children(child, parent, on, found)
-    return child
+Parents = Sequence[tuple[DataFrame, str | Mapping[str, str]]]
+
+
+def _pairs(on: str | Mapping[str, str]) -> dict[str, str]:
+    return {on: on} if isinstance(on, str) else dict(on)
+
+
+def _key_text(df: DataFrame, columns: Sequence[str], types: Sequence[T.DataType]) -> Column:
+    """Key columns as one text, the same for equal values; null where one of them is null."""
+    texts = [F.col(c).cast(t).cast("string") for c, t in zip(columns, types)]
+    return F.when(reduce(lambda a, b: a & b, [t.isNotNull() for t in texts]), F.to_json(F.array(*texts)))
+
+
+def missing_parents(child: DataFrame, parents: Parents) -> DataFrame:
+    """The keys in ``child`` that have no parent, for all parents at once: which (number of the parent), key.
+
+    Keys of all parents are taken from a row together and made distinct before they are shuffled, so the child's
+    other columns and its repeated keys stay where they are. Null keys are not listed: they never have a parent.
+    """
+    texts, tagged = [], None
+    for number, (parent, on) in enumerate(parents):
+        pairs = _pairs(on)
+        types = [child.schema[c].dataType for c in pairs]
+        texts.append(F.struct(F.lit(number).alias("which"), _key_text(child, list(pairs), types).alias("key")))
+        keys = parent.select(F.lit(number).alias("which"), _key_text(parent, list(pairs.values()), types).alias("key"))
+        tagged = keys if tagged is None else tagged.unionByName(keys)
+    wanted = child.select(F.inline(F.array(*texts))).where(F.col("key").isNotNull()).distinct()
+    return wanted.join(tagged.distinct(), ["which", "key"], "left_anti")
+
+
+def split_by_parents(child: DataFrame, parents: Parents) -> tuple[DataFrame, DataFrame]:
+    """Children that have all their parents, and those that lack one.
+
+    The missing keys are found in one pass (``missing_parents``) and landed. While they are few, the child is
+    filtered by broadcasts of them and never shuffled; many of them take one shuffled join per parent.
+    """
+    parents = list(parents)
+    if not parents:
+        return child, child.limit(0)
+    missing = land(missing_parents(child, parents), "missing")
+    got = missing.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("key")), F.lit(0)).alias("size")).first()
+    few = got.n <= FEW_MISSING and got.size <= FEW_CHARACTERS
+    marked, lacking = child, []
+    for number, (_, on) in enumerate(parents):
+        columns = list(_pairs(on))
+        key, gone = f"__key_{number}", f"__gone_{number}"
+        marked = marked.withColumn(key, _key_text(child, columns, [child.schema[c].dataType for c in columns]))
+        found = missing.where(F.col("which") == number).select(F.col("key").alias(key), F.lit(True).alias(gone))
+        if few:
+            marked = marked.join(F.broadcast(found), key, "left")
+        else:
+            marked = join_unique(marked, found, key, "left", unique=True)
+        lacking.append(F.col(gone).isNotNull() | F.col(key).isNull())
+    lacks = reduce(lambda a, b: a | b, lacking)
+    return marked.where(~lacks).select(*child.columns), marked.where(lacks).select(*child.columns)
+
+
+def with_parents(child: DataFrame, parents: Parents) -> DataFrame:
+    """Children that have all their parents."""
+    return split_by_parents(child, parents)[0]

@@ -21,12 +21,16 @@ from millrace.operators.conform import conform_union
 from millrace.operators.ledger import readiness
 from millrace.operators.merge import (
     changed_rows,
+    check_load,
+    clean_keys,
     daily_refresh,
     publish_delta,
     reverse_sync,
-    unmatched_rows,
+    source_deletes,
+    split_by_parents,
     upsert_by_key,
     with_parents,
+    without_keys,
 )
 from millrace.plans.catalog import (
     FEEDS,
@@ -42,8 +46,9 @@ from millrace.plans.catalog import (
 )
 from millrace.schemas import ADDRESS_MASTER, DAG_LOG, DEPENDENCY_MANAGER, PARTITION_MANAGER, PUBLIC_INSTITUTION
 from millrace.session import land
-from millrace.sinks.snapshots import drop_expired, write_snapshot
-from millrace.sinks.tables import drop_runs, merge_partitions, path_exists, read_run, replace_table, write_run
+from millrace.sinks import versions
+from millrace.sinks.snapshots import drop_expired, drop_expired_days, keep_days_of, replace_day
+from millrace.sinks.tables import path_exists, replace_table
 from millrace.sources.payloads import json_pages, strict_json_pages, xml_pages
 
 
@@ -64,31 +69,45 @@ class Hub:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    # raw layer: replaced every day
+    @property
+    def label(self) -> str:
+        return self.run_date.isoformat()
+
+    # raw layer: replaced every day; the copy before stays, to tell what the source has deleted
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("lv0", table))
+        """The last copy up to this business date."""
+        found = versions.read(self.spark, self.path("lv0", table), self.label)
+        if found is None:
+            raise NotReady(f"{table} has not been loaded")
+        return found
+
+    def tombstones(self, table: str) -> DataFrame | None:
+        """Raw keys that the source has deleted, with the date of the copy that lacked them first."""
+        return versions.read(self.spark, self.path("lv0", f"{table}_deleted"))
 
-    # other layers: every state of a table has a directory of its own
+    # other layers: a version per run, which shares with the one before what it did not change
 
     def table(self, layer: str, table: str) -> DataFrame | None:
         """The table as of this business date."""
-        return read_run(self.spark, self.path(layer, table), on=self.run_date)
+        return versions.read(self.spark, self.path(layer, table), self.label)
+
+    def write(self, layer: str, table: str, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+        """A whole table; one with ``keys`` takes changes later (``publish``)."""
+        versions.replace(df, self.path(layer, table), self.label, keys)
+        return self._kept(layer, table)
 
-    def write(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        path = self.path(layer, table)
-        write_run(df, path, self.run_date)
-        drop_runs(self.spark, path, self.keep_runs)
+    def _kept(self, layer: str, table: str) -> DataFrame:
+        versions.vacuum(self.spark, self.path(layer, table), self.keep_runs)
         return self.table(layer, table)
 
-    # address table: every run of an owner adds its new rows as one partition
+    # address table: every run of an owner adds its new rows as one part
 
     def addresses(self, except_added: str | None = None) -> DataFrame:
-        path = self.path("lv1", "address_master")
         schema = T.StructType([*ADDRESS_MASTER.fields, T.StructField("added", T.StringType())])
-        if not path_exists(self.spark, path):
+        table = versions.read(self.spark, self.path("lv1", "address_master"))
+        if table is None:
             return self.spark.createDataFrame([], schema)
-        table = self.spark.read.schema(schema).parquet(path)
         return table if except_added is None else table.where(F.col("added") != except_added)
 
     # ledger
@@ -122,8 +141,18 @@ class Hub:
             raise NotReady(step)
 
 
-def load_raw(hub: Hub, source: SourceTable, frame: DataFrame, key: Column | bytes | None = None) -> None:
-    """A source table into the raw layer, as the catalogue says: columns, decryption, NUL cleaning."""
+def load_raw(
+    hub: Hub,
+    source: SourceTable,
+    frame: DataFrame,
+    key: Column | bytes | None = None,
+    keys: Sequence[str] = (),
+) -> None:
+    """A source table into the raw layer, as the catalogue says: columns, decryption, NUL cleaning.
+
+    With ``keys`` the copy is compared with the one of the business date before. Keys that are gone become tombstones
+    of this date; a copy of less than half the rows is refused (``ShrunkLoad``) and the last one stays.
+    """
     if source.columns is not None:
         frame = frame.select(*source.columns)
     if source.decrypt:
@@ -132,7 +161,17 @@ def load_raw(hub: Hub, source: SourceTable, frame: DataFrame, key: Column | byte
         frame = decrypt_columns(frame, dict(source.decrypt), key)
     if source.strip_nul:
         frame = strip_nul(frame)
-    replace_table(frame, hub.path("lv0", source.raw_name))
+    spark, path = hub.spark, hub.path("lv0", source.raw_name)
+    before = (hub.run_date - timedelta(days=1)).isoformat()
+    last = versions.version(spark, path, before) if keys else None
+    rows_before = last.rows if last is not None else None
+    versions.replace(frame, path, hub.label, check=lambda rows: check_load(rows, rows_before))
+    if last is not None:
+        gone = source_deletes(versions.read(spark, path, before), hub.raw(source.raw_name), keys)
+        gone = gone.withColumn("deleted_on", F.lit(hub.label))
+        versions.replace_parts(gone, f"{path}_deleted", "deleted_on", parts=[hub.label])
+        versions.vacuum(spark, f"{path}_deleted", 1)
+    versions.vacuum(spark, path, max(2, hub.keep_runs))
     hub.complete(source.step(LOAD))
 
 
@@ -150,7 +189,9 @@ def parse_feed(feed: Feed, payloads: DataFrame) -> DataFrame:
 
 def load_feed(hub: Hub, feed: Feed, payloads: DataFrame) -> None:
     """Landed pages of a public feed into the raw layer."""
-    replace_table(parse_feed(feed, payloads), hub.path("lv0", feed.name))
+    path = hub.path("lv0", feed.name)
+    versions.replace(parse_feed(feed, payloads), path, hub.label)
+    versions.vacuum(hub.spark, path, hub.keep_runs)
     hub.complete(feed.step)
 
 
@@ -163,16 +204,25 @@ def refresh(
     raw: DataFrame | None = None,
 ) -> DataFrame:
     """Raw to clean layer. ``raw`` replaces the raw table where another operator comes first
-    (``code_master``, ``extend_contract``)."""
+    (``code_master``, ``extend_contract``). Rows that the source has deleted go."""
     step = source.step(REFRESH)
     hub.require(step)
     rows = hub.raw(source.raw_name) if raw is None else raw
-    clean = daily_refresh(rows, hub.table("lv1", source.clean_name), schema, keys, order_cols)
+    gone = hub.tombstones(source.raw_name)
+    clean = daily_refresh(rows, hub.table("lv1", source.clean_name), schema, keys, order_cols, tombstones=gone)
     clean = hub.write("lv1", source.clean_name, clean)
     hub.complete(step)
     return clean
 
 
+def deleted_keys(hub: Hub, source: SourceTable, clean: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys that the source has deleted and the clean table no longer has."""
+    gone = hub.tombstones(source.raw_name)
+    if gone is None:
+        return None
+    return without_keys(clean_keys(gone, clean.schema, keys), clean, keys)
+
+
 def conform_institutions(hub: Hub, step: str) -> DataFrame:
     """The five feeds as one institution table."""
     hub.require(step)
@@ -198,16 +248,18 @@ def resolve_addresses(
     new = resolve_new_addresses(owners, known, dictionary, hub.at, given=given)
     left_over = given.join(land(new, "new-addresses").select("legacy_address"), "legacy_address", "left_anti")
     new = new.unionByName(left_over.select(*new.columns))
-    replace_table(new, f"{hub.path('lv1', 'address_master')}/added={added}")
+    path = hub.path("lv1", "address_master")
+    versions.replace_parts(new.withColumn("added", F.lit(added)), path, "added")
+    versions.vacuum(hub.spark, path, hub.keep_runs)
     for step in steps:
         hub.complete(step)
     return hub.addresses()
 
 
 def retry_addresses(hub: Hub, dictionary: DataFrame) -> DataFrame:
-    """Look up the stored misses again; rewrites the partitions where one is found now."""
-    found = land(retry_markers(hub.addresses(), dictionary, hub.at), "retried")
-    merge_partitions(hub.spark, hub.path("lv1", "address_master"), found, ["legacy_address", "added"], "added")
+    """Look up the stored misses again; rewrites the parts where one is found now."""
+    found = retry_markers(hub.addresses(), dictionary, hub.at)
+    versions.apply_changes(hub.spark, hub.path("lv1", "address_master"), found, keys=["legacy_address", "added"])
     return hub.addresses()
 
 
@@ -218,41 +270,65 @@ def publish(
     keys: Sequence[str],
     compare_cols: Sequence[str],
     parents: Sequence[tuple[DataFrame, str | Mapping[str, str]]] = (),
+    deleted: DataFrame | None = None,
 ) -> DataFrame:
     """Bring a published table up to date: rows with published parents, changed rows only.
 
-    Without a change nothing is written.
+    Only the buckets that a changed row or one of the keys in ``deleted`` falls into are written; without a change
+    nothing is. A table that was written without these keys is laid out by them first.
     """
     if parents:
         source = with_parents(land(source, "source"), parents)
     published = hub.table("hc", name)
     if published is None:
-        return hub.write("hc", name, source)
-    changes = land(changed_rows(publish_delta(source, published, keys, compare_cols)), "changes")
-    if changes.isEmpty():
+        return hub.write("hc", name, source, keys)
+    spark, path = hub.spark, hub.path("hc", name)
+    changes = changed_rows(publish_delta(source, published, keys, compare_cols))
+    if versions.version(spark, path, hub.label).keys != tuple(keys):
+        changes = land(changes, "changes")
+        if deleted is not None:
+            published = without_keys(published, deleted, keys)
+        elif changes.isEmpty():
+            return published
+        return hub.write("hc", name, upsert_by_key(published, changes, keys), keys)
+    if not versions.apply_changes(spark, path, changes, deleted, hub.label, hub.label):
         return published
-    return hub.write("hc", name, upsert_by_key(published, changes, keys))
+    return hub._kept("hc", name)
 
 
 def delete_orphans(
     hub: Hub, name: str, parents: Sequence[tuple[DataFrame, str | Mapping[str, str]]]
 ) -> DataFrame | None:
-    """Drop published rows whose parents are gone. Without such rows nothing is written."""
+    """Drop published rows whose parents are gone. Without such rows nothing is written, with some only the buckets
+    they are in; a table without keys is written whole."""
     table = hub.table("hc", name)
     if table is None:
         return None
-    if all(unmatched_rows(table, parent, on, hot=[]).isEmpty() for parent, on in parents):
-        return table
-    return hub.write("hc", name, with_parents(table, parents))
+    kept, orphans = split_by_parents(table, parents)
+    held = versions.version(hub.spark, hub.path("hc", name), hub.label)
+    if held.keys:
+        deletes = orphans.select(*held.keys)
+        if not versions.apply_changes(hub.spark, hub.path("hc", name), None, deletes, hub.label, hub.label):
+            return table
+        return hub._kept("hc", name)
+    return table if orphans.isEmpty() else hub.write("hc", name, kept)
 
 
-def snapshot_addresses(hub: Hub, keep_days: int) -> None:
-    """Yesterday's copy of the address table; days past their retention go."""
+def snapshot_addresses(hub: Hub, keep_days: int | None = None) -> None:
+    """Yesterday's copy of the address table; days past their retention go.
+
+    The number of days is the retention table's for lv1.address_master_log; without a row there all days stay.
+    ``keep_days`` stands in for it.
+    """
     hub.require(SNAPSHOT_STEP)
     path = hub.path("lv1", "address_master_log")
-    write_snapshot(hub.addresses().drop("added"), path, hub.run_date - timedelta(days=1))
+    replace_day(hub.addresses().drop("added"), path, hub.run_date - timedelta(days=1))
     hub.complete(SNAPSHOT_STEP)
-    drop_expired(hub.spark, path, hub.run_date, keep_days)
+    if keep_days is None:
+        keep_days = keep_days_of(hub.spark, hub.path("control", "partition_manager"), "lv1", "address_master_log")
+    if keep_days is not None:
+        drop_expired_days(hub.spark, path, hub.run_date, keep_days)
+    versions.vacuum(hub.spark, path, 1)
     hub.complete(PARTITION_STEP)
 
 
@@ -267,7 +343,9 @@ def maintain_partitions(hub: Hub) -> dict[tuple[str, str], list[date]]:
     dropped = {}
     for row in kept.collect():
         path = hub.path(row.schema_nm, row.table_nm)
-        if path_exists(hub.spark, path):
+        if versions.versions(hub.spark, path):
+            dropped[row.schema_nm, row.table_nm] = drop_expired_days(hub.spark, path, hub.run_date, row.days)
+        elif path_exists(hub.spark, path):
             dropped[row.schema_nm, row.table_nm] = drop_expired(hub.spark, path, hub.run_date, row.days)
     hub.complete(PARTITION_STEP)
     return dropped
@@ -313,6 +391,7 @@ def table_chain(
     publications: Mapping[str, Publication] | None = None,
     derive: Callable[[DataFrame], DataFrame] | None = None,
     key: Column | bytes | None = None,
+    full_copy: bool = False,
 ) -> dict[str, DataFrame]:
     """One business table from its source to the tables the catalogue says are published from it; returns these.
 
@@ -320,7 +399,8 @@ def table_chain(
     catalogue's page keys aren't needed here. A table without a clean one ends in the raw layer. ``derive``
     makes the rows to refresh from the raw ones (``code_master``, ``extend_contract``). Published tables are
     written in the catalogue's order, and a row of one needs its row in every parent that the catalogue
-    names, so ``publications`` must say how to find these.
+    names, so ``publications`` must say how to find these. With ``full_copy`` the frame is all the source has: rows of
+    the copy before that it lacks are deleted, from the clean table and from tables published by the same keys.
     """
     if not source.runs_on(hub.run_date.day):
         return {}
@@ -330,7 +410,7 @@ def table_chain(
     for name, made in publications.items():
         if set(made.parents) != set(source.parents) - {name}:
             raise ValueError(f"{name} needs the parents {', '.join(p for p in source.parents if p != name) or 'none'}")
-    load_raw(hub, source, frame, key)
+    load_raw(hub, source, frame, key, keys if full_copy else ())
     if source.clean_name is None:
         return {}
     raw = hub.raw(source.raw_name)
@@ -343,7 +423,8 @@ def table_chain(
     for name in source.published:
         made = publications[name]
         parents = [(_parent(hub, p), on) for p, on in made.parents.items()]
-        tables[name] = publish(hub, name, made.rows(clean), made.keys, made.compare_cols, parents)
+        deleted = deleted_keys(hub, source, clean, keys) if tuple(made.keys) == tuple(keys) else None
+        tables[name] = publish(hub, name, made.rows(clean), made.keys, made.compare_cols, parents, deleted)
     hub.complete(step)
     return tables
 
@@ -379,14 +460,17 @@ def customer_chain(
     dictionary: DataFrame,
     children: Mapping[str, str | Mapping[str, str]],
     compare_cols: Sequence[str],
-    keep_days: int = 10,
+    keep_days: int | None = None,
+    full_copy: bool = False,
 ) -> DataFrame:
     """The customer table from source to published accounts.
 
     Load, refresh, address resolution, removal of published rows without a customer, account publish,
-    ledger, snapshot. ``children`` maps published child tables to their customer column.
+    ledger, snapshot. ``children`` maps published child tables to their customer column. With ``full_copy`` the frame is
+    all the source has: a customer of the copy before that it lacks leaves the clean table and the accounts, and its
+    children go as orphans. Days of the snapshot stay as long as the retention table says, or ``keep_days``.
     """
-    load_raw(hub, customers, frame)
+    load_raw(hub, customers, frame, keys=keys if full_copy else ())
     clean = refresh(hub, customers, schema, keys, order_cols)
     resolve_addresses(hub, [customers.step("lv1ex_dag")], [(clean, address_column)], dictionary)
     step = customers.step("lv1_dag")
@@ -395,7 +479,8 @@ def customer_chain(
         delete_orphans(hub, child, [(clean, on)])
     known = hub.addresses()
     account = mark_surrogate(clean, address_column, known, "legacy_address", "seq")
-    published = publish(hub, customers.published[0], account, keys, [*compare_cols, "addr_seq"])
+    deleted = deleted_keys(hub, customers, clean, keys)
+    published = publish(hub, customers.published[0], account, keys, [*compare_cols, "addr_seq"], deleted=deleted)
     hub.complete(step)
     snapshot_addresses(hub, keep_days)
     return published

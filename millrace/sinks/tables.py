@@ -1,24 +1,57 @@
-"""Table writers.
+"""Writers of plain folders, which any reader may read as they are.
 
-Plain parquet has no MERGE. Two ways keep tables current: ``write_run`` puts every new state of a table into
-a directory of its own, and ``merge_partitions`` rewrites the partitions that an update touches.
+``write_run`` puts every new state of a table into a directory of its own, and ``merge_partitions`` rewrites the
+partitions that an update touches. What replaces rows is written next to its place first and swapped in by
+renames, so a write that fails leaves the old rows; ``millrace.sinks.versions`` has tables that switch in one step and
+rewrite only what changed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.merge import upsert_by_key
-from millrace.session import land
+from millrace.session import scratch_path
+
+
+def _staging(path: str) -> str:
+    """A fresh folder beside a path, on the same file system; readers of the path's parent skip it."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}-{uuid.uuid4().hex}"
+
+
+def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished folder in the place of another, which goes."""
+    fs, source = file_system(spark, fresh)
+    _, target = file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    old = None
+    if fs.exists(target):
+        _, old = file_system(spark, _staging(path))
+        if not fs.rename(target, old):
+            raise OSError(f"{path} could not be moved aside")
+    if not fs.rename(source, target):
+        if old is not None:
+            fs.rename(old, target)
+        raise OSError(f"{path} could not be replaced")
+    if old is not None:
+        fs.delete(old, True)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Drop and load: the path holds exactly ``df`` afterwards, also when that is empty."""
-    df.write.mode("overwrite").parquet(path)
+    """Drop and load: the path holds exactly ``df`` afterwards, also when that is empty.
+
+    The rows are written beside the path first, so a failure on the way leaves the old ones.
+    """
+    fresh = _staging(path)
+    df.write.parquet(fresh)
+    swap_in(df.sparkSession, fresh, path)
 
 
 def append_pages(pages: Iterable[DataFrame], path: str) -> int:
@@ -64,29 +97,34 @@ def merge_partitions(
 ) -> None:
     """Upsert into a table partitioned by one of its keys, rewriting only the partitions in ``updates``.
 
-    The merged rows are landed in the shared folder before the partitions are replaced, since a plan
-    must not overwrite what it reads.
+    The updates are landed by partition first, and the names of their directories say which partitions they
+    touch; only these are read, written beside the table and swapped in one by one. With ``order_cols`` the newest of
+    several updates of a key counts.
     """
     if partition_column not in keys:
         raise ValueError("the partition column must be one of the keys")
-    if partition_values(spark, path, partition_column):
-        # one value per touched partition
-        touched = [r[0] for r in updates.select(partition_column).distinct().collect()]
-        in_touched = F.col(partition_column).isin([t for t in touched if t is not None])
-        if None in touched:
-            in_touched = F.coalesce(in_touched, F.lit(False)) | F.col(partition_column).isNull()
-        current = spark.read.schema(updates.schema).parquet(path).where(in_touched)
-        merged = land(upsert_by_key(current, updates, keys, order_cols), "merge")
-    else:
-        empty = updates.limit(0)
-        merged = upsert_by_key(empty, updates, keys, order_cols)
-    (
-        merged.hint("rebalance", partition_column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_column)
-        .parquet(path)
-    )
+    updates = updates.withColumn("__held", F.col(partition_column))
+    staged = scratch_path(spark, "updates")
+    updates.write.partitionBy(partition_column).parquet(staged)
+    names = [f"{partition_column}={v}" for v in partition_values(spark, staged, partition_column)]
+    if not names:
+        if not path_exists(spark, path):
+            updates.drop("__held").limit(0).write.partitionBy(partition_column).parquet(path)
+        return
+    there = set(f"{partition_column}={v}" for v in partition_values(spark, path, partition_column))
+    held = T.StructType([f for f in updates.schema.fields if f.name != partition_column])
+    new = spark.read.schema(held).parquet(*[f"{staged}/{n}" for n in names])
+    new = new.withColumnRenamed("__held", partition_column)
+    current = new.limit(0)
+    if there & set(names):
+        current = spark.read.schema(new.schema).option("basePath", path).parquet(*[f"{path}/{n}" for n in names if n in there])
+    merged = upsert_by_key(current.select(*new.columns), new, keys, order_cols)
+    fresh = _staging(path)
+    merged.hint("rebalance", partition_column).write.partitionBy(partition_column).parquet(fresh)
+    for name in names:
+        swap_in(spark, f"{fresh}/{name}", f"{path}/{name}")
+    fs, rest = file_system(spark, fresh)
+    fs.delete(rest, True)
 
 
 def _complete_runs(spark: SparkSession, path: str) -> list[str]:

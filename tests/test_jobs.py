@@ -31,7 +31,9 @@ from millrace.plans.jobs import (
     table_chain,
 )
 from millrace.schemas import ADDRESS_DICTIONARY, DEPENDENCY_MANAGER, PAYLOADS
-from millrace.sinks.tables import partition_values, replace_table
+from millrace.sinks import versions
+from millrace.sinks.snapshots import read_snapshots
+from millrace.sinks.tables import replace_table
 
 CUSTOMER = TABLES["V_CUSTOMER"]
 
@@ -117,7 +119,7 @@ def test_customer_chain_twice(spark, tmp_path, rows):
         assert rows(account, "id", "name", "addr_seq") == expected
         assert rows(hub.addresses(), "seq", "legacy_address", "accuracy") == [(1, "nowhere", None), (2, "seoul 2", 1)]
         assert rows(hub.table("hc", "opportunity")) == [(1, 1)]
-        log = spark.read.parquet(hub.path("lv1", "address_master_log"))
+        log = read_snapshots(spark, hub.path("lv1", "address_master_log"))
         assert rows(log, "logging_dt", "seq") == [(20240104, 1), (20240104, 2)]
 
     later = hub_on(spark, tmp_path, day + timedelta(days=3))
@@ -125,7 +127,7 @@ def test_customer_chain_twice(spark, tmp_path, rows):
     account = run_customers(later, more, dictionary)
     assert rows(account, "id", "addr_seq") == [(1, 2), (2, 3), (3, None), (4, 2)]
     assert rows(hub.table("hc", "account"), "id", "addr_seq") == [(1, 2), (2, 1), (3, None)]
-    log = spark.read.parquet(hub.path("lv1", "address_master_log"))
+    log = read_snapshots(spark, hub.path("lv1", "address_master_log"))
     assert rows(log.groupBy("logging_dt").count()) == [(20240107, 3)]
 
     wider = dictionary.unionByName(spark.createDataFrame([("busan", 1, None, LOT)], ADDRESS_DICTIONARY))
@@ -159,12 +161,12 @@ def test_publish_writes_changes_only(spark, tmp_path, rows):
     publish(hub, "goods", table, ["k"], ["v"])
     parent = spark.createDataFrame([(1,), (2,)], "id int")
     delete_orphans(hub, "goods", [(parent, {"k": "id"})])
-    assert partition_values(spark, hub.path("hc", "goods"), "run") == ["2024-01-05.0001"]
+    assert versions.versions(spark, hub.path("hc", "goods")) == ["2024-01-05.0001"]
     assert rows(delete_orphans(hub, "goods", [(parent.where("id = 1"), {"k": "id"})])) == [(1, "a")]
-    assert partition_values(spark, hub.path("hc", "goods"), "run") == ["2024-01-05.0001", "2024-01-05.0002"]
+    assert versions.versions(spark, hub.path("hc", "goods")) == ["2024-01-05.0001", "2024-01-05.0002"]
     few = Hub(spark, hub.root, hub.run_date, hub.at, keep_runs=1)
     publish(few, "goods", table, ["k"], ["v"])
-    assert partition_values(spark, hub.path("hc", "goods"), "run") == ["2024-01-05.0003"]
+    assert versions.versions(spark, hub.path("hc", "goods")) == ["2024-01-05.0003"]
 
 
 def test_gate_reads_one_date(spark, tmp_path):
@@ -233,7 +235,7 @@ def test_table_chain_publishes_parents_first(spark, tmp_path, rows):
         assert list(tables) == list(visit.published)
         assert rows(tables["exhibition_visit_customer"]) == [("kim",), ("lee",)]
         assert rows(tables["exhibition_visit_history"], "no", "at") == [(1, 2), (2, 1)]
-    assert partition_values(spark, hub.path("hc", "exhibition_visit_history"), "run") == ["2024-01-05.0001"]
+    assert versions.versions(spark, hub.path("hc", "exhibition_visit_history")) == ["2024-01-05.0001"]
     with pytest.raises(ValueError, match="publishes"):
         table_chain(hub, visit, frame, frame.schema, ["no"], ["at"])
     with pytest.raises(ValueError, match="needs the parents"):
