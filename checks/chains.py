@@ -19,7 +19,19 @@ from millrace.plans.catalog import (
     TABLES,
     step_name,
 )
-from millrace.plans.jobs import Hub, Publication, customer_chain, institution_chain, maintain_partitions, table_chain
+from millrace.plans.jobs import (
+    Hub,
+    Publication,
+    customer_chain,
+    delete_orphans,
+    deleted_keys,
+    institution_chain,
+    load_raw,
+    maintain_partitions,
+    publish,
+    refresh,
+    table_chain,
+)
 from millrace.schemas import DEPENDENCY_MANAGER, PARTITION_MANAGER
 from millrace.session import land, scratch_path
 from millrace.sinks.snapshots import read_snapshots, write_dated
@@ -73,9 +85,11 @@ def _customer_run(spark: SparkSession, sf_dir: str) -> Hub:
         first,
         [(load, refresh), (refresh, address), (address, CUSTOMER.step(PUBLISH)), (address, SNAPSHOT_STEP)],
     )
+    kept = [("lv1", "address_master_log", 10, True)]
+    replace_table(spark.createDataFrame(kept, PARTITION_MANAGER), first.path("control", "partition_manager"))
     customers = _customers(spark, sf_dir)
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    first.write("hc", "opportunity", orders)
+    first.write("hc", "opportunity", orders, ["o_orderkey"])
     dictionary = _places(customers)
     for hub, rows in ((first, customers.where("c_acctbal > 0")), (second, customers)):
         customer_chain(
@@ -108,6 +122,26 @@ def customer_chain_snapshots(spark, sf_dir):
     )
 
 
+@query("refresh_with_deletes")
+def refresh_with_deletes(spark, sf_dir):
+    """The second full copy lacks the customers in debt: they leave the clean table, the accounts and their orders."""
+    first, second = _days(spark)
+    load, clean_step = CUSTOMER.step(LOAD), CUSTOMER.step(REFRESH)
+    _edges(first, [(load, clean_step)])
+    customers = _customers(spark, sf_dir)
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    first.write("hc", "opportunity", orders, ["o_orderkey"])
+    for hub, rows in ((first, customers), (second, customers.where("c_acctbal >= 0"))):
+        load_raw(hub, CUSTOMER, rows, keys=["c_custkey"])
+        clean = refresh(hub, CUSTOMER, customers.schema, ["c_custkey"], ["c_name"])
+        gone = deleted_keys(hub, CUSTOMER, clean, ["c_custkey"])
+        publish(hub, "account", clean, ["c_custkey"], ["c_name", "c_acctbal"], deleted=gone)
+        delete_orphans(hub, "opportunity", [(clean, {"o_custkey": "c_custkey"})])
+    accounts = second.table("hc", "account").select(F.lit("account").alias("kind"), F.col("c_custkey").alias("id"))
+    left = second.table("hc", "opportunity").select(F.lit("opportunity").alias("kind"), F.col("o_orderkey").alias("id"))
+    return accounts.unionByName(left)
+
+
 def _feed(name: str, pages: DataFrame, payload: Column, end: str) -> DataFrame:
     """The pages of a feed, numbered from its first page on, and the page without rows that ends each category.
 

@@ -280,7 +280,7 @@ SELECT CAST(user_id AS VARCHAR) AS dag_id, completion_date, completion_datetime,
 """
 
 ORACLES["readiness"] = """
-WITH dep AS (SELECT DISTINCT event_type AS tobe, user_id AS asis FROM events WHERE user_id % 20 = length(event_type)),
+WITH dep AS (SELECT DISTINCT event_type AS tobe, user_id AS asis FROM events),
 log AS (SELECT DISTINCT user_id AS asis FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'),
 targets AS (SELECT tobe FROM dep UNION SELECT concat('user_', user_id) FROM events)
 SELECT t.tobe AS tobe_dag, count(d.asis) AS target_cnt, count(l.asis) AS check_cnt,
@@ -387,3 +387,18 @@ SELECT schema_nm, event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS logging_d
 FROM events, (VALUES ('lv1', DATE '2024-01-19'), ('lv2', DATE '2024-01-09'), ('hc', DATE '2000-01-01')) r (schema_nm, first_day)
 WHERE CAST(ts AS DATE) >= first_day
 """
+
+ORACLES["replace_after_failure"] = "SELECT * FROM orders"
+
+ORACLES["delete_unmatched_parents"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')
+  AND EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size > 5)
+  AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 0)
+"""
+
+ORACLES["refresh_with_deletes"] = """
+SELECT 'account' AS kind, c_custkey AS id FROM customer WHERE c_acctbal >= 0
+UNION ALL
+SELECT 'opportunity', o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal >= 0
+"""
