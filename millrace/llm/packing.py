@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import landed, ship_package
-from millrace.llm.tokens import encoder, slices
+from millrace.llm.wordids import byte_slices, word_ids
 
 CHUNK = 16_384
 # search steps for one chunk, shared out over its groups by their pieces; when a group has used up its own the
@@ -219,20 +220,31 @@ def bin_completion(lengths: list[int], capacity: int, steps: int = STEPS) -> lis
 
 
 def _cut(path: str, end_id: int, limit: int, with_ids: bool):
-    end = np.asarray([end_id], dtype="<u4").tobytes()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["__text"].fillna("")
-            for a, b in slices(texts):
-                rows = []
-                for key, ids in zip(batch["__id"].iloc[a:b], encoder(path).encode(texts.iloc[a:b].tolist())):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * limit)):
-                        part = ids[at : at + 4 * limit]
-                        rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
-                out = pd.DataFrame(rows, columns=["__id", "piece", "start", "length", "ids_crc32", "ids"], dtype=object)
-                yield out.where(out.notna(), None)
+            for a, b in byte_slices(batch.column(1)):
+                ids, bounds = word_ids(path).encode(batch.column(1).slice(a, b - a))
+                data = memoryview(np.insert(ids, bounds[1:], end_id).astype("<u4")).cast("B")
+                bounds = bounds + np.arange(len(bounds))
+                sizes = np.diff(bounds)
+                pieces = -(-sizes // limit)
+                owner = np.repeat(np.arange(b - a), pieces)
+                number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = number * limit
+                length = np.minimum(limit, sizes[owner] - start)
+                first = (4 * (bounds[owner] + start)).tolist()
+                held = [data[at : at + size] for at, size in zip(first, (4 * length).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a).take(pa.array(owner)),
+                        pa.array(number.astype(np.int32)),
+                        pa.array(start),
+                        pa.array(length),
+                        pa.array([zlib.crc32(part) for part in held], type=pa.int64()),
+                        pa.array([bytes(part) if with_ids else None for part in held], type=pa.binary()),
+                    ],
+                    ["__id", "piece", "start", "length", "ids_crc32", "ids"],
+                )
 
     return run
 
@@ -254,7 +266,7 @@ def token_pieces(
     ship_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
-    return rows.mapInPandas(_cut(path, end_id, limit, with_ids), PIECES.format(id=kind))
+    return rows.mapInArrow(_cut(path, end_id, limit, with_ids), PIECES.format(id=kind))
 
 
 def _pack_chunk(limit: int, steps: int):
