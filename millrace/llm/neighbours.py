@@ -41,6 +41,8 @@ LIST = "array<struct<sim: float, id: bigint>>"
 def _matrix(values, kind: str) -> np.ndarray:
     """Vectors of one length as unit rows in double precision."""
     rows = np.stack([np.frombuffer(v, kind) for v in values]).astype(np.float64)
+    # by the largest component first, so that no square over- or underflows
+    rows /= np.abs(rows).max(axis=1)[:, None]
     return rows / np.linalg.norm(rows, axis=1)[:, None]
 
 
@@ -49,12 +51,10 @@ def _usable(kind: str):
         for batch in batches:
             ids, bodies = [], []
             for key, vector in zip(batch["id"], batch["vector"]):
-                if key is None or key != key or vector is None or any(x is None for x in vector):
+                if key is None or key != key or vector is None:
                     continue
-                x = np.asarray(vector, dtype=kind)
-                with np.errstate(over="ignore"):
-                    norm = np.linalg.norm(x.astype(np.float64))
-                if len(x) and np.isfinite(x).all() and np.isfinite(norm) and norm > 0:
+                x = np.asarray(vector, dtype=kind)  # a null becomes NaN
+                if len(x) and np.isfinite(x).all() and x.any():
                     ids.append(key)
                     bodies.append(x.tobytes())
             digests = [hashlib.blake2b(b, digest_size=16).digest() for b in bodies]
@@ -223,11 +223,12 @@ class _Graph:
         counts = dealt.groupBy("component", "low", "high").applyInPandas(
             _counts(self.kind, self.threshold), "id bigint, n bigint, least bigint"
         )
-        counts = counts.groupBy("id").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
-        counts = landed(counts.where("n > 0"), "counts")
-        # lists are in single precision; what is a link there only by rounding joins nothing here
-        sure = connected_components(landed(counts.select(F.col("id").alias("a"), F.col("least").alias("b")), "sure"))
-        return landed(counts.join(sure.withColumnRenamed("node", "id"), "id").select("id", "n", "component"), "counted")
+        counts = landed(counts, "counts")
+        # each pair of blocks gives a spanning forest of its links, so links in double precision, and no others, join
+        edges = counts.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+        sure = connected_components(landed(edges, "sure")).withColumnRenamed("node", "id")
+        totals = counts.groupBy("id").agg(F.sum("n").alias("n"))
+        return landed(totals.join(sure, "id").select("id", "n", "component"), "counted")
 
     def audit(self, counted: DataFrame) -> tuple[int, int]:
         """Links found and true links of the audited vectors."""
@@ -261,21 +262,35 @@ def _across(kind: str, threshold: float):
     return run
 
 
+def _forest(linked: np.ndarray, one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the rows and the columns of a matrix of links the smallest id that links among them lead to."""
+    far = np.iinfo(np.int64).max
+    while True:
+        near = np.minimum(one, np.where(linked, other[None, :], far).min(axis=1))
+        back = np.minimum(other, np.where(linked, near[:, None], far).min(axis=0))
+        if (near == one).all() and (back == other).all():
+            return one, other
+        one, other = near, back
+
+
 def _counts(kind: str, threshold: float):
-    """How many vectors of the one block each of the other links with, by copies, and the smallest of them."""
+    """How many vectors of the one block each of the other links with, by copies, and the smallest id that links
+    within the two blocks lead to; for vectors with links only."""
 
     def run(unit: pd.DataFrame) -> pd.DataFrame:
         ids, copies = unit["id"].to_numpy(np.int64), unit["copies"].to_numpy(np.int64)
         side, low, high = unit["side"].to_numpy(), unit["low"].iloc[0], unit["high"].iloc[0]
-        x = _matrix(unit["body"], kind)
+        a, b = np.flatnonzero(side == low), np.flatnonzero(side == high)
         out = []
-        for own, other in {(low, high), (high, low)}:
-            a, b = np.flatnonzero(side == own), np.flatnonzero(side == other)
-            if len(a) and len(b):
-                linked = (x[a] @ x[b].T >= threshold) & (ids[a][:, None] != ids[b][None, :])
-                n = linked @ copies[b]
-                least = np.where(linked, ids[b][None, :], np.iinfo(np.int64).max).min(axis=1)
-                out.append(pd.DataFrame({"id": ids[a], "n": n, "least": np.minimum(least, ids[a])}))
+        if len(a) and len(b):
+            x = _matrix(unit["body"], kind)
+            linked = (x[a] @ x[b].T >= threshold) & (ids[a][:, None] != ids[b][None, :])
+            linked = linked | linked.T if low == high else linked
+            least = _forest(linked, ids[a], ids[b])
+            sides = [(a, linked, copies[b], least[0])] + ([(b, linked.T, copies[a], least[1])] if low != high else [])
+            for members, with_others, theirs, reached in sides:
+                some = with_others.any(axis=1)
+                out.append(pd.DataFrame({"id": ids[members[some]], "n": with_others[some] @ theirs, "least": reached[some]}))
         return pd.concat(out) if out else pd.DataFrame({"id": [], "n": [], "least": []}, dtype=np.int64)
 
     return run
