@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,12 +17,16 @@ import pyarrow as pa
 
 from millrace.llm.tokens import is_space_free
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 # entries of each of a worker's two tables of encoded stretches, about 200 bytes each, and the longest one kept
-MEMO_WORDS = 250_000
+MEMO_WORDS = 400_000
 MEMO_BYTES = 64
 # stretches that go to the library as one text
-JOINED = 4096
+JOINED = 200
+# fixed values: how the two kinds of tokenizers part ASCII text, and texts that try both ways of encoding
+BYTE_LEVEL_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+SPACE_FREE_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\sA-Za-z0-9]+"
+TRIALS = ["Hello", "don't", "WE'LL", "x=1+22;", "a.b,c!?", "''s", "\x1cq\x00", "~`^_", "Qzx123abc", "(it's)[the]{end}", "\x7f-"]
 # fixed values: UTF-8 of the white space beyond ASCII that the pattern of a byte-level tokenizer knows
 WIDE_SPACE = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80\xa8", b"\xe2\x80\xa9", b"\xe2\x80\xaf", b"\xe2\x81\x9f"] + [
     b"\xe3\x80\x80",
@@ -60,6 +66,13 @@ def _white(data: np.ndarray, wide: bool) -> np.ndarray:
     return white
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each ASCII byte in a byte-level vocabulary: itself where it is printable, else the
+    next one from 256 on."""
+    hidden = [b for b in range(128) if not 0x21 <= b <= 0x7E]
+    return {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class WordIds:
     """Ids as the library gives them without added tokens, and where each text's ids end."""
 
@@ -70,6 +83,8 @@ class WordIds:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.mark: tuple[str, int] | None = None
+        self.parts: dict[str, bytes] = {}
+        self.pattern: re.Pattern | None = None
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
@@ -84,14 +99,58 @@ class WordIds:
 
             self.library = sentencepiece.SentencePieceProcessor(model_file=path)
 
+        if self.byte_level or self.space_free:
+            self._try_parts()
+
+    def _try_parts(self) -> None:
+        """Let the library's model encode the parts of ASCII stretches itself, which saves what it does around it, if
+        that gives the same ids."""
+        self.characters = _byte_characters()
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.lower = self.space_free and self._library_ids(["A"]) == self._library_ids(["a"])
+        self.pattern = re.compile(BYTE_LEVEL_PARTS if self.byte_level else SPACE_FREE_PARTS, re.ASCII)
+        lead = ["", " ", "\n", "  \t"] if self.byte_level else [""]
+        trials = [space + text for space in lead for text in TRIALS]
+        own = [self._by_parts(text) for text in trials]
+        if own != [np.asarray(ids, dtype="<u4").tobytes() for ids in self._library_ids(trials)]:
+            self.pattern = None
+
+    def _by_parts(self, text: str) -> bytes:
+        ids = []
+        for part in self.pattern.findall(text.lower() if self.lower else text):
+            known = self.parts.get(part)
+            if known is None:
+                rest = part[1:]
+                if part[0] == " " and rest.isalnum():
+                    held = self.characters[0x20] + rest
+                else:
+                    held = part if part.isalnum() else part.translate(self.characters)
+                numbers = [t.id for t in self.library.model.tokenize(held)]
+                known = struct.pack(f"<{len(numbers)}I", *numbers)
+                if len(part) <= MEMO_BYTES:
+                    if len(self.parts) >= MEMO_WORDS:
+                        self.parts.clear()
+                    self.parts[part] = known
+            ids.append(known)
+        return b"".join(ids)
+
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         if hasattr(self.library, "encode_batch_fast"):
             return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         return self.library.encode(texts, num_threads=1)
 
     def _encoded(self, words: list[bytes]) -> list[bytes]:
-        """Ids of stretches. A special token between them keeps them apart, so one text holds many."""
+        """Ids of stretches: by parts where they are ASCII without added tokens, else by the library. There a special
+        token between stretches keeps them apart, so one text holds many."""
         texts = [w.decode("utf-8", "replace") for w in words]
+        if self.pattern is not None:
+            plain = [t.isascii() and not self.added.search(t) for t in texts]
+            others = iter(self._by_library([t for t, p in zip(texts, plain) if not p]))
+            return [self._by_parts(t) if p else next(others) for t, p in zip(texts, plain)]
+        return self._by_library(texts)
+
+    def _by_library(self, texts: list[str]) -> list[bytes]:
         if self.mark is None:
             return [np.asarray(ids, dtype="<u4").tobytes() for ids in self._library_ids(texts)]
         mark, number = self.mark
@@ -110,17 +169,15 @@ class WordIds:
         return out
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
-        found: list[bytes | None] = []
+        found = list(map(self.young.get, words))
         missing = []
-        for k, word in enumerate(words):
-            ids = self.young.get(word)
+        for k, ids in enumerate(found):
             if ids is None:
-                ids = self.old.get(word)
+                found[k] = ids = self.old.get(words[k])
                 if ids is None:
                     missing.append(k)
                 else:
-                    self._keep(word, ids)
-            found.append(ids)
+                    self._keep(words[k], ids)
         for k, ids in zip(missing, self._encoded([words[k] for k in missing])):
             found[k] = ids
             self._keep(words[k], ids)
