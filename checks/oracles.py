@@ -402,3 +402,28 @@ SELECT 'account' AS kind, c_custkey AS id FROM customer WHERE c_acctbal >= 0
 UNION ALL
 SELECT 'opportunity', o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal >= 0
 """
+
+ORACLES["paged_scan_once"] = ORACLES["paged_scan"]
+
+ORACLES["page_index"] = """
+SELECT CAST(1 AS BIGINT) AS first_row, count(*) AS last_row, count(*) AS n_rows, count(*) AS n_stored FROM orders
+"""
+
+ORACLES["range_row_number_ranges"] = ORACLES["range_row_number"]
+
+ORACLES["feed_rejects"] = """
+SELECT page_no, 1 AS attempt, first_type = 'error' AS is_cut, n_rows FROM (
+  SELECT CAST((rn - 1) // 100 AS INTEGER) + 1 AS page_no, arg_min(event_type, rn) AS first_type, count(*) AS n_rows
+  FROM (SELECT event_type, row_number() OVER (ORDER BY event_id) AS rn FROM events) a GROUP BY 1) b
+WHERE first_type IN ('error', 'view')
+"""
+
+ORACLES["geocoder_answers"] = """
+WITH g AS (
+  SELECT p_name, concat(p_name, ' ', p_type, ' unit') AS legacy_address, min(p_brand) AS b, max(p_size) AS s
+  FROM part GROUP BY p_name, p_type
+)
+SELECT row_number() OVER (ORDER BY legacy_address) AS seq, legacy_address, CASE WHEN s <= 40 THEN 1 END AS accuracy,
+  CASE WHEN s <= 40 THEN concat('road ', p_name) END AS address_name, CASE WHEN s <= 40 THEN b END AS building_name
+FROM g WHERE b <> 'Brand#1'
+"""

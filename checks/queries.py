@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.functions.cleaning import blank_to_null, decrypt_columns, fixed_columns, strip_nul
 from millrace.functions.dates import kst_date, zone_time
 from millrace.operators.address import (
+    geocoder_answers,
     longest_prefix,
     mark_surrogate,
     negative_markers,
@@ -40,7 +41,7 @@ from millrace.session import land, scratch_path
 from millrace.sinks import versions
 from millrace.sinks.snapshots import drop_expired, partition_days, read_snapshots, replace_days, write_dated, write_snapshot
 from millrace.sinks.tables import append_pages, merge_partitions, replace_table
-from millrace.sources.paging import page_assignment, page_of, page_plan, paged_scan
+from millrace.sources.paging import page_assignment, page_of, page_plan, paged_scan, read_page, store_pages
 from millrace.sources.payloads import json_pages, rejected_json_pages, strict_json_pages, xml_pages
 from millrace.sources.tables import category_scan, category_union, column_scan, full_scan, read_table, row_count
 
@@ -117,7 +118,29 @@ ORDER_KEYS = ["o_orderdate", "o_orderkey"]
 
 @query("paged_scan")
 def paged_scan_orders(spark, sf_dir):
-    return paged_scan(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000, 3)
+    """The third page of the stored table; only the files it lies in are read."""
+    path = scratch_path(spark, "orders-pages")
+    store_pages(_table(spark, sf_dir, "orders"), path, ORDER_KEYS, 2000)
+    return read_page(spark, path, 1000, 3)
+
+
+@query("paged_scan_once")
+def paged_scan_orders_once(spark, sf_dir):
+    """The same page without a stored table, over ranges of 1,500 rows."""
+    return paged_scan(_table(spark, sf_dir, "orders"), ORDER_KEYS, 1000, 3, rows_per_range=1500)
+
+
+@query("page_index")
+def page_index_orders(spark, sf_dir):
+    """The files of the stored table follow each other without a gap: rows before, in and after each."""
+    path = scratch_path(spark, "orders-pages")
+    index = store_pages(_table(spark, sf_dir, "orders"), path, ORDER_KEYS, 2000)
+    rows = index.agg(
+        F.min("first_row").alias("first_row"),
+        F.max("last_row").alias("last_row"),
+        F.sum(F.col("last_row") - F.col("first_row") + 1).alias("n_rows"),
+    )
+    return rows.withColumn("n_stored", F.lit(read_page(spark, path, 1 << 40, 1).count()).cast("bigint"))
 
 
 @query("page_assignment")
@@ -133,6 +156,14 @@ def range_row_number_lineitem(spark, sf_dir):
     return numbered.select(*keys, "row_num")
 
 
+@query("range_row_number_ranges")
+def range_row_number_small_ranges(spark, sf_dir):
+    """The same numbers through many small ranges."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    numbered = range_row_number(_table(spark, sf_dir, "lineitem"), keys, rows_per_range=1000)
+    return numbered.select(*keys, "row_num")
+
+
 @query("page_plan")
 def page_plan_orders(spark, sf_dir):
     return page_plan(_table(spark, sf_dir, "orders"), 1000)
@@ -237,6 +268,28 @@ def rejected_pages_events(spark, sf_dir):
     return rejected_json_pages(payloads, *STATUS_ARGS).select("page_no")
 
 
+@query("feed_rejects")
+def feed_rejects_events(spark, sf_dir):
+    """Every page that came back broken at first is in the reject table, with the rows that a later answer gave."""
+    pages = _event_pages_sorted(spark, sf_dir).select("page_no", "records")
+    first_type = F.col("records")[0]["event_type"]
+    whole = _status_payload(F.lit("00"))
+    first = F.when(first_type == "error", F.substring(whole, 1, 40)).when(first_type == "view", _status_payload(F.lit("22")))
+    answers = pages.select("page_no", F.inline(F.array(
+        F.struct(F.lit(1).alias("attempt"), F.coalesce(first, whole).alias("payload")),
+        F.struct(F.lit(2).alias("attempt"), whole.alias("payload")),
+    )))
+    path = scratch_path(spark, "rejects")
+    rows = json_pages(
+        land(answers, "payloads"), ["event_id"], *STATUS_ARGS, max_bad=1 << 40, keep=["page_no"],
+        rejects_to=lambda rejects: versions.replace(rejects, path),
+    )
+    rejects = versions.read(spark, path).select("page_no", "attempt", F.length("payload").alias("n_chars"))
+    return rejects.join(rows.groupBy("page_no").agg(F.count("*").alias("n_rows")), "page_no").select(
+        "page_no", "attempt", (F.col("n_chars") == 40).alias("is_cut"), "n_rows"
+    )
+
+
 def _event_pages_sorted(spark, sf_dir) -> DataFrame:
     record = F.struct("event_id", "user_id", "event_type")
     pages = _pages(_table(spark, sf_dir, "events"), ["event_id"], 100, record)
@@ -447,6 +500,27 @@ def resolve_addresses_part(spark, sf_dir):
     return resolve_new_addresses([(owner, "legacy_address")], known, _geocoder(spark, sf_dir), REGISTERED)
 
 
+@query("geocoder_answers")
+def geocoder_answers_part(spark, sf_dir):
+    """Addresses looked up in landed answers: hits, misses, and those an error leaves open.
+
+    Names of one brand are answered with an error for name and type, and those of large parts have no place.
+    """
+    part = _table(spark, sf_dir, "part")
+    groups = part.groupBy("p_name", "p_type").agg(F.min("p_brand").alias("b"), F.max("p_size").alias("s"))
+    keyword = F.concat_ws(" ", "p_name", "p_type")
+    place = F.struct(F.struct(F.concat(F.lit("road "), "p_name").alias("address_name"), F.col("b").alias("building_name")).alias("road_address"))
+    found = F.to_json(F.struct(F.struct(F.lit(1).alias("total_count")).alias("meta"), F.array(place).alias("documents")))
+    none = F.lit('{"meta":{"total_count":0},"documents":[]}')
+    error = F.lit('{"errorType":null,"message":"busy"}')
+    answer = F.when(F.col("b") == "Brand#1", error).when(F.col("s") > 40, none).otherwise(found)
+    known = spark.createDataFrame([], ADDRESS_MASTER)
+    answers = groups.select(keyword.alias("keyword"), answer.alias("answer"))
+    owner = part.select(F.concat(keyword, F.lit(" unit")).alias("addr"))
+    rows = resolve_new_addresses([(owner, "addr")], known, geocoder_answers(land(answers, "answers")), datetime(2024, 1, 5))
+    return rows.select("seq", "legacy_address", "accuracy", "address_name", "building_name")
+
+
 @query("retry_markers")
 def retry_markers_part(spark, sf_dir):
     found = retry_markers(_known_addresses(spark, sf_dir), _geocoder(spark, sf_dir), REGISTERED)

@@ -129,15 +129,6 @@ SOURCE_TABLES = (
 
 TABLES = {t.name: t for t in SOURCE_TABLES}
 
-# address column of every table whose addresses are resolved
-ADDRESS_OWNERS = {
-    "v_customer": "legacy_addr",
-    "v_sales_lounge": "legacy_addr",
-    "r_shipping_info": "legacy_addr",
-    "r_contract_move_receipt": "move_legacy_addr",
-    "public_institution": "addr",
-}
-
 
 @dataclass(frozen=True)
 class Feed:

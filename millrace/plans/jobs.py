@@ -49,6 +49,8 @@ from millrace.session import land
 from millrace.sinks import versions
 from millrace.sinks.snapshots import drop_expired, drop_expired_days, keep_days_of, replace_day
 from millrace.sinks.tables import path_exists, replace_table
+from millrace.operators.numbering import ROWS_PER_RANGE
+from millrace.sources.paging import read_page, store_pages
 from millrace.sources.payloads import json_pages, strict_json_pages, xml_pages
 
 
@@ -175,26 +177,51 @@ def load_raw(
     hub.complete(source.step(LOAD))
 
 
-def parse_feed(feed: Feed, payloads: DataFrame) -> DataFrame:
+def parse_feed(feed: Feed, payloads: DataFrame, rejects_to: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """The rows of one feed, which must hold every page up to its end page, in all its categories."""
     payloads = payloads.where(F.col("feed") == feed.name)
     if feed.categories:
         payloads = payloads.where(F.col("category").isin(list(feed.categories)))
     if feed.path is None:
-        return xml_pages(payloads, feed.columns, first_page=feed.first_page)
+        return xml_pages(payloads, feed.columns, first_page=feed.first_page, rejects_to=rejects_to)
     parse = strict_json_pages if feed.strict else json_pages
     parts = max(1, len(feed.categories))
-    return parse(payloads, feed.columns, feed.path, feed.status_path, first_page=feed.first_page, parts=parts)
+    return parse(
+        payloads, feed.columns, feed.path, feed.status_path, first_page=feed.first_page, parts=parts, rejects_to=rejects_to
+    )
 
 
 def load_feed(hub: Hub, feed: Feed, payloads: DataFrame) -> None:
-    """Landed pages of a public feed into the raw layer."""
+    """Landed pages of a public feed into the raw layer. Answers that are errors go to ``<feed>_rejects``, also when
+    the feed then fails."""
     path = hub.path("lv0", feed.name)
-    versions.replace(parse_feed(feed, payloads), path, hub.label)
+
+    def keep(rejects: DataFrame) -> None:
+        versions.replace(rejects, f"{path}_rejects", hub.label, check=lambda rows: None)
+        versions.vacuum(hub.spark, f"{path}_rejects", hub.keep_runs)
+
+    versions.replace(parse_feed(feed, payloads, keep), path, hub.label)
     versions.vacuum(hub.spark, path, hub.keep_runs)
     hub.complete(feed.step)
 
 
+def store_raw_pages(hub: Hub, source: SourceTable) -> DataFrame:
+    """Store the raw table in the order of the catalogue's page key; returns the index of its files.
+
+    Files hold whole pages of the catalogue's size, so ``raw_page`` reads one file or, where keys tie, two.
+    """
+    if source.page_key is None:
+        raise ValueError(f"{source.name} is read whole")
+    rows_per_file = source.page_rows * max(1, ROWS_PER_RANGE // source.page_rows)
+    path = hub.path("lv0", f"{source.raw_name}_pages")
+    return store_pages(hub.raw(source.raw_name), path, [source.page_key], rows_per_file, hub.label)
+
+
+def raw_page(hub: Hub, source: SourceTable, page_no: int) -> DataFrame:
+    """One page, from 1, of a raw table that ``store_raw_pages`` has stored."""
+    return read_page(hub.spark, hub.path("lv0", f"{source.raw_name}_pages"), source.page_rows, page_no)
+
+
 def refresh(
     hub: Hub,
     source: SourceTable,

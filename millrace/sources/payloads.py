@@ -11,7 +11,7 @@ unreadable.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,19 +90,36 @@ def _parsed_xml(payloads: DataFrame, record_schema: T.StructType) -> DataFrame:
     )
 
 
+Rejects = Callable[[DataFrame], None]
+
+
 def _guarded(
-    parsed: DataFrame, max_bad: int, keep: Sequence[str], first_page: int | None = None, parts: int = 1
+    parsed: DataFrame,
+    max_bad: int,
+    keep: Sequence[str],
+    first_page: int | None = None,
+    parts: int = 1,
+    rejects_to: Rejects | None = None,
 ) -> DataFrame:
     """The newest good answer of every page; fail where a page has none, or a feed has too many errors or gaps.
 
-    What reaches the driver is one row of counts.
+    What reaches the driver is one row of counts. ``rejects_to`` gets the bad answers as they came, from the same parse
+    and before anything fails; good ones are not kept as text.
     """
     feed = _feed_columns(parsed)
     page = [*feed, *[c for c in ("page_no",) if c in parsed.columns]]
     if first_page is not None and "page_no" not in page:
         raise ValueError("first_page needs payloads with page_no")
     attempt = [c for c in ("attempt",) if c in parsed.columns and "page_no" in page]
-    parsed = land(parsed.select(*dict.fromkeys([*page, *attempt, *_kept(parsed, keep)]), _ITEMS, _BAD), "pages")
+    carried = list(dict.fromkeys([*page, *attempt, *_kept(parsed, keep)]))
+    if rejects_to is None:
+        parsed = land(parsed.select(*carried, _ITEMS, _BAD), "pages")
+    else:
+        came = [c for c in parsed.columns if c not in (*carried, "payload", _ITEMS, _BAD)]
+        reason = F.struct(*came, "payload")
+        parsed = land(parsed.select(*carried, _ITEMS, _BAD, F.when(F.col(_BAD), reason).alias("__came")), "pages")
+        rejects_to(parsed.where(_BAD).select(*carried, "__came.*"))
+        parsed = parsed.drop("__came")
 
     order = F.col("attempt") if attempt else F.lit(0)
     has_rows = F.coalesce(F.size(_ITEMS) > 0, F.lit(False))
@@ -162,17 +179,19 @@ def json_pages(
     keep: Sequence[str] = (),
     first_page: int | None = None,
     parts: int = 1,
+    rejects_to: Rejects | None = None,
 ) -> DataFrame:
     """Rows of the array at ``path`` of every page, as received (text, unless a schema is given).
 
     A missing key becomes null and an extra key is dropped. With ``status_path`` a page counts only when its
     code is ``ok``; ``end`` marks the last page and any other code is an error. ``keep`` names payload
     columns (feed, category, page_no) to carry along. With ``first_page`` every feed and category must hold
-    all pages from there to one without rows, and there must be ``parts`` of them at least.
+    all pages from there to one without rows, and there must be ``parts`` of them at least. ``rejects_to`` is
+    called with the answers that are errors, out of the same parse.
     """
     record = columns if isinstance(columns, T.StructType) else _string_record(columns)
     parsed = _parsed_json(payloads, T.ArrayType(record), path, status_path, ok, end)
-    parsed = _guarded(parsed, max_bad, keep, first_page, parts)
+    parsed = _guarded(parsed, max_bad, keep, first_page, parts, rejects_to)
     return parsed.select(*_carried(payloads, keep), F.inline(_ITEMS))
 
 
@@ -187,11 +206,12 @@ def strict_json_pages(
     keep: Sequence[str] = (),
     first_page: int | None = None,
     parts: int = 1,
+    rejects_to: Rejects | None = None,
 ) -> DataFrame:
     """Like ``json_pages``, but a record without one of the ``required`` keys fails the job."""
     items = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
     parsed = _parsed_json(payloads, items, path, status_path, ok, end)
-    parsed = _guarded(parsed, max_bad, keep, first_page, parts)
+    parsed = _guarded(parsed, max_bad, keep, first_page, parts, rejects_to)
     records = parsed.select(*_carried(payloads, keep), F.explode(_ITEMS).alias("__record"))
     return strict_columns(records, "__record", required)
 
@@ -212,10 +232,11 @@ def xml_pages(
     keep: Sequence[str] = (),
     first_page: int | None = None,
     parts: int = 1,
+    rejects_to: Rejects | None = None,
 ) -> DataFrame:
     """Rows of response/body/items/item of every page; one item or many, empty elements are null."""
     record = columns if isinstance(columns, T.StructType) else _string_record(columns)
-    parsed = _guarded(_parsed_xml(payloads, record), max_bad, keep, first_page, parts)
+    parsed = _guarded(_parsed_xml(payloads, record), max_bad, keep, first_page, parts, rejects_to)
     rows = parsed.select(*_carried(payloads, keep), F.inline(_ITEMS))
     return blank_to_null(rows, record.fieldNames())
 
