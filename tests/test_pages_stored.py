@@ -20,14 +20,14 @@ def table(spark):
 def test_a_hundred_pages_cost_one_sort(spark, rows, tmp_path, table):
     path = f"{tmp_path}/pages"
     index = store_pages(table, path, ["at"], rows_per_file=100).orderBy("first_row").collect()
-    assert index[0].first_row == 1 and index[-1].last_row == 1000 and len(index) >= 8
+    assert index[0].first_row == 1 and index[-1].last_row == 1000 and len(index) >= 5
     assert all(a.last_row + 1 == b.first_row for a, b in zip(index, index[1:]))
     seen = []
     for page in range(1, 101):
         df = read_page(spark, path, 10, page)
         plan = plan_of(df)
         assert "Exchange" not in plan and "Sort" not in plan
-        assert 1 <= len(df.inputFiles()) <= 2
+        assert 1 <= len(df.inputFiles()) <= 3
         seen += [(r.row_num, r.v) for r in df.collect()]
     assert sorted(n for n, _ in seen) == list(range(1, 1001)) and len({v for _, v in seen}) == 1000
     assert read_page(spark, path, 10, 101).count() == 0
@@ -38,7 +38,7 @@ def test_explain_lists_the_files_of_the_page(spark, tmp_path, table):
     store_pages(table, path, ["at", "v"], rows_per_file=100)
     df = read_page(spark, path, 100, 4)
     touched = [r for r in page_index(spark, path).collect() if r.first_row <= 400 and r.last_row >= 301]
-    assert 1 <= len(touched) <= 2 and sorted(df.inputFiles()) == sorted(r.file for r in touched)
+    assert 1 <= len(touched) <= 3 and sorted(df.inputFiles()) == sorted(r.file for r in touched)
     assert f"InMemoryFileIndex({len(touched)} paths)" in plan_of(df)
     assert [r.row_num for r in df.orderBy("row_num").collect()] == list(range(301, 401))
 
