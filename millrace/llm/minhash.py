@@ -152,6 +152,18 @@ def _merging(words: int, percent: int, least: float):
     return run
 
 
+def _spanning(links: DataFrame) -> DataFrame:
+    """Fewer links that join the same texts: each member with its smallest hub, and that hub with the member's others.
+
+    A member has at most as many hubs as there are bands, and members of a large group share theirs, so what is left
+    is about one link per member, however many hubs confirm it.
+    """
+    held = links.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("hubs"))
+    own = held.select(F.get("hubs", F.lit(0)).alias("a"), "b")
+    others = held.select(F.get("hubs", F.lit(0)).alias("a"), F.explode(F.expr("slice(hubs, 2, size(hubs))")).alias("b"))
+    return own.unionByName(others.distinct())
+
+
 class _Links:
     """Candidate pairs to confirmed links, and the components they make."""
 
@@ -170,7 +182,7 @@ class _Links:
         likely = likely.mapInPandas(_estimated(self.percent / 100 - MARGIN), "a bigint, b bigint")
         likely = landed(likely, "likely")
         full = self._beside(likely, self.bodies, "body")
-        self.add(full.mapInPandas(_confirmed(self.words, self.percent), "a bigint, b bigint"))
+        self.add(_spanning(full.mapInPandas(_confirmed(self.words, self.percent), "a bigint, b bigint")))
 
     def add(self, links: DataFrame) -> None:
         links = landed(links, "links")
