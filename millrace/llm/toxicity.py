@@ -1,10 +1,11 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
-A bounded sample of labelled rows gives the examples, and all of their terms are the terms; document frequencies
-of the terms are counted over all documents. A query is compared with every example: the most frequent terms by a
-product of matrices, the others by their postings, so the neighbours are exact. A term that no example holds has
-no part in any product and is left out of a query's norm. The neighbours vote by similarity; the votes of the
-examples themselves, each without its own text, calibrate the score.
+A bounded sample of labelled rows gives the examples, and all of their terms, as 64-bit hashes, are the terms; document
+frequencies of the terms are counted over all documents. The examples stand in an inverted index with block maxima:
+each term knows its largest weight in every block of examples. Sums of these bound the cosines in a block, and a block
+whose bound does not reach the neighbours found so far is skipped, so the neighbours are exact. A term that no example
+holds has no part in any product and is left out of a query's norm. The neighbours vote by similarity; the votes
+of the examples themselves, none of which sees an example of its own text, calibrate the score.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,10 @@ from millrace.llm.common import landed, ship_package
 
 # the most labelled rows of either label that become examples; the index is broadcast, and this bounds it
 EXAMPLES = 4096
-# terms that stand in a matrix instead of postings, and texts that are compared at a time
-DENSE = 1024
-TEXTS = 128
+# examples in a block, blocks that are scored before others are skipped, and texts that are counted at a time
+BLOCK = 64
+FIRST_BLOCKS = 4
+TEXTS = 256
 NEIGHBOURS = 15
 # the vote that the share of the label among all labelled rows has
 PRIOR = 0.05
@@ -46,48 +49,56 @@ def term_counts(text: str | None) -> Counter:
     return found
 
 
+def _term_hash(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term)
+
+
 class TermCounter:
-    """Counts of the examples' terms in texts; what each frequent word holds of them is remembered."""
+    """Counts of known terms in texts; what each frequent word holds of them is remembered."""
 
     MEMO = 400_000
 
-    def __init__(self, numbers: dict[str, int]):
-        self.numbers = numbers
-        self.without: set[str] = set()
+    def __init__(self, hashes: np.ndarray):
+        """``hashes``: those of the terms, sorted; a term's number is its place."""
+        self.hashes = hashes
         self.holding: dict[str, tuple[int, ...]] = {}
 
-    def _of_word(self, word: str) -> tuple[int, ...]:
-        parts = [p for w in _WORD.findall(word) for p in (w, *[f"{w[:n]}-" for n in STEMS if len(w) > n])]
-        return tuple([self.numbers[p] for p in parts if p in self.numbers])
-
-    def __call__(self, text: str | None) -> dict[int, int]:
-        words = Counter((text or "").lower().split())
-        for word in words.keys() - self.without:
-            if word not in self.holding:
-                terms = self._of_word(word)
-                if terms:
-                    self.holding[word] = terms
-                else:
-                    self.without.add(word)
-        found: dict[int, int] = {}
-        for word in words.keys() & self.holding.keys():
-            for t in self.holding[word]:
-                found[t] = found.get(t, 0) + words[word]
-        if len(self.without) > self.MEMO or len(self.holding) > self.MEMO:
-            self.without.clear()
+    def _learn(self, words: list[str]) -> None:
+        parts = [[p for w in _WORD.findall(word) for p in (w, *[f"{w[:n]}-" for n in STEMS if len(w) > n])] for word in words]
+        every = np.fromiter((_term_hash(p) for part in parts for p in part), np.uint64)
+        place = np.searchsorted(self.hashes, every)
+        known = place < len(self.hashes)
+        known[known] = self.hashes[place[known]] == every[known]
+        held, at = np.where(known, place, -1).tolist(), 0
+        for word, part in zip(words, parts):
+            self.holding[word] = tuple([t for t in held[at : at + len(part)] if t >= 0])
+            at += len(part)
+
+    def __call__(self, texts: list[str | None]) -> list[dict[int, int]]:
+        """For each text the numbers of its terms and their counts."""
+        if len(self.holding) > self.MEMO:
             self.holding.clear()
-        return found
+        counted = [Counter((text or "").lower().split()) for text in texts]
+        self._learn(list(set().union(*counted).difference(self.holding)))
+        out = []
+        for words in counted:
+            found: dict[int, int] = {}
+            for word, n in words.items():
+                for t in self.holding[word]:
+                    found[t] = found.get(t, 0) + n
+            out.append(found)
+        return out
 
 
 _COUNTERS: dict[int, TermCounter] = {}
 
 
-def _counter(numbers: dict[str, int]) -> TermCounter:
+def _counter(hashes: np.ndarray) -> TermCounter:
     """The worker's counter for a list of terms, which outlives tasks where the list does."""
-    key = id(numbers)
-    if key not in _COUNTERS or _COUNTERS[key].numbers is not numbers:
+    key = id(hashes)
+    if key not in _COUNTERS or _COUNTERS[key].hashes is not hashes:
         _COUNTERS.clear()
-        _COUNTERS[key] = TermCounter(numbers)
+        _COUNTERS[key] = TermCounter(hashes)
     return _COUNTERS[key]
 
 
@@ -96,35 +107,67 @@ def _digest(text: str | None) -> bytes:
 
 
 class ExampleIndex:
-    """The examples' weights by term, and the calibrated vote."""
+    """The examples' weights by term and block, and the calibrated vote.
+
+    What is sent to workers are hashes, idf and counts; weights and block maxima are made where they are used.
+    """
 
-    def __init__(self, terms: dict[str, int], idf: np.ndarray, examples: list[tuple], shares: tuple[float, float]):
-        """``examples``: (doc_id, label, digest, term numbers, counts); ``shares``: labelled rows per example of label 0, 1."""
-        self.terms, self.idf, self.shares = terms, idf, shares
+    def __init__(self, hashes: np.ndarray, idf: np.ndarray, examples: list[tuple], shares: tuple[float, float]):
+        """``examples``: (id, label, digest, term numbers, counts); ``shares``: labelled rows per example of label 0, 1."""
+        self.hashes, self.idf, self.shares = hashes, idf, shares
+        examples = self._ordered(examples)
         self.ids = [e[0] for e in examples]
         self.labels = np.array([e[1] for e in examples], dtype=np.int64)
-        self.same: dict[bytes, list[int]] = {}
-        for number, example in enumerate(examples):
-            self.same.setdefault(example[2], []).append(number)
-        found = [np.asarray(e[3], dtype=np.int32) for e in examples]
-        every = np.concatenate(found) if found else np.empty(0, np.int32)
-        weights = [self._weights(t, e[4]) for t, e in zip(found, examples)]
+        self.digests = [e[2] for e in examples]
+        sizes = [len(e[3]) for e in examples]
+        every = np.concatenate([e[3] for e in examples]) if examples else np.empty(0, np.int32)
+        counts = np.concatenate([e[4] for e in examples]) if examples else np.empty(0, np.int64)
         order = np.argsort(every, kind="stable")
-        self.numbers = np.repeat(np.arange(len(examples), dtype=np.int32), [len(t) for t in found])[order]
-        self.weights = (np.concatenate(weights) if weights else np.empty(0))[order]
-        sizes = np.bincount(every, minlength=len(terms))
-        self.at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        # the place of a term in the matrix, or -1
-        self.place = np.full(len(terms), -1, dtype=np.int64)
-        frequent = np.argsort(-sizes, kind="stable")[:DENSE]
-        self.place[frequent] = np.arange(len(frequent))
-        self.matrix: np.ndarray | None = None
+        small = np.min_scalar_type(len(examples))
+        self.numbers = np.repeat(np.arange(len(examples), dtype=small), sizes)[order]
+        self.counts = counts[order].astype(np.uint32)
+        self.sizes = np.bincount(every, minlength=len(hashes)).astype(small)
+        self.id_type = "bigint"
         self.prior = self._share(self.labels)
         self.line, self.unknown = (1.0, 0.0), self.prior
-        self._calibrate(list(zip(found, [e[4] for e in examples], [e[2] for e in examples])))
+        self.weights: np.ndarray | None = None
+
+    def _ordered(self, examples: list[tuple]) -> list[tuple]:
+        """Examples of one label that share their weightiest term of several examples stand together, so that
+        blocks have low bounds for most queries."""
+        held = np.bincount(np.concatenate([e[3] for e in examples]), minlength=len(self.hashes)) if examples else None
+
+        def key(example):
+            terms, counts = example[3], example[4]
+            common = held[terms] >= 8
+            weight = (1 + np.log(counts)) * self.idf[terms] * common
+            top = int(terms[weight.argmax()]) if common.any() else -1
+            return example[1], top, example[0] is None, example[0], example[2]
+
+        return sorted(examples, key=key)
 
     def __getstate__(self):
-        return self.__dict__ | {"matrix": None}
+        derived = ("weights", "same", "at", "entry_at", "entry_block", "entry_most", "entry_from", "entry_size")
+        return {k: v for k, v in self.__dict__.items() if k not in derived} | {"weights": None}
+
+    def _unfold(self) -> None:
+        """Weights of the postings, and for each term an entry per block that holds it: its largest weight, its postings."""
+        self.same: dict[bytes, list[int]] = {}
+        for number, digest in enumerate(self.digests):
+            self.same.setdefault(digest, []).append(number)
+        sizes = self.sizes.astype(np.int64)
+        term = np.repeat(np.arange(len(sizes)), sizes)
+        raw = (1 + np.log(self.counts)) * self.idf[term]
+        norms = np.sqrt(np.bincount(self.numbers, raw * raw, len(self.ids)))
+        self.weights = raw / np.where(norms > 0, norms, 1)[self.numbers]
+        self.at = np.concatenate(([0], np.cumsum(sizes)))
+        block = self.numbers.astype(np.int64) // BLOCK
+        new = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1)) if len(term) else np.empty(0, np.int64)
+        self.entry_from = new
+        self.entry_size = np.diff(np.append(new, len(term)))
+        self.entry_block = block[new]
+        self.entry_most = np.maximum.reduceat(self.weights, new) if len(new) else np.empty(0)
+        self.entry_at = np.concatenate(([0], np.cumsum(np.bincount(term[new], minlength=len(sizes)))))
 
     def _share(self, labels: np.ndarray) -> float:
         weight = np.where(labels == 1, self.shares[1], self.shares[0])
@@ -135,45 +178,57 @@ class ExampleIndex:
         norm = math.sqrt(float((weights * weights).sum()))
         return weights / norm if norm else weights
 
-    def _postings(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the postings of some terms stand, and how many each has."""
-        sizes = self.at[terms + 1] - self.at[terms]
+    @staticmethod
+    def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         ends = np.cumsum(sizes)
-        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.at[terms] - (ends - sizes), sizes), sizes
-
-    def _cosines(self, queries: list[tuple]) -> np.ndarray:
-        if self.matrix is None:
-            frequent = np.flatnonzero(self.place >= 0)
-            self.matrix = np.zeros((len(frequent), len(self.ids)))
-            where, sizes = self._postings(frequent)
-            self.matrix[np.repeat(self.place[frequent], sizes), self.numbers[where]] = self.weights[where]
-        dense, rest = np.zeros((len(queries), len(self.matrix))), []
-        for row, (terms, counts, _) in enumerate(queries):
-            weights = self._weights(terms, counts)
-            place = self.place[terms]
-            dense[row, place[place >= 0]] = weights[place >= 0]
-            rest.append((terms[place < 0], weights[place < 0]))
-        scores = dense @ self.matrix
-        for row, (terms, weights) in enumerate(rest):
-            where, sizes = self._postings(terms)
-            scores[row] += np.bincount(self.numbers[where], self.weights[where] * np.repeat(weights, sizes), len(self.ids))
-        return scores
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+    def _nearest(self, terms: np.ndarray, counts: np.ndarray, digest: bytes) -> list[tuple[float, int]]:
+        """The NEIGHBOURS examples of highest cosine above 0, ties by number, but none of the same text."""
+        weights = self._weights(terms, counts)
+        sizes = self.entry_at[terms + 1] - self.entry_at[terms]
+        entries = self._ranges(self.entry_at[terms], sizes)
+        own = np.repeat(weights, sizes)
+        blocks = self.entry_block[entries]
+        bounds = np.bincount(blocks, own * self.entry_most[entries], -(-len(self.ids) // BLOCK))
+        scores = np.zeros(len(self.ids))
+        same = self.same.get(digest, [])
+
+        def score(chosen: np.ndarray) -> float:
+            """Exact cosines in the chosen blocks; returns the least that a neighbour has by now."""
+            some = np.flatnonzero(chosen[blocks])
+            each = self.entry_size[entries[some]]
+            where = self._ranges(self.entry_from[entries[some]], each)
+            scores[:] += np.bincount(self.numbers[where], self.weights[where] * np.repeat(own[some], each), len(scores))
+            scores[same] = 0
+            most = min(NEIGHBOURS, len(scores))
+            return float(np.partition(scores, len(scores) - most)[len(scores) - most])
+
+        first = np.zeros(len(bounds), dtype=bool)
+        first[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
+        least = score(first)
+        # sums of equal texts may differ in their last digits
+        rest = ~first & (bounds > 0) & (bounds >= least - 1e-9)
+        if rest.any():
+            score(rest)
+        scores = np.round(scores, 12)
+        most = min(NEIGHBOURS, len(scores))
+        least = np.partition(scores, len(scores) - most)[len(scores) - most]
+        best = np.flatnonzero((scores >= least) & (scores > 0))
+        best = best[np.argsort(-scores[best], kind="stable")][:NEIGHBOURS]
+        return list(zip(scores[best].tolist(), best.tolist()))
 
     def nearest(self, queries: list[tuple]) -> list[list[tuple[float, int]]]:
-        """For each (term numbers, counts, digest) the NEIGHBOURS examples of highest cosine above 0, ties by
-        number, but none of the same text."""
-        near: list[list[tuple[float, int]]] = []
-        for at in range(0, len(queries) if self.ids else 0, TEXTS):
-            some = queries[at : at + TEXTS]
-            # sums of equal texts may differ in their last digits
-            for scores, (_, _, digest) in zip(np.round(self._cosines(some), 12), some):
-                scores[self.same.get(digest, [])] = 0
-                most = min(NEIGHBOURS, len(scores))
-                least = np.partition(scores, len(scores) - most)[len(scores) - most]
-                best = np.flatnonzero((scores >= least) & (scores > 0))
-                best = best[np.argsort(-scores[best], kind="stable")][:NEIGHBOURS]
-                near.append(list(zip(scores[best].tolist(), best.tolist())))
-        return near or [[] for _ in queries]
+        """The neighbours of each (term numbers, counts, digest); equal texts are looked up once."""
+        if not self.ids:
+            return [[] for _ in queries]
+        if self.weights is None:
+            self._unfold()
+        known: dict[bytes, list[tuple[float, int]]] = {}
+        for terms, counts, digest in queries:
+            if digest not in known:
+                known[digest] = self._nearest(terms, counts, digest) if len(terms) else []
+        return [known[digest] for _, _, digest in queries]
 
     def _vote(self, near: list[tuple[float, int]]) -> float:
         for_, all_ = PRIOR * self.prior, PRIOR
@@ -188,16 +243,20 @@ class ExampleIndex:
         p = min(max(p, 1e-4), 1 - 1e-4)
         return math.log(p / (1 - p))
 
-    def _calibrate(self, examples: list[tuple]) -> None:
+    def votes(self, queries: list[tuple]) -> list[float | None]:
+        """The votes before calibration; None where there is no neighbour."""
+        return [self._vote(near) if near else None for near in self.nearest(queries)]
+
+    def calibrate(self, votes: list[float | None], labels: list[int]) -> None:
         """A logistic curve over the examples' votes, by Newton steps with a weak pull to the identity."""
-        near = self.nearest(examples)
-        known = np.array([bool(n) for n in near], dtype=bool)
+        labels = np.array(labels, dtype=np.int64)
+        known = np.array([v is not None for v in votes], dtype=bool)
         if (~known).any():
-            self.unknown = self._share(self.labels[~known])
+            self.unknown = self._share(labels[~known])
         if not known.any():
             return
-        x = np.array([self._logit(self._vote(n)) for n in near if n])
-        y = self.labels[known]
+        x = np.array([self._logit(v) for v in votes if v is not None])
+        y = labels[known]
         weight = np.where(y == 1, self.shares[1], self.shares[0])
         a, b = 1.0, 0.0
         for _ in range(25):
@@ -222,16 +281,15 @@ class ExampleIndex:
 
 def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"term": sorted({t for text in batch["text"] for t in term_counts(text)})}, dtype=object)
+        terms = {_term_hash(t) for text in batch["text"] for t in term_counts(text)}
+        yield pd.DataFrame({"term": np.fromiter(terms, np.uint64, len(terms)).view(np.int64)})
 
 
-def _reduced(numbers: dict[str, int], texts) -> list[tuple]:
+def _reduced(hashes: np.ndarray, texts: list[str | None]) -> list[tuple]:
     """Texts as (term numbers, counts, digest)."""
-    counter = _counter(numbers)
-    found = [counter(x) for x in texts]
     return [
         (np.fromiter(f.keys(), np.int32, len(f)), np.fromiter(f.values(), np.int64, len(f)), _digest(x))
-        for f, x in zip(found, texts)
+        for f, x in zip(_counter(hashes)(texts), texts)
     ]
 
 
@@ -240,7 +298,7 @@ def _vectors(held):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = _reduced(held.value, batch["text"])
+            rows = _reduced(held.value, batch["text"].tolist())
             batch["terms"] = [t.tobytes() for t, _, _ in rows]
             batch["counts"] = [n.tobytes() for _, n, _ in rows]
             batch["digest"] = [d for _, _, d in rows]
@@ -253,23 +311,39 @@ def _counted(held):
     """How many texts of a task hold each term; at -1 how many there are."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, rows = held.value, 0
-        counter, total = _counter(numbers), np.zeros(len(numbers), np.int64)
+        hashes, rows = held.value, 0
+        counter, total = _counter(hashes), np.zeros(len(hashes), np.int64)
         for batch in batches:
             rows += len(batch)
-            for text in batch["text"]:
-                total[list(counter(text))] += 1
+            texts = batch["text"].tolist()
+            for k in range(0, len(texts), TEXTS):
+                for found in counter(texts[k : k + TEXTS]):
+                    total[list(found)] += 1
         yield pd.DataFrame({"t": [-1, *np.flatnonzero(total)], "n": [rows, *total[total > 0]]})
 
     return run
 
 
+def _voted(held):
+    """Votes on the examples themselves."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = held.value
+        for batch in batches:
+            terms = [np.frombuffer(t, np.int32) for t in batch["terms"]]
+            counts = [np.frombuffer(n, np.int64) for n in batch["counts"]]
+            votes = index.votes(list(zip(terms, counts, batch["digest"])))
+            yield pd.DataFrame({"toxic": batch["toxic"], "vote": votes}, dtype=object)
+
+    return run
+
+
 def _scored(held):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = held.value
         for batch in batches:
             texts = batch["__text"].tolist()
-            scores = [s for k in range(0, len(texts), TEXTS) for s in index.score(_reduced(index.terms, texts[k : k + TEXTS]))]
+            scores = [s for k in range(0, len(texts), TEXTS) for s in index.score(_reduced(index.hashes, texts[k : k + TEXTS]))]
             batch["score"] = [s for s, _ in scores]
             batch["evidence"] = [e for _, e in scores]
             yield batch.drop(columns="__text")
@@ -297,32 +371,46 @@ def fit(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     examples = landed(texts.join(F.broadcast(chosen), "id"), "examples")
 
+    # both labels' examples spread over tasks again, whatever partitions they came from
+    examples = landed(examples.repartition(16), "spread-examples")
     sizes = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    terms = sorted(r.term for r in examples.mapInPandas(_term_rows, "term string").distinct().collect())
-
-    numbers = {t: k for k, t in enumerate(terms)}
-    held = docs.sparkSession.sparkContext.broadcast(numbers)
+    # columns of numbers, bounded by the examples
+    terms = examples.select("text").mapInPandas(_term_rows, "term bigint").distinct().toArrow()
+    hashes = np.sort(terms.column("term").to_numpy().view(np.uint64))
+    del terms
+    context = docs.sparkSession.sparkContext
+    held = context.broadcast(hashes)
     counted = texts.select("text").mapInPandas(_counted(held), "t int, n bigint")
-    counts = {r.t: r.n for r in counted.groupBy("t").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([math.log((1 + counts[-1]) / (1 + counts.get(k, 0))) + 1 for k in range(len(terms))])
-
-    found = examples.select("id", "toxic", "text").mapInPandas(
-        _vectors(held), f"id {examples.schema['id'].dataType.simpleString()}, toxic int, terms binary, counts binary, digest binary"
-    )
+    counts = landed(counted.groupBy("t").agg(F.sum("n").alias("n")), "term-counts").toArrow()
+    df = np.zeros(len(hashes) + 1, dtype=np.int64)  # the last place is that of -1
+    df[counts.column("t").to_numpy()] = counts.column("n").to_numpy()
+    del counts
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+
+    fields = f"id {examples.schema['id'].dataType.simpleString()}, toxic int, terms binary, counts binary, digest binary"
+    vectors = landed(examples.select("id", "toxic", "text").mapInPandas(_vectors(held), fields), "vectors")
+    columns = vectors.toArrow().to_pydict()
     rows = [
-        (r.id, r.toxic, bytes(r.digest), np.frombuffer(r.terms, np.int32), np.frombuffer(r.counts, np.int64))
-        for r in found.collect()
+        (i, y, d, np.frombuffer(t, np.int32), np.frombuffer(n, np.int64))
+        for i, y, t, n, d in zip(*[columns[c] for c in ("id", "toxic", "terms", "counts", "digest")])
     ]
-    rows.sort(key=lambda r: (r[1], r[0], r[2]))
     shares = tuple(totals.get(y, 0) / max(sizes.get(y, 0), 1) for y in (0, 1))
-    return ExampleIndex(numbers, idf, rows, shares)
+    index = ExampleIndex(hashes, idf, rows, shares)
+    index.id_type = examples.schema["id"].dataType.simpleString()
+    del columns, rows
+    plain = context.broadcast(index)
+    votes = vectors.mapInPandas(_voted(plain), "toxic int, vote double").toArrow().to_pydict()
+    index.calibrate(votes["vote"], votes["toxic"])
+    plain.unpersist()
+    held.unpersist()
+    return index
 
 
 def score_texts(rows: DataFrame, index: ExampleIndex) -> DataFrame:
     """Scores of rows with ``__text``, which goes: score, predicted (1 from THRESHOLD on), evidence."""
     held = rows.sparkSession.sparkContext.broadcast(index)
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.drop("__text").schema)
-    scored = rows.mapInPandas(_scored(held), f"{fields}score double, evidence array<bigint>")
+    scored = rows.mapInPandas(_scored(held), f"{fields}score double, evidence array<{index.id_type}>")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -332,7 +420,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     Null and empty texts, and texts without any term, get the share of toxic examples among examples without
     terms, or among all where none is without. ``evidence`` are the ids of the examples that voted, nearest first. Repeated rows get equal
     results, a null id stays null, an empty table gives an empty result. Without labelled rows every score
-    is 0. Columns other than id, text and label are not read.
+    is 0. Examples of a document's own text are none of its neighbours. Columns other than id, text and label are not read.
     """
     index = fit(docs, labels, id_col, text)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
