@@ -152,16 +152,18 @@ def _merging(words: int, percent: int, least: float):
     return run
 
 
-def _spanning(links: DataFrame) -> DataFrame:
+def _spanning(links: DataFrame, again: int = 1) -> DataFrame:
     """Fewer links that join the same texts: each member with its smallest hub, and that hub with the member's others.
 
     A member has at most as many hubs as there are bands, and members of a large group share theirs, so what is left
-    is about one link per member, however many hubs confirm it.
+    is about one link per member, however many hubs confirm it. Hubs are thinned out ``again`` in the same way.
     """
+    links = landed(links, "all-links")
     held = links.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("hubs"))
     own = held.select(F.get("hubs", F.lit(0)).alias("a"), "b")
     others = held.select(F.get("hubs", F.lit(0)).alias("a"), F.explode(F.expr("slice(hubs, 2, size(hubs))")).alias("b"))
-    return own.unionByName(others.distinct())
+    others = others.distinct()
+    return own.unionByName(_spanning(others, again - 1) if again else others)
 
 
 class _Links:
@@ -259,8 +261,8 @@ def _joining_links(open_: DataFrame, links: _Links, words: int, percent: int) ->
     and each pair of blocks is one unit of work, so a large cluster is many small tasks.
     """
     hubs = open_.groupBy("bucket").agg(F.min("id").alias("hub"))
-    star = open_.join(landed(hubs, "hubs"), "bucket").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    clusters = connected_components(landed(star.distinct(), "stars")).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    star = open_.join(landed(hubs, "hubs"), "bucket").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    clusters = connected_components(landed(_spanning(star.distinct()), "stars")).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
     clusters = landed(clusters.join(open_.select("id", "component").distinct(), "id"), "clusters")
     sizes = landed(clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
     dealt = clusters.join(links.signs, "id").join(links.bodies, "id")
