@@ -18,6 +18,10 @@ from millrace.llm.common import landed
 # fixed values: titles before names, by gender
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин", "Господин"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "госпожа", "Госпожа"]
+NEUTRAL = ["Dr", "Doctor", "Prof", "Professor", "Доктор", "Профессор"]
+NAMES = ["male", "female", "first", "last"]
+# fixed values: calling codes of one and two digits; all others have three
+CALLING_CODE = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 # what makes the value after it a secret, in any case
 LABEL = r"(?i:password|passwd|token|secret|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']{0,1}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -26,7 +30,7 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?[0-9])",
     "phone": r"(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\) ?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
-    r"|(?<![A-Za-z0-9+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
+    r"|(?<![A-Za-z0-9+])\+[0-9]{1,3}[ .-]?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
     r"|(?<![A-Za-z0-9.-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![0-9-])",
     "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![A-Za-z0-9])",
@@ -34,7 +38,7 @@ PATTERNS = {
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     # what costs little is asked first: long look-behinds only where a value or a name can start
     "secret": rf"(?<=[=: \t\"'])(?=[A-Za-z0-9+/_-]{{12}})(?<={LABEL})[A-Za-z0-9+/_-]{{12,}}+",
-    "name": rf"(?<=[ ])(?=\p{{Lu}})(?<=(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE)})\.?[ ])\p{{Lu}}[\p{{L}}]++(?:[ ]\p{{Lu}}[\p{{L}}]++){{0,2}}",
+    "name": rf"(?<=[ ])(?=\p{{Lu}})(?<=(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.?[ ])\p{{Lu}}[\p{{L}}]++(?:[ ]\p{{Lu}}[\p{{L}}]++){{0,2}}",
 }
 # what an entity can start with decides which kinds are tried; none starts within a word
 STARTS = {
@@ -89,13 +93,23 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda a, b: a + b)
 
 
+def _mod97(text: Column) -> Column:
+    """What digits and capital letters (A is 10) leave when divided by 97 as one number."""
+    characters = F.filter(F.split(text, ""), lambda c: c != "")
+
+    def longer(rest: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), rest * 10 + F.ascii(c) - 48).otherwise(rest * 100 + F.ascii(c) - 55) % 97
+
+    return F.aggregate(characters, F.lit(0), longer)
+
+
 def _canonical(kind: Column, entity: Column) -> Column:
     """What mentions of one entity agree in."""
     plain = F.regexp_replace(entity, "[ -]", "")
     return (
         F.when(kind.isin("phone", "ssn"), F.regexp_replace(entity, "[^0-9+]", ""))
         .when(kind.isin("card", "iban"), plain)
-        .when(kind.isin("email", "male", "female", "last"), F.lower(entity))
+        .when(kind.isin("email", *NAMES), F.lower(entity))
         .otherwise(entity)
     )
 
@@ -154,14 +168,20 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: int) -> Colum
     card = _shaped(canonical, drawn, F.lit(1), none)
     body = F.substring(card, F.lit(1), F.length(card) - 1)
     check = ((10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
+    country = F.substring(canonical, F.lit(1), F.lit(2))
+    account = F.regexp_replace(_shaped(canonical, drawn, F.lit(2), none), "^.{4}", "")
+    control = F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0")
+    code = F.length(F.regexp_extract(canonical, CALLING_CODE, 0))
+    # short addresses have few surrogates of their shape; later attempts put letters before them
+    grown = F.concat(*[_letter("abcdefghijklmnopqrstuvwxyz", _drawn(drawn, k)) for k in range(attempt - 2)]) if attempt > 2 else F.lit("")
     return (
         F.when(kind == "ip", F.concat_ws(".", *octets))
-        .when(kind == "email", _shaped(canonical, drawn, none, top_level))
+        .when(kind == "email", F.concat(grown, _shaped(canonical, drawn, none, top_level)))
         .when(kind == "card", F.concat(body, check))
-        .when(kind == "phone", _shaped(canonical, drawn, F.when(canonical.startswith("+"), 2).otherwise(0), none))
-        .when(kind == "iban", _shaped(canonical, drawn, F.lit(2), none))
+        .when(kind == "phone", _shaped(canonical, drawn, code, none))
+        .when(kind == "iban", F.concat(country, control, account))
         .when(kind == "key", _shaped(canonical, drawn, F.lit(4), none))
-        .when(kind.isin("male", "female", "last"), _made_up_name(kind, canonical, drawn, FEWEST + attempt))
+        .when(kind.isin(*NAMES), _made_up_name(kind, canonical, drawn, FEWEST + attempt))
         .otherwise(_shaped(canonical, drawn, none, none))
     )
 
@@ -195,8 +215,8 @@ def _rendered(kind: Column, entity: Column, surrogate: Column) -> Column:
     )
     return (
         F.when(kind.isin("phone", "ssn", "card", "iban"), spaced)
-        .when(kind == "email", cased)
-        .when(kind.isin("male", "female", "last"), named)
+        .when((kind == "email") & (F.length(surrogate) == F.length(entity)), cased)
+        .when(kind.isin(*NAMES), named)
         .otherwise(surrogate)
     )
 
@@ -209,13 +229,13 @@ def _pieces(rows: DataFrame) -> DataFrame:
     earlier = F.when(F.col("at") > 0, F.element_at("__entities", F.greatest(F.col("at"), F.lit(1)))).otherwise("")
     labelled = F.concat(earlier, before).rlike(f"{LABEL}$")
     found = found.withColumn("kind", _kind(F.col("found"), labelled)).where(F.col("kind").isNotNull())
-    female = before.rlike(rf"(?:{'|'.join(FEMALE)})\.?[ ]$")
+    title = F.when(before.rlike(rf"(?:{'|'.join(FEMALE)})\.?[ ]$"), "female")
+    title = title.when(before.rlike(rf"(?:{'|'.join(NEUTRAL)})\.?[ ]$"), "first").otherwise("male")
     words = F.when(F.col("kind") == "name", F.split("found", " ")).otherwise(F.array("found"))
-    found = found.select("__rid", "at", "kind", female.alias("female"), F.size(words).alias("n"), F.posexplode(words).alias("part", "entity"))
+    found = found.select("__rid", "at", "kind", title.alias("title"), F.size(words).alias("n"), F.posexplode(words).alias("part", "entity"))
     first = (F.col("kind") == "name") & (F.col("part") < F.col("n") - 1)
     kind = (
-        F.when(first & F.col("female"), "female")
-        .when(first, "male")
+        F.when(first, F.col("title"))
         .when(F.col("kind") == "name", "last")
         .otherwise(F.col("kind"))
     )
@@ -226,19 +246,22 @@ def _pieces(rows: DataFrame) -> DataFrame:
 def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate), one row per distinct entity; no two share a surrogate, none is an entity.
 
-    ``entities`` (kind, canonical) must be landed and distinct. A round keeps the draws that are free and
-    draws again for the others, names with one syllable more; rounds end when all are free. Where a kind has more entities than surrogates
+    All parts of names count as one kind here. ``entities`` (kind, canonical) must be landed and distinct. A round
+    keeps the draws that are free and draws again for the others, names with one syllable more and addresses with
+    a letter more; rounds end when all are free. Where a kind has more entities than surrogates
     of its format this raises.
     """
     settled, attempt = None, 0
+    group = F.when(F.col("kind").isin(*NAMES), "name").otherwise(F.col("kind")).alias("group")
     open_ = entities
     while True:
         drawn = open_.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("canonical"), attempt))
         drawn = drawn.withColumn("rank", F.lit(1))
         both = drawn if settled is None else drawn.unionByName(settled.withColumn("rank", F.lit(0)))
-        first = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("rank", "canonical")) == 1
-        taken = entities.select(F.col("kind"), F.col("canonical").alias("surrogate"), F.lit(True).alias("taken"))
-        both = both.join(taken, ["kind", "surrogate"], "left").withColumn("free", first & F.col("taken").isNull())
+        first = F.row_number().over(Window.partitionBy("group", "surrogate").orderBy("rank", "canonical", "kind")) == 1
+        taken = entities.select(group, F.col("canonical").alias("surrogate")).distinct().withColumn("taken", F.lit(True))
+        both = both.select("*", group).join(taken, ["group", "surrogate"], "left")
+        both = both.withColumn("free", first & F.col("taken").isNull())
         both = landed(both.select("kind", "canonical", "surrogate", "free"), "surrogates")
         settled = both.where("free").drop("free")
         open_ = both.where("not free").select("kind", "canonical")
