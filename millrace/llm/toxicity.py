@@ -2,8 +2,9 @@
 
 A bounded sample of labelled rows gives the examples, and all of their terms, as 64-bit hashes, are the terms; document
 frequencies of the terms are counted over all documents. The examples stand in an inverted index with block maxima:
-each term knows its largest weight in every block of examples. Sums of these bound the cosines in a block, and a block
-whose bound does not reach the neighbours found so far is skipped, so the neighbours are exact. A term that no example
+each frequent term knows its largest weight in every block of examples. These and the exact share of the other
+terms bound the cosines in a block, and a query passes over the blocks whose bound does not reach its neighbours
+so far, so the neighbours are exact. A term that no example
 holds has no part in any product and is left out of a query's norm. The neighbours vote by similarity; the votes
 of the examples themselves, none of which sees an example of its own text, calibrate the score.
 """
@@ -15,9 +16,11 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +29,12 @@ from millrace.llm.common import landed, ship_package
 
 # the most labelled rows of either label that become examples; the index is broadcast, and this bounds it
 EXAMPLES = 4096
-# examples in a block, blocks that are scored before others are skipped, and texts that are counted at a time
+# examples in a block, blocks that are scored before others are skipped, and texts that are looked up at a time
 BLOCK = 64
 FIRST_BLOCKS = 4
 TEXTS = 256
+# terms whose postings stand by block, with block maxima; the others have few
+FREQUENT = 1024
 NEIGHBOURS = 15
 # the vote that the share of the label among all labelled rows has
 PRIOR = 0.05
@@ -49,8 +54,7 @@ def term_counts(text: str | None) -> Counter:
     return found
 
 
-def _term_hash(term: str) -> int:
-    return xxhash.xxh3_64_intdigest(term)
+_term_hash = xxhash.xxh3_64_intdigest
 
 
 class TermCounter:
@@ -62,32 +66,60 @@ class TermCounter:
         """``hashes``: those of the terms, sorted; a term's number is its place."""
         self.hashes = hashes
         self.holding: dict[str, tuple[int, ...]] = {}
+        # of words and stems, -1 for those that are no term
+        self.numbers: dict[str, int] = {}
+
+    @staticmethod
+    def _parts(word: str) -> list[str]:
+        parts = []
+        for w in (word,) if word.isalpha() else _WORD.findall(word):
+            parts.append(w)
+            for n in STEMS:
+                if len(w) > n:
+                    parts.append(w[:n] + "-")
+        return parts
 
     def _learn(self, words: list[str]) -> None:
-        parts = [[p for w in _WORD.findall(word) for p in (w, *[f"{w[:n]}-" for n in STEMS if len(w) > n])] for word in words]
-        every = np.fromiter((_term_hash(p) for part in parts for p in part), np.uint64)
-        place = np.searchsorted(self.hashes, every)
+        parts = [self._parts(word) for word in words]
+        new = list(set().union(*parts).difference(self.numbers))
+        hashes = np.fromiter(map(_term_hash, new), np.uint64, len(new))
+        place = np.searchsorted(self.hashes, hashes)
         known = place < len(self.hashes)
-        known[known] = self.hashes[place[known]] == every[known]
-        held, at = np.where(known, place, -1).tolist(), 0
-        for word, part in zip(words, parts):
-            self.holding[word] = tuple([t for t in held[at : at + len(part)] if t >= 0])
-            at += len(part)
-
-    def __call__(self, texts: list[str | None]) -> list[dict[int, int]]:
-        """For each text the numbers of its terms and their counts."""
-        if len(self.holding) > self.MEMO:
+        known[known] = self.hashes[place[known]] == hashes[known]
+        numbers = self.numbers
+        numbers.update(zip(new, np.where(known, place, -1).tolist()))
+        for word, some in zip(words, parts):
+            self.holding[word] = tuple([t for p in some if (t := numbers[p]) >= 0])
+
+    def pairs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (text, term) in order, as places and numbers, with counts."""
+        if len(self.holding) > self.MEMO or len(self.numbers) > self.MEMO:
             self.holding.clear()
-        counted = [Counter((text or "").lower().split()) for text in texts]
-        self._learn(list(set().union(*counted).difference(self.holding)))
-        out = []
-        for words in counted:
-            found: dict[int, int] = {}
-            for word, n in words.items():
-                for t in self.holding[word]:
-                    found[t] = found.get(t, 0) + n
-            out.append(found)
-        return out
+            self.numbers.clear()
+        lists = [(text or "").lower().split() for text in texts]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        if not sizes.sum():
+            return (np.empty(0, np.int64),) * 3
+        coded = pa.array(list(chain.from_iterable(lists))).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self._learn([w for w in words if w not in self.holding])
+        held = [self.holding[w] for w in words]
+        each = np.fromiter(map(len, held), np.int64, len(held))
+        terms = np.fromiter(chain.from_iterable(held), np.int64, int(each.sum()))
+        word = coded.indices.to_numpy()
+        many = each[word]
+        ends = np.cumsum(many)
+        where = np.repeat((np.cumsum(each) - each)[word] - (ends - many), many) + np.arange(ends[-1])
+        text = np.repeat(np.repeat(np.arange(len(lists)), sizes), many)
+        found, counts = np.unique(text * len(self.hashes) + terms[where], return_counts=True)
+        return found // len(self.hashes), found % len(self.hashes), counts
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the numbers of its terms, ascending, and their counts."""
+        text, terms, counts = self.pairs(texts)
+        at = np.searchsorted(text, np.arange(len(texts) + 1))
+        terms = terms.astype(np.int32)
+        return [(terms[a:b], counts[a:b]) for a, b in zip(at[:-1], at[1:])]
 
 
 _COUNTERS: dict[int, TermCounter] = {}
@@ -147,11 +179,11 @@ class ExampleIndex:
         return sorted(examples, key=key)
 
     def __getstate__(self):
-        derived = ("weights", "same", "at", "entry_at", "entry_block", "entry_most", "entry_from", "entry_size")
+        derived = ("weights", "same", "at", "place", "by_block", "most")
         return {k: v for k, v in self.__dict__.items() if k not in derived} | {"weights": None}
 
     def _unfold(self) -> None:
-        """Weights of the postings, and for each term an entry per block that holds it: its largest weight, its postings."""
+        """Weights of the postings; for the frequent terms by block (block, term, example), and their largest."""
         self.same: dict[bytes, list[int]] = {}
         for number, digest in enumerate(self.digests):
             self.same.setdefault(digest, []).append(number)
@@ -161,13 +193,15 @@ class ExampleIndex:
         norms = np.sqrt(np.bincount(self.numbers, raw * raw, len(self.ids)))
         self.weights = raw / np.where(norms > 0, norms, 1)[self.numbers]
         self.at = np.concatenate(([0], np.cumsum(sizes)))
-        block = self.numbers.astype(np.int64) // BLOCK
-        new = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(block, prepend=-1)) if len(term) else np.empty(0, np.int64)
-        self.entry_from = new
-        self.entry_size = np.diff(np.append(new, len(term)))
-        self.entry_block = block[new]
-        self.entry_most = np.maximum.reduceat(self.weights, new) if len(new) else np.empty(0)
-        self.entry_at = np.concatenate(([0], np.cumsum(np.bincount(term[new], minlength=len(sizes)))))
+        # the place of a frequent term, or -1
+        frequent = np.argsort(-sizes, kind="stable")[:FREQUENT]
+        self.place = np.full(len(sizes), -1, dtype=np.int64)
+        self.place[frequent] = np.arange(len(frequent))
+        self.by_block = np.zeros((-(-len(self.ids) // BLOCK), len(frequent), BLOCK))
+        where = np.flatnonzero(self.place[term] >= 0)
+        numbers = self.numbers[where].astype(np.int64)
+        self.by_block[numbers // BLOCK, self.place[term[where]], numbers % BLOCK] = self.weights[where]
+        self.most = self.by_block.max(axis=2).T.copy()
 
     def _share(self, labels: np.ndarray) -> float:
         weight = np.where(labels == 1, self.shares[1], self.shares[0])
@@ -183,40 +217,48 @@ class ExampleIndex:
         ends = np.cumsum(sizes)
         return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
-    def _nearest(self, terms: np.ndarray, counts: np.ndarray, digest: bytes) -> list[tuple[float, int]]:
-        """The NEIGHBOURS examples of highest cosine above 0, ties by number, but none of the same text."""
-        weights = self._weights(terms, counts)
-        sizes = self.entry_at[terms + 1] - self.entry_at[terms]
-        entries = self._ranges(self.entry_at[terms], sizes)
-        own = np.repeat(weights, sizes)
-        blocks = self.entry_block[entries]
-        bounds = np.bincount(blocks, own * self.entry_most[entries], -(-len(self.ids) // BLOCK))
-        scores = np.zeros(len(self.ids))
-        same = self.same.get(digest, [])
-
-        def score(chosen: np.ndarray) -> float:
-            """Exact cosines in the chosen blocks; returns the least that a neighbour has by now."""
-            some = np.flatnonzero(chosen[blocks])
-            each = self.entry_size[entries[some]]
-            where = self._ranges(self.entry_from[entries[some]], each)
-            scores[:] += np.bincount(self.numbers[where], self.weights[where] * np.repeat(own[some], each), len(scores))
-            scores[same] = 0
-            most = min(NEIGHBOURS, len(scores))
-            return float(np.partition(scores, len(scores) - most)[len(scores) - most])
-
-        first = np.zeros(len(bounds), dtype=bool)
-        first[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
-        least = score(first)
+    def _nearest(self, queries: list[tuple]) -> list[list[tuple[float, int]]]:
+        """For each query the NEIGHBOURS examples of highest cosine above 0, ties by number, none of the same text."""
+        blocks = len(self.by_block)
+        dense = np.zeros((len(queries), len(self.most)))
+        scores = np.zeros((len(queries), blocks * BLOCK))
+        hidden = np.zeros(scores.shape, dtype=bool)
+        hidden[:, len(self.ids) :] = True
+        for row, (terms, counts, digest) in enumerate(queries):
+            weights = self._weights(terms, counts)
+            place = self.place[terms]
+            dense[row, place[place >= 0]] = weights[place >= 0]
+            terms, weights = terms[place < 0], weights[place < 0]
+            sizes = self.at[terms + 1] - self.at[terms]
+            where = self._ranges(self.at[terms], sizes)
+            scores[row] = np.bincount(self.numbers[where], self.weights[where] * np.repeat(weights, sizes), scores.shape[1])
+            hidden[row, self.same.get(digest, [])] = True
+        by_block = scores.reshape(len(queries), blocks, BLOCK)
+        bounds = by_block.max(axis=2) + dense @ self.most
+
+        def add(chosen: np.ndarray) -> None:
+            """The frequent terms' share of the cosines in the chosen blocks of each query."""
+            for block in np.flatnonzero(chosen.any(axis=0)):
+                rows = np.flatnonzero(chosen[:, block])
+                by_block[rows, block] += dense[rows] @ self.by_block[block]
+
+        first = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
+        add(first)
+        most = min(NEIGHBOURS, len(self.ids))
+        # what stands in the other blocks is a part of their cosines, so the k-th best can only be higher
+        least = -np.partition(np.where(hidden, 0, -scores), most - 1, axis=1)[:, most - 1]
+        rest = ~first & (bounds >= least[:, None] - 1e-9)
+        add(rest)
         # sums of equal texts may differ in their last digits
-        rest = ~first & (bounds > 0) & (bounds >= least - 1e-9)
-        if rest.any():
-            score(rest)
-        scores = np.round(scores, 12)
-        most = min(NEIGHBOURS, len(scores))
-        least = np.partition(scores, len(scores) - most)[len(scores) - most]
-        best = np.flatnonzero((scores >= least) & (scores > 0))
-        best = best[np.argsort(-scores[best], kind="stable")][:NEIGHBOURS]
-        return list(zip(scores[best].tolist(), best.tolist()))
+        scores = np.where(hidden | ~np.repeat(first | rest, BLOCK, axis=1), 0, np.round(scores, 12))
+        out = []
+        for row in scores:
+            least = np.partition(row, len(row) - most)[len(row) - most]
+            best = np.flatnonzero((row >= least) & (row > 0))
+            best = best[np.argsort(-row[best], kind="stable")][:NEIGHBOURS]
+            out.append(list(zip(row[best].tolist(), best.tolist())))
+        return out
 
     def nearest(self, queries: list[tuple]) -> list[list[tuple[float, int]]]:
         """The neighbours of each (term numbers, counts, digest); equal texts are looked up once."""
@@ -224,10 +266,11 @@ class ExampleIndex:
             return [[] for _ in queries]
         if self.weights is None:
             self._unfold()
-        known: dict[bytes, list[tuple[float, int]]] = {}
-        for terms, counts, digest in queries:
-            if digest not in known:
-                known[digest] = self._nearest(terms, counts, digest) if len(terms) else []
+        once = {digest: (terms, counts, digest) for terms, counts, digest in queries}
+        asked, known = list(once.values()), {}
+        for at in range(0, len(asked), TEXTS):
+            some = asked[at : at + TEXTS]
+            known.update(zip([d for _, _, d in some], self._nearest(some)))
         return [known[digest] for _, _, digest in queries]
 
     def _vote(self, near: list[tuple[float, int]]) -> float:
@@ -287,10 +330,7 @@ def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _reduced(hashes: np.ndarray, texts: list[str | None]) -> list[tuple]:
     """Texts as (term numbers, counts, digest)."""
-    return [
-        (np.fromiter(f.keys(), np.int32, len(f)), np.fromiter(f.values(), np.int64, len(f)), _digest(x))
-        for f, x in zip(_counter(hashes)(texts), texts)
-    ]
+    return [(terms, counts, _digest(x)) for (terms, counts), x in zip(_counter(hashes)(texts), texts)]
 
 
 def _vectors(held):
@@ -317,8 +357,8 @@ def _counted(held):
             rows += len(batch)
             texts = batch["text"].tolist()
             for k in range(0, len(texts), TEXTS):
-                for found in counter(texts[k : k + TEXTS]):
-                    total[list(found)] += 1
+                some, n = np.unique(counter.pairs(texts[k : k + TEXTS])[1], return_counts=True)
+                total[some] += n
         yield pd.DataFrame({"t": [-1, *np.flatnonzero(total)], "n": [rows, *total[total > 0]]})
 
     return run
