@@ -19,14 +19,19 @@ from millrace.llm.toxicity import without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't predicted toxic."""
+    """Documents that aren't predicted toxic.
+
+    Null and empty texts get the score of texts without terms, null ids and repeated rows are scored like others, and
+    labels without a document or with another value than 0 and 1 teach nothing.
+    """
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more.
 
-    Documents with a null id take part in no group and stay.
+    The smallest id of a group stays, with all rows that repeat it. Null, empty and blank texts are in no group and stay,
+    and so do documents with a null id.
     """
     found = near_duplicates(docs, words=5, percent=80)
     gone = landed(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
@@ -34,20 +39,30 @@ def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets replaced by surrogates."""
+    """Personal data and secrets replaced by surrogates.
+
+    No row goes. A null text stays null, with a null n_chars; equal entities get equal surrogates in every row.
+    """
     masked = replace_personal_data(docs, key="pipeline").drop("n_entities")
     return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target shares: documents repeat, stay once, end early or go."""
+    """Sources in their target shares: documents repeat, stay once, end early or go.
+
+    A null source is one of the sources, the last. Null and empty texts have no words, so nothing is taken of them and they
+    go. Equal hash keys are ordered by id and size.
+    """
     others = [c for c in docs.columns if c != "doc_id"]
     mixed = mixed_rows(mix(docs, keep=others))
     return mixed.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their places in sequences."""
+    """Pieces of documents and their places in sequences.
+
+    A null text is an empty one: a piece with the end id. Repeated rows and null ids are packed like others.
+    """
     packed = pack_documents(docs, TOKENIZER)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
