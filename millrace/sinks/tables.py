@@ -22,8 +22,8 @@ from millrace.session import scratch_path
 
 def _staging(path: str) -> str:
     """A fresh folder beside a path, on the same file system; readers of the path's parent skip it."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/.{name}-{uuid.uuid4().hex}"
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    return f"{parent}{slash}.{name}-{uuid.uuid4().hex}"
 
 
 def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
