@@ -4,7 +4,8 @@ Sort keys are cut into ranges in two levels. A sample of the keys is range-parti
 partitions are the coarse ranges, and every few keys of one begin a fine range. A row finds its coarse range among
 the square root of all bounds, which are constants of the plan, and its fine range among those of the landed table for
 that coarse range. Both are pure functions of the keys, so a task that is run again gives the same rows. Rows per range
-are counted, summed up to offsets in two levels as well, and every range is numbered in a task of its own. No number
+are counted, summed up to offsets in two levels as well, and every range is numbered by itself. Neighbouring ranges share
+a task where there are many: what a task costs the driver then grows with the rows, not with the ranges. No number
 bounds the ranges, and no task or driver holds more than about the square root of their number.
 """
 
@@ -21,6 +22,8 @@ from millrace.session import land
 ROWS_PER_RANGE = 500_000
 # ranges whose bounds and offsets are broadcast; more of them are joined by a shuffle
 MOST_BROADCAST = 1_000_000
+# ranges are numbered in at most so many tasks, or one for each ROWS_PER_RANGE rows where that is more
+MOST_TASKS = 200
 _SAMPLES_PER_RANGE = 10
 
 
@@ -58,15 +61,20 @@ def _bounds(df: DataFrame, order_cols: Sequence[str], total: int, ranges: int) -
 def _place(column: str, bounds: Column, size: Column | int, steps: int, df: DataFrame) -> DataFrame:
     """Add ``column``, the number of sorted ``bounds`` that are not above __key, by halving steps.
 
-    One projection per step: Spark keeps them apart, since each uses the last one twice, and compiles all of
-    them into one stage.
+    The steps are a fold over their widths, so the expression has one size however many there are. As nested
+    projections Spark wrote out each step in both branches of the next, and its generated code doubled with each.
     """
-    df = df.withColumn(column, F.lit(0))
-    for power in range(steps - 1, -1, -1):
-        ahead = F.col(column) + F.lit(1 << power)
-        fits = (ahead <= size) & (F.get(bounds, ahead - 1) <= F.col("__key"))
-        df = df.withColumn(column, F.when(fits, ahead).otherwise(F.col(column)))
-    return df
+    if steps == 0:
+        return df.withColumn(column, F.lit(0))
+    bound_count = F.lit(size) if isinstance(size, int) else size
+
+    def halved(place: Column, width: Column) -> Column:
+        ahead = place + width
+        return F.when((ahead <= bound_count) & (F.get(bounds, ahead - 1) <= F.col("__key")), ahead).otherwise(place)
+
+    widths = F.array(*[F.lit(1 << power) for power in range(steps - 1, -1, -1)])
+    # never null, and Spark has to see it: it would filter for it before the joins and search a second time there
+    return df.withColumn(column, F.coalesce(F.aggregate(widths, F.lit(0), halved), F.lit(0)))
 
 
 def _with_range(df: DataFrame, order_cols: Sequence[str], bounds: DataFrame, ranges: int) -> tuple[DataFrame, int]:
@@ -92,7 +100,7 @@ def _with_range(df: DataFrame, order_cols: Sequence[str], bounds: DataFrame, ran
     fine = bounds.select(number.alias("__coarse"), F.col("bounds").alias("__bounds"), F.col("base").alias("__base"))
     keyed = keyed.join(_small(fine, ranges), "__coarse")
     placed = _place("__fine", F.col("__bounds"), F.size("__bounds"), got.most.bit_length(), keyed)
-    placed = placed.withColumn("__range", F.col("__base") + F.col("__fine"))
+    placed = placed.withColumn("__range", F.coalesce(F.col("__base") + F.col("__fine"), F.lit(0)))
     return placed.drop("__key", "__bounds", "__base", "__fine"), got.ranges
 
 
@@ -137,7 +145,12 @@ def range_row_number(
     else:
         offsets = _offsets(placed)
         if between is None:
-            numbered = placed.repartitionById(size, "__range").withColumn(out, number)
+            tasks = min(size, max(MOST_TASKS, math.ceil(total / ROWS_PER_RANGE)))
+            # consecutive ranges to a task, so a task has consecutive numbers
+            task = F.floor(F.col("__range") * F.lit(tasks) / F.lit(size)).cast("int")
+            dealt = placed.withColumn("__task", task).repartitionById(tasks, "__task")
+            in_task = Window.partitionBy("__task", "__range").orderBy(*order_cols)
+            numbered = dealt.withColumn(out, F.row_number().over(in_task).cast("bigint")).drop("__task")
         else:
             first, last = between
             offsets = offsets.where((F.col("__before") + F.col("__rows") >= first) & (F.col("__before") < last))

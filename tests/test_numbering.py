@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace.operators import numbering
 from millrace.operators.numbering import range_row_number
 from millrace.sources.paging import page_assignment, page_plan, paged_scan
 
@@ -83,3 +84,19 @@ def test_one_page(spark, rows, page_no):
 def test_page_plan_edges(spark, n, size, sizes):
     plan = sorted(page_plan(spark.range(n), size).collect(), key=lambda r: r.page_no)
     assert [r.n_rows for r in plan] == sizes
+
+
+@pytest.mark.parametrize("between", [None, (700, 900)])
+def test_many_ranges_cost_few_tasks_and_a_small_plan(spark, rows, between, monkeypatch):
+    """Two thousand ranges: neighbours share a task, and the search for a row's range is in the plan once."""
+    monkeypatch.setattr(numbering, "MOST_TASKS", 20, raising=False)
+    df = spark.range(4000).select((F.col("id") * 37 % 4000).alias("k"), F.lit("x").alias("v"))
+    numbered = range_row_number(df, ["k"], rows_per_range=2, between=between)
+    planned = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert len(planned) < 20_000
+    first, last = between or (1, 4000)
+    assert rows(numbered) == rows(df.select("k", "v", (F.col("k") + 1).alias("row_num")).where(F.col("row_num").between(first, last)))
+    if between is None:
+        parts = numbered.select("row_num", F.spark_partition_id().alias("p")).groupBy("p").agg(F.min("row_num").alias("a"), F.max("row_num").alias("b"))
+        held = sorted(parts.collect(), key=lambda r: r.a)
+        assert len(held) <= 20 and all(x.b + 1 == y.a for x, y in zip(held, held[1:]))
