@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.addresses import building_dong, building_ho, token_count, token_prefix
 from millrace.operators.numbering import range_row_number
-from millrace.operators.skew import hot_hashes, join_unique
+from millrace.operators.skew import hot_hashes, join_unique, sized
 from millrace.schemas import ADDRESS_DICTIONARY, ADDRESS_MASTER
 from millrace.session import land
 
@@ -24,7 +24,7 @@ def unresolved_keys(
         values = values.where(F.col(column) != "")
     seen = known.select(F.col(known_column).alias(column)).distinct()
     # both sides are distinct, so no key is hot here
-    return values.distinct().join(seen, column, "left_anti")
+    return values.distinct().join(sized(seen, known.count()), column, "left_anti")
 
 
 # bits of the largest filter of prefixes, 8 MB; and bits for each entry of a small one
@@ -88,11 +88,11 @@ def longest_prefix(keys: DataFrame, column: str, dictionary: DataFrame, keyword_
     present = land(keys.select(column).where(F.col(column).isNotNull()).distinct(), "texts")
     # a short prefix may begin a third of all texts
     hot = hot_hashes(present, [keyword_column], expand=candidates)
-    hits = join_unique(candidates(present), entries, keyword_column, "inner", hot, unique=True)
+    hits = join_unique(candidates(present), entries, keyword_column, "inner", hot, unique=True, most=size.n)
     best = hits.groupBy(column).agg(
         F.max_by(F.struct(keyword_column, "n_tokens", "__entry"), "n_tokens").alias("__best")
     )
-    matched = join_unique(keys, best, column, "left", unique=True)
+    matched = join_unique(keys, best, column, "left", unique=True, most=present.count())
     return matched.select(
         *keys.columns,
         F.col(f"__best.{keyword_column}").alias(keyword_column),
@@ -215,7 +215,7 @@ def resolve_new_addresses(
     else:
         taken = taken.unionByName(given.select("seq"))
         numbers = given.groupBy("legacy_address").agg(F.min("seq").alias("seq"))
-        both = new.join(numbers, "legacy_address", "left")
+        both = new.join(sized(numbers, given.count()), "legacy_address", "left")
     if "is_error" in dictionary.columns:
         entries = dictionary.where("total_count > 0 OR is_error")
     else:
@@ -255,4 +255,4 @@ def mark_surrogate(
 ) -> DataFrame:
     """Put the reference row's number on every row by its key; null where there is none."""
     numbers = reference.groupBy(F.col(reference_on).alias(on)).agg(F.max(seq_column).alias(out))
-    return join_unique(df, numbers, on, "left", unique=True).select(*df.columns, out)
+    return join_unique(df, numbers, on, "left", unique=True, most=reference.count()).select(*df.columns, out)

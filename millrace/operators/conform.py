@@ -23,9 +23,10 @@ def extend_contract(
 
     Of several extension rows of a key the newest by ``order_cols`` is taken, without these the greatest.
     """
+    most = extension.count()
     if order_cols:
         extension = newest_per_key(extension, [on], order_cols)
-    return join_unique(main, extension, on, "left", unique=bool(order_cols))
+    return join_unique(main, extension, on, "left", unique=bool(order_cols), most=most)
 
 
 def conform_union(parts: Sequence[tuple[DataFrame, Mapping[str, str | Column]]]) -> DataFrame:

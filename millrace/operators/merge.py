@@ -170,7 +170,7 @@ def publish_children(
     ``hot`` goes to ``join_unique``; who checks several parents finds the hot keys of all in one go.
     """
     keys, columns = _parent_keys(parent, on)
-    return join_unique(child, keys, columns, "left_semi", hot, unique=True).select(*child.columns)
+    return join_unique(child, keys, columns, "left_semi", hot, unique=True, most=parent.count()).select(*child.columns)
 
 
 def delete_unmatched(
@@ -185,7 +185,7 @@ def unmatched_rows(
 ) -> DataFrame:
     """The rows ``delete_unmatched`` leaves out."""
     keys, columns = _parent_keys(parent, on)
-    return join_unique(child, keys, columns, "left_anti", hot, unique=True).select(*child.columns)
+    return join_unique(child, keys, columns, "left_anti", hot, unique=True, most=parent.count()).select(*child.columns)
 
 
 Parents = Sequence[tuple[DataFrame, str | Mapping[str, str]]]

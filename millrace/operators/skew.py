@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 HOT_TASKS = 2
 # a hot key is expected in so many sampled rows: far above what chance gives to half as frequent ones
 HOT_SAMPLES = 400
+# Spark broadcasts what it takes for small by the size of compressed files, and keeps to that when it sees the rows; from
+# so many rows on both sides are shuffled
+MOST_ROWS = 200_000
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _HASHABLE = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
@@ -37,6 +40,11 @@ def _key_hash(df: DataFrame, keys: Sequence[str]) -> Column | None:
     return F.xxhash64(*[F.col(k).cast(kind) for k, kind in zip(keys, kinds)])
 
 
+def sized(df: DataFrame, most: int) -> DataFrame:
+    """A side of a join that has ``most`` rows at most: if these are many, it is not broadcast whatever its files' size."""
+    return df if most <= MOST_ROWS else df.hint("merge")
+
+
 def _hot(df: DataFrame, sampled: Callable[[DataFrame], DataFrame], tasks: int | None) -> list:
     """Rows (which, h) of the keys that ``sampled`` finds often enough in a sample of ``df``."""
     tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -96,15 +104,17 @@ def join_unique(
     how: str = "left",
     hot: Sequence[int] | None = None,
     unique: bool = False,
+    most: int | None = None,
 ) -> DataFrame:
     """Join ``left`` with one row per key of ``right`` on equally named columns.
 
     ``how`` is inner, left, left_semi or left_anti. Of several right rows of a key the greatest counts; a
     caller whose ``right`` has one row per key by construction says so with ``unique``. ``hot`` may be given
     by a caller that knows it (from ``hot_hashes`` of a cheaper frame with the same keys); an empty list means
-    a plain join.
+    a plain join. ``most`` is a bound of the right side's rows; without it they are counted.
     """
     on = [on] if isinstance(on, str) else list(on)
+    most = right.count() if most is None else most
     for key in on:
         right = right.where(F.col(key).isNotNull())
     if not unique:
@@ -115,9 +125,9 @@ def join_unique(
     elif hot is None:
         hot = hot_hashes(left.select(*on), on)
     if not hot:
-        return left.join(right, on, how)
+        return left.join(sized(right, most), on, how)
     is_hot_left = _key_hash(left, on).isin(list(hot))
     is_hot_right = _key_hash(right, on).isin(list(hot))
-    even = left.where(~is_hot_left).join(right, on, how)
+    even = left.where(~is_hot_left).join(sized(right, most), on, how)
     few = left.where(is_hot_left).join(F.broadcast(right.where(is_hot_right)), on, how)
     return even.unionByName(few)

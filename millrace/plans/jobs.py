@@ -32,6 +32,7 @@ from millrace.operators.merge import (
     with_parents,
     without_keys,
 )
+from millrace.operators.skew import sized
 from millrace.plans.catalog import (
     FEEDS,
     INSTITUTION_MAPPINGS,
@@ -272,8 +273,8 @@ def resolve_addresses(
     known = hub.addresses(except_added=added).drop("added")
     # published rows refer to the numbers, so a rerun keeps what it has once given
     given = land(hub.addresses().where(F.col("added") == added).drop("added"), "given")
-    new = resolve_new_addresses(owners, known, dictionary, hub.at, given=given)
-    left_over = given.join(land(new, "new-addresses").select("legacy_address"), "legacy_address", "left_anti")
+    new = land(resolve_new_addresses(owners, known, dictionary, hub.at, given=given), "new-addresses")
+    left_over = given.join(sized(new.select("legacy_address"), new.count()), "legacy_address", "left_anti")
     new = new.unionByName(left_over.select(*new.columns))
     path = hub.path("lv1", "address_master")
     versions.replace_parts(new.withColumn("added", F.lit(added)), path, "added")

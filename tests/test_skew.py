@@ -96,3 +96,19 @@ def test_right_side_is_made_unique(spark, rows):
         spark.createDataFrame([(1, "b", 0), (1, "b", 0), (2, None, None)], "k int, v string, n int")
     )
     assert join_unique(left, right, "k", "left_semi").count() == 2
+
+
+@pytest.mark.parametrize("hot", [[], None])
+def test_a_side_of_many_rows_is_not_broadcast(spark, tmp_path, rows, hot, monkeypatch):
+    """Its file is a few KB, so Spark takes it for small; what counts are its rows."""
+    path = f"{tmp_path}/right"
+    spark.range(50_000).select(F.col("id").alias("k"), F.lit("a long text that all rows share " * 4).alias("v")).write.parquet(path)
+    right = spark.read.parquet(path)
+    left = left_frame(spark)
+    small = join_unique(left, right, "k", "left", hot, unique=True)
+    monkeypatch.setattr(skew, "MOST_ROWS", 1000, raising=False)
+    large = join_unique(left, right, "k", "left", hot, unique=True)
+    if hot is not None:
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+    assert rows(large) == rows(left.join(right, "k", "left"))
