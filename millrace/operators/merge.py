@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleaning import blank_to_null, strip_nul
-from millrace.operators.skew import join_unique
+from millrace.operators.skew import hot_hashes_each, join_unique
 from millrace.session import land
 
 # rows and key characters of missing parents that may be broadcast; more take joins that shuffle
@@ -221,28 +221,43 @@ def missing_parents(child: DataFrame, parents: Parents) -> DataFrame:
 def split_by_parents(child: DataFrame, parents: Parents) -> tuple[DataFrame, DataFrame]:
     """Children that have all their parents, and those that lack one.
 
-    The missing keys are found in one pass (``missing_parents``) and landed. While they are few, the child is
-    filtered by broadcasts of them and never shuffled; many of them take one shuffled join per parent.
+    The missing keys are found in one pass (``missing_parents``) and landed. While those of a parent are few, the child is
+    filtered by a broadcast of them and not shuffled; many of them take one shuffled join, for which only the rows are
+    left that have the parents before.
     """
     parents = list(parents)
     if not parents:
         return child, child.limit(0)
     missing = land(missing_parents(child, parents), "missing")
-    got = missing.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("key")), F.lit(0)).alias("size")).first()
-    few = got.n <= FEW_MISSING and got.size <= FEW_CHARACTERS
-    marked, lacking = child, []
-    for number, (_, on) in enumerate(parents):
+    got = missing.groupBy("which").agg(F.count("*").alias("n"), F.sum(F.length("key")).alias("size")).collect()
+    count = {r.which: r.n for r in got}
+    few = {n: count.get(n, 0) <= FEW_MISSING for n in range(len(parents))}
+    few |= {r.which: few[r.which] and r.size <= FEW_CHARACTERS for r in got}
+    names = [f"__key_{n}" for n in range(len(parents))]
+    keyed = child
+    for name, (_, on) in zip(names, parents):
         columns = list(_pairs(on))
-        key, gone = f"__key_{number}", f"__gone_{number}"
-        marked = marked.withColumn(key, _key_text(child, columns, [child.schema[c].dataType for c in columns]))
-        found = missing.where(F.col("which") == number).select(F.col("key").alias(key), F.lit(True).alias(gone))
-        if few:
-            marked = marked.join(F.broadcast(found), key, "left")
+        keyed = keyed.withColumn(name, _key_text(child, columns, [child.schema[c].dataType for c in columns]))
+    # the child's own hot keys, found once; joins of joins would be run again to look for them
+    shuffled = [n for n in range(len(parents)) if not few[n]]
+    hot = dict(zip(shuffled, hot_hashes_each(keyed, [[names[n]] for n in shuffled]))) if shuffled else {}
+    marked, kept, lacking = keyed, keyed, []
+    # broadcasts first, then the parents that many rows lack: rows that lack one meet no other
+    for number in sorted(few, key=lambda n: (not few[n], -count.get(n, 0))):
+        key, gone = names[number], f"__gone_{number}"
+        found = missing.where(F.col("which") == number).select(F.col("key").alias(key))
+        flagged = found.withColumn(gone, F.lit(True))
+        kept = kept.where(F.col(key).isNotNull())
+        if few[number]:
+            marked = marked.join(F.broadcast(flagged), key, "left")
+            kept = kept.join(F.broadcast(found), key, "left_anti")
         else:
-            marked = join_unique(marked, found, key, "left", unique=True)
+            marked = join_unique(marked, flagged, key, "left", hot[number], unique=True, most=count.get(number, 0))
+            kept = join_unique(kept, found, key, "left_anti", hot[number], unique=True, most=count.get(number, 0))
+        kept = kept.drop(key)
         lacking.append(F.col(gone).isNotNull() | F.col(key).isNull())
     lacks = reduce(lambda a, b: a | b, lacking)
-    return marked.where(~lacks).select(*child.columns), marked.where(lacks).select(*child.columns)
+    return kept.select(*child.columns), marked.where(lacks).select(*child.columns)
 
 
 def with_parents(child: DataFrame, parents: Parents) -> DataFrame:

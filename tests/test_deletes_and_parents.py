@@ -160,3 +160,26 @@ def test_replace_failure_leaves_the_table(spark, rows, tmp_path):
     with pytest.raises(Exception, match="half way"):
         replace_table(spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("half way")).cast("bigint")).alias("id")), path)
     assert rows(spark.read.parquet(path)) == [(0,), (1,), (2,)]
+
+
+def test_hot_keys_of_all_parents_are_found_on_the_child(spark, rows, monkeypatch):
+    """Many missing keys: the joins before are not run again to look for the hot keys of the next one."""
+    from millrace.operators import merge, skew
+
+    asked = []
+    found = skew.hot_hashes
+    monkeypatch.setattr(skew, "hot_hashes", lambda *args, **kw: asked.append(args) or found(*args, **kw))
+    monkeypatch.setattr(merge, "FEW_MISSING", 2)
+    number = F.col("id")
+    child = spark.range(600).select(
+        number.alias("id"),
+        F.when(number % 7 != 0, number % 50).alias("a"),
+        (number % 30).alias("b"),
+        F.when(number % 3 == 0, 1).otherwise(number % 20).alias("c"),
+    )
+    child = child.unionByName(child.limit(40))
+    parents = [(spark.range(0, 50, 2).toDF("a"), "a"), (spark.range(1, 30).toDF("p"), {"b": "p"}), (spark.range(1, 9).toDF("c"), "c")]
+    kept, orphans = merge.split_by_parents(child, parents)
+    good = "coalesce(a % 2 = 0 AND b > 0 AND c BETWEEN 1 AND 8, false)"
+    assert rows(kept) == rows(child.where(good)) and rows(orphans) == rows(child.where(f"NOT {good}"))
+    assert asked == []
