@@ -133,9 +133,15 @@ def _part_folders(spark: SparkSession, folder: str) -> dict[str, str]:
     return {unquote(n.removeprefix(f"{PART}=")): n for n in names}
 
 
-def _write_parts(df: DataFrame, path: str, layout: Version) -> dict[str, Part]:
+def _write_parts(df: DataFrame, path: str, layout: Version, rows_per_file: int | None = None) -> dict[str, Part]:
     """Rows into a fresh folder, by part; returns the parts that got any."""
     spark, folder = df.sparkSession, uuid.uuid4().hex
+    if rows_per_file is not None:
+        # not by part: that would sort by it and lose the order of the rows
+        name = f"{folder}/{PART}={WHOLE}"
+        df.write.option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/files/{name}")
+        fs, target = _hadoop(spark, f"{path}/files/{name}")
+        return {WHOLE: Part(name, fs.getContentSummary(target).getLength())}
     rows = df.withColumn(PART, layout.part_of())
     if layout.by is not None or layout.buckets > 1:
         rows = rows.hint("rebalance", PART)
@@ -169,16 +175,20 @@ def replace(
     buckets: int = BUCKETS,
     by: str | None = None,
     check: Callable[[int], None] | None = None,
+    rows_per_file: int | None = None,
 ) -> str:
     """A new version that holds exactly ``df``; returns its name.
 
     With ``keys`` the table is dealt into ``buckets`` and takes ``apply_changes``; with ``by`` it has a part per
-    value of that column. ``check`` is given the number of rows before the version is made, and refuses by raising. A
+    value of that column. With ``rows_per_file``, for tables without either, every task writes its rows in their order into
+    files of so many. ``check`` is given the number of rows before the version is made, and refuses by raising. A
     failure before the end leaves the last version as it is.
     """
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     layout = Version(schema, tuple(keys), buckets if keys and by is None else 0, by)
-    new = changed(layout, parts=_write_parts(df, path, layout))
+    if rows_per_file is not None and (keys or by is not None):
+        raise ValueError("rows_per_file is for tables that are one part")
+    new = changed(layout, parts=_write_parts(df, path, layout, rows_per_file))
     if check is not None:
         # from the footers of the new files
         new = changed(new, rows=_read_parts(df.sparkSession, path, new, new.parts).count())

@@ -17,6 +17,8 @@ from millrace.operators.numbering import ROWS_PER_RANGE, range_row_number
 from millrace.sinks import versions
 
 ROW = "row_num"
+# files of a page that are named to the scan
+MOST_NAMED = 32
 INDEX = "file string, first_row bigint, last_row bigint"
 
 
@@ -72,7 +74,7 @@ def store_pages(
     """
     spark = df.sparkSession
     numbered = range_row_number(df, order_cols, out=ROW, rows_per_range=rows_per_file).sortWithinPartitions(ROW)
-    versions.replace(numbered, f"{path}/rows", label)
+    versions.replace(numbered, f"{path}/rows", label, rows_per_file=rows_per_file)
     stored = versions.read(spark, f"{path}/rows")
     index = stored.groupBy(F.input_file_name().alias("file")).agg(
         F.min(ROW).alias("first_row"), F.max(ROW).alias("last_row")
@@ -92,13 +94,16 @@ def page_index(spark: SparkSession, path: str) -> DataFrame:
 def read_page(spark: SparkSession, path: str, page_size: int, page_no: int) -> DataFrame:
     """One page of the stored rows, without a shuffle; a page past the last is empty.
 
-    The names of the files it lies in, a few, are looked up first; the scan has no others.
+    The names of the files it lies in, a few, are looked up first; the scan has no others. A page of more files than
+    ``MOST_NAMED`` is read from the whole folder: names of many would be held, checked and listed one by one.
     """
     first = (page_no - 1) * page_size + 1
     last = first + page_size - 1
     touched = page_index(spark, path).where((F.col("first_row") <= last) & (F.col("last_row") >= first))
-    files = [r.file for r in touched.select("file").collect()]
+    files = [r.file for r in touched.select("file").limit(MOST_NAMED + 1).collect()]
     schema: T.StructType = versions.version(spark, f"{path}/rows").schema
     if not files:
         return spark.createDataFrame([], schema)
+    if len(files) > MOST_NAMED:
+        return versions.read(spark, f"{path}/rows").where(F.col(ROW).between(first, last))
     return spark.read.schema(schema).parquet(*sorted(files)).where(F.col(ROW).between(first, last))

@@ -69,3 +69,19 @@ def test_bounds_are_not_constants_of_the_plan(spark):
     few, many = (len(plan_of(range_row_number(df, ["k"], rows_per_range=n))) for n in (500, 5))
     # a hundred times as many ranges: constants grow with their square root, times the steps to search them
     assert many < 30 * few
+
+
+def test_many_files_take_few_tasks_and_a_long_page_reads_the_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(numbering, "MOST_TASKS", 8, raising=False)
+    path = f"{tmp_path}/pages"
+    table = spark.range(2000).select((F.col("id") * 37 % 2000).alias("at"))
+    index = store_pages(table, path, ["at"], rows_per_file=20).orderBy("first_row").collect()
+    assert len(index) >= 100 and all(r.last_row - r.first_row < 20 for r in index)
+    assert index[0].first_row == 1 and index[-1].last_row == 2000
+    assert all(a.last_row + 1 == b.first_row for a, b in zip(index, index[1:]))
+    # one file name per task of the write, up to its number
+    assert len({r.file.rpartition("/")[2].split("-")[1] for r in index}) <= 8
+    whole = read_page(spark, path, 1 << 40, 1)
+    assert sorted(r.row_num for r in whole.collect()) == list(range(1, 2001))
+    assert "InMemoryFileIndex(1 paths)" in plan_of(whole)
+    assert all(r.at + 1 == r.row_num for r in read_page(spark, path, 20, 3).collect())
