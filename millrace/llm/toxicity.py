@@ -14,14 +14,13 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +32,8 @@ EXAMPLES = 4096
 BLOCK = 64
 FIRST_BLOCKS = 4
 TEXTS = 256
+# more than twice what single precision can take from a cosine
+SLACK = 3e-4
 # terms whose postings stand by block, with block maxima; the others have few
 FREQUENT = 1024
 NEIGHBOURS = 15
@@ -54,65 +55,100 @@ def term_counts(text: str | None) -> Counter:
     return found
 
 
-_term_hash = xxhash.xxh3_64_intdigest
+# fixed values: a term's hash is a polynomial in the numbers of its characters, modulo 2**64, which arrays sum up
+_STEP = 0x9E3779B97F4A7C15
+_MIX = 0xD6E8FEB86659FD93
+# characters whose terms are found at a time
+SLICE = 1 << 16
 
 
-class TermCounter:
-    """Counts of known terms in texts; what each frequent word holds of them is remembered."""
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(_MIX)
+    return hashes ^ (hashes >> np.uint64(29))
+
+
+@cache
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it is a letter of _WORD, and its number in a hash."""
+    letters = np.zeros(sys.maxunicode + 1, dtype=bool)
+    for run in _WORD.finditer("".join(map(chr, range(sys.maxunicode + 1)))):
+        letters[run.start() : run.end()] = True
+    return letters, _mixed(np.arange(1, len(letters) + 1, dtype=np.uint64) * np.uint64(_STEP))
+
+
+@cache
+def _powers(bits: int) -> np.ndarray:
+    powers = np.full(1 << bits, _STEP, dtype=np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _term_hash(term: str) -> int:
+    codes = _codes(term)
+    return int(_mixed((_characters()[1][codes] * _powers(len(term).bit_length())[: len(term)]).sum(keepdims=True))[0])
 
-    MEMO = 400_000
+
+def _hashed(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The text, as its place, and the hash of each term that ``term_counts`` counts, repeats included; slices are cut between words."""
+    letters, numbers = _characters()
+    lowered = [(text or "").lower() for text in texts]
+    ends = np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)
+    codes = _codes("\n".join(lowered))
+    start = 0
+    while start < len(codes):
+        stop = min(start + SLICE, len(codes))
+        while stop < len(codes) and letters[codes[stop]]:
+            stop += 1
+        where = np.flatnonzero(letters[codes[start:stop]])
+        where, start = where + start, stop
+        if not len(where):
+            continue
+        begin = np.flatnonzero(np.diff(where, prepend=-2) > 1)
+        size = np.diff(begin, append=len(where))
+        powers = _powers(max(int(size.max()), *STEMS).bit_length())
+        sums = np.zeros(len(where) + 1, dtype=np.uint64)
+        np.cumsum(numbers[codes[where]] * powers[np.arange(len(where)) - np.repeat(begin, size)], out=sums[1:])
+        owner = np.searchsorted(ends, where[begin], "right")
+        yield owner, _mixed(sums[begin + size] - sums[begin])
+        for stem in STEMS:
+            longer = np.flatnonzero(size > stem)
+            head = begin[longer]
+            yield owner[longer], _mixed(sums[head + stem] - sums[head] + numbers[[ord("-")]] * powers[stem : stem + 1])
+
+
+class TermCounter:
+    """Counts of known terms in texts."""
 
     def __init__(self, hashes: np.ndarray):
         """``hashes``: those of the terms, sorted; a term's number is its place."""
-        self.hashes = hashes
-        self.holding: dict[str, tuple[int, ...]] = {}
-        # of words and stems, -1 for those that are no term
-        self.numbers: dict[str, int] = {}
-
-    @staticmethod
-    def _parts(word: str) -> list[str]:
-        parts = []
-        for w in (word,) if word.isalpha() else _WORD.findall(word):
-            parts.append(w)
-            for n in STEMS:
-                if len(w) > n:
-                    parts.append(w[:n] + "-")
-        return parts
-
-    def _learn(self, words: list[str]) -> None:
-        parts = [self._parts(word) for word in words]
-        new = list(set().union(*parts).difference(self.numbers))
-        hashes = np.fromiter(map(_term_hash, new), np.uint64, len(new))
-        place = np.searchsorted(self.hashes, hashes)
-        known = place < len(self.hashes)
-        known[known] = self.hashes[place[known]] == hashes[known]
-        numbers = self.numbers
-        numbers.update(zip(new, np.where(known, place, -1).tolist()))
-        for word, some in zip(words, parts):
-            self.holding[word] = tuple([t for p in some if (t := numbers[p]) >= 0])
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
+        bits = len(hashes).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        # where the hashes with the same first bits begin
+        self.first = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The terms' numbers, -1 for what is no term."""
+        place = self.first[hashes >> self.shift].astype(np.int64)
+        below = np.flatnonzero(self.hashes[place] < hashes)
+        while len(below):
+            place[below] += 1
+            below = below[self.hashes[place[below]] < hashes[below]]
+        return np.where((self.hashes[place] == hashes) & (place < len(self.hashes) - 1), place, -1)
 
     def pairs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (text, term) in order, as places and numbers, with counts."""
-        if len(self.holding) > self.MEMO or len(self.numbers) > self.MEMO:
-            self.holding.clear()
-            self.numbers.clear()
-        lists = [(text or "").lower().split() for text in texts]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        if not sizes.sum():
-            return (np.empty(0, np.int64),) * 3
-        coded = pa.array(list(chain.from_iterable(lists))).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self._learn([w for w in words if w not in self.holding])
-        held = [self.holding[w] for w in words]
-        each = np.fromiter(map(len, held), np.int64, len(held))
-        terms = np.fromiter(chain.from_iterable(held), np.int64, int(each.sum()))
-        word = coded.indices.to_numpy()
-        many = each[word]
-        ends = np.cumsum(many)
-        where = np.repeat((np.cumsum(each) - each)[word] - (ends - many), many) + np.arange(ends[-1])
-        text = np.repeat(np.repeat(np.arange(len(lists)), sizes), many)
-        found, counts = np.unique(text * len(self.hashes) + terms[where], return_counts=True)
-        return found // len(self.hashes), found % len(self.hashes), counts
+        every, held = len(self.hashes), [np.empty(0, np.int64)]
+        for text, hashes in _hashed(texts):
+            terms = self.numbers(hashes)
+            known = np.flatnonzero(terms >= 0)
+            held.append(text[known] * every + terms[known])
+        found, counts = np.unique(np.concatenate(held), return_counts=True)
+        return found // every, found % every, counts
 
     def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text the numbers of its terms, ascending, and their counts."""
@@ -122,16 +158,16 @@ class TermCounter:
         return [(terms[a:b], counts[a:b]) for a, b in zip(at[:-1], at[1:])]
 
 
-_COUNTERS: dict[int, TermCounter] = {}
+_COUNTERS: dict[int, tuple[np.ndarray, TermCounter]] = {}
 
 
 def _counter(hashes: np.ndarray) -> TermCounter:
     """The worker's counter for a list of terms, which outlives tasks where the list does."""
     key = id(hashes)
-    if key not in _COUNTERS or _COUNTERS[key].hashes is not hashes:
+    if key not in _COUNTERS or _COUNTERS[key][0] is not hashes:
         _COUNTERS.clear()
-        _COUNTERS[key] = TermCounter(hashes)
-    return _COUNTERS[key]
+        _COUNTERS[key] = hashes, TermCounter(hashes)
+    return _COUNTERS[key][1]
 
 
 def _digest(text: str | None) -> bytes:
@@ -179,11 +215,11 @@ class ExampleIndex:
         return sorted(examples, key=key)
 
     def __getstate__(self):
-        derived = ("weights", "same", "at", "place", "by_block", "most")
+        derived = ("terms", "weights", "begin", "asked", "same", "at", "postings", "place", "by_block", "most")
         return {k: v for k, v in self.__dict__.items() if k not in derived} | {"weights": None}
 
     def _unfold(self) -> None:
-        """Weights of the postings; for the frequent terms by block (block, term, example), and their largest."""
+        """Vectors of the examples; in single precision the postings, for the frequent terms by block (block, term, example), and their largest."""
         self.same: dict[bytes, list[int]] = {}
         for number, digest in enumerate(self.digests):
             self.same.setdefault(digest, []).append(number)
@@ -191,16 +227,24 @@ class ExampleIndex:
         term = np.repeat(np.arange(len(sizes)), sizes)
         raw = (1 + np.log(self.counts)) * self.idf[term]
         norms = np.sqrt(np.bincount(self.numbers, raw * raw, len(self.ids)))
-        self.weights = raw / np.where(norms > 0, norms, 1)[self.numbers]
+        raw /= np.where(norms > 0, norms, 1)[self.numbers]
+        # the vectors of the examples
+        order = np.argsort(self.numbers, kind="stable")
+        self.terms, self.weights = term[order].astype(np.int32), raw[order]
+        self.begin = np.searchsorted(self.numbers[order], np.arange(len(self.ids) + 1))
+        self.asked = np.zeros(len(sizes))
+        # the postings
         self.at = np.concatenate(([0], np.cumsum(sizes)))
+        self.postings = np.empty(len(raw), dtype=[("number", np.uint32), ("weight", np.float32)])
+        self.postings["number"], self.postings["weight"] = self.numbers, raw
         # the place of a frequent term, or -1
         frequent = np.argsort(-sizes, kind="stable")[:FREQUENT]
         self.place = np.full(len(sizes), -1, dtype=np.int64)
         self.place[frequent] = np.arange(len(frequent))
-        self.by_block = np.zeros((-(-len(self.ids) // BLOCK), len(frequent), BLOCK))
+        self.by_block = np.zeros((-(-len(self.ids) // BLOCK), len(frequent), BLOCK), dtype=np.float32)
         where = np.flatnonzero(self.place[term] >= 0)
         numbers = self.numbers[where].astype(np.int64)
-        self.by_block[numbers // BLOCK, self.place[term[where]], numbers % BLOCK] = self.weights[where]
+        self.by_block[numbers // BLOCK, self.place[term[where]], numbers % BLOCK] = raw[where]
         self.most = self.by_block.max(axis=2).T.copy()
 
     def _share(self, labels: np.ndarray) -> float:
@@ -212,27 +256,23 @@ class ExampleIndex:
         norm = math.sqrt(float((weights * weights).sum()))
         return weights / norm if norm else weights
 
-    @staticmethod
-    def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        ends = np.cumsum(sizes)
-        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
     def _nearest(self, queries: list[tuple]) -> list[list[tuple[float, int]]]:
         """For each query the NEIGHBOURS examples of highest cosine above 0, ties by number, none of the same text."""
         blocks = len(self.by_block)
-        dense = np.zeros((len(queries), len(self.most)))
-        scores = np.zeros((len(queries), blocks * BLOCK))
-        hidden = np.zeros(scores.shape, dtype=bool)
-        hidden[:, len(self.ids) :] = True
-        for row, (terms, counts, digest) in enumerate(queries):
-            weights = self._weights(terms, counts)
+        # the cosines in single precision say which examples can be among the nearest, SLACK allows for what it rounds
+        dense = np.zeros((len(queries), len(self.most)), dtype=np.float32)
+        scores = np.zeros((len(queries), blocks * BLOCK), dtype=np.float32)
+        vectors = [(terms, self._weights(terms, counts)) for terms, counts, _ in queries]
+        for row, (terms, weights) in enumerate(vectors):
             place = self.place[terms]
-            dense[row, place[place >= 0]] = weights[place >= 0]
-            terms, weights = terms[place < 0], weights[place < 0]
-            sizes = self.at[terms + 1] - self.at[terms]
-            where = self._ranges(self.at[terms], sizes)
-            scores[row] = np.bincount(self.numbers[where], self.weights[where] * np.repeat(weights, sizes), scores.shape[1])
-            hidden[row, self.same.get(digest, [])] = True
+            few = place < 0
+            dense[row, place[~few]] = weights[~few]
+            starts = self.at[terms[few]]
+            sizes = self.at[terms[few] + 1] - starts
+            ends = np.cumsum(sizes)
+            held = self.postings.take(np.arange(sizes.sum()) + np.repeat(starts - (ends - sizes), sizes))
+            scores[row] = np.bincount(held["number"], held["weight"] * np.repeat(weights[few], sizes), scores.shape[1])
+            scores[row, self.same.get(queries[row][2], [])] = -np.inf
         by_block = scores.reshape(len(queries), blocks, BLOCK)
         bounds = by_block.max(axis=2) + dense @ self.most
 
@@ -240,24 +280,32 @@ class ExampleIndex:
             """The frequent terms' share of the cosines in the chosen blocks of each query."""
             for block in np.flatnonzero(chosen.any(axis=0)):
                 rows = np.flatnonzero(chosen[:, block])
-                by_block[rows, block] += dense[rows] @ self.by_block[block]
+                if len(rows) * 4 < len(queries):
+                    by_block[rows, block] += dense[rows] @ self.by_block[block]
+                else:  # a product with all is faster than a copy of the rows
+                    by_block[:, block] += dense @ self.by_block[block] * chosen[:, block, None]
+
+        def reached() -> np.ndarray:
+            """The k-th best of each query."""
+            kth = scores.shape[1] - min(NEIGHBOURS, len(self.ids))
+            return np.partition(scores, kth, axis=1)[:, kth, None] - SLACK
 
         first = np.zeros(bounds.shape, dtype=bool)
         np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
         add(first)
-        most = min(NEIGHBOURS, len(self.ids))
         # what stands in the other blocks is a part of their cosines, so the k-th best can only be higher
-        least = -np.partition(np.where(hidden, 0, -scores), most - 1, axis=1)[:, most - 1]
-        rest = ~first & (bounds >= least[:, None] - 1e-9)
-        add(rest)
-        # sums of equal texts may differ in their last digits
-        scores = np.where(hidden | ~np.repeat(first | rest, BLOCK, axis=1), 0, np.round(scores, 12))
+        add(~first & (bounds >= reached()))
         out = []
-        for row in scores:
-            least = np.partition(row, len(row) - most)[len(row) - most]
-            best = np.flatnonzero((row >= least) & (row > 0))
-            best = best[np.argsort(-row[best], kind="stable")][:NEIGHBOURS]
-            out.append(list(zip(row[best].tolist(), best.tolist())))
+        for (terms, weights), could in zip(vectors, scores >= np.maximum(reached(), np.finfo(np.float32).tiny)):
+            best = np.flatnonzero(could)
+            self.asked[terms] = weights
+            spans = zip(self.begin[best].tolist(), self.begin[best + 1].tolist())
+            exact = np.array([np.dot(self.asked.take(self.terms[a:b]), self.weights[a:b]) for a, b in spans])
+            self.asked[terms] = 0
+            # sums of equal texts may differ in their last digits
+            exact = np.round(exact, 12)
+            order = np.argsort(-exact, kind="stable")[:NEIGHBOURS]
+            out.append(list(zip(exact[order].tolist(), best[order].tolist())))
         return out
 
     def nearest(self, queries: list[tuple]) -> list[list[tuple[float, int]]]:
@@ -324,8 +372,8 @@ class ExampleIndex:
 
 def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        terms = {_term_hash(t) for text in batch["text"] for t in term_counts(text)}
-        yield pd.DataFrame({"term": np.fromiter(terms, np.uint64, len(terms)).view(np.int64)})
+        terms = [hashes for _, hashes in _hashed(batch["text"].tolist())]
+        yield pd.DataFrame({"term": np.unique(np.concatenate([np.empty(0, np.uint64), *terms])).view(np.int64)})
 
 
 def _reduced(hashes: np.ndarray, texts: list[str | None]) -> list[tuple]:

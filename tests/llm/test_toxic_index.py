@@ -106,3 +106,23 @@ def test_text_ids_are_evidence(spark):
     labels = spark.createDataFrame([(f"d{k}", int(k % 4 == 0)) for k in range(60)], "doc_id string, toxic int")
     got = score_toxicity(docs, labels).collect()
     assert len(got) == 81 and all(isinstance(e, str) for r in got for e in r.evidence)
+
+
+def test_terms_by_arrays_are_those_of_the_pattern(monkeypatch):
+    """Slices cut between words, letters beyond the basic plane, characters that grow or change in lower case."""
+    monkeypatch.setattr(toxicity, "SLICE", 7)
+    texts = ["İstanbul STRASSE straße ΟΔΥΣΣΕΥΣ", None, "", "a_b c1d2é ǅ 𝒳𝒴abcdefg 日本語テキスト", "x" * 50 + "\n" + "́word next", "  "]
+    found = [{} for _ in texts]
+    for owner, hashes in toxicity._hashed(texts):
+        for k, h in zip(owner.tolist(), hashes.tolist()):
+            found[k][h] = found[k].get(h, 0) + 1
+    assert found == [{_term_hash(t): n for t, n in term_counts(x).items()} for x in texts]
+
+
+def test_a_counter_does_not_grow_with_the_words_it_meets(made):
+    """A worker's memory is bounded by the index, not by the words of its texts."""
+    counter = TermCounter(made[2].hashes)
+    size = len(pickle.dumps(counter))
+    rnd = random.Random(5)
+    counter([" ".join("".join(rnd.choices("abcdefghij", k=12)) for _ in range(500)) for _ in range(20)])
+    assert len(pickle.dumps(counter)) == size
