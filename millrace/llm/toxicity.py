@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import landed, ship_package
+from millrace.llm.wordids import forget_words
 
 # the most labelled rows of either label that become examples; the index is broadcast, and this bounds it
 EXAMPLES = 4096
@@ -34,6 +35,8 @@ FIRST_BLOCKS = 4
 TEXTS = 256
 # more than twice what single precision can take from a cosine
 SLACK = 3e-4
+# postings whose weights are found at a time
+POSTINGS = 1 << 18
 # terms whose postings stand by block, with block maxima; the others have few
 FREQUENT = 1024
 NEIGHBOURS = 15
@@ -223,29 +226,40 @@ class ExampleIndex:
         self.same: dict[bytes, list[int]] = {}
         for number, digest in enumerate(self.digests):
             self.same.setdefault(digest, []).append(number)
+        # what a tokenizer remembers in this worker has had its turn
+        forget_words()
         sizes = self.sizes.astype(np.int64)
-        term = np.repeat(np.arange(len(sizes)), sizes)
-        raw = (1 + np.log(self.counts)) * self.idf[term]
-        norms = np.sqrt(np.bincount(self.numbers, raw * raw, len(self.ids)))
-        raw /= np.where(norms > 0, norms, 1)[self.numbers]
-        # the vectors of the examples
-        order = np.argsort(self.numbers, kind="stable")
-        self.terms, self.weights = term[order].astype(np.int32), raw[order]
-        self.begin = np.searchsorted(self.numbers[order], np.arange(len(self.ids) + 1))
-        self.asked = np.zeros(len(sizes))
-        # the postings
         self.at = np.concatenate(([0], np.cumsum(sizes)))
-        self.postings = np.empty(len(raw), dtype=[("number", np.uint32), ("weight", np.float32)])
-        self.postings["number"], self.postings["weight"] = self.numbers, raw
         # the place of a frequent term, or -1
         frequent = np.argsort(-sizes, kind="stable")[:FREQUENT]
         self.place = np.full(len(sizes), -1, dtype=np.int64)
         self.place[frequent] = np.arange(len(frequent))
+        # some postings at a time, so that nothing beside the results has their length twice
+        parts = [slice(k, k + POSTINGS) for k in range(0, len(self.numbers), POSTINGS)]
+        term = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        raw, norms, held = np.empty(len(term)), np.zeros(len(self.ids)), np.zeros(len(self.ids), np.int64)
+        for part in parts:
+            raw[part] = (1 + np.log(self.counts[part])) * self.idf[term[part]]
+            norms += np.bincount(self.numbers[part], raw[part] ** 2, len(norms))
+            held += np.bincount(self.numbers[part], minlength=len(norms))
+        norms = np.sqrt(norms)
+        norms[norms == 0] = 1
+        # the postings
+        self.postings = np.empty(len(raw), dtype=[("number", np.uint32), ("weight", np.float32)])
         self.by_block = np.zeros((-(-len(self.ids) // BLOCK), len(frequent), BLOCK), dtype=np.float32)
-        where = np.flatnonzero(self.place[term] >= 0)
-        numbers = self.numbers[where].astype(np.int64)
-        self.by_block[numbers // BLOCK, self.place[term[where]], numbers % BLOCK] = raw[where]
+        for part in parts:
+            raw[part] /= norms[self.numbers[part]]
+            self.postings["number"][part], self.postings["weight"][part] = self.numbers[part], raw[part]
+            place = self.place[term[part]]
+            many = place >= 0
+            numbers = self.numbers[part][many].astype(np.int64)
+            self.by_block[numbers // BLOCK, place[many], numbers % BLOCK] = raw[part][many]
         self.most = self.by_block.max(axis=2).T.copy()
+        # the vectors of the examples
+        order = np.argsort(self.numbers, kind="stable").astype(np.int32)
+        self.terms, self.weights = term[order], raw[order]
+        self.begin = np.concatenate(([0], np.cumsum(held)))
+        self.asked = np.zeros(len(sizes))
 
     def _share(self, labels: np.ndarray) -> float:
         weight = np.where(labels == 1, self.shares[1], self.shares[0])

@@ -246,6 +246,12 @@ def word_ids(path: str) -> WordIds:
     return _WORD_IDS[path]
 
 
+def forget_words() -> None:
+    """Empty the worker's tables of words; the encoders stay."""
+    for encoder in _WORD_IDS.values():
+        encoder.young, encoder.old, encoder.parts = {}, {}, {}
+
+
 def byte_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most`` bytes, at least one row each."""
     import pyarrow.compute as pc

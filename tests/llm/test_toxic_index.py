@@ -126,3 +126,20 @@ def test_a_counter_does_not_grow_with_the_words_it_meets(made):
     rnd = random.Random(5)
     counter([" ".join("".join(rnd.choices("abcdefghij", k=12)) for _ in range(500)) for _ in range(20)])
     assert len(pickle.dumps(counter)) == size
+
+
+def test_unfolding_in_parts_leaves_a_workers_words_behind(made, monkeypatch):
+    """The index is the same whatever the parts; tables of words that packing left in the worker are emptied."""
+    from types import SimpleNamespace
+
+    from millrace.llm import wordids
+
+    index = pickle.loads(pickle.dumps(made[2]))
+    queries = _reduced(index.hashes, made[3][:40])
+    whole = index.nearest(queries)
+    encoder = SimpleNamespace(young={b"a": b"1"}, old={b"b": b"2"}, parts={"c": b"3"})
+    monkeypatch.setitem(wordids._WORD_IDS, "made", encoder)
+    monkeypatch.setattr(toxicity, "POSTINGS", 97)
+    index = pickle.loads(pickle.dumps(index))
+    assert [[n for _, n in near] for near in index.nearest(queries)] == [[n for _, n in near] for near in whole]
+    assert not (encoder.young or encoder.old or encoder.parts)
