@@ -440,15 +440,15 @@ def _voted(held):
     return run
 
 
-def _scored(held):
+def _scored(held, text: str, kept: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = held.value
         for batch in batches:
-            texts = batch["__text"].tolist()
+            texts = batch[text].tolist()
             scores = [s for k in range(0, len(texts), TEXTS) for s in index.score(_reduced(index.hashes, texts[k : k + TEXTS]))]
             batch["score"] = [s for s, _ in scores]
             batch["evidence"] = [e for _, e in scores]
-            yield batch.drop(columns="__text")
+            yield batch if kept else batch.drop(columns=text)
 
     return run
 
@@ -508,11 +508,11 @@ def fit(
     return index
 
 
-def score_texts(rows: DataFrame, index: ExampleIndex) -> DataFrame:
-    """Scores of rows with ``__text``, which goes: score, predicted (1 from THRESHOLD on), evidence."""
+def score_texts(rows: DataFrame, index: ExampleIndex, text: str = "__text", kept: bool = False) -> DataFrame:
+    """Scores of rows with ``text``, which goes unless ``kept``: score, predicted (1 from THRESHOLD on), evidence."""
     held = rows.sparkSession.sparkContext.broadcast(index)
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.drop("__text").schema)
-    scored = rows.mapInPandas(_scored(held), f"{fields}score double, evidence array<{index.id_type}>")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if kept or f.name != text)
+    scored = rows.mapInPandas(_scored(held, text, kept), f"{fields}score double, evidence array<{index.id_type}>")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -532,7 +532,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that aren't predicted toxic; scored while they are read."""
     index = fit(docs, labels, id_col, text)
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"), F.col(text).alias("__text"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"))
     names = [F.col("__row").getField(c).alias(f"__{k}") for k, c in enumerate(docs.columns)]
-    scored = score_texts(rows.select(*names, "__text"), index).where("predicted = 0")
+    # the workers get each text once
+    own = f"__{docs.columns.index(text)}"
+    scored = score_texts(rows.select(*names), index, own, kept=True).where("predicted = 0")
     return scored.select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(docs.columns)])

@@ -143,3 +143,13 @@ def test_unfolding_in_parts_leaves_a_workers_words_behind(made, monkeypatch):
     index = pickle.loads(pickle.dumps(index))
     assert [[n for _, n in near] for near in index.nearest(queries)] == [[n for _, n in near] for near in whole]
     assert not (encoder.young or encoder.old or encoder.parts)
+
+
+def test_rows_that_stay_are_scored_without_a_second_text(spark):
+    rows = [(k, "vile words here" if k % 4 == 0 else "kind words there", "s") for k in range(60)] + [(60, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(60)], "doc_id bigint, toxic int")
+    left = toxicity.without_toxic(docs, labels)
+    stay = {r.doc_id for r in score_toxicity(docs, labels).collect() if not r.predicted}
+    assert sorted(map(tuple, left.collect())) == sorted(r for r in rows if r[0] in stay)
+    assert left.columns == docs.columns and "__text" not in left._jdf.queryExecution().executedPlan().toString()
