@@ -33,6 +33,8 @@ EXAMPLES = 4096
 BLOCK = 64
 FIRST_BLOCKS = 4
 TEXTS = 256
+# examples as many places apart of which the largest score stands for all, when the k-th best is asked for; divides BLOCK
+APART = 8
 # more than twice what single precision can take from a cosine
 SLACK = 3e-4
 # postings whose weights are found at a time
@@ -218,7 +220,7 @@ class ExampleIndex:
         return sorted(examples, key=key)
 
     def __getstate__(self):
-        derived = ("terms", "weights", "begin", "asked", "same", "at", "postings", "place", "by_block", "most")
+        derived = ("terms", "rank", "weights", "begin", "asked", "same", "at", "postings", "place", "by_block", "most")
         return {k: v for k, v in self.__dict__.items() if k not in derived} | {"weights": None}
 
     def _unfold(self) -> None:
@@ -231,7 +233,8 @@ class ExampleIndex:
         sizes = self.sizes.astype(np.int64)
         self.at = np.concatenate(([0], np.cumsum(sizes)))
         # the place of a frequent term, or -1
-        frequent = np.argsort(-sizes, kind="stable")[:FREQUENT]
+        by_size = np.argsort(-sizes, kind="stable")
+        frequent = by_size[:FREQUENT]
         self.place = np.full(len(sizes), -1, dtype=np.int64)
         self.place[frequent] = np.arange(len(frequent))
         # some postings at a time, so that nothing beside the results has their length twice
@@ -255,9 +258,11 @@ class ExampleIndex:
             numbers = self.numbers[part][many].astype(np.int64)
             self.by_block[numbers // BLOCK, place[many], numbers % BLOCK] = raw[part][many]
         self.most = self.by_block.max(axis=2).T.copy()
-        # the vectors of the examples
+        # the vectors of the examples; their terms by rank, so that the many mentions of a few lie close together
+        self.rank = np.empty(len(sizes), dtype=np.int32)
+        self.rank[by_size] = np.arange(len(sizes))
         order = np.argsort(self.numbers, kind="stable").astype(np.int32)
-        self.terms, self.weights = term[order], raw[order]
+        self.terms, self.weights = self.rank[term[order]], raw[order]
         self.begin = np.concatenate(([0], np.cumsum(held)))
         self.asked = np.zeros(len(sizes))
 
@@ -277,6 +282,7 @@ class ExampleIndex:
         dense = np.zeros((len(queries), len(self.most)), dtype=np.float32)
         scores = np.zeros((len(queries), blocks * BLOCK), dtype=np.float32)
         vectors = [(terms, self._weights(terms, counts)) for terms, counts, _ in queries]
+        whole = self.postings.view(np.uint64)
         for row, (terms, weights) in enumerate(vectors):
             place = self.place[terms]
             few = place < 0
@@ -284,8 +290,10 @@ class ExampleIndex:
             starts = self.at[terms[few]]
             sizes = self.at[terms[few] + 1] - starts
             ends = np.cumsum(sizes)
-            held = self.postings.take(np.arange(sizes.sum()) + np.repeat(starts - (ends - sizes), sizes))
-            scores[row] = np.bincount(held["number"], held["weight"] * np.repeat(weights[few], sizes), scores.shape[1])
+            # as plain numbers, which are taken faster than records
+            held = whole.take(np.arange(sizes.sum()) + np.repeat(starts - (ends - sizes), sizes)).view(self.postings.dtype)
+            parts = held["weight"] * np.repeat(weights[few].astype(np.float32), sizes)
+            scores[row] = np.bincount(held["number"], parts, scores.shape[1])
             scores[row, self.same.get(queries[row][2], [])] = -np.inf
         by_block = scores.reshape(len(queries), blocks, BLOCK)
         bounds = by_block.max(axis=2) + dense @ self.most
@@ -300,9 +308,12 @@ class ExampleIndex:
                     by_block[:, block] += dense @ self.by_block[block] * chosen[:, block, None]
 
         def reached() -> np.ndarray:
-            """The k-th best of each query."""
-            kth = scores.shape[1] - min(NEIGHBOURS, len(self.ids))
-            return np.partition(scores, kth, axis=1)[:, kth, None] - SLACK
+            """What the k-th best of each query reaches at least."""
+            # the largest of a few that stand far apart are scores too, and the k-th best of them is little lower
+            spread = scores.reshape(len(queries), APART, -1).max(axis=1)
+            some = spread if spread.shape[1] >= NEIGHBOURS else scores
+            kth = some.shape[1] - min(NEIGHBOURS, len(self.ids))
+            return np.partition(some, kth, axis=1)[:, kth, None] - SLACK
 
         first = np.zeros(bounds.shape, dtype=bool)
         np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
@@ -312,10 +323,11 @@ class ExampleIndex:
         out = []
         for (terms, weights), could in zip(vectors, scores >= np.maximum(reached(), np.finfo(np.float32).tiny)):
             best = np.flatnonzero(could)
-            self.asked[terms] = weights
+            ranks = self.rank[terms]
+            self.asked[ranks] = weights
             spans = zip(self.begin[best].tolist(), self.begin[best + 1].tolist())
             exact = np.array([np.dot(self.asked.take(self.terms[a:b]), self.weights[a:b]) for a, b in spans])
-            self.asked[terms] = 0
+            self.asked[ranks] = 0
             # sums of equal texts may differ in their last digits
             exact = np.round(exact, 12)
             order = np.argsort(-exact, kind="stable")[:NEIGHBOURS]
