@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import landed, ship_package
+from millrace.llm.common import landed, ship_package, tidied
 from millrace.llm.components import connected_components
 from millrace.llm.hashing import combined, set_digest, shingle_sets
 from millrace.llm.tokens import slices
@@ -181,10 +181,10 @@ class _Links:
     def confirm(self, pairs: DataFrame) -> None:
         """Add the links among distinct candidate pairs (a, b)."""
         likely = self._beside(pairs, self.signs, "sign")
-        likely = likely.mapInPandas(_estimated(self.percent / 100 - MARGIN), "a bigint, b bigint")
+        likely = likely.mapInPandas(tidied(_estimated(self.percent / 100 - MARGIN)), "a bigint, b bigint")
         likely = landed(likely, "likely")
         full = self._beside(likely, self.bodies, "body")
-        self.add(_spanning(full.mapInPandas(_confirmed(self.words, self.percent), "a bigint, b bigint")))
+        self.add(_spanning(full.mapInPandas(tidied(_confirmed(self.words, self.percent)), "a bigint, b bigint")))
 
     def add(self, links: DataFrame) -> None:
         links = landed(links, "links")
@@ -220,7 +220,7 @@ def near_duplicates(
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"))
     signed = rows.where("id IS NOT NULL").mapInPandas(
-        _signed(words), "id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sign binary"
+        tidied(_signed(words)), "id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sign binary"
     )
     signed = landed(signed, "signed")
     one = signed.where("set_key IS NOT NULL").groupBy("set_key")
@@ -231,7 +231,7 @@ def near_duplicates(
     hubs = landed(hubs.where("hub <> last").select("bucket", "hub"), "hubs")
     members = landed(in_band.join(hubs, "bucket").select("bucket", "id", "hub"), "members")
     candidates = landed(members.select("id").distinct(), "candidates")
-    bodies = rows.where("id IS NOT NULL").mapInPandas(_compressed, "id bigint, body binary")
+    bodies = rows.where("id IS NOT NULL").mapInPandas(tidied(_compressed), "id bigint, body binary")
     bodies = landed(bodies.join(candidates, "id").drop_duplicates(["id"]), "bodies")
 
     links = _Links(landed(texts.select("id", "sign").join(candidates, "id"), "signs"), bodies, words, percent)
@@ -247,7 +247,7 @@ def near_duplicates(
     result = signed.select("id", "n_shingles", "set_key").join(keyed, "set_key", "left")
     result = result.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     nameless = rows.where("id IS NULL").mapInPandas(
-        _signed(words), "id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sign binary"
+        tidied(_signed(words)), "id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sign binary"
     )
     nameless = nameless.select("id", "n_shingles", F.lit(None).cast("bigint").alias("component_id"))
     result = result.unionByName(nameless)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import landed, ship_package
+from millrace.llm.common import landed, ship_package, tidied
 from millrace.llm.wordids import byte_slices, word_ids
 
 CHUNK = 16_384
@@ -32,6 +32,8 @@ STEPS = 20_000
 GROUP = 256
 # the most splits into short and long pieces that are tried
 SPLITS = 12
+# bytes of text that are encoded at a time; what is made of them in a worker takes about thirty times as much
+SLICE_BYTES = 2 << 20
 PIECES = "__id {id}, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 
 
@@ -222,7 +224,7 @@ def bin_completion(lengths: list[int], capacity: int, steps: int = STEPS) -> lis
 def _cut(path: str, end_id: int, limit: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in byte_slices(batch.column(1)):
+            for a, b in byte_slices(batch.column(1), SLICE_BYTES):
                 ids, bounds = word_ids(path).encode(batch.column(1).slice(a, b - a))
                 data = memoryview(np.insert(ids, bounds[1:], end_id).astype("<u4")).cast("B")
                 bounds = bounds + np.arange(len(bounds))
@@ -266,7 +268,7 @@ def token_pieces(
     ship_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
-    return rows.mapInArrow(_cut(path, end_id, limit, with_ids), PIECES.format(id=kind))
+    return rows.mapInArrow(tidied(_cut(path, end_id, limit, with_ids)), PIECES.format(id=kind))
 
 
 def _pack_chunk(limit: int, steps: int):

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import landed, ship_package
+from millrace.llm.common import landed, ship_package, tidied
 from millrace.llm.wordids import forget_words
 
 # the most labelled rows of either label that become examples; the index is broadcast, and this bounds it
@@ -489,12 +489,12 @@ def fit(
     examples = landed(examples.repartition(16), "spread-examples")
     sizes = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
     # columns of numbers, bounded by the examples
-    terms = examples.select("text").mapInPandas(_term_rows, "term bigint").distinct().toArrow()
+    terms = examples.select("text").mapInPandas(tidied(_term_rows), "term bigint").distinct().toArrow()
     hashes = np.sort(terms.column("term").to_numpy().view(np.uint64))
     del terms
     context = docs.sparkSession.sparkContext
     held = context.broadcast(hashes)
-    counted = texts.select("text").mapInPandas(_counted(held), "t int, n bigint")
+    counted = texts.select("text").mapInPandas(tidied(_counted(held)), "t int, n bigint")
     counts = landed(counted.groupBy("t").agg(F.sum("n").alias("n")), "term-counts").toArrow()
     df = np.zeros(len(hashes) + 1, dtype=np.int64)  # the last place is that of -1
     df[counts.column("t").to_numpy()] = counts.column("n").to_numpy()
@@ -502,7 +502,7 @@ def fit(
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
     fields = f"id {examples.schema['id'].dataType.simpleString()}, toxic int, terms binary, counts binary, digest binary"
-    vectors = landed(examples.select("id", "toxic", "text").mapInPandas(_vectors(held), fields), "vectors")
+    vectors = landed(examples.select("id", "toxic", "text").mapInPandas(tidied(_vectors(held)), fields), "vectors")
     columns = vectors.toArrow().to_pydict()
     rows = [
         (i, y, d, np.frombuffer(t, np.int32), np.frombuffer(n, np.int64))
@@ -513,7 +513,7 @@ def fit(
     index.id_type = examples.schema["id"].dataType.simpleString()
     del columns, rows
     plain = context.broadcast(index)
-    votes = vectors.mapInPandas(_voted(plain), "toxic int, vote double").toArrow().to_pydict()
+    votes = vectors.mapInPandas(tidied(_voted(plain)), "toxic int, vote double").toArrow().to_pydict()
     index.calibrate(votes["vote"], votes["toxic"])
     plain.unpersist()
     held.unpersist()
@@ -524,7 +524,7 @@ def score_texts(rows: DataFrame, index: ExampleIndex, text: str = "__text", kept
     """Scores of rows with ``text``, which goes unless ``kept``: score, predicted (1 from THRESHOLD on), evidence."""
     held = rows.sparkSession.sparkContext.broadcast(index)
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if kept or f.name != text)
-    scored = rows.mapInPandas(_scored(held, text, kept), f"{fields}score double, evidence array<{index.id_type}>")
+    scored = rows.mapInPandas(tidied(_scored(held, text, kept)), f"{fields}score double, evidence array<{index.id_type}>")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

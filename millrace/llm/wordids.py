@@ -247,9 +247,10 @@ def word_ids(path: str) -> WordIds:
 
 
 def forget_words() -> None:
-    """Empty the worker's tables of words; the encoders stay."""
+    """Drop the worker's encoders and their tables of words; who needs one again makes it again."""
     for encoder in _WORD_IDS.values():
         encoder.young, encoder.old, encoder.parts = {}, {}, {}
+    _WORD_IDS.clear()
 
 
 def byte_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

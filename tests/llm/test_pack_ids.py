@@ -63,3 +63,28 @@ def test_small_cases_take_the_fewest_sequences():
         assert sorted(itertools.chain(*bins)) == list(range(len(lengths)))
         assert all(sum(lengths[k] for k in one) <= capacity for one in bins)
         assert len(bins) == fewest(lengths, capacity) >= lower_bound(lengths, capacity)
+
+
+def test_a_task_returns_its_memory_and_encodes_little_at_a_time(monkeypatch):
+    """Pieces are the same whatever the slices; a worker's free memory goes back when a task's rows are through."""
+    import pyarrow as pa
+
+    from millrace.llm import common, packing, wordids
+    from millrace.llm.queries import TOKENIZER
+
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choices(["one", "Two,", "three's", "日本", "4-5"], k=rnd.choice([0, 1, 300, 9000]))) for _ in range(40)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(41)), pa.array(texts)], ["__id", "__text"])
+    seen, taken = [], packing.byte_slices
+    monkeypatch.setattr(packing, "byte_slices", lambda *a: seen.append(list(taken(*a))) or seen[-1])
+    returned = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: type("Libc", (), {"malloc_trim": staticmethod(returned.append)}))
+    got = []
+    for size in (packing.SLICE_BYTES, 5000):
+        monkeypatch.setattr(packing, "SLICE_BYTES", size)
+        tables = list(common.tidied(packing._cut(TOKENIZER, 1, 4096, False))(iter([batch])))
+        got.append(pa.Table.from_batches(tables).to_pylist())
+    assert got[0] == got[1] and len(seen[0]) == 1 < len(seen[1]) and returned == [0, 0]
+    assert TOKENIZER in wordids._WORD_IDS
+    wordids.forget_words()
+    assert not wordids._WORD_IDS
