@@ -175,6 +175,13 @@ def _counter(hashes: np.ndarray) -> TermCounter:
     return _COUNTERS[key][1]
 
 
+def forget_terms() -> None:
+    """Drop what the worker keeps for counting terms; it is made again where it is needed."""
+    _COUNTERS.clear()
+    _characters.cache_clear()
+    _powers.cache_clear()
+
+
 def _digest(text: str | None) -> bytes:
     return hashlib.blake2b((text or "").encode("utf-8", "replace"), digest_size=16).digest()
 

@@ -118,7 +118,10 @@ class WordIds:
 
     def _by_parts(self, text: str) -> bytes:
         ids = []
-        for part in self.pattern.findall(text.lower() if self.lower else text):
+        parts = self.pattern.findall(text.lower() if self.lower else text)
+        # a stretch of one part stands in the tables of stretches already
+        several = len(parts) > 1
+        for part in parts:
             known = self.parts.get(part)
             if known is None:
                 rest = part[1:]
@@ -128,7 +131,7 @@ class WordIds:
                     held = part if part.isalnum() else part.translate(self.characters)
                 numbers = [t.id for t in self.library.model.tokenize(held)]
                 known = struct.pack(f"<{len(numbers)}I", *numbers)
-                if len(part) <= MEMO_BYTES:
+                if several and len(part) <= MEMO_BYTES:
                     if len(self.parts) >= MEMO_WORDS:
                         self.parts.clear()
                     self.parts[part] = known

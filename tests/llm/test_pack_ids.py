@@ -88,3 +88,18 @@ def test_a_task_returns_its_memory_and_encodes_little_at_a_time(monkeypatch):
     assert TOKENIZER in wordids._WORD_IDS
     wordids.forget_words()
     assert not wordids._WORD_IDS
+
+
+def test_a_worker_holds_each_word_once():
+    """Words that are whole stretches aren't kept as parts too, and the tables of the toxicity stage are dropped."""
+    import pyarrow as pa
+
+    from millrace.llm import packing, toxicity, wordids
+
+    wordids.forget_words()
+    list(toxicity._hashed(["some words"]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["plain words, twice-told words"])], ["__id", "__text"])
+    list(packing._cut(PATH, 1, 4096, False)(iter([batch])))
+    encoder = wordids.word_ids(PATH)
+    assert {b"plain", b"words"} <= set(encoder.young) and "plain" not in encoder.parts and "words" in encoder.parts
+    assert toxicity._characters.cache_info().currsize == 0 and not toxicity._COUNTERS
