@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import landed, ship_package, tidied
+from millrace.llm.common import give_back, landed, ship_package, tidied
 from millrace.llm.wordids import forget_words
 
 # the most labelled rows of either label that become examples; the index is broadcast, and this bounds it
@@ -201,11 +201,11 @@ class ExampleIndex:
         self.digests = [e[2] for e in examples]
         sizes = [len(e[3]) for e in examples]
         every = np.concatenate([e[3] for e in examples]) if examples else np.empty(0, np.int32)
-        counts = np.concatenate([e[4] for e in examples]) if examples else np.empty(0, np.int64)
+        counts = np.concatenate([e[4] for e in examples]) if examples else np.empty(0, np.uint32)
         order = np.argsort(every, kind="stable")
         small = np.min_scalar_type(len(examples))
         self.numbers = np.repeat(np.arange(len(examples), dtype=small), sizes)[order]
-        self.counts = counts[order].astype(np.uint32)
+        self.counts = counts[order].astype(np.uint32, copy=False)
         self.sizes = np.bincount(every, minlength=len(hashes)).astype(small)
         self.id_type = "bigint"
         self.prior = self._share(self.labels)
@@ -421,7 +421,7 @@ def _vectors(held):
         for batch in batches:
             rows = _reduced(held.value, batch["text"].tolist())
             batch["terms"] = [t.tobytes() for t, _, _ in rows]
-            batch["counts"] = [n.tobytes() for _, n, _ in rows]
+            batch["counts"] = [n.astype(np.uint32).tobytes() for _, n, _ in rows]
             batch["digest"] = [d for _, _, d in rows]
             yield batch.drop(columns="text")
 
@@ -452,7 +452,7 @@ def _voted(held):
         index = held.value
         for batch in batches:
             terms = [np.frombuffer(t, np.int32) for t in batch["terms"]]
-            counts = [np.frombuffer(n, np.int64) for n in batch["counts"]]
+            counts = [np.frombuffer(n, np.uint32) for n in batch["counts"]]
             votes = index.votes(list(zip(terms, counts, batch["digest"])))
             yield pd.DataFrame({"toxic": batch["toxic"], "vote": votes}, dtype=object)
 
@@ -512,18 +512,20 @@ def fit(
     vectors = landed(examples.select("id", "toxic", "text").mapInPandas(tidied(_vectors(held)), fields), "vectors")
     columns = vectors.toArrow().to_pydict()
     rows = [
-        (i, y, d, np.frombuffer(t, np.int32), np.frombuffer(n, np.int64))
+        (i, y, d, np.frombuffer(t, np.int32), np.frombuffer(n, np.uint32))
         for i, y, t, n, d in zip(*[columns[c] for c in ("id", "toxic", "terms", "counts", "digest")])
     ]
     shares = tuple(totals.get(y, 0) / max(sizes.get(y, 0), 1) for y in (0, 1))
     index = ExampleIndex(hashes, idf, rows, shares)
     index.id_type = examples.schema["id"].dataType.simpleString()
     del columns, rows
+    held.destroy()
+    give_back()
     plain = context.broadcast(index)
     votes = vectors.mapInPandas(tidied(_voted(plain)), "toxic int, vote double").toArrow().to_pydict()
     index.calibrate(votes["vote"], votes["toxic"])
-    plain.unpersist()
-    held.unpersist()
+    # all that used them is landed; without this the driver keeps its own copies
+    plain.destroy()
     return index
 
 
@@ -543,17 +545,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     results, a null id stays null, an empty table gives an empty result. Without labelled rows every score
     is 0. Examples of a document's own text are none of its neighbours. Columns other than id, text and label are not read.
     """
-    index = fit(docs, labels, id_col, text)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
-    return score_texts(rows, index).select(F.col("__id").alias(id_col), "score", "predicted", "evidence")
+    scored = score_texts(rows, fit(docs, labels, id_col, text))
+    # the workers have the index; the driver needs it no longer
+    give_back()
+    return scored.select(F.col("__id").alias(id_col), "score", "predicted", "evidence")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that aren't predicted toxic; scored while they are read."""
-    index = fit(docs, labels, id_col, text)
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"))
     names = [F.col("__row").getField(c).alias(f"__{k}") for k, c in enumerate(docs.columns)]
     # the workers get each text once
     own = f"__{docs.columns.index(text)}"
-    scored = score_texts(rows.select(*names), index, own, kept=True).where("predicted = 0")
+    scored = score_texts(rows.select(*names), fit(docs, labels, id_col, text), own, kept=True).where("predicted = 0")
+    # the workers have the index; the driver needs it no longer
+    give_back()
     return scored.select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(docs.columns)])

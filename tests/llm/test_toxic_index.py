@@ -153,3 +153,29 @@ def test_rows_that_stay_are_scored_without_a_second_text(spark):
     stay = {r.doc_id for r in score_toxicity(docs, labels).collect() if not r.predicted}
     assert sorted(map(tuple, left.collect())) == sorted(r for r in rows if r[0] in stay)
     assert left.columns == docs.columns and "__text" not in left._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_driver_keeps_nothing_of_the_index(spark, monkeypatch):
+    """What fitting broadcast is destroyed, not only its copies on executors; memory is given back when the index is gone."""
+    import os
+    import weakref
+
+    sent, indexes, alive = [], [], []
+    context = type(spark.sparkContext)
+    broadcast = context.broadcast
+
+    def recorded(self, value):
+        sent.append(broadcast(self, value))
+        if isinstance(value, ExampleIndex):
+            indexes.append(weakref.ref(value))
+        return sent[-1]
+
+    monkeypatch.setattr(context, "broadcast", recorded)
+    monkeypatch.setattr(toxicity, "give_back", lambda: alive.append([x() is not None for x in indexes]))
+    rows = [(k, "vile words here" if k % 4 == 0 else "kind words there", "s") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(60)], "doc_id bigint, toxic int")
+    left = toxicity.without_toxic(docs, labels)
+    assert [os.path.exists(x._path) for x in sent] == [False, False, True]
+    assert alive[-1] == [False, False]
+    assert left.count() < 60
