@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import landed, ship_package, tidied
+from millrace.llm.common import give_back, landed, ship_package, tidied
 from millrace.llm.toxicity import forget_terms
 from millrace.llm.wordids import byte_slices, word_ids
 
@@ -226,6 +226,7 @@ def _cut(path: str, end_id: int, limit: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # an earlier stage's tables in this worker have had their turn
         forget_terms()
+        give_back()
         for batch in batches:
             for a, b in byte_slices(batch.column(1), SLICE_BYTES):
                 ids, bounds = word_ids(path).encode(batch.column(1).slice(a, b - a))

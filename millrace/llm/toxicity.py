@@ -21,8 +21,10 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import give_back, landed, ship_package, tidied
 from millrace.llm.wordids import forget_words
@@ -207,7 +209,7 @@ class ExampleIndex:
         self.numbers = np.repeat(np.arange(len(examples), dtype=small), sizes)[order]
         self.counts = counts[order].astype(np.uint32, copy=False)
         self.sizes = np.bincount(every, minlength=len(hashes)).astype(small)
-        self.id_type = "bigint"
+        self.id_type, self.id_arrow = T.LongType(), pa.int64()
         self.prior = self._share(self.labels)
         self.line, self.unknown = (1.0, 0.0), self.prior
         self.weights: np.ndarray | None = None
@@ -231,19 +233,20 @@ class ExampleIndex:
         return {k: v for k, v in self.__dict__.items() if k not in derived} | {"weights": None}
 
     def _unfold(self) -> None:
-        """Vectors of the examples; in single precision the postings, for the frequent terms by block (block, term, example), and their largest."""
+        """Vectors of the examples; in single precision the postings, those of the frequent terms by block (block, term, example) only, and their largest."""
         self.same: dict[bytes, list[int]] = {}
         for number, digest in enumerate(self.digests):
             self.same.setdefault(digest, []).append(number)
-        # what a tokenizer remembers in this worker has had its turn
         forget_words()
+        give_back()
         sizes = self.sizes.astype(np.int64)
-        self.at = np.concatenate(([0], np.cumsum(sizes)))
         # the place of a frequent term, or -1
         by_size = np.argsort(-sizes, kind="stable")
         frequent = by_size[:FREQUENT]
         self.place = np.full(len(sizes), -1, dtype=np.int64)
         self.place[frequent] = np.arange(len(frequent))
+        # where the postings of the other terms begin
+        self.at = np.concatenate(([0], np.cumsum(np.where(self.place < 0, sizes, 0))))
         # some postings at a time, so that nothing beside the results has their length twice
         parts = [slice(k, k + POSTINGS) for k in range(0, len(self.numbers), POSTINGS)]
         term = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
@@ -255,13 +258,15 @@ class ExampleIndex:
         norms = np.sqrt(norms)
         norms[norms == 0] = 1
         # the postings
-        self.postings = np.empty(len(raw), dtype=[("number", np.uint32), ("weight", np.float32)])
+        self.postings = np.empty(self.at[-1], dtype=[("number", np.uint32), ("weight", np.float32)])
+        done = 0
         self.by_block = np.zeros((-(-len(self.ids) // BLOCK), len(frequent), BLOCK), dtype=np.float32)
         for part in parts:
             raw[part] /= norms[self.numbers[part]]
-            self.postings["number"][part], self.postings["weight"][part] = self.numbers[part], raw[part]
             place = self.place[term[part]]
             many = place >= 0
+            few = slice(done, done := done + int((~many).sum()))
+            self.postings["number"][few], self.postings["weight"][few] = self.numbers[part][~many], raw[part][~many]
             numbers = self.numbers[part][many].astype(np.int64)
             self.by_block[numbers // BLOCK, place[many], numbers % BLOCK] = raw[part][many]
         self.most = self.by_block.max(axis=2).T.copy()
@@ -269,9 +274,13 @@ class ExampleIndex:
         self.rank = np.empty(len(sizes), dtype=np.int32)
         self.rank[by_size] = np.arange(len(sizes))
         order = np.argsort(self.numbers, kind="stable").astype(np.int32)
-        self.terms, self.weights = self.rank[term[order]], raw[order]
+        self.terms = self.rank[term[order]]
+        del term
+        self.weights = raw[order]
+        del raw, order
         self.begin = np.concatenate(([0], np.cumsum(held)))
         self.asked = np.zeros(len(sizes))
+        give_back()
 
     def _share(self, labels: np.ndarray) -> float:
         weight = np.where(labels == 1, self.shares[1], self.shares[0])
@@ -404,6 +413,8 @@ class ExampleIndex:
 
 
 def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # what a tokenizer remembers in this worker has had its turn
+    forget_words()
     for batch in batches:
         terms = [hashes for _, hashes in _hashed(batch["text"].tolist())]
         yield pd.DataFrame({"term": np.unique(np.concatenate([np.empty(0, np.uint64), *terms])).view(np.int64)})
@@ -432,6 +443,7 @@ def _counted(held):
     """How many texts of a task hold each term; at -1 how many there are."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_words()
         hashes, rows = held.value, 0
         counter, total = _counter(hashes), np.zeros(len(hashes), np.int64)
         for batch in batches:
@@ -459,15 +471,20 @@ def _voted(held):
     return run
 
 
-def _scored(held, text: str, kept: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scored(held, text: str, kept: bool, evidence: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = held.value
         for batch in batches:
-            texts = batch[text].tolist()
-            scores = [s for k in range(0, len(texts), TEXTS) for s in index.score(_reduced(index.hashes, texts[k : k + TEXTS]))]
-            batch["score"] = [s for s, _ in scores]
-            batch["evidence"] = [e for _, e in scores]
-            yield batch if kept else batch.drop(columns=text)
+            # as Python strings only some texts at a time
+            for k in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(k, TEXTS)
+                scores = index.score(_reduced(index.hashes, part.column(text).to_pylist()))
+                columns = dict(zip(part.schema.names, part.columns))
+                if not kept:
+                    del columns[text]
+                columns["score"] = pa.array([s for s, _ in scores], pa.float64())
+                columns["evidence"] = pa.array([e for _, e in scores], pa.list_(evidence))
+                yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -510,14 +527,15 @@ def fit(
 
     fields = f"id {examples.schema['id'].dataType.simpleString()}, toxic int, terms binary, counts binary, digest binary"
     vectors = landed(examples.select("id", "toxic", "text").mapInPandas(tidied(_vectors(held)), fields), "vectors")
-    columns = vectors.toArrow().to_pydict()
+    columns = vectors.toArrow()
+    id_arrow, columns = columns.schema.field("id").type, columns.to_pydict()
     rows = [
         (i, y, d, np.frombuffer(t, np.int32), np.frombuffer(n, np.uint32))
         for i, y, t, n, d in zip(*[columns[c] for c in ("id", "toxic", "terms", "counts", "digest")])
     ]
     shares = tuple(totals.get(y, 0) / max(sizes.get(y, 0), 1) for y in (0, 1))
     index = ExampleIndex(hashes, idf, rows, shares)
-    index.id_type = examples.schema["id"].dataType.simpleString()
+    index.id_type, index.id_arrow = examples.schema["id"].dataType, id_arrow
     del columns, rows
     held.destroy()
     give_back()
@@ -532,8 +550,9 @@ def fit(
 def score_texts(rows: DataFrame, index: ExampleIndex, text: str = "__text", kept: bool = False) -> DataFrame:
     """Scores of rows with ``text``, which goes unless ``kept``: score, predicted (1 from THRESHOLD on), evidence."""
     held = rows.sparkSession.sparkContext.broadcast(index)
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if kept or f.name != text)
-    scored = rows.mapInPandas(tidied(_scored(held, text, kept)), f"{fields}score double, evidence array<{index.id_type}>")
+    fields = [f for f in rows.schema if kept or f.name != text]
+    schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(index.id_type))])
+    scored = rows.mapInArrow(tidied(_scored(held, text, kept, index.id_arrow)), schema)
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

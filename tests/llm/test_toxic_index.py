@@ -179,3 +179,25 @@ def test_the_driver_keeps_nothing_of_the_index(spark, monkeypatch):
     assert [os.path.exists(x._path) for x in sent] == [False, False, True]
     assert alive[-1] == [False, False]
     assert left.count() < 60
+
+
+def test_an_unfolded_index_holds_each_posting_once(made):
+    """The postings of frequent terms stand by block and not in the lists, too."""
+    index = pickle.loads(pickle.dumps(made[2]))
+    index.nearest(_reduced(index.hashes, made[3][:3]))
+    assert len(index.postings) == int(index.sizes[index.place < 0].sum())
+    assert np.count_nonzero(index.by_block) + len(index.postings) == len(index.numbers)
+    # a worker holds no second copy of a batch's texts
+    held = type("Held", (), {"value": index})
+    texts = toxicity.pa.RecordBatch.from_pydict({"a": list(range(600)), "t": ["vile words"] * 600})
+    got = list(toxicity._scored(held, "t", False, toxicity.pa.int64())(iter([texts])))
+    assert [b.num_rows for b in got] == [256, 256, 88] and got[0].schema.names == ["a", "score", "evidence"]
+
+
+def test_rows_of_any_type_pass_the_scoring(spark):
+    rows = [(k, "vile words" if k % 4 == 0 else "kind words", [k], None) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, many array<int>, day date").selectExpr("doc_id", "text", "array(doc_id) AS sure", "many", "day")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(40)], "doc_id bigint, toxic int")
+    left = toxicity.without_toxic(docs, labels)
+    assert {r.doc_id: (r.sure, r.many, r.day) for r in left.collect()}.items() <= {r[0]: ([r[0]], r[2], None) for r in rows}.items()
+    assert left.columns == docs.columns
