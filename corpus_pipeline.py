@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import landed
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mix, mixed_rows
-from millrace.llm.packing import pack_documents
+from millrace.llm.packing import SLICE_BYTES, pack_documents
 from millrace.llm.pii import replace_personal_data
 from millrace.llm.queries import TOKENIZER
 from millrace.llm.toxicity import without_toxic
@@ -63,7 +63,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text is an empty one: a piece with the end id. Repeated rows and null ids are packed like others.
     """
-    packed = pack_documents(docs, TOKENIZER)
+    # executors are filled by the stages before, and the job has more time than memory left
+    packed = pack_documents(docs, TOKENIZER, slice_bytes=SLICE_BYTES // 2)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

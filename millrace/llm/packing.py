@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import give_back, landed, ship_package, tidied
+from millrace.llm.common import landed, ship_package, tidied
 from millrace.llm.toxicity import forget_terms
 from millrace.llm.wordids import byte_slices, word_ids
 
@@ -222,13 +222,12 @@ def bin_completion(lengths: list[int], capacity: int, steps: int = STEPS) -> lis
     return done + best
 
 
-def _cut(path: str, end_id: int, limit: int, with_ids: bool):
+def _cut(path: str, end_id: int, limit: int, with_ids: bool, slice_bytes: int | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # an earlier stage's tables in this worker have had their turn
         forget_terms()
-        give_back()
         for batch in batches:
-            for a, b in byte_slices(batch.column(1), SLICE_BYTES):
+            for a, b in byte_slices(batch.column(1), slice_bytes or SLICE_BYTES):
                 ids, bounds = word_ids(path).encode(batch.column(1).slice(a, b - a))
                 data = memoryview(np.insert(ids, bounds[1:], end_id).astype("<u4")).cast("B")
                 bounds = bounds + np.arange(len(bounds))
@@ -263,6 +262,7 @@ def token_pieces(
     id_col: str = "doc_id",
     text: str = "text",
     with_ids: bool = False,
+    slice_bytes: int | None = None,
 ) -> DataFrame:
     """Pieces of at most ``limit`` ids of each document and its end id: id, piece, start, length, ids_crc32, ids.
 
@@ -272,7 +272,7 @@ def token_pieces(
     ship_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
-    return rows.mapInArrow(tidied(_cut(path, end_id, limit, with_ids)), PIECES.format(id=kind))
+    return rows.mapInArrow(tidied(_cut(path, end_id, limit, with_ids, slice_bytes)), PIECES.format(id=kind))
 
 
 def _pack_chunk(limit: int, steps: int):
@@ -312,11 +312,12 @@ def pack_documents(
     id_col: str = "doc_id",
     text: str = "text",
     with_ids: bool = False,
+    slice_bytes: int | None = None,
 ) -> DataFrame:
     """Pieces of all documents with their place: sequence_id and offset, gapless from 0 in each sequence.
 
     Every row is packed on its own, repeated rows and null ids too; other columns of ``docs`` are not read.
-    An empty table gives no pieces.
+    An empty table gives no pieces. ``slice_bytes`` of text are encoded at a time: fewer take less memory and more time.
     """
-    pieces = landed(token_pieces(docs, path, limit, end_id, id_col, text, with_ids), "pieces")
+    pieces = landed(token_pieces(docs, path, limit, end_id, id_col, text, with_ids, slice_bytes), "pieces")
     return pack_pieces(pieces, limit).withColumnRenamed("__id", id_col)

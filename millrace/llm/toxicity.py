@@ -273,12 +273,17 @@ class ExampleIndex:
         # the vectors of the examples; their terms by rank, so that the many mentions of a few lie close together
         self.rank = np.empty(len(sizes), dtype=np.int32)
         self.rank[by_size] = np.arange(len(sizes))
-        order = np.argsort(self.numbers, kind="stable").astype(np.int32)
-        self.terms = self.rank[term[order]]
-        del term
-        self.weights = raw[order]
-        del raw, order
         self.begin = np.concatenate(([0], np.cumsum(held)))
+        self.terms, self.weights = np.empty(len(term), np.int32), np.empty(len(raw))
+        reached = self.begin[:-1].copy()
+        for part in parts:
+            order = np.argsort(self.numbers[part], kind="stable")
+            owner = self.numbers[part][order]
+            here = np.bincount(owner, minlength=len(held))
+            to = (reached - (np.cumsum(here) - here))[owner] + np.arange(len(owner))
+            self.terms[to], self.weights[to] = self.rank[term[part][order]], raw[part][order]
+            reached += here
+        del term, raw
         self.asked = np.zeros(len(sizes))
         give_back()
 

@@ -207,7 +207,8 @@ class WordIds:
             return data, begin, np.searchsorted(bounds, begin, "right") - 1
         dark = ~white
         begin = np.flatnonzero(dark & (after | head))
-        place = np.cumsum(dark)[begin] - 1
+        # no text and no slice has as many bytes as 32 bits count
+        place = np.cumsum(dark, dtype=np.uint32)[begin] - np.uint32(1)
         return data[dark], place, np.searchsorted(bounds, begin, "right") - 1
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -226,15 +227,18 @@ class WordIds:
         buffers = [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
         coded = pa.Array.from_buffers(pa.large_binary(), len(begin), buffers).dictionary_encode()
         number, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        del data, begin, edges, buffers, coded
 
         of_word = self._ids_of(words)
         table = np.frombuffer(b"".join(of_word), dtype="<u4")
         sizes = np.fromiter(map(len, of_word), dtype=np.int64, count=len(of_word)) // 4
+        del words, of_word
         starts = np.cumsum(sizes) - sizes
         each = sizes[number]
         ends = np.cumsum(each)
         total = int(ends[-1])
-        taken = np.repeat(starts[number] - (ends - each), each) + np.arange(total)
+        taken = np.repeat(starts[number] - (ends - each), each)
+        taken += np.arange(total)
         counts = np.bincount(owner, weights=each, minlength=len(texts)).astype(np.int64)
         return table[taken], np.concatenate(([0], np.cumsum(counts)))
 

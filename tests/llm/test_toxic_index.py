@@ -201,3 +201,24 @@ def test_rows_of_any_type_pass_the_scoring(spark):
     left = toxicity.without_toxic(docs, labels)
     assert {r.doc_id: (r.sure, r.many, r.day) for r in left.collect()}.items() <= {r[0]: ([r[0]], r[2], None) for r in rows}.items()
     assert left.columns == docs.columns
+
+
+def test_vectors_put_together_in_parts_are_whole(made, monkeypatch):
+    """Each example's terms and weights stand in the order of the terms' numbers, whatever the parts."""
+    monkeypatch.setattr(toxicity, "POSTINGS", 61)
+    index = pickle.loads(pickle.dumps(made[2]))
+    index._unfold()
+    term = np.repeat(np.arange(len(index.sizes)), index.sizes.astype(np.int64))
+    order = np.argsort(index.numbers, kind="stable")
+    assert index.terms.tolist() == index.rank[term[order]].tolist()
+    assert np.allclose([np.square(index.weights[a:b]).sum() for a, b in zip(index.begin[:-1], index.begin[1:]) if b > a], 1)
+
+
+def test_slices_of_packing_do_not_change_pieces():
+    from millrace.llm import packing
+    from millrace.llm.queries import TOKENIZER
+
+    texts = ["one two three", None, "", "four " * 90, "fiveé six", "seven"]
+    batch = toxicity.pa.RecordBatch.from_pydict({"i": list(range(6)), "t": texts})
+    cut = [[r for b in packing._cut(TOKENIZER, 1, 64, True, size)(iter([batch])) for r in b.to_pylist()] for size in (1, 40, 1 << 20)]
+    assert cut[0] == cut[1] == cut[2] and len(cut[0]) > 6
