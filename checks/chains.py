@@ -33,7 +33,7 @@ from millrace.plans.jobs import (
     table_chain,
 )
 from millrace.schemas import DEPENDENCY_MANAGER, PARTITION_MANAGER
-from millrace.session import land, scratch_path
+from millrace.session import PAGES_BYTES, land, scratch_path
 from millrace.sinks.snapshots import read_snapshots, write_dated
 from millrace.sinks.tables import replace_table
 
@@ -155,7 +155,7 @@ def _feed(name: str, pages: DataFrame, payload: Column, end: str) -> DataFrame:
         last = F.coalesce(F.max("page_no") + 1, F.lit(feed.first_page)).alias("page_no")
         return frame.agg(last).select(F.lit(category).cast("string").alias("category"), "page_no", F.lit(end).alias("payload"))
 
-    filled = land(pages.select(F.lit(first).cast("string").alias("category"), number, payload.alias("payload")), name)
+    filled = land(pages.select(F.lit(first).cast("string").alias("category"), number, payload.alias("payload")), name, PAGES_BYTES)
     answers = filled.unionByName(closed(filled, first))
     for category in others:
         answers = answers.unionByName(closed(filled.limit(0), category))
@@ -203,7 +203,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = feeds[0]
     for feed in feeds[1:]:
         landed = landed.unionByName(feed)
-    return land(landed, "payloads")
+    return land(landed, "payloads", PAGES_BYTES)
 
 
 @query("institution_chain")

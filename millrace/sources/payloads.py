@@ -5,8 +5,8 @@ with a fixed list of columns. A page without rows is the end of a feed and gives
 for several times: an unreadable answer counts as an error, and the rows come from the newest good answer
 (by ``attempt``, where payloads have that column). No page is lost: a page without a good answer fails the
 job, and so do ``max_bad`` errors in one feed. Given ``first_page``, so does a feed without every page from there
-to its end page. Pages are parsed once, into the shared folder. A payload may be binary; what isn't UTF-8 is
-unreadable.
+to its end page. Pages are parsed once, into the shared folder, a record a row: readers take thousands of rows at a time,
+which whole pages are too large for. A payload may be binary; what isn't UTF-8 is unreadable.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.cleaning import blank_to_null
-from millrace.session import land
+from millrace.session import PAGES_BYTES, land
 
 MAX_BAD = 3
 
@@ -33,6 +33,9 @@ class MissingPages(Exception):
 
 _BAD = "__bad"
 _ITEMS = "__items"
+# a record and its place in its answer, null for an answer without any
+_RECORD = "__record"
+_PLACE = "__place"
 
 
 def _nest(tree: dict, path: str, leaf: T.DataType) -> None:
@@ -101,7 +104,7 @@ def _guarded(
     parts: int = 1,
     rejects_to: Rejects | None = None,
 ) -> DataFrame:
-    """The newest good answer of every page; fail where a page has none, or a feed has too many errors or gaps.
+    """The records of every page's newest good answer; fail where a page has none, or a feed has too many errors or gaps.
 
     What reaches the driver is one row of counts. ``rejects_to`` gets the bad answers as they came, from the same parse
     and before anything fails; good ones are not kept as text.
@@ -112,18 +115,20 @@ def _guarded(
         raise ValueError("first_page needs payloads with page_no")
     attempt = [c for c in ("attempt",) if c in parsed.columns and "page_no" in page]
     carried = list(dict.fromkeys([*page, *attempt, *_kept(parsed, keep)]))
+    records = F.posexplode_outer(_ITEMS).alias(_PLACE, _RECORD)
     if rejects_to is None:
-        parsed = land(parsed.select(*carried, _ITEMS, _BAD), "pages")
+        parsed = land(parsed.select(*carried, _BAD, records), "pages")
     else:
         came = [c for c in parsed.columns if c not in (*carried, "payload", _ITEMS, _BAD)]
-        reason = F.struct(*came, "payload")
-        parsed = land(parsed.select(*carried, _ITEMS, _BAD, F.when(F.col(_BAD), reason).alias("__came")), "pages")
+        reason = F.when(F.col(_BAD), F.struct(*came, "payload")).alias("__came")
+        parsed = land(parsed.select(*carried, _ITEMS, _BAD, reason).select(*carried, _BAD, "__came", records), "pages", PAGES_BYTES)
         rejects_to(parsed.where(_BAD).select(*carried, "__came.*"))
         parsed = parsed.drop("__came")
 
     order = F.col("attempt") if attempt else F.lit(0)
-    has_rows = F.coalesce(F.size(_ITEMS) > 0, F.lit(False))
-    pages = parsed.groupBy(*page).agg(
+    has_rows = F.col(_PLACE).isNotNull()
+    # an answer counts once, by its first row
+    pages = parsed.where(F.coalesce(_PLACE, F.lit(0)) == 0).groupBy(*page).agg(
         F.count_if(_BAD).alias("bad"),
         F.count_if(~F.col(_BAD)).alias("good"),
         F.max_by(has_rows, F.when(~F.col(_BAD), F.coalesce(order, F.lit(-1)))).alias("has_rows"),
@@ -150,10 +155,10 @@ def _guarded(
     if first_page is not None and counts.whole < max(counts.feeds, parts):
         raise MissingPages(f"{max(counts.feeds, parts) - counts.whole} feeds without every page up to an end page")
     good = parsed.where(~F.col(_BAD))
-    if not attempt:
-        return good
-    newest = F.rank().over(Window.partitionBy(*page).orderBy(F.desc("attempt")))
-    return good.withColumn("__newest", newest).where("__newest = 1").drop("__newest")
+    if attempt:
+        newest = F.rank().over(Window.partitionBy(*page).orderBy(F.desc("attempt")))
+        good = good.withColumn("__newest", newest).where("__newest = 1").drop("__newest")
+    return good.where(has_rows)
 
 
 def _kept(payloads: DataFrame, keep: Sequence[str]) -> list[str]:
@@ -192,7 +197,7 @@ def json_pages(
     record = columns if isinstance(columns, T.StructType) else _string_record(columns)
     parsed = _parsed_json(payloads, T.ArrayType(record), path, status_path, ok, end)
     parsed = _guarded(parsed, max_bad, keep, first_page, parts, rejects_to)
-    return parsed.select(*_carried(payloads, keep), F.inline(_ITEMS))
+    return parsed.select(*_carried(payloads, keep), f"{_RECORD}.*")
 
 
 def strict_json_pages(
@@ -212,8 +217,7 @@ def strict_json_pages(
     items = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
     parsed = _parsed_json(payloads, items, path, status_path, ok, end)
     parsed = _guarded(parsed, max_bad, keep, first_page, parts, rejects_to)
-    records = parsed.select(*_carried(payloads, keep), F.explode(_ITEMS).alias("__record"))
-    return strict_columns(records, "__record", required)
+    return strict_columns(parsed.select(*_carried(payloads, keep), _RECORD), _RECORD, required)
 
 
 def strict_columns(records: DataFrame, map_column: str, required: Sequence[str]) -> DataFrame:
@@ -237,7 +241,7 @@ def xml_pages(
     """Rows of response/body/items/item of every page; one item or many, empty elements are null."""
     record = columns if isinstance(columns, T.StructType) else _string_record(columns)
     parsed = _guarded(_parsed_xml(payloads, record), max_bad, keep, first_page, parts, rejects_to)
-    rows = parsed.select(*_carried(payloads, keep), F.inline(_ITEMS))
+    rows = parsed.select(*_carried(payloads, keep), f"{_RECORD}.*")
     return blank_to_null(rows, record.fieldNames())
 
 

@@ -1,11 +1,14 @@
 import json
 
 import pytest
+from pyarrow.parquet import ParquetFile
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.plans.catalog import FEEDS
 from millrace.plans.jobs import parse_feed
 from millrace.schemas import PAYLOADS
+from millrace.sources import payloads as module
 from millrace.sources.payloads import (
     MissingPages,
     json_pages,
@@ -128,6 +131,39 @@ def test_xml_rejects(spark):
         xml_pages(df, ["a"]).collect()
 
 
+def test_pages_are_landed_a_record_a_row(spark, rows, monkeypatch):
+    landed = []
+
+    def land(df, *args):
+        landed.append(module.PAGES_BYTES in args)
+        landed.append([f.dataType.typeName() for f in df.schema])
+        return session.land(df, *args)
+
+    monkeypatch.setattr(module, "land", land)
+    ok = status_page("00", [{"a": "1", "b": "x"}, {"a": "2", "b": None}])
+    df = attempts(
+        spark, (1, 1, status_page("22")), (1, 2, ok), (1, 2, ok), (2, 1, ok), (2, 2, status_page("00", [])), (3, 1, status_page("03"))
+    )
+    rejects = []
+    got = strict_json_pages(df, ["a", "b"], *STATUS, keep=["page_no"], rejects_to=lambda r: rejects.extend(rows(r, "page_no", "attempt", "payload")))
+    assert rows(got) == [(1, "1", "x")] * 2 + [(1, "2", None)] * 2 and rejects == [(1, 1, json.dumps(status_page("22")))]
+    xml = "<response><body><items><item><a>1</a></item><item><a>2</a></item></items></body></response>"
+    assert rows(xml_pages(pages(spark, xml, "<response><body><items/></body></response>"), ["a"])) == [("1",), ("2",)]
+    # an element that is null is a record of nulls
+    assert rows(json_pages(pages(spark, {"data": [None, {"a": "1"}]}, {"data": []}), ["a", "b"], "data")) == [(None, None), ("1", None)]
+    assert len(landed) == 6 and landed[0] and not any("array" in types for types in landed[1::2])
+
+
+def test_groups_of_large_rows_are_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_path", lambda *_: str(tmp_path / "pages"))
+    text = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(150)), lambda k: F.sha2(F.concat_ws(" ", "id", k), 256)))
+    large = spark.range(0, 1000, 1, 1).select("id", text.alias("payload"))
+    assert session.land(large, "pages", 1 << 20).count() == 1000
+    (file,) = (tmp_path / "pages").glob("*.parquet")
+    held = ParquetFile(file).metadata
+    assert max(held.row_group(k).num_rows for k in range(held.num_row_groups)) <= 250
+
+
 def test_school_categories(spark, rows):
     feed = FEEDS["school"]
     page, end = (json.dumps({"dataSearch": {"content": x}}) for x in ([{"seq": "1"}], []))
